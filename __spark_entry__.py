@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -372,7 +373,7 @@ def catalog_codec_roundtrip(spark, sf):
         F.col("doc_id").alias("ebook_pos"), F.col("doc_id").alias("ebook_id"),
         F.col("title").alias("ebook_title"),
     )
-    path = _run_path(spark, sf, f"catalog-{id(listing)}")
+    path = _run_path(spark, sf, f"catalog-{uuid.uuid4().hex}")
     catalog_text.write_catalog(cat.nest(listing), path)
     read = catalog_text.read_catalog(spark, path, "bigint")
     return cat.flatten(read.withColumn("pos", F.substring("url", 2, 12).cast("long")))

@@ -113,13 +113,14 @@ def body(
 ) -> Column:
     """Lines after the first start-marker line and before the first end-marker line after it.
 
-    Only line feeds end a line; the lines are joined by ``joiner``. Null if no line starts
+    Only line feeds end a line; the lines are joined by ``joiner``. Empty if no line starts
     with a start marker; without an end marker the body runs to the end of the text.
     """
     text = F.col(text) if isinstance(text, str) else text
-    # d: only \n counts as a line end; m: ^ holds at every line.
-    after = F.get(F.split(text, rf"(?md)^{any_of(start)}[^\n]*(?:\n|\z)", 2), 1)
-    cut = F.get(F.split(after, rf"(?md)(?:\n|\A)^{any_of(end)}", 2), 0)
-    # Empty lines at the very end of a text are not lines of it.
-    lines = F.when(F.length(cut) < F.length(after), cut).otherwise(F.rtrim(cut, F.lit("\n")))
-    return F.replace(lines, F.lit("\n"), F.lit(joiner))
+    # d: only \n counts as a line end; m: ^ holds at every line; s: a dot takes \n too.
+    after = F.regexp_extract(text, rf"(?md)^{any_of(start)}[^\n]*\n((?s:.*))", 1)
+    cut = F.regexp_extract(after, rf"(?s)\A(.*?)(?:(?:\n|\A){any_of(end)}|\z)", 1)
+    if joiner:
+        # Empty lines at the very end of a text are not lines of it.
+        cut = F.when(F.length(cut) < F.length(after), cut).otherwise(F.rtrim(cut, F.lit("\n")))
+    return F.replace(cut, F.lit("\n"), F.lit(joiner))

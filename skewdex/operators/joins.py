@@ -4,11 +4,25 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A broadcast side never has more rows than this; every caller checks or proves it.
+# A broadcast side has no more rows than this and no wider ones, so it stays within 100 MB;
+# both are checked against the data or follow from the choice of its rows.
 BROADCAST_ROWS = 100_000
+BROADCAST_ROW_BYTES = 1_000
+
+
+def _width(df: DataFrame) -> Column:
+    """Bytes of the values of a row that have no fixed size."""
+    total = F.lit(0)
+    for field in df.schema:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            total = total + F.coalesce(F.octet_length(field.name), F.lit(0))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            total = total + F.octet_length(F.to_json(F.struct(field.name)))
+    return total
 
 
 def lookup_join(
@@ -26,20 +40,19 @@ def lookup_join(
     rows under the key. A ``right`` of at most ``rows`` rows is broadcast. A larger one is
     split: keys holding at least 1/rows of the total weight (there can be no more than
     ``rows`` of them) are broadcast, so hot keys are never shuffled; the others, each of
-    which is small, meet in an ordinary shuffle join. If ``left`` is already spread by
-    ``spread_by``, the shuffled rows are brought back to that layout, so that an operator
-    that needs it does not move the hot rows.
+    which is small, meet in an ordinary shuffle join, as do rows too wide to broadcast. If
+    ``left`` is already spread by ``spread_by``, the shuffled rows are brought back to that
+    layout, so that an operator that needs it does not move the hot rows.
     """
-    if right.limit(rows + 1).count() <= rows:
+    width = _width(right)
+    seen = right.limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.max(width).alias("widest")).first()
+    if seen.n <= rows and (seen.widest or 0) <= BROADCAST_ROW_BYTES:
         return left.join(F.broadcast(right), on, how)
 
     total = right.agg(F.sum(weight)).first()[0]
-    least = max(1, -(-total // rows))
-    hot = F.broadcast(right.where(F.col(weight) >= least))
-    hot_keys = F.broadcast(right.where(F.col(weight) >= least).select(*on))
-    cold = right.where(F.col(weight) < least)
-
-    parts = [left.join(hot, on)]
+    is_hot = (F.col(weight) >= max(1, -(-total // rows))) & (width <= BROADCAST_ROW_BYTES)
+    hot = right.where(is_hot)
+    parts = [left.join(F.broadcast(hot), on)]
     rest = left
     if how == "left":
         # Rows without a key match nothing; shuffled, they would all land in one task.
@@ -50,6 +63,6 @@ def lookup_join(
             )
         )
         rest = left.where(~keyless)
-    met = rest.join(hot_keys, on, "left_anti").join(cold, on, how)
-    parts.append(met.repartition(*[F.col(c) for c in spread_by]) if spread_by else met)
+    cold = rest.join(F.broadcast(hot.select(*on)), on, "left_anti").join(right.where(~is_hot), on, how)
+    parts.append(cold.repartition(*[F.col(c) for c in spread_by]) if spread_by else cold)
     return reduce(DataFrame.unionByName, parts)

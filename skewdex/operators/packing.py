@@ -23,6 +23,10 @@ from .joins import lookup_join
 
 # Item numbers per join key of the range join between items and the ranges of the fold.
 CHUNK = 1024
+# Slots the fold holds before it hands them on.
+SLOT_BATCH = 50_000
+# Bins and partitions of the two re-layout modes where none are asked for.
+PACK_BINS, PARTITIONS = 16, 228
 _SLOTS = "lo long, hi long, bins array<int>"
 
 
@@ -129,6 +133,9 @@ class _Loads:
 def _fold(nbins: int | None, capacity: int | None):
     """Batches of runs (_group, _size, _n, _start), in packing order, to slots."""
 
+    def table(slots: list) -> pd.DataFrame:
+        return pd.DataFrame(slots, columns=["lo", "hi", "bins"])
+
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         group, loads = None, None
         for batch in batches:
@@ -142,7 +149,10 @@ def _fold(nbins: int | None, capacity: int | None):
                 for taken, bins in loads.place(size, n):
                     slots.append((start, start + taken - 1, bins))
                     start += taken
-            yield pd.DataFrame(slots, columns=["lo", "hi", "bins"])
+                    if len(slots) >= SLOT_BATCH:
+                        yield table(slots)
+                        slots = []
+            yield table(slots)
 
     return fold
 
@@ -274,19 +284,19 @@ def bin_lookup(
     )
 
 
-def repartition_packed(
+def assign_bins(
     rows: DataFrame,
     key: list[str],
     size: str,
     nbins: int,
     split_by: list[str] | None = None,
-) -> DataFrame:
-    """``rows`` laid out so that every partition is a bin and holds all rows of its keys.
+) -> tuple[DataFrame, int]:
+    """``rows`` with the ``bin`` of their key (null without a key), and the number of bins.
 
-    Keys are packed by their sum of ``size`` into ``nbins``; rows without a key go to
-    partition 0. One key heavier than a fair share makes its partition a straggler: with
-    ``split_by`` (columns that tell its rows apart) such a key is cut into parts of about
-    a share each, which are packed on their own.
+    Keys are packed by their sum of ``size``. One key heavier than a fair share makes its
+    bin a straggler: with ``split_by`` (columns that tell its rows apart) such a key is cut
+    into parts of about a share each, which are packed on their own. ``rows`` is read more
+    than once, by its key and size columns.
     """
     present = F.lit(True)
     for name in key:
@@ -310,11 +320,23 @@ def repartition_packed(
     units = cut.where(present).groupBy(*unit).agg(F.sum(size).cast("long").alias(weight))
     packed = stage(pack_n_bins(units, unit, weight, nbins), "bins")
     last = packed.agg(F.max("bin")).first()[0]
-    return (
-        bin_lookup(cut, packed, unit, weight, strict=True)
-        .repartitionById((last or 0) + 1, F.col("bin"))
-        .drop("bin", part)
-    )
+    return bin_lookup(cut, packed, unit, weight, strict=True).drop(part), (last or 0) + 1
+
+
+def repartition_packed(
+    rows: DataFrame,
+    key: list[str],
+    size: str,
+    nbins: int,
+    split_by: list[str] | None = None,
+) -> DataFrame:
+    """``rows`` laid out so that every partition is a bin and holds all rows of its keys.
+
+    Rows without a key go to partition 0. See ``assign_bins`` for ``split_by``, which gives
+    up the one partition per key for keys that would not fit a fair share.
+    """
+    placed, count = assign_bins(rows, key, size, nbins, split_by)
+    return placed.repartitionById(count, F.col("bin")).drop("bin")
 
 
 def rebalance(
@@ -329,9 +351,9 @@ def rebalance(
     if mode == "skew":
         return rows
     if mode == "pack":
-        return repartition_packed(rows, key, size, 16 if n is None else n, split_by)
+        return repartition_packed(rows, key, size, PACK_BINS if n is None else n, split_by)
     if mode == "partition":
-        return rows.repartition(228 if n is None else n)
+        return rows.repartition(PARTITIONS if n is None else n)
     raise ValueError(f"mode must be 'skew', 'pack' or 'partition', not {mode!r}")
 
 

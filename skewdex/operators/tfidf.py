@@ -15,6 +15,7 @@ from .joins import BROADCAST_ROWS, lookup_join
 
 TOP_TERMS = 500
 _ALL = "_corpus"
+_ROW = "_row"
 
 
 def tokenize(docs: DataFrame, doc: list[str], text: str = "text") -> DataFrame:
@@ -114,20 +115,25 @@ def tfidf(
 ) -> DataFrame:
     """``scope``, ``doc``, ``term`` and ``weight`` = tf * idf, the ``top`` heaviest per document.
 
-    The texts are read and cut once; the counts, an array per document, are staged. They
-    are then spread by document before they are unrolled, so the terms looked up by
-    broadcast stay where their document is and the ranking needs no further shuffle.
+    ``doc`` tells the documents of a scope apart. The texts are read and cut once; the
+    counts, an array per document, are staged under a document number. They are spread by
+    that number before they are unrolled, so the terms looked up by broadcast stay where
+    their document is and the ranking needs no further shuffle. Only the number travels
+    and is sorted with the terms; the document's own columns come back at the end.
     """
     keyed, scope_key = _scoped(docs, scope)
     key = [*scope_key, *doc]
-    counts = stage(term_counts(keyed, key, text), "counts")
+    counts = stage(
+        term_counts(keyed, key, text).withColumn(_ROW, F.monotonically_increasing_id()), "counts"
+    )
     rates = stage(inverse_document_frequency(counts, scope_key), "idf")
-    tf = _flat(counts.repartition(*[F.col(c) for c in key]), key)
+    tf = _flat(counts.select(_ROW, *scope_key, "n_terms", "counts").repartition(_ROW), [_ROW, *scope_key])
     weights = lookup_join(
         tf, rates.select(*scope_key, "term", "df", "idf"), [*scope_key, "term"], "df",
-        rows=broadcast_rows, spread_by=key,
-    ).select(*key, "term", (F.col("n") / F.col("n_terms") * F.col("idf")).alias("weight"))
-    return top_terms(weights, key, top).select(*scope, *doc, "term", "weight")
+        rows=broadcast_rows, spread_by=[_ROW],
+    ).select(_ROW, "term", (F.col("n") / F.col("n_terms") * F.col("idf")).alias("weight"))
+    best = top_terms(weights, [_ROW], top)
+    return best.join(counts.select(_ROW, *scope, *doc), _ROW).select(*scope, *doc, "term", "weight")
 
 
 def group_tfidf(docs: DataFrame, group: list[str], text: str = "text", top: int = TOP_TERMS) -> DataFrame:

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from ..functions.lines import END_MARKERS, START_MARKERS, body
 from ..operators.catalog import limit_listed_docs, limit_listed_groups
-from ..operators.packing import rebalance
+from ..operators.packing import PACK_BINS, assign_bins, rebalance
 from ..operators.pages import resolve_urls
 from ..operators.search import search
 from ..operators.tfidf import TOP_TERMS, last_listed, tfidf
 from ..sources.index_store import DEFAULT_DIRECTORY, INDEX_SCHEMA, read_index, write_index
+from ..sources.staging import stage
 from ..sources.texts import attach_texts
 
 SHELF, DOC, TITLE = "bookshelf_url", "ebook_id", "ebook_title"
@@ -25,7 +26,10 @@ def strip_boilerplate(
     joiner: str = "",
 ) -> DataFrame:
     """``docs`` with ``text`` cut to its body; documents without one go."""
-    return docs.withColumn(text, body(text, start, end, joiner)).where(F.col(text) != "")
+    # Generated, not just projected: the filter would otherwise be pushed below, and every
+    # body cut once to test it and again to use it.
+    cut = F.explode_outer(F.array(body(text, start, end, joiner))).alias(text)
+    return docs.select(*[c for c in docs.columns if c != text], cut).where(F.col(text) != "")
 
 
 def index_library(
@@ -56,7 +60,17 @@ def index_library(
         resolve_urls(listing, lengths, DOC).withColumn("_at", F.struct("shelf_pos", "ebook_pos")),
         [SHELF, DOC, TITLE], "_at",
     ).select(SHELF, DOC, TITLE, "url", "length")
-    docs = rebalance(attach_texts(resolved, texts), [SHELF], "length", mode, n, split_by=[DOC, TITLE])
+    # Staged, so that its size is known before the texts are joined: a listing that is small
+    # goes to the texts, which then are not shuffled.
+    resolved = stage(resolved, "listing")
+    if mode == "pack":
+        # Bins come from the recorded lengths; the texts move once, straight to their bin.
+        placed, count = assign_bins(
+            resolved, [SHELF], "length", PACK_BINS if n is None else n, split_by=[DOC, TITLE]
+        )
+        docs = attach_texts(placed, texts).repartitionById(count, F.col("bin")).drop("bin")
+    else:
+        docs = rebalance(attach_texts(resolved, texts), [SHELF], "length", mode, n)
     bodies = strip_boilerplate(docs, "text", start, end)
     return tfidf(bodies, [SHELF], [DOC, TITLE], "text", top).select(SHELF, DOC, TITLE, "term", "weight")
 

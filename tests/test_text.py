@@ -1,0 +1,95 @@
+from conftest import rows
+from pyspark.sql import functions as F
+
+from skewdex.functions.lines import body, starts_with_any
+from skewdex.functions.text import query_terms, terms
+from skewdex.operators.tfidf import term_counts
+from skewdex.plans.build_index import strip_boilerplate
+
+
+def test_terms_drop_punctuation_short_and_stop_words(spark):
+    texts = ["_net_9_ is here _ ,, 1", "_the_ The café", "", None, "a-b Cd!cd"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    found = {r.i: r.t for r in df.select("i", terms("text").alias("t")).collect()}
+    assert found[0] == ["net9", "here"]
+    assert found[1] == ["the", "caf"]  # stop words go before the underscores do
+    assert found[2] == [] and found[3] is None
+    assert found[4] == ["cd", "cd"]
+
+
+def test_query_terms_are_distinct(spark):
+    assert query_terms(spark, "How to cook, COOK dinner for the _it_") == ["how", "cook", "dinner", "it"]
+    assert query_terms(spark, "to the") == []
+
+
+def test_counts_inside_the_row(spark):
+    df = spark.createDataFrame([(1, "bb aa bb cc bb"), (2, "of"), (3, "")], "i int, text string")
+    got = {r.i: (r.n_terms, [tuple(c) for c in r.counts]) for r in term_counts(df, ["i"]).collect()}
+    assert got == {1: (5, [("aa", 1), ("bb", 3), ("cc", 1)]), 2: (0, []), 3: (0, [])}
+
+
+def test_counts_need_no_shuffle(spark, plan):
+    df = spark.createDataFrame([(1, "bb aa")], "i int, text string")
+    assert "Exchange" not in plan(term_counts(df, ["i"]))
+
+
+def test_prefix_of_a_set(spark):
+    lines = ["*** START x", " *** START", "a.b", "axb", "", "Produced by me"]
+    df = spark.createDataFrame([(s,) for s in lines], "line string")
+    hit = df.where(starts_with_any("line", ["*** START", "a.b", "Produced by", "Pro"]))
+    assert rows(hit, "line") == [("*** START x",), ("Produced by me",), ("a.b",)]
+
+
+START = ("*** START OF THIS PROJECT GUTENBERG", "Produced by")
+END = ("*** END OF THIS PROJECT GUTENBERG", "End of Project Gutenberg")
+
+
+def _bodies(spark, texts, **options):
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    return dict(rows(strip_boilerplate(df, "text", START, END, **options), "i", "text"))
+
+
+def test_body_between_markers(spark):
+    texts = [
+        "Title\nx\n*** START OF THIS PROJECT GUTENBERG\nProduced by Jo\nbody1\r\nbody2\n"
+        "*** END OF THIS PROJECT GUTENBERG\ntail",
+        "no marker\nEnd of Project Gutenberg",
+        "Produced by me\nonly",
+        "Produced by me",
+        "Produced by me\nEnd of Project Gutenberg\nlate",
+        "Produced by me\n\n😀 x\nEnd of Project Gutenberg\nlate\nEnd of Project Gutenberg",
+        "Produced by me\nl1\n\n",
+        None,
+    ]
+    assert _bodies(spark, texts) == {0: "Produced by Jobody1\rbody2", 2: "only", 5: "😀 x", 6: "l1"}
+
+
+def test_body_with_joiner_matches_lines(spark):
+    def by_lines(text, joiner):
+        lines = text.rstrip("\n").split("\n")
+        start = next((i for i, s in enumerate(lines) if s.startswith(START)), None)
+        if start is None:
+            return ""
+        lines = lines[start + 1 :]
+        end = next((i for i, s in enumerate(lines) if s.startswith(END)), len(lines))
+        return joiner.join(lines[:end])
+
+    import random
+
+    pick = random.Random(5)
+    pieces = ["", "x", "Produced by q", "End of Project Gutenberg z", "yy ", "\r", " Produced by"]
+    texts = ["\n".join(pick.choices(pieces, k=pick.randint(1, 8))) for _ in range(300)]
+    want = {i: by_lines(t, "|") for i, t in enumerate(texts) if by_lines(t, "|") != ""}
+    assert _bodies(spark, texts, joiner="|") == want
+
+
+def test_default_markers(spark):
+    text = 'x\n["Small Print" V.12\nin\nCe document fut presente en lecture\nout'
+    df = spark.createDataFrame([(text,)], "text string")
+    assert df.select(body(F.col("text"))).first()[0] == "in"
+
+
+def test_body_is_cut_once(spark, plan):
+    df = spark.createDataFrame([(1, "x")], "i int, text string")
+    # Two regular expressions per body, found once each in the plan.
+    assert plan(strip_boilerplate(df)).count("regexp_extract") == 2
