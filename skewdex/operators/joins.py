@@ -16,13 +16,17 @@ BROADCAST_ROW_BYTES = 1_000
 
 def _width(df: DataFrame) -> Column:
     """Bytes of the values of a row that have no fixed size."""
-    total = F.lit(0)
-    for field in df.schema:
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            total = total + F.coalesce(F.octet_length(field.name), F.lit(0))
-        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            total = total + F.octet_length(F.to_json(F.struct(field.name)))
-    return total
+
+    def of(value: Column, kind: T.DataType) -> Column:
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(value), F.lit(0))
+        if isinstance(kind, T.StructType):
+            return reduce(Column.__add__, (of(value[f.name], f.dataType) for f in kind), F.lit(0))
+        if isinstance(kind, (T.ArrayType, T.MapType)):
+            return F.coalesce(F.octet_length(F.to_json(value)), F.lit(0))
+        return F.lit(0)
+
+    return reduce(Column.__add__, (of(F.col(f.name), f.dataType) for f in df.schema), F.lit(0))
 
 
 def lookup_join(

@@ -6,7 +6,7 @@ document inside it. An empty scope makes the whole input one corpus.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import run_lengths, run_starts, terms
@@ -14,7 +14,7 @@ from ..sources.staging import stage
 from .joins import BROADCAST_ROWS, lookup_join
 
 TOP_TERMS = 500
-_ALL = "_corpus"
+_SCOPE = "_scope"
 _ROW = "_row"
 
 
@@ -88,15 +88,19 @@ def inverse_document_frequency(counts: DataFrame, scope: list[str]) -> DataFrame
 
 def idf(docs: DataFrame, scope: list[str], doc: list[str], text: str = "text") -> DataFrame:
     """``inverse_document_frequency`` straight from the texts."""
-    keyed, scope_key = _scoped(docs, scope)
-    counts = stage(term_counts(keyed, [*scope_key, *doc], text), "counts")
-    return inverse_document_frequency(counts, scope_key).select(
-        *scope, "term", "df", "n_docs", "idf"
+    counts = stage(term_counts(_scoped(docs, scope), [_SCOPE, *doc], text), "counts")
+    return inverse_document_frequency(counts, [_SCOPE]).select(
+        *_unscoped(scope), "term", "df", "n_docs", "idf"
     )
 
 
-def _scoped(docs: DataFrame, scope: list[str]) -> tuple[DataFrame, list[str]]:
-    return (docs, scope) if scope else (docs.withColumn(_ALL, F.lit(0)), [_ALL])
+def _scoped(docs: DataFrame, scope: list[str]) -> DataFrame:
+    """The scope as one value: in a struct, a null equals a null, so it is a group like others."""
+    return docs.withColumn(_SCOPE, F.struct(*scope) if scope else F.lit(0))
+
+
+def _unscoped(scope: list[str]) -> list[Column]:
+    return [F.col(f"{_SCOPE}.{name}") for name in scope]
 
 
 def top_terms(weights: DataFrame, key: list[str], k: int) -> DataFrame:
@@ -121,19 +125,21 @@ def tfidf(
     their document is and the ranking needs no further shuffle. Only the number travels
     and is sorted with the terms; the document's own columns come back at the end.
     """
-    keyed, scope_key = _scoped(docs, scope)
-    key = [*scope_key, *doc]
     counts = stage(
-        term_counts(keyed, key, text).withColumn(_ROW, F.monotonically_increasing_id()), "counts"
+        term_counts(_scoped(docs, scope), [_SCOPE, *doc], text).withColumn(
+            _ROW, F.monotonically_increasing_id()
+        ),
+        "counts",
     )
-    rates = stage(inverse_document_frequency(counts, scope_key), "idf")
-    tf = _flat(counts.select(_ROW, *scope_key, "n_terms", "counts").repartition(_ROW), [_ROW, *scope_key])
+    rates = stage(inverse_document_frequency(counts, [_SCOPE]), "idf")
+    tf = _flat(counts.select(_ROW, _SCOPE, "n_terms", "counts").repartition(_ROW), [_ROW, _SCOPE])
     weights = lookup_join(
-        tf, rates.select(*scope_key, "term", "df", "idf"), [*scope_key, "term"], "df",
+        tf, rates.select(_SCOPE, "term", "df", "idf"), [_SCOPE, "term"], "df",
         rows=broadcast_rows, spread_by=[_ROW],
     ).select(_ROW, "term", (F.col("n") / F.col("n_terms") * F.col("idf")).alias("weight"))
     best = top_terms(weights, [_ROW], top)
-    return best.join(counts.select(_ROW, *scope, *doc), _ROW).select(*scope, *doc, "term", "weight")
+    named = counts.select(_ROW, *_unscoped(scope), *doc)
+    return best.join(named, _ROW).select(*scope, *doc, "term", "weight")
 
 
 def group_tfidf(docs: DataFrame, group: list[str], text: str = "text", top: int = TOP_TERMS) -> DataFrame:
@@ -142,20 +148,20 @@ def group_tfidf(docs: DataFrame, group: list[str], text: str = "text", top: int
     Every idf is then ln(1/2). Joining the texts by a space adds no term, so the counts of
     the documents are added up instead and no group text is ever put together.
     """
-    counts = stage(term_counts(docs, group, text), "counts")
-    sizes = counts.groupBy(*group).agg(
+    counts = stage(term_counts(_scoped(docs, group), [_SCOPE], text), "counts")
+    sizes = counts.groupBy(_SCOPE).agg(
         F.sum("n_terms").alias("n_all"), F.count(F.lit(1)).alias("n_docs")
     )
     per_term = (
-        counts.select(*group, F.inline("counts"))
-        .groupBy(*group, "term")
+        counts.select(_SCOPE, F.inline("counts"))
+        .groupBy(_SCOPE, "term")
         .agg(F.sum("n").alias("n"))
     )
-    weights = lookup_join(per_term, sizes, group, "n_docs").select(
-        *group, "term",
+    weights = lookup_join(per_term, sizes, [_SCOPE], "n_docs").select(
+        _SCOPE, "term",
         (F.col("n") / F.col("n_all") * F.log(F.lit(1) / (F.lit(1.0) + 1))).alias("weight"),
     )
-    return top_terms(weights, group, top)
+    return top_terms(weights, [_SCOPE], top).select(*_unscoped(group), "term", "weight")
 
 
 def signature_words(index: DataFrame, key: list[str], k: int) -> DataFrame:

@@ -163,3 +163,16 @@ def test_only_narrow_rows_are_broadcast(spark, plan):
     text = plan(joins.lookup_join(left, right, ["k"], "n"))
     assert "Union" in text and "LeftAnti" in text
     assert "Union" not in plan(joins.lookup_join(left, right.where("k = 2"), ["k"], "n"))
+
+
+def test_null_scope_is_a_group(spark):
+    df = spark.createDataFrame(
+        [(None, 1, "aa bb"), (None, 2, "aa"), (None, 3, "aa"), ("s", 4, "aa")], "s string, d int, text string"
+    )
+    want = [(1, "aa", 0.5 * math.log(3 / 4)), (1, "bb", 0.5 * math.log(3 / 2)), (2, "aa", math.log(3 / 4)),
+            (3, "aa", math.log(3 / 4)), (4, "aa", math.log(1 / 2))]
+    for limit in (1, 1000):
+        got = tfidf.tfidf(df, ["s"], ["d"], broadcast_rows=limit)
+        assert rows(got, "d", "term", "weight") == want
+    assert tfidf.idf(df, ["s"], ["d"]).count() == 3
+    assert tfidf.group_tfidf(df, ["s"]).count() == 3
