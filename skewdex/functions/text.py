@@ -20,11 +20,16 @@ def terms(text: Column | str, stop_words: tuple[str, ...] = STOP_WORDS) -> Colum
     one character go, so ``_the_`` stays as ``the``.
     """
     text = F.col(text) if isinstance(text, str) else text
-    words = F.filter(F.split(F.lower(text), r"\W+"), lambda w: ~w.isin(*stop_words))
-    return F.filter(
-        F.transform(words, lambda w: F.translate(w, "_", "")),
+    words = F.split(F.lower(text), r"\W+")
+    kept = F.filter(words, lambda w: (F.length(w) > 1) & ~w.isin(*stop_words))
+    # Few texts hold an underscore; the others are done in one pass over their words.
+    cleaned = F.filter(
+        F.transform(
+            F.filter(words, lambda w: ~w.isin(*stop_words)), lambda w: F.translate(w, "_", "")
+        ),
         lambda w: F.length(w) > 1,
     )
+    return F.when(F.contains(text, F.lit("_")), cleaned).otherwise(kept)
 
 
 def query_terms(spark: SparkSession, query: str) -> list[str]:
@@ -33,21 +38,21 @@ def query_terms(spark: SparkSession, query: str) -> list[str]:
     return row.terms
 
 
-def run_starts(ordered: Column) -> Column:
-    """0-based positions at which a new value starts in a sorted array, then its size."""
-    none = F.array(F.lit(None).cast("string"))
-    repeats = F.zip_with(F.concat(none, ordered), F.concat(ordered, none), lambda a, b: a.eqNullSafe(b))
-    return F.filter(
-        F.transform(repeats, lambda same, i: F.when(~same, i)), lambda i: i.isNotNull()
+def run_ends(ordered: Column) -> Column:
+    """0-based positions of the last of each run of equal values in a sorted array."""
+    following = F.concat(
+        F.slice(ordered, F.lit(2), F.size(ordered)), F.array(F.lit(None).cast("string"))
     )
+    last = F.zip_with(ordered, F.slice(following, F.lit(1), F.size(ordered)), lambda a, b: ~a.eqNullSafe(b))
+    return F.filter(F.transform(last, lambda ends, i: F.when(ends, i)), lambda i: i.isNotNull())
 
 
-def run_lengths(ordered: Column, starts: Column) -> Column:
-    """ARRAY<STRUCT<term, n>> of a sorted array, given its ``run_starts``."""
+def run_lengths(ordered: Column, ends: Column) -> Column:
+    """ARRAY<STRUCT<term, n>> of a sorted array, given its ``run_ends``."""
     # No lambda looks into the arrays themselves: should the optimizer put their expressions
     # in place of the columns, they are still evaluated per row, not per element.
-    lengths = F.zip_with(starts, F.slice(starts, F.lit(2), F.size(starts)), lambda a, b: b - a)
-    runs = F.zip_with(
-        F.array_distinct(ordered), lengths, lambda t, n: F.struct(t.alias("term"), n.alias("n"))
+    before = F.slice(F.concat(F.array(F.lit(-1)), ends), F.lit(1), F.size(ends))
+    return F.arrays_zip(
+        F.array_distinct(ordered).alias("term"),
+        F.zip_with(ends, before, lambda a, b: a - b).alias("n"),
     )
-    return F.filter(runs, lambda r: r.term.isNotNull())

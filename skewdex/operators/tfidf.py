@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import run_lengths, run_starts, terms
+from ..functions.text import run_ends, run_lengths, terms
 from ..sources.staging import stage
 from .joins import BROADCAST_ROWS, lookup_join
 
@@ -44,11 +44,11 @@ def term_counts(docs: DataFrame, key: list[str], text: str = "text") -> DataFram
     return (
         docs.where(F.col(text).isNotNull())
         .select(*key, F.sort_array(terms(text)).alias("_terms"))
-        .withColumn("_starts", run_starts(F.col("_terms")))
+        .withColumn("_ends", run_ends(F.col("_terms")))
         .select(
             *key,
             F.size("_terms").alias("n_terms"),
-            run_lengths(F.col("_terms"), F.col("_starts")).alias("counts"),
+            run_lengths(F.col("_terms"), F.col("_ends")).alias("counts"),
         )
     )
 

@@ -5,6 +5,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from skewdex.functions.firstfit import Loads
 from skewdex.operators import packing
 from skewdex.sources.staging import stage
 
@@ -62,7 +63,7 @@ def test_runs_fold_like_single_items(seed):
     sizes = sorted((pick.choice([0, 1, top, pick.randint(0, top)]) for _ in range(pick.randint(1, 80))), reverse=True)
     nbins = pick.choice([None, 1, 2, 3, 8])
     capacity = sizes[0] if nbins else pick.randint(1, 2 * top)
-    loads, got = packing._Loads(capacity, nbins), []
+    loads, got = Loads(capacity, nbins), []
     for size in sorted(set(sizes), reverse=True):
         for n, bins in loads.place(size, sizes.count(size)):
             got += [bins[i % len(bins)] for i in range(n)]
