@@ -132,6 +132,8 @@ def fold_runs(nbins: int | None, capacity: int | None):
             for label, size, n, start in zip(
                 batch["_group"], batch["_size"].tolist(), batch["_n"].tolist(), batch["_start"].tolist()
             ):
+                if size < 0:
+                    raise ValueError(f"a size must not be negative: {size}")
                 if loads is None or label != group:
                     # Without a capacity the first, largest, item sets it.
                     group, loads = label, Loads(size if capacity is None else capacity, nbins)

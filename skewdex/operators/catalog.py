@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.staging import stage
 from .joins import BROADCAST_ROWS, lookup_join
+from .ranking import keep_first
 
 SHELF_SCHEMA = "pos long, url string, ebooks array<struct<id: int, title: string>>"
 
@@ -37,8 +38,7 @@ def limit_listed_groups(listing: DataFrame, n: int, position: str) -> DataFrame:
 
 def limit_listed_docs(listing: DataFrame, n: int, group: list[str], position: str) -> DataFrame:
     """The first ``n`` rows by ``position`` of every group of a flat listing."""
-    listed = Window.partitionBy(*group).orderBy(position)
-    return listing.withColumn("_rn", F.row_number().over(listed)).where(F.col("_rn") <= n).drop("_rn")
+    return keep_first(listing, group, [position], n, "_rn").drop("_rn")
 
 
 def flatten(shelves: DataFrame) -> DataFrame:

@@ -139,7 +139,8 @@ def bin_lookup(
 
     With ``strict`` an unknown key that is not null raises. ``packed`` should be staged.
     """
-    found = lookup_join(rows, packed.select(*key, size, "bin"), key, size, "left").drop(size)
+    bins = packed.select(*key, F.col(size).alias("_weight"), "bin")
+    found = lookup_join(rows, bins, key, "_weight", "left").drop("_weight")
     if not strict:
         return found
     known = F.col("bin").isNotNull()

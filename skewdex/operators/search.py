@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import query_terms
+from .ranking import keep_first
 
 MIN_SCORE = 0.001
 TITLE_WIDTH = 60
@@ -41,8 +42,7 @@ def similarity(
 
 def rank_in_group(scores: DataFrame, group: str, k: int) -> DataFrame:
     """RANK by score inside the group as ``topN``, kept up to ``k``, ties included."""
-    best = Window.partitionBy(group).orderBy(F.desc("similarity_level"))
-    return scores.withColumn("topN", F.rank().over(best)).where(F.col("topN") <= k)
+    return keep_first(scores, [group], [F.desc("similarity_level")], k, "topN", F.rank)
 
 
 def search(
@@ -61,7 +61,7 @@ def search(
     """``bookshelf``, ``title`` and ``similarity_level`` of the best documents, best groups first.
 
     A group's level is the sum over its kept documents (``total="topk"``) or over all its
-    matching documents (``total="all"``).
+    matching documents (``total="all"``, which shows the group's name in full).
     """
     scores = similarity(index, query, [group, doc, title], min_score, digits)
     kept = rank_in_group(scores, group, k)
@@ -79,9 +79,9 @@ def search(
     ordered = ranked.orderBy(F.desc("_level"), group, "topN", doc)
     if limit is not None:
         ordered = ordered.limit(limit)
-    start = len(group_prefix) + 1
+    name = F.col(group) if total == "all" else F.substring(group, len(group_prefix) + 1, GROUP_WIDTH)
     return ordered.select(
-        F.substring(group, start, GROUP_WIDTH).alias("bookshelf"),
+        name.alias("bookshelf"),
         F.substring(title, 1, TITLE_WIDTH).alias("title"),
         "similarity_level",
     )

@@ -6,12 +6,13 @@ document inside it. An empty scope makes the whole input one corpus.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import run_ends, run_lengths, terms
 from ..sources.staging import stage
 from .joins import BROADCAST_ROWS, lookup_join
+from .ranking import keep_first
 
 TOP_TERMS = 500
 _SCOPE = "_scope"
@@ -28,10 +29,7 @@ def tokenize(docs: DataFrame, doc: list[str], text: str = "text") -> DataFrame:
 
 def last_listed(listing: DataFrame, key: list[str], position: str) -> DataFrame:
     """Keep the row listed last under each key."""
-    # row_number <= 1 is cut per input partition before the shuffle, so a key with very
-    # many listings sends one row per partition.
-    latest = Window.partitionBy(*key).orderBy(F.desc(position))
-    return listing.withColumn("_rn", F.row_number().over(latest)).where("_rn = 1").drop("_rn")
+    return keep_first(listing, key, [F.desc(position)], 1, "_rn").drop("_rn")
 
 
 def term_counts(docs: DataFrame, key: list[str], text: str = "text") -> DataFrame:
@@ -105,8 +103,7 @@ def _unscoped(scope: list[str]) -> list[Column]:
 
 def top_terms(weights: DataFrame, key: list[str], k: int) -> DataFrame:
     """The ``k`` heaviest terms per key; equal weights go by term."""
-    heaviest = Window.partitionBy(*key).orderBy(F.desc("weight"), "term")
-    return weights.withColumn("_rn", F.row_number().over(heaviest)).where(F.col("_rn") <= k).drop("_rn")
+    return keep_first(weights, key, [F.desc("weight"), "term"], k, "_rn").drop("_rn")
 
 
 def tfidf(
@@ -166,11 +163,8 @@ def group_tfidf(docs: DataFrame, group: list[str], text: str = "text", top: int
 
 def signature_words(index: DataFrame, key: list[str], k: int) -> DataFrame:
     """The ``k`` heaviest terms of every document of an index, with their place."""
-    heaviest = Window.partitionBy(*key).orderBy(F.desc("weight"), "term")
-    return (
-        index.withColumn("place", F.row_number().over(heaviest))
-        .where(F.col("place") <= k)
-        .select(*key, "place", "term", "weight")
+    return keep_first(index, key, [F.desc("weight"), "term"], k, "place").select(
+        *key, "place", "term", "weight"
     )
 
 

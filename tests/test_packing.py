@@ -163,3 +163,21 @@ def test_profile(spark):
 def test_numbering_is_total_and_ordered(spark):
     df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("v")).repartition(7)
     assert rows(packing.numbered(df, ["v"]), "v", "_pos") == [(i, i) for i in range(1000)]
+
+
+def test_negative_sizes_are_refused(spark):
+    items = spark.createDataFrame([(1, 5), (2, -1)], "item int, size long")
+    with pytest.raises(Exception, match="must not be negative"):
+        packing.pack_n_bins(items, ["item"], "size", 2).collect()
+
+
+def test_fold_needs_no_package_on_the_executors():
+    import pickle
+
+    from pyspark import cloudpickle
+
+    from skewdex.functions.firstfit import fold_runs
+
+    by_value = cloudpickle.dumps(fold_runs(2, None))
+    assert b"least_loaded" in by_value  # the class itself, not its name, is in the pickle
+    assert callable(pickle.loads(by_value))

@@ -1,6 +1,10 @@
+import pytest
 from conftest import rows
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 from skewdex.operators import search
+from skewdex.operators.ranking import keep_first
 from skewdex.sources import index_store
 
 ROWS = [
@@ -58,3 +62,12 @@ def test_plan_pushes_terms_and_cuts_ranks_early(spark, plan, tmp_path):
     assert "In(term, [cook,dinner])" in text
     assert "WindowGroupLimit" in text and "TakeOrderedAndProject" in text
     assert text.count("Exchange hashpartitioning") == 2
+
+
+@pytest.mark.parametrize("number", [F.row_number, F.rank])
+def test_first_rows_in_parts(spark, number):
+    df = spark.range(0, 4000, 1, 8).select((F.col("id") % 3 == 0).alias("g"), (F.col("id") % 1900).alias("v"), "id")
+    order = ["v"] if number is F.rank else ["v", "id"]
+    got = keep_first(df, ["g"], order, 1200, "place", number)  # above Spark's own limit
+    whole = df.withColumn("place", number().over(Window.partitionBy("g").orderBy(*order))).where("place <= 1200")
+    assert rows(got, "g", "id", "place") == rows(whole, "g", "id", "place")
