@@ -49,12 +49,14 @@ def lookup_join(
     layout, so that an operator that needs it does not move the hot rows.
     """
     width = _width(right)
-    seen = right.limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.max(width).alias("widest")).first()
+    # Added up in every partition; a limit would send as many rows from each to one task.
+    seen = right.agg(
+        F.count(F.lit(1)).alias("n"), F.max(width).alias("widest"), F.sum(weight).alias("total")
+    ).first()
     if seen.n <= rows and (seen.widest or 0) <= BROADCAST_ROW_BYTES:
         return left.join(F.broadcast(right), on, how)
 
-    total = right.agg(F.sum(weight)).first()[0]
-    is_hot = (F.col(weight) >= max(1, -(-total // rows))) & (width <= BROADCAST_ROW_BYTES)
+    is_hot = (F.col(weight) >= max(1, -(-seen.total // rows))) & (width <= BROADCAST_ROW_BYTES)
     hot = right.where(is_hot)
     parts = [left.join(F.broadcast(hot), on)]
     rest = left

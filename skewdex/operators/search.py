@@ -70,8 +70,8 @@ def search(
         ranked = kept.withColumn("_level", level)
     elif total == "all":
         # Added up by a grouped aggregate, not a window: no group is gathered in one task.
-        levels = scores.groupBy(group).agg(F.sum("similarity_level").alias("_level"))
-        ranked = kept.join(levels, group)
+        levels = scores.groupBy(F.col(group).alias("_group")).agg(F.sum("similarity_level").alias("_level"))
+        ranked = kept.join(levels, F.col(group).eqNullSafe(F.col("_group")))
     else:
         raise ValueError(f"total must be 'topk' or 'all', not {total!r}")
     if digits is not None:

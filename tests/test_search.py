@@ -46,6 +46,9 @@ def test_group_level_over_all_documents(spark):
     )
     assert [r.bookshelf for r in search.search(index, "x1", k=1).collect()] == ["q", "p"]
     assert [r.bookshelf for r in search.search(index, "x1", k=1, total="all").collect()] == ["p", "q"]
+    unnamed = index.withColumn("bookshelf_url", F.when(F.col("bookshelf_url") == "q", "q"))
+    for total in ("topk", "all"):
+        assert search.search(unnamed, "x1", k=3, total=total).count() == 4
 
 
 def test_low_scores_limit_and_empty_query(spark):
