@@ -40,23 +40,28 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``left`` to ``right``, which has one row per ``on`` and should be a staged table.
 
-    ``weight`` is a whole-number column of ``right`` that grows with the number of ``left``
-    rows under the key. A ``right`` of at most ``rows`` rows is broadcast. A larger one is
-    split: keys holding at least 1/rows of the total weight (there can be no more than
-    ``rows`` of them) are broadcast, so hot keys are never shuffled; the others, each of
-    which is small, meet in an ordinary shuffle join, as do rows too wide to broadcast. If
-    ``left`` is already spread by ``spread_by``, the shuffled rows are brought back to that
-    layout, so that an operator that needs it does not move the hot rows.
+    ``weight`` is a whole-number column of ``right``, the number of ``left`` rows under the
+    key or what grows with it. A ``right`` of at most ``rows`` rows is broadcast. A larger
+    one is split by weight: the heaviest keys, as many as fit in ``rows``, are broadcast, so
+    hot keys are never shuffled; the others meet in an ordinary shuffle join, and each of them
+    holds less than 2/rows of the total weight. Rows too wide to broadcast are joined with
+    those. If ``left`` is already spread by ``spread_by``, the shuffled rows are brought back
+    to that layout, so that an operator that needs it does not move the hot rows.
     """
-    width = _width(right)
-    # Added up in every partition; a limit would send as many rows from each to one task.
-    seen = right.agg(
-        F.count(F.lit(1)).alias("n"), F.max(width).alias("widest"), F.sum(weight).alias("total")
-    ).first()
-    if seen.n <= rows and (seen.widest or 0) <= BROADCAST_ROW_BYTES:
+    narrow = _width(right) <= BROADCAST_ROW_BYTES
+    # Keys by the number of binary digits of their weight: at most 64 times two rows.
+    digits = F.length(F.bin(F.col(weight)))
+    tally = right.groupBy(digits.alias("digits"), narrow.alias("narrow")).agg(F.count(F.lit(1)).alias("n")).collect()
+    if sum(t.n for t in tally) <= rows and all(t.narrow for t in tally):
         return left.join(F.broadcast(right), on, how)
 
-    is_hot = (F.col(weight) >= max(1, -(-seen.total // rows))) & (width <= BROADCAST_ROW_BYTES)
+    least, fitting = 1 << 62, 0
+    for t in sorted((t for t in tally if t.narrow), key=lambda t: -t.digits):
+        fitting += t.n
+        if fitting > rows:
+            break
+        least = 1 << (t.digits - 1)
+    is_hot = narrow & (F.col(weight) >= least)
     hot = right.where(is_hot)
     parts = [left.join(F.broadcast(hot), on)]
     rest = left

@@ -175,14 +175,13 @@ def assign_bins(
             rows.where(present).groupBy(*key).agg(F.sum(size).cast("long").alias(weight)), "sizes"
         )
         share = max(1, -(-(sizes.agg(F.sum(weight)).first()[0] or 0) // nbins))
-        # Fewer than nbins keys can be above an nbins-th of the total.
         heavy = sizes.where(F.col(weight) > share).select(
-            *key, F.ceil(F.col(weight) / share).cast("long").alias("_shares")
+            *key, weight, F.ceil(F.col(weight) / share).cast("long").alias("_shares")
         )
-        cut = rows.join(F.broadcast(heavy), key, "left").withColumn(
+        cut = lookup_join(rows, heavy, key, weight, "left").withColumn(
             part,
             F.coalesce(F.pmod(F.xxhash64(*split_by), F.col("_shares")), F.lit(0)).cast("int"),
-        ).drop("_shares")
+        ).drop(weight, "_shares")
     unit = [*key, part]
     units = cut.where(present).groupBy(*unit).agg(F.sum(size).cast("long").alias(weight))
     packed = stage(pack_n_bins(units, unit, weight, nbins), "bins")

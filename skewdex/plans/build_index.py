@@ -7,14 +7,17 @@ from pyspark.sql import functions as F
 
 from ..functions.lines import END_MARKERS, START_MARKERS, body
 from ..operators.catalog import limit_listed_docs, limit_listed_groups
-from ..operators.packing import PACK_BINS, assign_bins, rebalance
+from ..operators.packing import PACK_BINS, PARTITIONS, assign_bins, rebalance
 from ..operators.pages import resolve_urls
 from ..operators.search import search
 from ..operators.tfidf import TOP_TERMS, last_listed, tfidf
 from ..sources.index_store import DEFAULT_DIRECTORY, INDEX_SCHEMA, read_index, write_index
 from ..sources.staging import stage
+from ..sources.tables import SPLIT_BYTES
 from ..sources.texts import attach_texts
 
+# Fixed value: the query that is asked if none is given.
+DEFAULT_QUERY = "how to cook dinner for forty large human people"
 SHELF, DOC, TITLE = "bookshelf_url", "ebook_id", "ebook_title"
 
 
@@ -49,8 +52,10 @@ def index_library(
     ``listing``: shelf_pos, bookshelf_url, ebook_pos, ebook_id, ebook_title; ``lengths``: url,
     length; ``texts``: url, text, one row per url. Everything that can be dropped or settled
     on the listing is, before any text is touched. ``mode`` lays the texts out for the
-    cutting: as they come, packed by group into ``n`` bins of even size (a group above a fair
-    share is divided), or dealt out to ``n`` partitions.
+    cutting: as they come ("skew"), packed by group into ``n`` bins of even size ("pack"; a
+    group above a fair share is divided), or dealt out to ``n`` partitions ("partition").
+    Without ``n`` there are 16 bins or 228 partitions, and more once they would exceed a
+    split of 128 MB each.
     """
     if max_groups is not None:
         listing = limit_listed_groups(listing, max_groups, "shelf_pos")
@@ -63,11 +68,12 @@ def index_library(
     # Staged, so that its size is known before the texts are joined: a listing that is small
     # goes to the texts, which then are not shuffled.
     resolved = stage(resolved, "listing")
+    if n is None and mode != "skew":
+        total = resolved.agg(F.sum(F.col("length").cast("long"))).first()[0] or 0
+        n = max({"pack": PACK_BINS, "partition": PARTITIONS}.get(mode, 1), -(-total // SPLIT_BYTES))
     if mode == "pack":
         # Bins come from the recorded lengths; the texts move once, straight to their bin.
-        placed, count = assign_bins(
-            resolved, [SHELF], "length", PACK_BINS if n is None else n, split_by=[DOC, TITLE]
-        )
+        placed, count = assign_bins(resolved, [SHELF], "length", n, split_by=[DOC, TITLE])
         docs = attach_texts(placed, texts).repartitionById(count, F.col("bin")).drop("bin")
     else:
         docs = rebalance(attach_texts(resolved, texts), [SHELF], "length", mode, n)
@@ -88,7 +94,7 @@ def build_index(
 
 def search_index(
     spark: SparkSession,
-    query: str,
+    query: str = DEFAULT_QUERY,
     directory: str = DEFAULT_DIRECTORY,
     schema: str = INDEX_SCHEMA,
     **options,
