@@ -77,11 +77,10 @@ def _pack(
         .sortWithinPartitions("_start")
         .mapInPandas(fold_runs(nbins, capacity), SLOTS)
     )
-    chunk = F.expr(f"_pos div {CHUNK}")
+    # A range has a row for every chunk it reaches into, so items and ranges meet on equal keys.
     reach = slots.withColumn("_chunk", F.explode(F.expr(f"sequence(lo div {CHUNK}, hi div {CHUNK})")))
-    met = placed.withColumn("_chunk", chunk).join(
-        reach, (placed["_pos"] >= reach["lo"]) & (placed["_pos"] <= reach["hi"])
-        & (chunk == reach["_chunk"]),
+    met = placed.join(
+        reach, F.expr(f"_pos div {CHUNK} = _chunk") & F.col("_pos").between(F.col("lo"), F.col("hi"))
     )
     turn = F.get("bins", ((F.col("_pos") - F.col("lo")) % F.size("bins")).cast("int"))
     return met.select(*group, *item, size, turn.alias("bin"))
