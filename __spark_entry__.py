@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import importlib.util
 import uuid
 from collections.abc import Callable
 
@@ -693,9 +694,25 @@ def entry(spark: SparkSession) -> DataFrame:
     return build_and_search(spark, "/root/testdata/sf0.001")
 
 
+def _pipeline_parts() -> tuple[dict, dict]:
+    """Queries and SQL of the training-data operators, if that subpackage is there."""
+    if importlib.util.find_spec("skewdex.llm") is None:
+        return {}, {}
+    from skewdex.llm import queries as llm
+
+    found, sql = {query.__name__: query for query in llm.QUERIES}, dict(llm.ORACLE_SQL)
+    if importlib.util.find_spec("corpus_pipeline") is not None:
+        import corpus_pipeline
+
+        found["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in _QUERIES}
+    return {query.__name__: query for query in _QUERIES} | _pipeline_parts()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return dict(_SQL) | _pipeline_parts()[1]
