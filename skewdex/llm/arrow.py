@@ -70,6 +70,14 @@ def map_rows(df: DataFrame, schema: T.StructType, make: Callable[[], Callable],
     return df.mapInArrow(run, schema)
 
 
+def kept(key: tuple, build: Callable):
+    """What ``build`` returns, made once per Python worker and kept for its later tasks."""
+    store = vars(sys).setdefault("_kept_by_worker", {})
+    if key not in store:
+        store[key] = build()
+    return store[key]
+
+
 def task_number() -> int:
     context = TaskContext.get()
     return context.partitionId() if context else 0

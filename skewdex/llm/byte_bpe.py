@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skewdex.llm.arrow import map_rows, task_number
+from skewdex.llm.arrow import kept, map_rows, task_number
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -38,13 +38,14 @@ def read_ranks(path: str) -> bytes:
         return file.read()
 
 
-def encoding(ranks: bytes, pattern: str, _kept: dict = {}) -> tiktoken.Encoding:  # noqa: B006
+def encoding(ranks: bytes, pattern: str) -> tiktoken.Encoding:
     """The encoding of a rank file, built once per Python worker."""
-    key = (hash(ranks), pattern)
-    if key not in _kept:
-        table = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, ranks.splitlines()) if token}
-        _kept[key] = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
-    return _kept[key]
+
+    def build():
+        table = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, ranks.splitlines())}
+        return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
+
+    return kept(("byte_bpe", ranks, pattern), build)
 
 
 def chunks_of(text: str, chunk: int, overlap: int) -> list[tuple[int, int]]:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skewdex.llm import byte_bpe
+from skewdex.llm import byte_bpe, files, records, word_bpe
 
 ORACLE_SQL: dict[str, str] = {}
 
@@ -30,4 +30,17 @@ def op1_byte_bpe(spark, sf_dir):
     )
 
 
-QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (op1_byte_bpe,)
+def op9_binary_records(spark, sf_dir):
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        tokenizer = file.read()
+    folder = files.new_folder(spark, "records")
+    docs = records.ordered(_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
+    records.write(word_bpe.encode(docs, "doc_id", "text", tokenizer, end_id=1), "doc_id", "tokens", folder)
+    return records.read(spark, folder).select(
+        "doc_id", "start", F.expr("octet_length(tokens) div 4").alias("n_tokens"), F.crc32("tokens").alias("ids_crc32")
+    )
+
+
+QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
+    op1_byte_bpe, op9_binary_records,
+)
