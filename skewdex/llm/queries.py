@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skewdex.llm import byte_bpe, files, records, word_bpe
+from skewdex.llm import byte_bpe, files, records, separator_scan, word_bpe
 
 ORACLE_SQL: dict[str, str] = {}
 
@@ -41,6 +41,18 @@ def op9_binary_records(spark, sf_dir):
     )
 
 
+def op6_separator_scan(spark, sf_dir):
+    """Token counts of ``documents``, read from flat files that hold them without an index."""
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    folder, end = files.new_folder(spark, "flat"), 50_256
+    docs = _table(spark, sf_dir, "documents")
+    separator_scan.write_flat(docs, "doc_id", "text", ranks, public_tokenizers.PATTERN, end, folder)
+    counted = separator_scan.scan(spark, folder, end)
+    return separator_scan.names(spark, folder).join(counted, ["file", "ordinal"]).select(
+        "doc_id", "file", "ordinal", "start", "n_tokens", "terminated"
+    )
+
+
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
-    op1_byte_bpe, op9_binary_records,
+    op1_byte_bpe, op6_separator_scan, op9_binary_records,
 )
