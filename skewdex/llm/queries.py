@@ -8,9 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skewdex.llm import byte_bpe, files, records, separator_scan, word_bpe
+from skewdex.llm import byte_bpe, exact_dedup, files, records, separator_scan, toxicity, word_bpe
 
-ORACLE_SQL: dict[str, str] = {}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE_SQL: dict[str, str] = {
+    "op5_exact_dedup": f"""WITH rows AS (SELECT doc_id, {_LOWER} AS t FROM documents)
+        SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+            doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
+        FROM rows""",
+}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +48,24 @@ def op9_binary_records(spark, sf_dir):
     )
 
 
+def held_out(id_col: str = "doc_id"):
+    """Rows whose labels are never learnt from."""
+    return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string")), F.lit(3)) == 1, F.lit(False))
+
+
+def op2_toxicity(spark, sf_dir):
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.where(~held_out()), "doc_id", "text", "toxic")
+    return toxicity.score(docs, "doc_id", "text", model).select(
+        "doc_id", held_out().alias("held_out"), "score",
+        (F.col("score") >= toxicity.REJECT).cast("int").alias("predicted"),
+    )
+
+
+def op5_exact_dedup(spark, sf_dir):
+    return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"), "doc_id", "text", keep="max")
+
+
 def op6_separator_scan(spark, sf_dir):
     """Token counts of ``documents``, read from flat files that hold them without an index."""
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
@@ -54,5 +79,5 @@ def op6_separator_scan(spark, sf_dir):
 
 
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
-    op1_byte_bpe, op6_separator_scan, op9_binary_records,
+    op1_byte_bpe, op2_toxicity, op5_exact_dedup, op6_separator_scan, op9_binary_records,
 )
