@@ -30,6 +30,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SAMPLE = 6_000
 #: Hash space of the features, and how many of them the model uses at most.
 SPACE, USED = 1 << 22, 1 << 14
+#: A feature must tell this much: chance alone hardly gets there, however many are tried.
+TELLING = 15.0
 #: Texts of this score or more are called toxic.
 REJECT = 0.7
 #: Terms for groups of people, in sets within which they are swapped.
@@ -111,12 +113,12 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
 
 def fit(
     docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
-    sample: int = SAMPLE, fairness: float = 1.0, decay: float = 1e-4, rounds: int = 300,
+    sample: int = SAMPLE, fairness: float = 1.0, decay: float = 2e-4, rounds: int = 300,
 ) -> Model:
     """Fit to the labelled rows of ``docs``; ``labels`` has ``id_col`` and ``label_col`` (0 or 1).
 
-    At most about ``sample`` rows per label are read. Without labels of both kinds the model
-    scores everything 0. A text that is null counts as empty.
+    At most about ``sample`` rows per label are read. Without labels of both kinds, or
+    without a word that tells them apart, the model scores everything near 0. A text that is null counts as empty.
     """
     rows = training_rows(docs, labels, id_col, text_col, label_col, sample).collect()
     y = np.array([r["y"] for r in rows], float)
@@ -126,14 +128,20 @@ def fit(
     sizes = np.array([len(x) for x in own])
     flat, owner = np.concatenate(own), np.repeat(np.arange(len(own)), sizes)
 
-    # The features that differ most between the labels, by the log of their odds.
+    # The features that tell most about the label, by the G statistic of their two-by-two table.
     seen, at = np.unique(flat, return_inverse=True)
     pos = np.bincount(at, weights=y[owner], minlength=len(seen))
-    neg = np.bincount(at, minlength=len(seen)) - pos
-    n1, n0 = y.sum(), len(y) - y.sum()
-    odds = np.log((pos + 0.5) / (n1 + 1)) - np.log((neg + 0.5) / (n0 + 1))
-    weight = np.abs(odds) * np.sqrt(pos + neg) * (pos + neg > 1)
-    used = np.sort(seen[np.argsort(-weight, kind="stable")[:USED]])
+    n1, n0, both = y.sum(), len(y) - y.sum(), np.bincount(at, minlength=len(seen))
+
+    def part(found, margin, n):
+        return np.where(found > 0, found * np.log(np.maximum(found, 1) * len(y) / np.maximum(margin * n, 1)), 0.0)
+
+    neg, none = both - pos, len(y) - both
+    told = 2 * (part(pos, both, n1) + part(neg, both, n0) + part(n1 - pos, none, n1) + part(n0 - neg, none, n0))
+    best = np.argsort(-told, kind="stable")[:USED]
+    used = np.sort(seen[best[told[best] >= TELLING]])
+    if not len(used):
+        return Model(np.empty(0, np.uint32), np.empty(0), -20.0)
 
     def matrix(texts):
         lengths = np.array([len(x) for x in texts], int)
