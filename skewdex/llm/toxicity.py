@@ -125,13 +125,15 @@ def fit(
     if not 0 < y.sum() < len(y):
         return Model(np.empty(0, np.uint32), np.empty(0), -20.0)
     own = [np.frombuffer(r["own"], "<u4") for r in rows]
-    sizes = np.array([len(x) for x in own])
-    flat, owner = np.concatenate(own), np.repeat(np.arange(len(own)), sizes)
 
     # The features that tell most about the label, by the G statistic of their two-by-two table.
-    seen, at = np.unique(flat, return_inverse=True)
-    pos = np.bincount(at, weights=y[owner], minlength=len(seen))
-    n1, n0, both = y.sum(), len(y) - y.sum(), np.bincount(at, minlength=len(seen))
+    seen, pos = np.zeros(SPACE, np.int32), np.zeros(SPACE, np.int32)
+    for ids, label in zip(own, y, strict=True):
+        seen[ids] += 1
+        if label:
+            pos[ids] += 1
+    often = np.flatnonzero(seen > 1)
+    n1, n0, both, pos = y.sum(), len(y) - y.sum(), seen[often].astype(float), pos[often].astype(float)
 
     def part(found, margin, n):
         return np.where(found > 0, found * np.log(np.maximum(found, 1) * len(y) / np.maximum(margin * n, 1)), 0.0)
@@ -139,16 +141,16 @@ def fit(
     neg, none = both - pos, len(y) - both
     told = 2 * (part(pos, both, n1) + part(neg, both, n0) + part(n1 - pos, none, n1) + part(n0 - neg, none, n0))
     best = np.argsort(-told, kind="stable")[:USED]
-    used = np.sort(seen[best[told[best] >= TELLING]])
+    used = np.sort(often[best[told[best] >= TELLING]])
     if not len(used):
         return Model(np.empty(0, np.uint32), np.empty(0), -20.0)
+    place_of = np.full(SPACE, -1, np.int32)
+    place_of[used] = np.arange(len(used))
 
     def matrix(texts):
-        lengths = np.array([len(x) for x in texts], int)
-        ids, row = np.concatenate([*texts, np.empty(0, "<u4")]), np.repeat(np.arange(len(texts)), lengths)
-        place = np.minimum(np.searchsorted(used, ids), len(used) - 1)
-        hit = used[place] == ids
-        return row[hit], place[hit]
+        places = [p[p >= 0] for p in (place_of[ids] for ids in texts)]
+        empty = np.empty(0, np.int32)
+        return np.repeat(np.arange(len(texts)), [len(p) for p in places]), np.concatenate([*places, empty])
 
     row, col = matrix(own)
     pairs = [k for k, r in enumerate(rows) if r["other"] is not None]
