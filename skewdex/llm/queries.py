@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skewdex.llm import byte_bpe, exact_dedup, files, records, separator_scan, toxicity, word_bpe
+from skewdex.llm import byte_bpe, exact_dedup, files, pii, records, separator_scan, toxicity, word_bpe
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -62,6 +62,19 @@ def op2_toxicity(spark, sf_dir):
     )
 
 
+def op3_pii(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    found = pii.find(docs, "doc_id", "text", pii.fit(docs, "text"))
+
+    def count(at: int):
+        return F.size(F.filter("base", lambda s: s["kind"] == at)).cast("long").alias(f"n_{pii.KINDS[at]}")
+
+    return found.select(
+        "doc_id", *map(count, range(len(pii.KINDS))), F.sha2(pii.as_text(F.col("base")), 256).alias("base_sha256"),
+        pii.as_text(F.col("spans")).alias("spans"),
+    )
+
+
 def op5_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"), "doc_id", "text", keep="max")
 
@@ -79,5 +92,5 @@ def op6_separator_scan(spark, sf_dir):
 
 
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
-    op1_byte_bpe, op2_toxicity, op5_exact_dedup, op6_separator_scan, op9_binary_records,
+    op1_byte_bpe, op2_toxicity, op3_pii, op5_exact_dedup, op6_separator_scan, op9_binary_records,
 )
