@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skewdex.llm import byte_bpe, exact_dedup, files, pii, records, separator_scan, toxicity, word_bpe
+from skewdex.llm import byte_bpe, decontamination, exact_dedup, files, pii, records, separator_scan, toxicity, word_bpe
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -75,6 +75,14 @@ def op3_pii(spark, sf_dir):
     )
 
 
+def op4_decontamination(spark, sf_dir):
+    docs, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return decontamination.contamination(docs, benchmark, "doc_id", "text", "item_id", "text").select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op5_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"), "doc_id", "text", keep="max")
 
@@ -92,5 +100,5 @@ def op6_separator_scan(spark, sf_dir):
 
 
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
-    op1_byte_bpe, op2_toxicity, op3_pii, op5_exact_dedup, op6_separator_scan, op9_binary_records,
+    op1_byte_bpe, op2_toxicity, op3_pii, op4_decontamination, op5_exact_dedup, op6_separator_scan, op9_binary_records,
 )
