@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skewdex.llm import byte_bpe, decontamination, exact_dedup, files, pii, records, separator_scan, toxicity, word_bpe
+from skewdex.llm import byte_bpe, decontamination, exact_dedup, files, jaccard, pii, records, separator_scan, toxicity, word_bpe
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -37,6 +37,13 @@ def op1_byte_bpe(spark, sf_dir):
     )
 
 
+def op7_ngram_jaccard(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    return jaccard.similarity_classes(docs, "doc_id", "text", size=4, percent=85).select(
+        "doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id"
+    )
+
+
 def op9_binary_records(spark, sf_dir):
     with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
         tokenizer = file.read()
@@ -100,5 +107,5 @@ def op6_separator_scan(spark, sf_dir):
 
 
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
-    op1_byte_bpe, op2_toxicity, op3_pii, op4_decontamination, op5_exact_dedup, op6_separator_scan, op9_binary_records,
+    op1_byte_bpe, op2_toxicity, op3_pii, op4_decontamination, op5_exact_dedup, op6_separator_scan, op7_ngram_jaccard, op9_binary_records,
 )
