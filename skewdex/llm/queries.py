@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skewdex.llm import byte_bpe, decontamination, exact_dedup, files, jaccard, pii, records, separator_scan, toxicity, word_bpe
+from skewdex.llm import byte_bpe, decontamination, exact_dedup, files, jaccard, pii, records, separator_scan, suffix_dedup, toxicity, word_bpe
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -106,6 +106,12 @@ def op6_separator_scan(spark, sf_dir):
     )
 
 
+def op10_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"), "doc_id", "text").select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
-    op1_byte_bpe, op2_toxicity, op3_pii, op4_decontamination, op5_exact_dedup, op6_separator_scan, op7_ngram_jaccard, op9_binary_records,
+    op1_byte_bpe, op2_toxicity, op3_pii, op4_decontamination, op5_exact_dedup, op6_separator_scan, op7_ngram_jaccard, op9_binary_records, op10_suffix_dedup,
 )
