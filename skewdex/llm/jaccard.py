@@ -4,16 +4,11 @@ Sets are ordered by one global order, rare n-grams first, as a count sketch of t
 corpus estimates them; any order is right, this one keeps lists short. Two sets of the asked
 similarity share an n-gram of their prefixes. Equal sets are one set from the start.
 
-* Lists are skipped into by position and size: an entry has its place in its set and the
-  set's size, which bound the overlap that two entries can still reach.
-* Answers are derived from those of a similar set: within a list, sets are first compared
-  with one pivot only. Those found similar are one class, and no pair inside a class is
-  looked at again. A few rounds compare classes by their representatives; then every pair
-  that could still link two classes is compared, unless the known similarities of both to
-  the same pivot rule it out (the Jaccard distance obeys the triangle inequality).
-
-A group of near copies so costs a number of comparisons in proportion to its size, and what
-is compared is exact: whole sets of 64-bit n-gram hashes.
+Lists are skipped into by position and size: an entry has its place in its set and the set's
+size, which bound the overlap that two entries can still reach. Answers are derived from
+those of similar sets (see ``lists``); what is known of two sets' similarities to a third
+rules pairs out, as the Jaccard distance obeys the triangle inequality. What is compared is
+exact: whole sets of 64-bit n-gram hashes.
 """
 
 from __future__ import annotations
@@ -28,23 +23,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skewdex.llm.arrow import map_rows
-from skewdex.llm.components import components
-from skewdex.operators.joins import BROADCAST_ROWS
+from skewdex.llm.lists import BUCKET, ENTRY, PACKED, Packer, classes, few, shared
 from skewdex.sources.staging import stage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Counters of the sketch, whatever the size of the corpus.
 COUNTERS = 1 << 20
-#: Entries of a bucket of lists, and that a task holds before it hands them out.
-BUCKET, HELD = 1 << 20, 1 << 20
-#: An n-gram counted this often is known to be shared, and its list is not looked for in a bucket.
-HOT = 1 << 20
-#: Rounds in which classes are compared by representatives.
-ROUNDS = 3
 REMEMBERED = 300_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_ENTRY = np.dtype([("gram", "<i8"), ("sid", "<i8"), ("n", "<i4"), ("pos", "<i4")])
 
 
 class _Words(dict):
@@ -140,92 +127,33 @@ def _sketch(profile: DataFrame) -> np.ndarray:
 
 
 def _lists(docs: DataFrame, text_col: str, size: int, percent: int, sketch: np.ndarray, buckets: int) -> DataFrame:
-    """Staged (gram, sid, n, pos): the prefix entries whose n-gram several sets share."""
-    spark = docs.sparkSession
-    shared_sketch = spark.sparkContext.broadcast(np.minimum(sketch, 1 << 31).astype(np.uint32))
-
-    def spread():
-        words, counts = _Words(), shared_sketch.value
-        held, seen, n_held = [], set(), 0
-
-        def flush(emit):
-            nonlocal held, n_held
-            entries = np.concatenate(held) if held else np.empty(0, _ENTRY)
-            held, n_held = [], 0
-            hot = counts[entries["gram"] & (COUNTERS - 1)] >= HOT
-            for bucket, part in ((-1, entries[hot]), (0, entries[~hot])):
-                place = (part["gram"] >> 20) % buckets if bucket == 0 else np.full(len(part), -1)
-                order = np.argsort(place, kind="stable")
-                cuts = np.flatnonzero(np.diff(place[order])) + 1
-                for run in np.split(order, cuts) if len(order) else ():
-                    emit(int(place[run[0]]), part[run].tobytes(), size=len(run) * _ENTRY.itemsize)
+    """Staged (key, sid, n, pos): the prefix entries whose n-gram several sets share."""
+    counts_of = docs.sparkSession.sparkContext.broadcast(np.minimum(sketch, 1 << 31).astype(np.uint32))
+
+    def make():
+        words, counts, seen, packer = _Words(), counts_of.value, set(), Packer(buckets)
 
         def step(emit, text):
-            nonlocal n_held
             found = grams(text, size, words)
             sid = set_id(found)
             if not len(found) or sid in seen:
                 return
-            seen.add(sid)
             if len(seen) > REMEMBERED:
                 seen.clear()
+            seen.add(sid)
             keep = prefix_length(len(found), percent)
-            rarity = counts[found & (COUNTERS - 1)].astype(np.uint64)
-            first = np.argpartition(rarity, keep - 1)[:keep] if keep < len(found) else np.arange(len(found))
-            bound = rarity[first].max()
+            rarity = counts[found & (COUNTERS - 1)]
+            bound = np.partition(rarity, keep - 1)[keep - 1]
             near = np.flatnonzero(rarity <= bound)
             chosen = near[np.lexsort((found[near], rarity[near]))][:keep]
-            entries = np.empty(keep, _ENTRY)
-            entries["gram"], entries["sid"], entries["n"], entries["pos"] = found[chosen], sid, len(found), np.arange(keep)
-            held.append(entries)
-            n_held += keep
-            if n_held >= HELD:
-                flush(emit)
-
-        step.close = flush
-        return step
-
-    def gather():
-        now, parts = None, []
-
-        def flush(emit):
-            if not parts:
-                return
-            entries = np.unique(np.concatenate([np.frombuffer(p, _ENTRY) for p in parts]))  # by n-gram, then set
-            parts.clear()
-            if now >= 0:
-                new = np.flatnonzero(np.diff(entries["gram"], prepend=~entries["gram"][:1]))
-                long = np.repeat(np.diff(np.append(new, len(entries))) > 1, np.diff(np.append(new, len(entries))))
-                entries = entries[long]
-            for at in range(0, len(entries), 1 << 16):
-                emit(entries[at : at + (1 << 16)].tobytes(), size=len(entries[at : at + (1 << 16)]) * _ENTRY.itemsize)
-
-        def step(emit, bucket, packed):
-            nonlocal now
-            if bucket != now:
-                flush(emit)
-                now = bucket
-            parts.append(packed)
-            if now < 0:  # known to be shared: nothing to look for
-                flush(emit)
-
-        step.close = flush
-        return step
-
-    def unpack():
-        def step(emit, packed):
-            for gram, sid, n, pos in np.frombuffer(packed, _ENTRY).tolist():
-                emit(gram, sid, n, pos, size=24)
+            entries = np.empty(keep, ENTRY)
+            entries["key"], entries["sid"], entries["n"], entries["pos"] = found[chosen], sid, len(found), np.arange(keep)
+            packer.add(entries, emit)
 
+        step.close = packer.flush
         return step
 
-    rows = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    packed = map_rows(rows, T.StructType.fromDDL("bucket int, packed binary"), spread)
-    salt = F.when(F.col("bucket") < 0, F.xxhash64("packed")).otherwise(0)
-    dealt = packed.repartition(buckets, "bucket", salt).sortWithinPartitions("bucket")
-    kept = map_rows(dealt, T.StructType.fromDDL("packed binary"), gather)
-    entries = stage(map_rows(kept, T.StructType.fromDDL("gram long, sid long, n int, pos int"), unpack).distinct(), "lists")
-    return entries
+    return shared(map_rows(docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")), PACKED, make), buckets)
 
 
 def _may_reach(percent: int, a: str, b: str) -> Column:
@@ -259,22 +187,22 @@ def _sets(docs: DataFrame, text_col: str, size: int, wanted: DataFrame) -> DataF
     return stage(map_rows(rows, T.StructType.fromDDL("sid long, grams binary"), make), "sets")
 
 
-def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Staged (a, b, shared, total): the sizes of intersection and union of each pair."""
+def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Staged (a, b, linked, distance) of each pair."""
 
     def make():
         def step(emit, a, b, mine, other):
             x, y = np.frombuffer(mine, np.int64), np.frombuffer(other, np.int64)
             shared = len(np.intersect1d(x, y, assume_unique=True))
-            emit(a, b, shared, len(x) + len(y) - shared)
+            total = len(x) + len(y) - shared
+            emit(a, b, 100 * shared >= percent * total, 1 - shared / total)
 
         return step
 
     mine = sets.select(F.col("sid").alias("b"), F.col("grams").alias("mine"))
     other = sets.select(F.col("sid").alias("a"), F.col("grams").alias("other"))
-    few = F.broadcast(pairs) if pairs.count() <= BROADCAST_ROWS else pairs
-    joined = mine.join(few, "b").join(other, "a").select("a", "b", "mine", "other")
-    return stage(map_rows(joined, T.StructType.fromDDL("a long, b long, shared int, total int"), make).distinct(), "compared")
+    joined = mine.join(few(pairs), "b").join(other, "a").select("a", "b", "mine", "other")
+    return stage(map_rows(joined, T.StructType.fromDDL("a long, b long, linked boolean, distance double"), make).distinct(), "compared")
 
 
 def similarity_classes(
@@ -316,61 +244,7 @@ def _classes(docs, text_col, size, percent, profile, full, buckets) -> DataFrame
     keys = full.groupBy("sid").agg(F.min("text_key").alias("text_key"))
     wanted = lists.select("sid").distinct().join(keys, "sid").select("text_key").distinct()
     sets = _sets(docs, text_col, size, wanted)
-    similar = F.col("shared") * 100 >= F.col("total") * percent
-    tested, labels = None, None
-
-    for turn in range(ROUNDS + 1):
-        entries = lists if labels is None else lists.join(labels.withColumnRenamed("node", "sid"), "sid", "left")
-        entries = entries.withColumn("component", F.col("sid") if labels is None else F.coalesce("component", "sid"))
-        if labels is not None:  # lists of a single class have been answered
-            open_ = entries.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-            entries = entries.join(open_.where("low <> high").select("gram"), "gram")
-        entry = F.struct("sid", "n", "pos")
-        if turn < ROUNDS:
-            named = entries.groupBy("gram", "component").agg(F.min(entry).alias("b"))
-            pivots = named.groupBy("gram").agg(F.min("b").alias("a"), F.min_by("component", "b").alias("pivot"))
-            met = named.join(pivots, "gram").where((F.col("component") != F.col("pivot")) & _may_reach(percent, "a", "b"))
-            met = met.groupBy(F.col("a.sid").alias("a"), F.col("b.sid").alias("b")).agg(F.count(F.lit(1)).alias("n"))
-            pairs = met if tested is None else met.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-            pairs = pairs.groupBy("b").agg(F.max(F.struct("n", "a"))["a"].alias("a")).select("a", "b")
-        else:
-            pairs = _rest(entries, percent, tested)
-        pairs = stage(pairs, "pairs")
-        if not pairs.head(1):
-            if turn < ROUNDS:
-                continue
-            break
-        found = _compared(pairs, sets)
-        tested = found if tested is None else tested.unionByName(found)
-        if found.where(similar).head(1):
-            links = tested.where(similar)
-            labels = stage(components(links), "labels")
-    return labels
-
-
-def _rest(entries: DataFrame, percent: int, tested: DataFrame | None) -> DataFrame:
-    """Every pair of a list that could still link two classes, and was not compared.
-
-    The largest class of a list meets the others only, never itself.
-    """
-    sizes = entries.groupBy("gram", "component").agg(F.count(F.lit(1)).alias("members"))
-    largest = sizes.groupBy("gram").agg(F.max(F.struct("members", "component"))["component"].alias("largest"))
-    each = entries.join(largest, "gram").select("gram", "component", "largest", F.struct("sid", "n", "pos").alias("e"))
-    others = each.where("component <> largest").select("gram", F.col("component").alias("of_a"), F.col("e").alias("x"))
-    everyone = each.select("gram", F.col("component").alias("of_b"), "largest", F.col("e").alias("y"))
-    met = others.join(everyone, "gram").where(
-        (F.col("of_a") != F.col("of_b")) & ((F.col("of_b") == F.col("largest")) | (F.col("x.sid") < F.col("y.sid")))
-        & _may_reach(percent, "x", "y")
+    return classes(
+        lists, lambda a, b: _may_reach(percent, a, b), lambda pairs: _compared(pairs, sets, percent),
+        lambda p, q: F.abs(p - q) > 1 - percent / 100 + 1e-9,
     )
-    pairs = met.select(F.least("x.sid", "y.sid").alias("a"), F.greatest("x.sid", "y.sid").alias("b")).distinct()
-    if tested is None:
-        return pairs
-    both = tested.select("a", "b").union(tested.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    pairs = pairs.join(both, ["a", "b"], "left_anti")
-    # The distances of both to the same third set differ by more than the asked distance.
-    far = (1 - F.col("shared") / F.col("total")).alias("far")
-    known = tested.select("a", "b", far).union(tested.select(F.col("b").alias("a"), F.col("a").alias("b"), far))
-    of_a = known.select(F.col("a"), F.col("b").alias("third"), F.col("far").alias("far_a"))
-    of_b = known.select(F.col("a").alias("b"), F.col("b").alias("third"), F.col("far").alias("far_b"))
-    apart = pairs.join(of_a, "a").join(of_b, ["b", "third"]).where(F.abs(F.col("far_a") - F.col("far_b")) > 1 - percent / 100 + 1e-9)
-    return pairs.join(apart.select("a", "b"), ["a", "b"], "left_anti")
