@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skewdex.llm import byte_bpe, decontamination, exact_dedup, files, jaccard, pii, records, separator_scan, suffix_dedup, toxicity, word_bpe
+from skewdex.llm import byte_bpe, decontamination, exact_dedup, files, jaccard, line_dedup, pii, records, separator_scan, suffix_dedup, toxicity, word_bpe
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -44,6 +44,14 @@ def op7_ngram_jaccard(spark, sf_dir):
     )
 
 
+def op8_line_dedup(spark, sf_dir):
+    """Documents without the lines that are within two edits of an earlier line."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.drop_repeated_lines(docs, "doc_id", "text").select(
+        "doc_id", "n_lines", "n_long", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    )
+
+
 def op9_binary_records(spark, sf_dir):
     with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
         tokenizer = file.read()
@@ -113,5 +121,5 @@ def op10_suffix_dedup(spark, sf_dir):
 
 
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
-    op1_byte_bpe, op2_toxicity, op3_pii, op4_decontamination, op5_exact_dedup, op6_separator_scan, op7_ngram_jaccard, op9_binary_records, op10_suffix_dedup,
+    op1_byte_bpe, op2_toxicity, op3_pii, op4_decontamination, op5_exact_dedup, op6_separator_scan, op7_ngram_jaccard, op8_line_dedup, op9_binary_records, op10_suffix_dedup,
 )
