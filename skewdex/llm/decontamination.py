@@ -170,3 +170,14 @@ def contamination(
             F.array_except(F.coalesce("near_items", none), F.coalesce("items", none)).alias("near_items"),
         )
     )
+
+
+def clean(
+    docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str,
+    window: int = WINDOW,
+) -> DataFrame:
+    """The rows of ``docs`` in which no window of an item occurs, with all their columns."""
+    found = matches(docs, benchmark, id_col, text_col, item_col, item_text_col, window)
+    hit = stage(found.where("exact").select(F.col("key").alias("_contaminated")).distinct(), "contaminated")
+    hit = F.broadcast(hit) if hit.count() <= BROADCAST_ROWS else hit
+    return docs.join(hit, _key(id_col, text_col) == F.col("_contaminated"), "left_anti")

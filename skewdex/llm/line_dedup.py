@@ -177,11 +177,13 @@ def drop_repeated_lines(
     of edit distances of at most ``errors`` link are one class. The first line of a class
     stays, in the order of id (null last), text and line; all others go, also within one
     document. A null text stays null and has no lines. Rows that share id and text are one
-    document given twice and lose the same lines. All columns are kept; ``n_long`` counts
-    the lines that could go.
+    document given twice and lose the same lines. All columns are kept, but for those named
+    as the new ones, which are replaced; ``n_long`` counts the lines that could go.
     """
     if shortest <= errors:
         raise ValueError("a line needs a character for each segment")
+    counts = T.StructType.fromDDL("n_lines int, n_long int, n_dropped int")
+    docs = docs.drop(*counts.names)
     key = docs.schema[id_col].dataType
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("text_key"), F.col(text_col).alias("text"))
     found = T.StructType([T.StructField("id", key), *T.StructType.fromDDL(f"text_key long, no int, {_NAME}").fields])
@@ -205,7 +207,7 @@ def drop_repeated_lines(
     dropped = named.select("kind", place.alias("place")).join(firsts.select("kind", "first"), "kind").where("place <> first")
     per_doc = dropped.groupBy("place.last", "place.id", "place.text_key").agg(F.collect_set("place.no").alias("numbers"))
 
-    schema = T.StructType([*docs.schema.fields, *T.StructType.fromDDL("n_lines int, n_long int, n_dropped int").fields])
+    schema = T.StructType([*docs.schema.fields, *counts.fields])
     at = docs.columns.index(text_col)
 
     def cut():

@@ -13,12 +13,14 @@ from __future__ import annotations
 
 import re
 import sys
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -176,6 +178,24 @@ def fit(
     return Model(used, w, float(b))
 
 
+def _scorer(model: Model):
+    weight = dict(zip(model.used.tolist(), model.weights.tolist(), strict=True))
+    known: dict[str, tuple[int, ...]] = {}
+
+    def score_of(text: str | None) -> float:
+        if len(known) > REMEMBERED:
+            known.clear()
+        found: set[int] = set()
+        for word in words_of(text or ""):
+            if (own := known.get(word)) is None:
+                own = known[word] = tuple(x for x in features(word) if x in weight)
+            found.update(own)
+        z = model.bias + sum(weight[x] for x in sorted(found))
+        return float(1 / (1 + np.exp(-min(30.0, max(-30.0, z)))))
+
+    return score_of
+
+
 def score(df: DataFrame, id_col: str, text_col: str, model: Model) -> DataFrame:
     """(``id_col``, score): from 0 to 1, higher if toxic is likelier; one row per row of ``df``.
 
@@ -185,20 +205,19 @@ def score(df: DataFrame, id_col: str, text_col: str, model: Model) -> DataFrame:
     schema = T.StructType([df.schema[id_col], T.StructField("score", T.DoubleType())])
 
     def make():
-        weight = dict(zip(model.used.tolist(), model.weights.tolist(), strict=True))
-        known: dict[str, tuple[int, ...]] = {}
+        score_of = _scorer(model)
+        return lambda emit, doc, text: emit(doc, score_of(text))
 
-        def step(emit, doc, text):
-            if len(known) > REMEMBERED:
-                known.clear()
-            found: set[int] = set()
-            for word in words_of(text or ""):
-                if (own := known.get(word)) is None:
-                    own = known[word] = tuple(x for x in features(word) if x in weight)
-                found.update(own)
-            z = model.bias + sum(weight[x] for x in sorted(found))
-            emit(doc, float(1 / (1 + np.exp(-min(30.0, max(-30.0, z))))))
+    return map_rows(df.select(F.col(id_col), F.col(text_col)), schema, make)
 
-        return step
 
-    return map_rows(df.select(F.col(id_col), F.col(text_col)), schema, make)
+def score_column(text: Column, model: Model) -> Column:
+    """The score of a text beside all other columns of its row."""
+
+    @F.pandas_udf("double")
+    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        score_of = _scorer(model)
+        for texts in batches:
+            yield texts.map(score_of, na_action=None).astype(float)
+
+    return scored(text)
