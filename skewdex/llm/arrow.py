@@ -43,12 +43,13 @@ class Rows:
         return pa.RecordBatch.from_arrays(arrays, schema=self.schema)
 
 
-def map_rows(df: DataFrame, schema: T.StructType, make: Callable[[], Callable], *, size: int = 64) -> DataFrame:
+def map_rows(df: DataFrame, schema: T.StructType | str, make: Callable[[], Callable], *, size: int = 64) -> DataFrame:
     """Run ``step(emit, *row)`` over every row of ``df``, as Arrow batches.
 
     ``make`` is called once per task and returns ``step``; ``emit(*values, size=bytes)`` adds
     a row of the result. An optional attribute ``step.close(emit)`` is called at the end.
     """
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     out = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

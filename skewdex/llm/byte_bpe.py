@@ -30,6 +30,8 @@ CHUNK = 1 << 15
 OVERLAP = 64
 #: A match that ends this close to the end of a chunk could be longer in the whole text.
 SLACK = 4
+#: Between these two characters every reading has a boundary.
+HARD = r"\P{White_Space}\p{White_Space}"
 
 
 def read_ranks(path: str) -> bytes:
@@ -57,7 +59,7 @@ def chunks_of(text: str, chunk: int, overlap: int) -> list[tuple[int, int]]:
     found, start = [], 0
     while True:
         edge = start + chunk
-        hard = edge < len(text) and regex.compile(r"\P{White_Space}\p{White_Space}").search(text, edge)
+        hard = edge < len(text) and regex.compile(HARD).search(text, edge)
         if not hard:
             return [*found, (start, len(text))]
         found.append((start, min(len(text), max(edge + overlap, hard.end()) + SLACK + 1)))
@@ -76,9 +78,9 @@ def stitch(text: str, chunk: int, pattern) -> int:
     ``text`` is the chunk with its overlap. Only boundaries between other characters and
     white space are taken; they hold in every version of the character tables.
     """
-    own = set(boundaries(text, 0, len(text), False, pattern))
+    own, hard = set(boundaries(text, 0, len(text), False, pattern)), regex.compile(HARD)
     for at in boundaries(text, chunk, len(text), False, pattern):
-        if at in own and at > chunk and text[at].isspace() and not text[at - 1].isspace():
+        if at in own and at > chunk and hard.match(text, at - 1):
             return at
     raise ValueError("a chunk without a shared boundary")
 

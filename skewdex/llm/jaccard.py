@@ -184,7 +184,7 @@ def _sets(docs: DataFrame, text_col: str, size: int, wanted: DataFrame) -> DataF
 
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.xxhash64(text).alias("text_key"), text.alias("text")).join(wanted, "text_key").select("text")
-    return stage(map_rows(rows, T.StructType.fromDDL("sid long, grams binary"), make), "sets")
+    return stage(map_rows(rows, "sid long, grams binary", make), "sets")
 
 
 def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -202,7 +202,7 @@ def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     mine = sets.select(F.col("sid").alias("b"), F.col("grams").alias("mine"))
     other = sets.select(F.col("sid").alias("a"), F.col("grams").alias("other"))
     joined = mine.join(few(pairs), "b").join(other, "a").select("a", "b", "mine", "other")
-    return stage(map_rows(joined, T.StructType.fromDDL("a long, b long, linked boolean, distance double"), make).distinct(), "compared")
+    return stage(map_rows(joined, "a long, b long, linked boolean, distance double", make).distinct(), "compared")
 
 
 def similarity_classes(

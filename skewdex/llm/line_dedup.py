@@ -114,7 +114,7 @@ def _lines(docs: DataFrame, text_col: str, shortest: int) -> DataFrame:
 
         return step
 
-    return map_rows(docs.select(F.col(text_col)), T.StructType.fromDDL(f"{_NAME}, line string"), make)
+    return map_rows(docs.select(F.col(text_col)), f"{_NAME}, line string", make)
 
 
 def line_classes(docs: DataFrame, text_col: str, errors: int, shortest: int, lines: int) -> DataFrame | None:
@@ -163,7 +163,7 @@ def line_classes(docs: DataFrame, text_col: str, errors: int, shortest: int, lin
         mine = texts.select(F.col("sid").alias("b"), F.col("line").alias("mine"))
         other = texts.select(F.col("sid").alias("a"), F.col("line").alias("other"))
         joined = mine.join(few(pairs), "b").join(other, "a").select("a", "b", "mine", "other")
-        return stage(map_rows(joined, T.StructType.fromDDL("a long, b long, linked boolean, distance double"), make).distinct(), "compared")
+        return stage(map_rows(joined, "a long, b long, linked boolean, distance double", make).distinct(), "compared")
 
     return classes(lists, lambda a, b: F.abs(F.col(f"{a}.n") - F.col(f"{b}.n")) <= errors, compare)
 

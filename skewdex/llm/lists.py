@@ -39,7 +39,7 @@ LONG = 64
 #: Rounds in which classes are compared by representatives.
 ROUNDS = 3
 ENTRY = np.dtype([("key", "<i8"), ("sid", "<i8"), ("n", "<i4"), ("pos", "<i4")])
-PACKED = T.StructType.fromDDL("bucket int, packed binary")
+PACKED = "bucket int, packed binary"
 
 
 class Packer:
@@ -110,8 +110,8 @@ def shared(packed: DataFrame, buckets: int) -> DataFrame:
 
     salt = F.when(F.col("bucket") < 0, F.xxhash64("packed")).otherwise(0)
     dealt = packed.repartition(buckets, "bucket", salt).sortWithinPartitions("bucket")
-    kept = map_rows(dealt, T.StructType.fromDDL("packed binary"), gather)
-    return stage(map_rows(kept, T.StructType.fromDDL("key long, sid long, n int, pos int"), unpack).distinct(), "lists")
+    kept = map_rows(dealt, "packed binary", gather)
+    return stage(map_rows(kept, "key long, sid long, n int, pos int", unpack).distinct(), "lists")
 
 
 def few(df: DataFrame) -> DataFrame:

@@ -99,7 +99,7 @@ def write(df: DataFrame, id_col: str, tokens_col: str, folder: str) -> None:
         return step
 
     rows = df.select(F.col(id_col).cast("long"), F.col(tokens_col))
-    map_rows(rows, T.StructType.fromDDL(INDEX), make).write.parquet(f"{folder}/index")
+    map_rows(rows, INDEX, make).write.parquet(f"{folder}/index")
 
 
 def ordered(df: DataFrame, by: str, tie: str) -> DataFrame:
@@ -154,4 +154,4 @@ def read(spark: SparkSession, folder: str, seed: int | None = None) -> DataFrame
 
         return step
 
-    return map_rows(dealt, T.StructType.fromDDL("doc_id long, file string, record long, start long, tokens binary"), make)
+    return map_rows(dealt, "doc_id long, file string, record long, start long, tokens binary", make)

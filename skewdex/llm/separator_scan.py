@@ -92,7 +92,7 @@ def _blocks(spark: SparkSession, folder: str, separator: int, dtype: str, block:
 
         return step
 
-    return map_rows(dealt, T.StructType.fromDDL("file string, block long, first long, n long, ends array<long>"), make)
+    return map_rows(dealt, "file string, block long, first long, n long, ends array<long>", make)
 
 
 def scan(

@@ -115,7 +115,7 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
         return step
 
-    return stage(map_rows(once, T.StructType.fromDDL("batch long, place int, id long, hash binary, text binary"), make), "texts")
+    return stage(map_rows(once, "batch long, place int, id long, hash binary, text binary", make), "texts")
 
 
 #: Stands for a null id, which comes after all others.
@@ -169,7 +169,7 @@ def _write_by_batch(rows: DataFrame, folder: str, dtype, key: str) -> None:
         return step
 
     dealt = rows.repartition("batch").sortWithinPartitions("batch")
-    stage(map_rows(dealt, T.StructType.fromDDL("batch long, n long"), make), "written")
+    stage(map_rows(dealt, "batch long, n long", make), "written")
 
 
 def _shared_anchors(texts: DataFrame, folder: str, length: int, buckets: int) -> None:
@@ -233,9 +233,9 @@ def _shared_anchors(texts: DataFrame, folder: str, length: int, buckets: int) ->
         step.close = flush
         return step
 
-    found = map_rows(texts.select("batch", "text"), T.StructType.fromDDL("bucket int, batch long, packed binary"), arrays)
+    found = map_rows(texts.select("batch", "text"), "bucket int, batch long, packed binary", arrays)
     dealt = found.repartition(buckets, "bucket").sortWithinPartitions("bucket", "batch")
-    _write_by_batch(map_rows(dealt, T.StructType.fromDDL("batch long, packed binary"), merge), folder, np.uint64, None)
+    _write_by_batch(map_rows(dealt, "batch long, packed binary", merge), folder, np.uint64, None)
 
 
 def _runs(marks: list[bool]) -> list[tuple[int, int]]:
@@ -371,7 +371,7 @@ def _mark(texts: DataFrame, shared: str, folder: str, length: int, buckets: int)
 
     sent = map_rows(texts.select("batch", "place", "id", "text"), row, spread)
     dealt = sent.repartition(buckets, "deal").sortWithinPartitions(F.col("ids").isNotNull(), "deal")
-    _write_by_batch(map_rows(dealt, T.StructType.fromDDL("batch long, packed binary"), meet), folder, _SPAN, "place")
+    _write_by_batch(map_rows(dealt, "batch long, packed binary", meet), folder, _SPAN, "place")
 
 
 def _cut(texts: DataFrame, folder: str) -> DataFrame:

@@ -110,7 +110,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
 
         return step
 
-    return map_rows(chosen.select("y", "text"), T.StructType.fromDDL("y int, own binary, other binary"), make)
+    return map_rows(chosen.select("y", "text"), "y int, own binary, other binary", make)
 
 
 def fit(
