@@ -60,9 +60,10 @@ def chunks_of(text: str, chunk: int, overlap: int) -> list[tuple[int, int]]:
     while True:
         edge = start + chunk
         hard = edge < len(text) and regex.compile(HARD).search(text, edge)
-        if not hard:
+        end = max(edge + overlap, hard.end()) + SLACK + 1 if hard else len(text)
+        if end >= len(text):
             return [*found, (start, len(text))]
-        found.append((start, min(len(text), max(edge + overlap, hard.end()) + SLACK + 1)))
+        found.append((start, end))
         start = edge
 
 
