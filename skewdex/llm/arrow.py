@@ -47,7 +47,8 @@ def map_rows(df: DataFrame, schema: T.StructType | str, make: Callable[[], Calla
     """Run ``step(emit, *row)`` over every row of ``df``, as Arrow batches.
 
     ``make`` is called once per task and returns ``step``; ``emit(*values, size=bytes)`` adds
-    a row of the result. An optional attribute ``step.close(emit)`` is called at the end.
+    a row of the result. An optional attribute ``step.close(emit)`` is called at the end. Both
+    may be generators, so that rows leave the task while they go on.
     """
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     out = to_arrow_schema(schema)
@@ -58,13 +59,18 @@ def map_rows(df: DataFrame, schema: T.StructType | str, make: Callable[[], Calla
         def emit(*values, size=size):
             rows.add(*values, size=size)
 
-        for batch in batches:
-            for at in range(batch.num_rows):
-                step(emit, *(column[at].as_py() for column in batch.columns))
+        def batches_of(work) -> Iterator[pa.RecordBatch]:
+            for _ in work if work is not None else ():  # a generator hands its rows out as it goes
                 if rows.full():
                     yield rows.take()
+            if rows.full():
+                yield rows.take()
+
+        for batch in batches:
+            for at in range(batch.num_rows):
+                yield from batches_of(step(emit, *(column[at].as_py() for column in batch.columns)))
         if close := getattr(step, "close", None):
-            close(emit)
+            yield from batches_of(close(emit))
         if rows.size:
             yield rows.take()
 

@@ -23,14 +23,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skewdex.llm.arrow import map_rows
-from skewdex.llm.lists import BUCKET, ENTRY, PACKED, Packer, classes, few, shared
+from skewdex.llm.lists import BUCKET, ENTRY, PACKED, Packer, classes, few, pruned, shared
 from skewdex.sources.staging import stage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Counters of the sketch, whatever the size of the corpus.
 COUNTERS = 1 << 20
-REMEMBERED = 300_000
+REMEMBERED = 200_000
+#: One n-gram in this many is listed beyond what shows that two sets share anything; what they
+#: share must then be as many more, which leaves out sets that share little.
+SPARE = 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -42,12 +45,12 @@ class _Words(dict):
         return value
 
 
-def grams(text: str, size: int, words: dict) -> np.ndarray:
-    """The sorted distinct n-gram hashes of a text: lower-cased (A-Z) words between white space.
+def grams(text: bytes, size: int, words: dict) -> np.ndarray:
+    """The sorted distinct n-gram hashes of a text in UTF-8: lower-cased (A-Z) words between white space.
 
     A text of fewer words than ``size``, but not none, has one: all its words.
     """
-    found = text.encode().lower().split()
+    found = text.lower().split()
     if not found:
         return np.empty(0, np.int64)
     if len(words) > REMEMBERED:
@@ -65,9 +68,13 @@ def set_id(found: np.ndarray, seed: int = 0) -> int:
     return np.int64(np.uint64(xxhash.xxh3_64_intdigest(found.tobytes(), seed))).item()
 
 
-def prefix_length(n, percent: int):
-    """Two sets with the similarity share one of this many first n-grams of either."""
-    return n - (n * percent + 99) // 100 + 1
+def prefix_length(n: int, percent: int) -> int:
+    """How many first n-grams of a set are listed.
+
+    Two sets with the similarity share ``wanted`` of these, for the smaller set's number, or
+    all that they need to share if that is less.
+    """
+    return min(n, n - (n * percent + 99) // 100 + 1 + n // SPARE)
 
 
 def _profile(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
@@ -77,16 +84,26 @@ def _profile(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFram
     ])
 
     def make():
-        words, counts = _Words(), np.zeros(COUNTERS, np.uint32)
+        words, counts, held, n_held = _Words(), np.zeros(COUNTERS, np.uint32), [], 0
+
+        def count():
+            nonlocal n_held
+            if held:
+                counts[:] += np.bincount(np.concatenate(held) & (COUNTERS - 1), minlength=COUNTERS).astype(np.uint32)
+            held.clear()
+            n_held = 0
 
         def step(emit, doc, key, text):
+            nonlocal n_held
             found = grams(text, size, words)
-            counts[:] += np.bincount(found & (COUNTERS - 1), minlength=COUNTERS).astype(np.uint32) if len(found) > COUNTERS // 8 else 0
-            if len(found) <= COUNTERS // 8:
-                np.add.at(counts, found & (COUNTERS - 1), 1)
+            held.append(found)
+            n_held += len(found)
+            if n_held > COUNTERS:
+                count()
             emit(doc, key, set_id(found), set_id(found, 1), len(found), None)
 
         def close(emit):
+            count()
             place = np.flatnonzero(counts)
             if len(place):
                 packed = np.stack([place.astype(np.uint32), counts[place]]).tobytes()
@@ -96,7 +113,7 @@ def _profile(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFram
         return step
 
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_key"), text.cast("binary"))
     return stage(map_rows(rows, schema, make), "profile")
 
 
@@ -153,7 +170,7 @@ def _lists(docs: DataFrame, text_col: str, size: int, percent: int, sketch: np.n
         step.close = packer.flush
         return step
 
-    return shared(map_rows(docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")), PACKED, make), buckets)
+    return shared(map_rows(docs.select(F.coalesce(F.col(text_col), F.lit("")).cast("binary")), PACKED, make), buckets)
 
 
 def _may_reach(percent: int, a: str, b: str) -> Column:
@@ -183,7 +200,7 @@ def _sets(docs: DataFrame, text_col: str, size: int, wanted: DataFrame) -> DataF
         return step
 
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.xxhash64(text).alias("text_key"), text.alias("text")).join(wanted, "text_key").select("text")
+    rows = docs.select(F.xxhash64(text).alias("text_key"), text.alias("text")).join(few(wanted), "text_key").select(F.col("text").cast("binary"))
     return stage(map_rows(rows, "sid long, grams binary", make), "sets")
 
 
@@ -221,7 +238,7 @@ def similarity_classes(
     rows = profile.where("counts is null")
     full = rows.where("n > 0")
     clash = full.groupBy("sid").agg(F.min("check").alias("low"), F.max("check").alias("high")).where("low <> high")
-    entries = full.agg(F.sum(F.expr(f"n - (n * {percent} + 99) div 100 + 1")).alias("n")).first()["n"] or 0
+    entries = full.agg(F.sum(F.expr(f"least(n, n - (n * {percent} + 99) div 100 + 1 + n div {SPARE})")).alias("n")).first()["n"] or 0
     if entries and clash.head(1):
         raise ValueError("two different sets have the same 64-bit id")
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(-(-entries // BUCKET)))
@@ -241,8 +258,10 @@ def similarity_classes(
 def _classes(docs, text_col, size, percent, profile, full, buckets) -> DataFrame | None:
     """(node, component) of the sets that are linked with others; None if there are none."""
     lists = _lists(docs, text_col, size, percent, _sketch(profile), buckets)
+    least = f"(n * {percent} + 99) div 100"  # n-grams of the smallest set that one of n can be linked with
+    lists = pruned(lists, F.expr(f"least({least}, 1 + {least} div {SPARE})"))
     keys = full.groupBy("sid").agg(F.min("text_key").alias("text_key"))
-    wanted = lists.select("sid").distinct().join(keys, "sid").select("text_key").distinct()
+    wanted = stage(lists.select("sid").distinct().join(keys, "sid").select("text_key").distinct(), "wanted")
     sets = _sets(docs, text_col, size, wanted)
     return classes(
         lists, lambda a, b: _may_reach(percent, a, b), lambda pairs: _compared(pairs, sets, percent),

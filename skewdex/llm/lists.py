@@ -33,7 +33,7 @@ from skewdex.sources.staging import stage
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Entries that a bucket holds, and a task before it hands them out.
-BUCKET, HELD = 1 << 20, 1 << 20
+BUCKET, HELD = 1 << 20, 1 << 19
 #: Of a key with more entries than this in one task, all but two go past the buckets.
 LONG = 64
 #: Rounds in which classes are compared by representatives.
@@ -42,6 +42,19 @@ ENTRY = np.dtype([("key", "<i8"), ("sid", "<i8"), ("n", "<i4"), ("pos", "<i4")])
 PACKED = "bucket int, packed binary"
 
 
+def _ordered(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different entries by key and sid, where each key begins, and its number of entries."""
+    entries = np.concatenate(parts)
+    entries = entries[np.lexsort((entries["sid"], entries["key"]))]
+    key, sid = np.ascontiguousarray(entries["key"]), np.ascontiguousarray(entries["sid"])
+    other = np.concatenate(([True], key[1:] != key[:-1]))
+    once = other.copy()
+    once[1:] |= sid[1:] != sid[:-1]
+    new = np.flatnonzero(other[once])
+    entries = entries[once]
+    return entries, new, np.diff(np.append(new, len(entries)))
+
+
 class Packer:
     """Holds entries and hands them out by bucket; for use within a task."""
 
@@ -57,10 +70,8 @@ class Packer:
     def flush(self, emit) -> None:
         if not self.held:
             return
-        entries = np.unique(np.concatenate(self.held))  # by key, then sid
+        entries, new, length = _ordered(self.held)
         self.held, self.n = [], 0
-        new = np.flatnonzero(np.concatenate(([True], entries["key"][1:] != entries["key"][:-1])))
-        length = np.diff(np.append(new, len(entries)))
         rank = np.arange(len(entries)) - np.repeat(new, length)
         past = (np.repeat(length, length) > LONG) & (rank >= 2)  # the two that stay show the key is shared
         place = np.where(past, -1, (entries["key"] >> 20) % self.buckets)
@@ -76,42 +87,35 @@ def shared(packed: DataFrame, buckets: int) -> DataFrame:
         now, parts = None, []
 
         def flush(emit):
-            if not parts:
-                return
-            entries = np.unique(np.concatenate([np.frombuffer(p, ENTRY) for p in parts]))
-            parts.clear()
-            if now >= 0:
-                new = np.flatnonzero(np.concatenate(([True], entries["key"][1:] != entries["key"][:-1])))
-                length = np.diff(np.append(new, len(entries)))
-                last = entries["sid"][np.append(new[1:], len(entries)) - 1]
-                entries = entries[np.repeat(entries["sid"][new] != last, length)]
-            for at in range(0, len(entries), 1 << 16):
-                part = entries[at : at + (1 << 16)]
-                emit(part.tobytes(), size=len(part) * ENTRY.itemsize)
+            if parts:
+                entries, _, length = _ordered([np.frombuffer(p, ENTRY) for p in parts])
+                parts.clear()
+                for entry in (entries[np.repeat(length > 1, length)] if now >= 0 else entries).tolist():
+                    yield emit(*entry, size=24)
 
         def step(emit, bucket, packed):
             nonlocal now
-            if bucket != now:
-                flush(emit)
+            if bucket != now or now < 0:
+                yield from flush(emit)
                 now = bucket
             parts.append(packed)
-            if now < 0:
-                flush(emit)
 
         step.close = flush
         return step
 
-    def unpack():
-        def step(emit, packed):
-            for entry in np.frombuffer(packed, ENTRY).tolist():
-                emit(*entry, size=24)
-
-        return step
-
     salt = F.when(F.col("bucket") < 0, F.xxhash64("packed")).otherwise(0)
     dealt = packed.repartition(buckets, "bucket", salt).sortWithinPartitions("bucket")
-    kept = map_rows(dealt, "packed binary", gather)
-    return stage(map_rows(kept, "key long, sid long, n int, pos int", unpack).distinct(), "lists")
+    return stage(map_rows(dealt, "key long, sid long, n int, pos int", gather).distinct(), "lists")
+
+
+def pruned(lists: DataFrame, need: Column, times: int = 2) -> DataFrame:
+    """Without those that stand in fewer lists than ``need``, an expression of ``n``, and what they leave alone."""
+    for _ in range(times):
+        enough = lists.groupBy("sid").agg(F.count(F.lit(1)).alias("n_lists"), F.max("n").alias("n")).where(F.col("n_lists") >= need)
+        left = lists.join(enough.select("sid"), "sid", "left_semi")
+        several = left.groupBy("key").agg(F.count(F.lit(1)).alias("n_sids")).where("n_sids > 1")
+        lists = stage(left.join(several.select("key"), "key", "left_semi"), "lists")
+    return lists
 
 
 def few(df: DataFrame) -> DataFrame:
