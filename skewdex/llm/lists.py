@@ -103,8 +103,9 @@ def shared(packed: DataFrame, buckets: int) -> DataFrame:
         step.close = flush
         return step
 
-    salt = F.when(F.col("bucket") < 0, F.xxhash64("packed")).otherwise(0)
-    dealt = packed.repartition(buckets, "bucket", salt).sortWithinPartitions("bucket")
+    anywhere = F.pmod(F.xxhash64("packed"), F.lit(buckets)).cast("int")
+    place = F.when(F.col("bucket") < 0, anywhere).otherwise(F.col("bucket"))
+    dealt = packed.repartitionById(buckets, place).sortWithinPartitions("bucket")
     return stage(map_rows(dealt, "key long, sid long, n int, pos int", gather).distinct(), "lists")
 
 
