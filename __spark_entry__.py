@@ -115,16 +115,20 @@ def term_weight_lookup(spark, sf):
 # -- search ------------------------------------------------------------------------------
 
 
+def _level(df: DataFrame) -> DataFrame:
+    return df.withColumn("similarity_level", F.round("similarity_level", 6))
+
+
 def search_top_books(spark, sf):
-    return search.search(_saved_index(spark, sf), QUERY)
+    return _level(search.search(_saved_index(spark, sf), QUERY, digits=9))
 
 
 def search_total_all(spark, sf):
-    return search.search(_saved_index(spark, sf), QUERY, k=3, total="all")
+    return _level(search.search(_saved_index(spark, sf), QUERY, k=3, total="all", digits=9))
 
 
 def search_every_group(spark, sf):
-    return search.search(_saved_index(spark, sf), QUERY, limit=None, group_prefix="src")
+    return _level(search.search(_saved_index(spark, sf), QUERY, limit=None, group_prefix="src", digits=9))
 
 
 def similarity_scores(spark, sf):
@@ -133,6 +137,20 @@ def similarity_scores(spark, sf):
     ).withColumn("similarity_level", F.round("similarity_level", 6))
 
 
+def search_normalized_index(spark, sf):
+    """The same search on an index kept as two tables, terms without titles."""
+    directory = _run_path(spark, sf, "normalized")
+    index_store.write_normalized(_saved_index(spark, sf), directory)
+    return _level(search.search(index_store.read_normalized(spark, directory, INDEX_ROWS), QUERY, digits=9))
+
+
+def search_bucketed_index(spark, sf):
+    """The same search on a catalog table that is bucketed by document."""
+    table = _run_path(spark, sf, "x").rpartition("/")[2].replace("-", "_")
+    index_store.write_index_table(_saved_index(spark, sf), table, 8)
+    return _level(search.search(spark.table(table), QUERY, digits=9))
+
+
 # -- packing -----------------------------------------------------------------------------
 
 
@@ -206,7 +224,8 @@ def bin_count(spark, sf):
 
 
 def repartition_packed(spark, sf):
-    rows = packing.repartition_packed(_line_brands(spark, sf), ["p_brand"], "l_quantity", 4)
+    lines = _line_brands(spark, sf).withColumn("size", F.col("l_quantity").cast("long"))
+    rows = packing.repartition_packed(lines, ["p_brand"], "size", 4)
     return rows.groupBy(F.spark_partition_id().alias("pid")).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.sum("l_quantity").alias("sum_qty"),
@@ -218,7 +237,14 @@ def repartition_packed_split(spark, sf):
     rows = packing.repartition_packed(
         _t(spark, sf, "documents"), ["lang"], "n_chars", 8, split_by=["doc_id"]
     )
-    return rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_chars").alias("sum_chars"))
+    sizes = rows.groupBy(F.spark_partition_id().alias("pid")).agg(
+        F.count(F.lit(1)).alias("n_docs"), F.sum("n_chars").alias("sum_chars")
+    )
+    # Every partition stays below one and a half fair shares.
+    return sizes.agg(
+        F.count(F.lit(1)).alias("n_parts"), F.sum("n_docs").alias("n_docs"), F.sum("sum_chars").alias("sum_chars"),
+        (F.max("sum_chars") * F.lit(8) < F.sum("sum_chars") * 1.5).alias("even"),
+    )
 
 
 def repartition_builtin(spark, sf):
@@ -247,18 +273,21 @@ def filter_links(spark, sf):
 
 def _listed(spark, sf) -> DataFrame:
     """Documents as a library: ten numbers to a group, fifty groups to an index page."""
-    title = F.concat(F.lit("T "), F.regexp_replace("title", "[^A-Za-z ]", ""))
+    title = F.concat(F.lit('T <"&'), "title")
     return _docs(spark, sf).select(
-        "doc_id", F.trim(F.regexp_replace(title, " +", " ")).alias("title"),
+        "doc_id", F.trim(F.regexp_replace(title, r"[ \t\r\n]+", " ")).alias("title"),
         F.expr("doc_id div 10").alias("shelf"),
     )
 
 
 def _listed_pages(spark, sf) -> tuple[DataFrame, DataFrame]:
     # A page has ten or fifty anchors at the most, by the division of a unique number.
+    written = F.col("title")
+    for char, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("é", "&eacute;"), ("ü", "&#252;"), ("ñ", "&#xF1;")):
+        written = F.replace(written, F.lit(char), F.lit(entity))
     anchor = F.concat(
         F.lit('<li><a class="x" title="ebook:'), "doc_id", F.lit('" href="/ebooks/'), "doc_id",
-        F.lit('"><i>'), "title", F.lit("</i></a> <a href='/wiki/Main_Page' title='Main'>top</a></li>"),
+        F.lit('"><i>'), written, F.lit("</i></a> <a href='/wiki/Main_Page' title='Main'>top</a></li>"),
     )
     shelves = _listed(spark, sf).groupBy("shelf").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", anchor.alias("a")))), lambda x: x.a), "").alias("html")
@@ -278,7 +307,16 @@ def typed_anchors(spark, sf):
 def build_catalog(spark, sf):
     index, shelf_pages = _listed_pages(spark, sf)
     listing = pages.catalog(index, shelf_pages, base="https://example.org")
-    return listing.select("bookshelf_url", "ebook_id", "ebook_title")
+    return listing.select("shelf_pos", "bookshelf_url", "ebook_pos", "ebook_id", "ebook_title")
+
+
+def build_catalog_stored(spark, sf):
+    """The listing from the stored pages alone, the index pages among them."""
+    index, shelf_pages = _listed_pages(spark, sf)
+    first = index.where("page_no = 0").select(F.lit("https://example.org/index").alias("url"), "html")
+    return pages.build_catalog(
+        shelf_pages.unionByName(first), ("https://example.org/none", "https://example.org/index"), base="https://example.org"
+    )
 
 
 def candidate_urls(spark, sf):
@@ -344,9 +382,9 @@ def marker_lines(spark, sf):
 
 
 def decode_latin1(spark, sf):
-    fit = F.regexp_replace("text", r"[^\x00-\xff]", "?")
-    files = _t(spark, sf, "documents").select("doc_id", F.encode(fit, "ISO-8859-1").alias("content"))
-    return decode_text(files)
+    """Every text as the bytes of its UTF-8, read as Latin-1: any bytes decode, one character each."""
+    files = _t(spark, sf, "documents").select("doc_id", F.encode("text", "UTF-8").alias("content"))
+    return decode_text(files).select("doc_id", F.length("text").alias("n_chars"), F.md5(F.encode("text", "ISO-8859-1")).alias("md5"))
 
 
 # -- catalog and storage -----------------------------------------------------------------
@@ -372,7 +410,7 @@ def catalog_codec_roundtrip(spark, sf):
     listing = _listed(spark, sf).select(
         F.col("shelf").alias("shelf_pos"), F.concat(F.lit("u"), "shelf").alias("bookshelf_url"),
         F.col("doc_id").alias("ebook_pos"), F.col("doc_id").alias("ebook_id"),
-        F.col("title").alias("ebook_title"),
+        F.regexp_replace("title", "%%%|##|!!!", "-").alias("ebook_title"),  # all that the format can't hold
     )
     path = _run_path(spark, sf, f"catalog-{uuid.uuid4().hex}")
     catalog_text.write_catalog(cat.nest(listing), path)
@@ -450,7 +488,18 @@ def build_index_partition(spark, sf):
 def build_and_search(spark, sf):
     directory = _run_path(spark, sf, "searched")
     build_index(*_library(spark, sf), directory=directory)
-    return search_index(spark, QUERY, directory, INDEX_ROWS)
+    return _level(search_index(spark, QUERY, directory, INDEX_ROWS, digits=9))
+
+
+def build_index_limits(spark, sf):
+    """The first three groups and five documents of each; the first group has no documents."""
+    listing, lengths, texts = _library(spark, sf)
+    none = spark.range(1).select(F.lit(-1).cast("long").alias("shelf_pos"), F.lit("empty").alias("bookshelf_url"))
+    directory = _run_path(spark, sf, "limited")
+    build_index(
+        listing.unionByName(none, allowMissingColumns=True), lengths, texts, directory=directory, max_groups=4, max_per_group=5
+    )
+    return _weight(index_store.read_index(spark, directory, INDEX_ROWS))
 
 
 # -- SQL ---------------------------------------------------------------------------------
@@ -497,18 +546,22 @@ _INDEX_OUT = (
 )
 
 
+_SUM = "sum(weight::DECIMAL(38, 18))::DOUBLE"
+
+
 def _sql_search(index: str, k: int, total: str, limit: str, prefix: int = 0) -> str:
     level = (
         "sum(similarity_level) FILTER (topN <= {k})" if total == "topk" else "sum(similarity_level)"
     ).format(k=k)
     return f"""{index},
-    scores AS (SELECT scope, doc, title, round(sum(weight), 9) AS similarity_level FROM idx
-      WHERE term IN ({_quoted(ASKED)}) GROUP BY ALL HAVING round(sum(weight), 9) > 0.001),
+    scores AS (SELECT scope, doc, title, round({_SUM}, 9) AS similarity_level FROM idx
+      WHERE term IN ({_quoted(ASKED)}) GROUP BY ALL HAVING {_SUM} > 0.001),
     ranked AS (SELECT *, rank() OVER (PARTITION BY scope ORDER BY similarity_level DESC) AS topN FROM scores),
     levels AS (SELECT scope, round({level}, 9) AS level FROM ranked GROUP BY scope)
-    SELECT scope[{prefix + 1}:] AS bookshelf, title[:60] AS title, similarity_level
-    FROM (SELECT * FROM ranked JOIN levels USING (scope) WHERE topN <= {k}
-          ORDER BY level DESC, scope, topN, doc {limit})"""
+    SELECT scope[{prefix + 1}:] AS bookshelf, title[:60] AS title, round(similarity_level, 6) AS similarity_level
+      {", place" if limit else ""}
+    FROM (SELECT *, (row_number() OVER (ORDER BY level DESC, scope, topN, doc))::INTEGER AS place
+          FROM ranked JOIN levels USING (scope) WHERE topN <= {k} ORDER BY place {limit})"""
 
 
 def _sql_pack(items: str, capacity: str | None, nbins: int | None, order: str = "size DESC, item DESC") -> str:
@@ -548,7 +601,7 @@ _LINKS = rf"""WITH tags AS (SELECT page_id, regexp_extract_all({_SEEN}, '(?is)<a
       FROM tag WHERE regexp_matches(tag, '(?is)(?:^|[\s"''])href\s*=\s*\S'))"""
 
 _LISTED = rf"""SELECT doc_id, doc_id // 10 AS shelf,
-    trim(regexp_replace('T ' || regexp_replace({_TITLE}, '[^A-Za-z ]', '', 'g'), ' +', ' ', 'g')) AS title FROM documents"""
+    trim(regexp_replace('T <"&' || {_TITLE}, '[ \t\r\n]+', ' ', 'g')) AS title FROM documents"""
 
 _PATH = """array_to_string(string_split(left(doc_id::VARCHAR, length(doc_id::VARCHAR) - 1), ''), '/')"""
 _CANDIDATES = f"""(SELECT doc_id, lang, n_chars, priority::INTEGER AS priority,
@@ -612,10 +665,12 @@ _SQL = {
         LEFT JOIN idx ON scope = source AND doc = doc_id AND idx.term = a.term""",
     "search_top_books": _sql_search(_SAVED, 2, "topk", "LIMIT 10"),
     "search_total_all": _sql_search(_SAVED, 3, "all", "LIMIT 10"),
+    "search_normalized_index": _sql_search(_SAVED, 2, "topk", "LIMIT 10"),
+    "search_bucketed_index": _sql_search(_SAVED, 2, "topk", "LIMIT 10"),
     "search_every_group": _sql_search(_SAVED, 2, "topk", "", 3),
     "similarity_scores": _SAVED + f""" SELECT scope AS bookshelf_url, doc AS ebook_id, title AS ebook_title,
-        round(round(sum(weight), 9), 6) AS similarity_level FROM idx WHERE term IN ({_quoted(ASKED)})
-        GROUP BY ALL HAVING round(sum(weight), 9) > 0.001""",
+        round({_SUM}, 6) AS similarity_level FROM idx WHERE term IN ({_quoted(ASKED)})
+        GROUP BY ALL HAVING {_SUM} > 0.001""",
     "skew_profile_lang": _sql_profile("documents", "lang"),
     "skew_profile_users": _sql_profile("events", "user_id"),
     "pack_n_bins": _BRANDS + " SELECT item AS p_brand, size, bin FROM packed",
@@ -633,8 +688,8 @@ _SQL = {
     "repartition_packed": _BRANDS + """ SELECT bin AS pid, count(*) AS n_rows, sum(l_quantity) AS sum_qty,
         count(DISTINCT p_brand) AS n_brands
         FROM lineitem JOIN part ON l_partkey = p_partkey JOIN packed ON item = p_brand GROUP BY bin""",
-    "repartition_packed_split": """SELECT lang, count(*) AS n_docs, sum(n_chars)::BIGINT AS sum_chars
-        FROM documents GROUP BY lang""",
+    "repartition_packed_split": """SELECT 8::BIGINT AS n_parts, count(*) AS n_docs, sum(n_chars)::BIGINT AS sum_chars,
+        true AS even FROM documents""",
     "repartition_builtin": "SELECT 16::BIGINT AS n_parts, count(*) AS n_rows FROM lineitem",
     "extract_links": _LINKS + " SELECT page_id, pos, href FROM links",
     "filter_links": _LINKS + """ SELECT page_id, pos, href, 'https://example.org' || href AS url FROM links
@@ -642,8 +697,14 @@ _SQL = {
     "typed_anchors": f"""SELECT 'https://example.org/wiki/S' || shelf || '_(Bookshelf)' AS url,
         (2 * (doc_id % 10))::INTEGER AS pos, doc_id AS ebook_id, title AS ebook_title
         FROM ({_LISTED}) WHERE doc_id >= 10""",
-    "build_catalog": f"""SELECT 'https://example.org/wiki/S' || shelf || '_(Bookshelf)' AS bookshelf_url,
-        doc_id AS ebook_id, title AS ebook_title FROM ({_LISTED}) WHERE doc_id >= 10""",
+    "build_catalog": f"""SELECT ((shelf // 50) << 32) + 2 * (shelf % 50) AS shelf_pos,
+        'https://example.org/wiki/S' || shelf || '_(Bookshelf)' AS bookshelf_url,
+        CASE WHEN doc_id >= 10 THEN (2 * (doc_id % 10))::INTEGER END AS ebook_pos, CASE WHEN doc_id >= 10 THEN doc_id END AS ebook_id,
+        CASE WHEN doc_id >= 10 THEN title END AS ebook_title FROM ({_LISTED}) WHERE doc_id >= 10 OR doc_id = 0""",
+    "build_catalog_stored": f"""SELECT (2::BIGINT << 32) + 2 * shelf AS shelf_pos,
+        'https://example.org/wiki/S' || shelf || '_(Bookshelf)' AS bookshelf_url,
+        CASE WHEN doc_id >= 10 THEN (2 * (doc_id % 10))::INTEGER END AS ebook_pos, CASE WHEN doc_id >= 10 THEN doc_id END AS ebook_id,
+        CASE WHEN doc_id >= 10 THEN title END AS ebook_title FROM ({_LISTED}) WHERE (doc_id >= 10 OR doc_id = 0) AND shelf < 50""",
     "candidate_urls": f"SELECT doc_id, priority, url FROM {_CANDIDATES}",
     "first_available": f"""SELECT doc_id, url, n_chars + priority AS length FROM {_CANDIDATES}
         WHERE CASE priority WHEN 0 THEN lang = 'en' WHEN 1 THEN n_chars > 1000 ELSE lang IN ('fr', 'en') END
@@ -656,13 +717,13 @@ _SQL = {
     "marker_lines": f"""SELECT * FROM (SELECT doc_id, (generate_subscripts(ls, 1) - 1)::INTEGER AS line_no, unnest(ls) AS line
         FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents))
         WHERE {' OR '.join(f"starts_with(line, '{m}')" for m in SMALL_START + SMALL_END)}""",
-    "decode_latin1": r"SELECT doc_id, regexp_replace(text, '[^\x00-\xff]', '?', 'g') AS text FROM documents",
+    "decode_latin1": "SELECT doc_id, strlen(text)::INTEGER AS n_chars, md5(text) AS md5 FROM documents",
     "limit_groups": """SELECT source AS bookshelf_url, source[4:]::BIGINT AS shelf_pos, doc_id AS ebook_id FROM documents
         WHERE source IN (SELECT DISTINCT source FROM documents ORDER BY source[4:]::BIGINT LIMIT 3)""",
     "limit_per_group": """SELECT source AS bookshelf_url, source[4:]::BIGINT AS shelf_pos, doc_id AS ebook_id FROM documents
         QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 5""",
     "catalog_codec_roundtrip": f"""SELECT shelf AS shelf_pos, 'u' || shelf AS bookshelf_url, (doc_id % 10)::INTEGER AS ebook_pos,
-        doc_id AS ebook_id, title AS ebook_title FROM ({_LISTED})""",
+        doc_id AS ebook_id, regexp_replace(title, '%%%|##|!!!', '-', 'g') AS ebook_title FROM ({_LISTED})""",
     "materialize_roundtrip": "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders",
     "index_roundtrip": _SAVED + _INDEX_OUT,
     "index_as_maps": _SAVED + _INDEX_OUT,
@@ -671,6 +732,12 @@ _SQL = {
     "build_index_skew": _LIBRARY + _INDEX_OUT,
     "build_index_pack": _LIBRARY + _INDEX_OUT,
     "build_index_partition": _LIBRARY + _INDEX_OUT,
+    "build_index_limits": "WITH first AS (" + """SELECT doc_id FROM documents
+          WHERE source IN (SELECT DISTINCT source FROM documents ORDER BY source[4:]::BIGINT LIMIT 3)
+          QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 5),""" + _sql_index(
+        "source", "doc_id", "replace(text, chr(10), '')", _TITLE,
+        "(SELECT * FROM documents WHERE text <> '' AND doc_id IN (SELECT doc_id FROM first))",
+    ) + _INDEX_OUT,
     "build_and_search": _sql_search(_LIBRARY, 2, "topk", "LIMIT 10"),
 }
 
@@ -678,14 +745,15 @@ _QUERIES = (
     tokenize_documents, term_frequency, document_frequency_idf, tfidf_index, tfidf_by_lang,
     tfidf_whole_corpus, tfidf_group_as_document, dedupe_last_wins, signature_words,
     term_weight_lookup, search_top_books, search_total_all, search_every_group,
+    search_normalized_index, search_bucketed_index,
     similarity_scores, skew_profile_lang, skew_profile_users, pack_n_bins, pack_n_bins_users,
     pack_n_bins_per_nation, pack_max_capacity, pack_as_listed, bin_lookup, bin_stats,
     bin_count, repartition_packed, repartition_packed_split, repartition_builtin,
-    extract_links, filter_links, typed_anchors, build_catalog, candidate_urls,
+    extract_links, filter_links, typed_anchors, build_catalog, build_catalog_stored, candidate_urls,
     first_available, group_text_size, attach_stored_texts, strip_by_markers, strip_wrapped,
     marker_lines, decode_latin1, limit_groups, limit_per_group, catalog_codec_roundtrip,
     materialize_roundtrip, index_roundtrip, index_as_maps, dictionary_lookup,
-    build_index_skew, build_index_pack, build_index_partition, build_and_search,
+    build_index_skew, build_index_pack, build_index_partition, build_index_limits, build_and_search,
 )
 
 

@@ -7,8 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.staging import stage
-from .joins import BROADCAST_ROWS, lookup_join
+from .joins import BROADCAST_ROWS
 from .ranking import keep_first
 
 SHELF_SCHEMA = "pos long, url string, ebooks array<struct<id: int, title: string>>"
@@ -30,7 +29,10 @@ def limit_per_group(shelves: DataFrame, n: int, docs: str = "ebooks") -> DataFra
 
 
 def limit_listed_groups(listing: DataFrame, n: int, position: str) -> DataFrame:
-    """The rows of the first ``n`` groups of a flat listing, told apart by ``position``."""
+    """The rows of the first ``n`` groups of a flat listing, told apart by ``position``.
+
+    A group without documents counts if the listing has a row for it (see ``pages.catalog``).
+    """
     first = listing.select(position).distinct().orderBy(position).limit(n)
     # It has n rows by the limit.
     return listing.join(F.broadcast(first) if n <= BROADCAST_ROWS else first, position, "left_semi")
@@ -55,13 +57,14 @@ def flatten(shelves: DataFrame) -> DataFrame:
 def nest(listing: DataFrame) -> DataFrame:
     """A flat listing with one row per group; its documents, in order, as an array.
 
-    A group's array holds numbers and titles only and is a single value by definition;
-    work on texts should stay on the flat form.
+    A row without a document makes an empty group. A group's array holds numbers and titles
+    only and is a single value by definition; work on texts should stay on the flat form, and
+    a long group can be written as several lines (see ``catalog_text.write_listing``).
     """
     entry = F.struct("ebook_pos", F.col("ebook_id").alias("id"), F.col("ebook_title").alias("title"))
     return (
         listing.groupBy(F.col("shelf_pos").alias("pos"), F.col("bookshelf_url").alias("url"))
-        .agg(F.array_sort(F.collect_list(entry)).alias("_all"))
+        .agg(F.array_sort(F.collect_list(F.when(F.col("ebook_id").isNotNull(), entry))).alias("_all"))
         .select("pos", "url", F.transform("_all", lambda e: F.struct(e.id.alias("id"), e.title.alias("title"))).alias("ebooks"))
     )
 
@@ -69,9 +72,7 @@ def nest(listing: DataFrame) -> DataFrame:
 def dictionary_lookup(rows: DataFrame, entries: DataFrame, key: str) -> DataFrame:
     """``rows`` with the columns of the entry of their key, null where there is none.
 
-    ``entries`` has one row per key. Entries nobody asks for are dropped first, and how often
-    each of the others is asked for tells which keys are hot.
+    ``entries`` has one row per key. Spark sends a small dictionary around, and splits hot
+    keys of a large one (adaptive skew join).
     """
-    asked = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_asked"))
-    used = stage(entries.join(asked, key), "entries")
-    return lookup_join(rows, used, [key], "_asked", "left").drop("_asked")
+    return rows.join(entries, key, "left")

@@ -10,8 +10,9 @@ ranges of item numbers, and the items find their bin by a distributed range join
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.firstfit import SLOTS, fold_runs
 from ..sources.staging import stage
@@ -46,6 +47,15 @@ def numbered(df: DataFrame, order: list, name: str = "_pos") -> DataFrame:
     )
 
 
+def whole_size(df: DataFrame, size: str) -> Column:
+    """``size`` as BIGINT. Only whole-number types are taken, and a null size raises."""
+    kind = df.schema[size].dataType
+    if not (isinstance(kind, T.IntegralType) or isinstance(kind, T.DecimalType) and kind.scale == 0):
+        raise ValueError(f"sizes must be whole numbers, {size} is {kind.simpleString()}")
+    missing = F.raise_error(F.lit(f"{size}: a size must not be null")).cast("long")
+    return F.when(F.col(size).isNull(), missing).otherwise(F.col(size).cast("long"))
+
+
 def _pack(
     items: DataFrame,
     item: list[str],
@@ -56,7 +66,7 @@ def _pack(
     listed_by: str | None,
 ) -> DataFrame:
     rows = items.select(
-        *group, *item, F.coalesce(F.col(size).cast("long"), F.lit(0)).alias(size),
+        *group, *item, whole_size(items, size).alias(size),
         *([listed_by] if listed_by and listed_by not in (*group, *item, size) else []),
     )
     if listed_by:
@@ -64,14 +74,16 @@ def _pack(
     else:
         order = [*group, F.desc(size), *[F.desc(c) for c in item]]
     placed = numbered(rows, order)
-    label = F.to_json(F.struct(*group)) if group else F.lit("")
-    runs = placed.select(label.alias("_group"), F.col(size).alias("_size"), "_pos")
+    runs = placed.select(*group, F.col(size).alias("_size"), "_pos")
     if listed_by:
-        runs = runs.select("_group", "_size", F.lit(1).cast("long").alias("_n"), F.col("_pos").alias("_start"))
+        runs = runs.select(*group, "_size", F.lit(1).cast("long").alias("_n"), F.col("_pos").alias("_start"))
     else:
-        runs = runs.groupBy("_group", "_size").agg(
+        runs = runs.groupBy(*group, "_size").agg(
             F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_start")
         )
+    # A group is told by the number of its first item, so no two groups share a label.
+    first = F.min("_start").over(Window.partitionBy(*group)) if group else F.lit(0).cast("long")
+    runs = runs.select(first.alias("_group"), "_size", "_n", "_start")
     slots = (
         runs.repartition("_group")
         .sortWithinPartitions("_start")
@@ -171,7 +183,7 @@ def assign_bins(
     cut = rows.withColumn(part, F.lit(0))
     if split_by:
         sizes = stage(
-            rows.where(present).groupBy(*key).agg(F.sum(size).cast("long").alias(weight)), "sizes"
+            rows.where(present).groupBy(*key).agg(F.sum(whole_size(rows, size)).alias(weight)), "sizes"
         )
         share = max(1, -(-(sizes.agg(F.sum(weight)).first()[0] or 0) // nbins))
         heavy = sizes.where(F.col(weight) > share).select(
@@ -182,7 +194,7 @@ def assign_bins(
             F.coalesce(F.pmod(F.xxhash64(*split_by), F.col("_shares")), F.lit(0)).cast("int"),
         ).drop(weight, "_shares")
     unit = [*key, part]
-    units = cut.where(present).groupBy(*unit).agg(F.sum(size).cast("long").alias(weight))
+    units = cut.where(present).groupBy(*unit).agg(F.sum(whole_size(rows, size)).alias(weight))
     packed = stage(pack_n_bins(units, unit, weight, nbins), "bins")
     last = packed.agg(F.max("bin")).first()[0]
     return bin_lookup(cut, packed, unit, weight, strict=True).drop(part), (last or 0) + 1
@@ -197,11 +209,13 @@ def repartition_packed(
 ) -> DataFrame:
     """``rows`` laid out so that every partition is a bin and holds all rows of its keys.
 
-    Rows without a key go to partition 0. See ``assign_bins`` for ``split_by``, which gives
-    up the one partition per key for keys that would not fit a fair share.
+    A key stays whole however heavy it is, unless ``split_by`` is given (see ``assign_bins``),
+    which gives up the one partition per key for keys that would not fit a fair share. Rows
+    without a key belong to no bin and are dealt out evenly.
     """
     placed, count = assign_bins(rows, key, size, nbins, split_by)
-    return placed.repartitionById(count, F.col("bin")).drop("bin")
+    anywhere = F.pmod(F.xxhash64(*rows.columns), F.lit(count)).cast("int")
+    return placed.repartitionById(count, F.coalesce("bin", anywhere)).drop("bin")
 
 
 def rebalance(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,25 +33,62 @@ FILE_SUFFIXES = (".txt", "-8.txt", "-0.txt")
 _UNSEEN = r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>"
 _ATTRIBUTES = r"""((?:[^>"']++|"[^"]*+"|'[^']*+')*+)"""
 _OPENED = rf"(?is)<a\s{_ATTRIBUTES}>"
-_CLOSED = rf"(?is)<a\s{_ATTRIBUTES}>(.*?)</a>"
+# An anchor's text ends at its end tag, at the next anchor, or with the page.
+_CLOSED = rf"(?is)<a\s{_ATTRIBUTES}>(.*?)(?=</a\s*>|<a\s|\z)"
+# One attribute: its name, and a value in double or single quotes or none, if it has one.
+_PAIR = r"""([^\s=>"'/]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>"']++)))?+|["'][^"']*+["']?+"""
+_VALUE = r"""(?s)^[^\s=>"'/]++\s*+=\s*+["']?(.*?)["']?$"""
+_ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 
 
 def _attribute(tag: Column, name: str) -> Column:
-    """Value of an attribute in the inside of a tag, null if it has none."""
-    name = rf"(?is)(?:^|[\s\"']){name}\s*=\s*"
-    return (
-        F.when(tag.rlike(name + '"'), F.regexp_extract(tag, name + '"([^"]*)"', 1))
-        .when(tag.rlike(name + "'"), F.regexp_extract(tag, name + "'([^']*)'", 1))
-        .when(tag.rlike(name + "[^\"']"), F.regexp_extract(tag, name + r"([^\s\"'>]+)", 1))
-    )
+    """Value of the first attribute of that name in the inside of a tag; "" if bare, null if there is none.
+
+    The attributes are taken apart in order, so a name inside another's value is not one.
+    """
+    pairs = F.regexp_extract_all(tag, F.lit(_PAIR), F.lit(0))
+    own = F.get(F.filter(pairs, lambda p: F.lower(p).rlike(rf"^{name}(?:\s*=|$)")), 0)
+    return F.when(own.contains("="), F.regexp_extract(own, _VALUE, 1)).otherwise(own.substr(1, 0))
 
 
 def _unescape(text: Column) -> Column:
-    for entity, char in (
-        ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"),
-    ):
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+    """Character references replaced: numeric ones, and the named ones that stand for one character.
+
+    What is no reference, or an unknown one, stays as it is.
+    """
+    named = F.create_map(*[F.lit(x) for name, code in sorted((name2codepoint | {"apos": 39}).items()) for x in (name, code)])
+    rest, found = F.split(text, _ENTITY, -1), F.regexp_extract_all(text, F.lit(_ENTITY), F.lit(0))
+
+    def decoded(ref: Column) -> Column:
+        body = F.substr(ref, F.lit(2), F.length(ref) - 2)
+        code = (
+            F.when(body.rlike("^#[xX]"), F.conv(F.substr(body, F.lit(3)), 16, 10).cast("int"))
+            .when(body.startswith("#"), F.substr(body, F.lit(2)).cast("int"))
+            .otherwise(F.try_element_at(named, body))
+        )
+        whole = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        return F.when(whole, _character(code)).otherwise(ref)
+
+    joined = F.concat(
+        F.array_join(F.transform(found, lambda ref, i: F.concat(F.get(rest, i), decoded(ref))), ""), F.element_at(rest, -1)
+    )
+    return F.when(text.contains("&"), joined).otherwise(text)
+
+
+def _character(code: Column) -> Column:
+    """The character of a code point, by its bytes in UTF-8."""
+
+    def byte(lead: int, shift: int, mask: int) -> Column:
+        return F.lpad(F.hex(F.shiftright(code, shift).bitwiseAND(mask).bitwiseOR(lead)), 2, "0")
+
+    tail = [byte(0x80, shift, 0x3F) for shift in (12, 6, 0)]
+    bytes_ = (
+        F.when(code < 0x80, byte(0, 0, 0x7F))
+        .when(code < 0x800, F.concat(byte(0xC0, 6, 0x1F), tail[2]))
+        .when(code < 0x10000, F.concat(byte(0xE0, 12, 0x0F), *tail[1:]))
+        .otherwise(F.concat(byte(0xF0, 18, 0x07), *tail))
+    )
+    return F.decode(F.unhex(bytes_), "UTF-8")
 
 
 def links(pages: DataFrame, key: list[str], html: str = "html") -> DataFrame:
@@ -123,7 +162,8 @@ def catalog(
 
     ``index_pages``: page_no, html; ``pages``: url, html. Groups are the matching links of
     the index pages in order; each group's documents are the typed anchors of its own page.
-    A group linked twice stays twice. ``shelf_pos`` orders the groups and has gaps.
+    A group linked twice stays twice, and one without a page or without documents is a row
+    of nulls after its url. ``shelf_pos`` orders the groups and has gaps.
     """
     shelves = group_links(links(index_pages, ["page_no"]), "href", pattern, denied).select(
         (F.col("page_no").cast("long") * F.lit(1 << 32) + F.col("pos")).alias("shelf_pos"),
@@ -133,8 +173,11 @@ def catalog(
     # otherwise the pages would be shuffled before that is known.
     shelves = stage(shelves, "shelves")
     opened = pages.withColumnRenamed("url", "bookshelf_url").join(shelves, "bookshelf_url")
-    return typed_anchors(opened, ["shelf_pos", "bookshelf_url"]).select(
-        "shelf_pos", "bookshelf_url", F.col("pos").alias("ebook_pos"), "ebook_id", "ebook_title"
+    found = typed_anchors(opened, ["shelf_pos"]).select(
+        "shelf_pos", F.col("pos").alias("ebook_pos"), "ebook_id", "ebook_title"
+    )
+    return shelves.join(found, "shelf_pos", "left").select(
+        "shelf_pos", "bookshelf_url", "ebook_pos", "ebook_id", "ebook_title"
     )
 
 
@@ -179,12 +222,15 @@ def first_available(candidates: DataFrame, lengths: DataFrame, doc: str = "ebook
     )
 
 
-def resolve_urls(listing: DataFrame, lengths: DataFrame, doc: str = "ebook_id") -> DataFrame:
+def resolve_urls(
+    listing: DataFrame, lengths: DataFrame, doc: str = "ebook_id", root: str = FILE_ROOT,
+    suffixes: tuple[str, ...] = FILE_SUFFIXES,
+) -> DataFrame:
     """``listing`` with the ``url`` and ``length`` of each document; unavailable ones go.
 
     Every document is looked up once, however often it is listed.
     """
-    found = first_available(candidate_urls(listing.select(doc).distinct(), doc), lengths, doc)
+    found = first_available(candidate_urls(listing.select(doc).distinct(), doc, root, suffixes), lengths, doc)
     return listing.join(found, doc)
 
 

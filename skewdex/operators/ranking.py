@@ -12,26 +12,15 @@ def keep_first(
     rows: DataFrame,
     group: list[str],
     order: list[Column | str],
-    k: int,
+    k: int | None,
     place: str,
     number: Callable[[], Column] = F.row_number,
 ) -> DataFrame:
     """Rows whose ``number`` (row_number or rank) in their group is at most ``k``, as ``place``.
 
-    Spark cuts each input partition to its own first ``k`` before the shuffle, up to a
-    limit; for a larger ``k`` that is done here, so that a group with very many rows is
-    ranked in parts first.
+    Spark cuts each input partition to its own first ``k`` before the shuffle, as long as
+    ``k`` is below ``spark.sql.optimizer.windowGroupLimitThreshold``; raise that setting for
+    a larger ``k`` over groups of very many rows. Without ``k`` all rows are numbered.
     """
-    early = int(rows.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if k >= early:
-        # Any split of a group will do: one of its first k rows is among the first of its part.
-        part = Window.partitionBy(*group, "_part").orderBy(*order)
-        rows = (
-            rows.withColumn("_part", F.spark_partition_id())
-            .withColumn(place, number().over(part))
-            .where(F.col(place) <= k)
-            .drop("_part", place)
-        )
-    return rows.withColumn(place, number().over(Window.partitionBy(*group).orderBy(*order))).where(
-        F.col(place) <= k
-    )
+    numbered = rows.withColumn(place, number().over(Window.partitionBy(*group).orderBy(*order)))
+    return numbered if k is None else numbered.where(F.col(place) <= k)

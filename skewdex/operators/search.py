@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import query_terms
@@ -23,24 +23,25 @@ def similarity(
     query: str,
     key: list[str],
     min_score: float = MIN_SCORE,
-    digits: int | None = 9,
 ) -> DataFrame:
     """``key`` and ``similarity_level``: sum of the matching weights, above ``min_score``.
 
-    ``digits`` rounds the sums so that the order of addition cannot split a tie.
+    Weights are added up as decimals of 18 places, so the order of addition cannot split a
+    tie or move a sum over the threshold.
     """
-    total = F.sum("weight")
-    if digits is not None:
-        total = F.round(total, digits)
     return (
         match_terms(index, query)
         .groupBy(*key)
-        .agg(total.alias("similarity_level"))
+        .agg(_exact_sum("weight").alias("similarity_level"))
         .where(F.col("similarity_level") > min_score)
     )
 
 
-def rank_in_group(scores: DataFrame, group: str, k: int) -> DataFrame:
+def _exact_sum(value: str) -> Column:
+    return F.sum(F.col(value).cast("decimal(38,18)")).cast("double")
+
+
+def rank_in_group(scores: DataFrame, group: str, k: int | None) -> DataFrame:
     """RANK by score inside the group as ``topN``, kept up to ``k``, ties included."""
     return keep_first(scores, [group], [F.desc("similarity_level")], k, "topN", F.rank)
 
@@ -51,37 +52,47 @@ def search(
     group: str = "bookshelf_url",
     doc: str = "ebook_id",
     title: str = "ebook_title",
-    k: int = 2,
+    k: int | None = 2,
     min_score: float = MIN_SCORE,
     limit: int | None = 10,
     total: str = "topk",
     group_prefix: str = "",
-    digits: int | None = 9,
+    title_width: int | None = TITLE_WIDTH,
+    group_width: int | None = GROUP_WIDTH,
+    digits: int | None = None,
 ) -> DataFrame:
     """``bookshelf``, ``title`` and ``similarity_level`` of the best documents, best groups first.
 
     A group's level is the sum over its kept documents (``total="topk"``) or over all its
-    matching documents (``total="all"``, which shows the group's name in full).
+    matching documents (``total="all"``, which shows the group's name in full). Without
+    ``k`` all matching documents are kept. ``title_width`` and ``group_width`` cut what is
+    shown; None shows all of it. With ``digits`` levels are rounded before they are ranked,
+    after the threshold: sums that differ by less are ties. With a ``limit`` the rows come
+    with their ``place``, from 1.
     """
-    scores = similarity(index, query, [group, doc, title], min_score, digits)
-    kept = rank_in_group(scores, group, k)
-    if total == "topk":
-        level = F.sum("similarity_level").over(Window.partitionBy(group))
-        ranked = kept.withColumn("_level", level)
-    elif total == "all":
-        # Added up by a grouped aggregate, not a window: no group is gathered in one task.
-        levels = scores.groupBy(F.col(group).alias("_group")).agg(F.sum("similarity_level").alias("_level"))
-        ranked = kept.join(levels, F.col(group).eqNullSafe(F.col("_group")))
-    else:
+    if total not in ("topk", "all"):
         raise ValueError(f"total must be 'topk' or 'all', not {total!r}")
+    scores = similarity(index, query, [group, doc, title], min_score)
     if digits is not None:
-        ranked = ranked.withColumn("_level", F.round("_level", digits))
-    ordered = ranked.orderBy(F.desc("_level"), group, "topN", doc)
-    if limit is not None:
-        ordered = ordered.limit(limit)
-    name = F.col(group) if total == "all" else F.substring(group, len(group_prefix) + 1, GROUP_WIDTH)
-    return ordered.select(
-        name.alias("bookshelf"),
-        F.substring(title, 1, TITLE_WIDTH).alias("title"),
-        "similarity_level",
+        scores = scores.withColumn("similarity_level", F.round("similarity_level", digits))
+    kept = rank_in_group(scores, group, k)
+    # Added up by a grouped aggregate, not a window: no group is gathered in one task.
+    levels = (kept if total == "topk" else scores).groupBy(F.col(group).alias("_group")).agg(
+        _exact_sum("similarity_level").alias("_level")
     )
+    ranked = kept.join(levels, F.col(group).eqNullSafe(F.col("_group")))
+    if digits is not None:
+        ranked = ranked.withColumn("_level", F.round("_level", digits))
+    order = [F.desc("_level"), F.col(group), F.col("topN"), F.col(doc)]
+    ordered = ranked.orderBy(*order)
+    name = F.substr(group, F.lit(len(group_prefix) + 1)) if total == "topk" else F.col(group)
+    shown = [
+        (F.left(name, F.lit(group_width)) if total == "topk" and group_width is not None else name).alias("bookshelf"),
+        (F.col(title) if title_width is None else F.left(title, F.lit(title_width))).alias("title"),
+        F.col("similarity_level"),
+    ]
+    if limit is None:
+        return ordered.select(*shown)
+    # A window over the few rows of the limit.
+    place = F.row_number().over(Window.orderBy(*order))
+    return ordered.limit(limit).select(*shown, place.alias("place"))

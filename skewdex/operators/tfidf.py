@@ -15,6 +15,8 @@ from .joins import BROADCAST_ROWS, lookup_join
 from .ranking import keep_first
 
 TOP_TERMS = 500
+# Terms of a lookup that are pushed to the scan as a list.
+ASKED_TERMS = 1000
 _SCOPE = "_scope"
 _ROW = "_row"
 
@@ -101,8 +103,10 @@ def _unscoped(scope: list[str]) -> list[Column]:
     return [F.col(f"{_SCOPE}.{name}") for name in scope]
 
 
-def top_terms(weights: DataFrame, key: list[str], k: int) -> DataFrame:
+def top_terms(weights: DataFrame, key: list[str], k: int | None) -> DataFrame:
     """The ``k`` heaviest terms per key; equal weights go by term."""
+    if k is None:
+        return weights
     return keep_first(weights, key, [F.desc("weight"), "term"], k, "_rn").drop("_rn")
 
 
@@ -111,23 +115,36 @@ def tfidf(
     scope: list[str],
     doc: list[str],
     text: str = "text",
-    top: int = TOP_TERMS,
+    top: int | None = TOP_TERMS,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """``scope``, ``doc``, ``term`` and ``weight`` = tf * idf, the ``top`` heaviest per document.
 
-    ``doc`` tells the documents of a scope apart. The texts are read and cut once; the
-    counts, an array per document, are staged under a document number. They are spread by
-    that number before they are unrolled, so the terms looked up by broadcast stay where
-    their document is and the ranking needs no further shuffle. Only the number travels
-    and is sorted with the terms; the document's own columns come back at the end.
+    ``doc`` tells the documents of a scope apart; without ``top`` all terms are kept. The
+    texts are read and cut once.
     """
-    counts = stage(
-        term_counts(_scoped(docs, scope), [_SCOPE, *doc], text).withColumn(
-            _ROW, F.monotonically_increasing_id()
-        ),
-        "counts",
-    )
+    counts = term_counts(_scoped(docs, scope), [_SCOPE, *doc], text)
+    return _tfidf(counts, scope, doc, top, broadcast_rows)
+
+
+def tfidf_of_counts(
+    counts: DataFrame, scope: list[str], doc: list[str], top: int | None = TOP_TERMS,
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """``tfidf`` of documents whose terms are counted already (``n_terms``, ``counts``)."""
+    counts = _scoped(counts, scope).select(_SCOPE, *doc, "n_terms", "counts")
+    return _tfidf(counts, scope, doc, top, broadcast_rows)
+
+
+def _tfidf(counts: DataFrame, scope: list[str], doc: list[str], top: int | None, broadcast_rows: int) -> DataFrame:
+    """The counts, an array per document, are staged under a document number.
+
+    They are spread by that number before they are unrolled, so the terms looked up by
+    broadcast stay where their document is and the ranking needs no further shuffle. Only
+    the number travels and is sorted with the terms; the document's own columns come back
+    at the end.
+    """
+    counts = stage(counts.withColumn(_ROW, F.monotonically_increasing_id()), "counts")
     rates = stage(inverse_document_frequency(counts, [_SCOPE]), "idf")
     tf = _flat(counts.select(_ROW, _SCOPE, "n_terms", "counts").repartition(_ROW), [_ROW, _SCOPE])
     weights = lookup_join(
@@ -139,7 +156,7 @@ def tfidf(
     return best.join(named, _ROW).select(*scope, *doc, "term", "weight")
 
 
-def group_tfidf(docs: DataFrame, group: list[str], text: str = "text", top: int = TOP_TERMS) -> DataFrame:
+def group_tfidf(docs: DataFrame, group: list[str], text: str = "text", top: int | None = TOP_TERMS) -> DataFrame:
     """TF-IDF of each group taken as one document in a corpus of one.
 
     Every idf is then ln(1/2). Joining the texts by a space adds no term, so the counts of
@@ -179,7 +196,13 @@ def term_weights(asked: DataFrame, index: DataFrame, on: list[str]) -> DataFrame
     """Weight of each asked (document, term), 0.0 where the index has none.
 
     The asked pairs are unique on ``on``; each meets at most one index row, so no key is hot.
+    ``on`` has ``term``. Up to ``ASKED_TERMS`` different terms reach the index scan as a
+    filter, so that only their row groups are read; more of them are joined.
     """
+    terms = asked.select("term").distinct()
+    found = [r["term"] for r in terms.limit(ASKED_TERMS + 1).collect()]
+    if len(found) <= ASKED_TERMS:
+        index = index.where(F.col("term").isin(found))
     return asked.join(index.select(*on, "weight"), on, "left").withColumn(
         "weight", F.coalesce("weight", F.lit(0.0))
     )

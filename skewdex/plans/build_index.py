@@ -7,17 +7,17 @@ from pyspark.sql import functions as F
 
 from ..functions.lines import END_MARKERS, START_MARKERS, body
 from ..operators.catalog import limit_listed_docs, limit_listed_groups
-from ..operators.packing import PACK_BINS, PARTITIONS, assign_bins, rebalance
-from ..operators.pages import resolve_urls
+from ..operators.packing import PACK_BINS, PARTITIONS, assign_bins
+from ..operators.pages import FILE_ROOT, FILE_SUFFIXES, resolve_urls
 from ..operators.search import search
-from ..operators.tfidf import TOP_TERMS, last_listed, tfidf
+from ..operators.tfidf import TOP_TERMS, last_listed, term_counts, tfidf_of_counts
 from ..sources.index_store import DEFAULT_DIRECTORY, INDEX_SCHEMA, read_index, write_index
-from ..sources.staging import stage
-from ..sources.tables import SPLIT_BYTES
-from ..sources.texts import attach_texts
+from ..sources.staging import stage, temporary_tables
 
 # Fixed value: the query that is asked if none is given.
 DEFAULT_QUERY = "how to cook dinner for forty large human people"
+# Text in a bin or partition where their number isn't given: a few tasks' worth of counts.
+SHARE_BYTES = 4 << 30
 SHELF, DOC, TITLE = "bookshelf_url", "ebook_id", "ebook_title"
 
 
@@ -37,7 +37,7 @@ def strip_boilerplate(
 
 def index_library(
     listing: DataFrame,
-    lengths: DataFrame,
+    lengths: DataFrame | None,
     texts: DataFrame,
     mode: str = "skew",
     n: int | None = None,
@@ -45,51 +45,71 @@ def index_library(
     max_per_group: int | None = None,
     start: tuple[str, ...] = START_MARKERS,
     end: tuple[str, ...] = END_MARKERS,
-    top: int = TOP_TERMS,
+    top: int | None = TOP_TERMS,
+    root: str = FILE_ROOT,
+    suffixes: tuple[str, ...] = FILE_SUFFIXES,
+    share_bytes: int = SHARE_BYTES,
 ) -> DataFrame:
     """The index rows of a listed library.
 
     ``listing``: shelf_pos, bookshelf_url, ebook_pos, ebook_id, ebook_title; ``lengths``: url,
-    length; ``texts``: url, text, one row per url. Everything that can be dropped or settled
-    on the listing is, before any text is touched. ``mode`` lays the texts out for the
-    cutting: as they come ("skew"), packed by group into ``n`` bins of even size ("pack"; a
-    group above a fair share is divided), or dealt out to ``n`` partitions ("partition").
-    Without ``n`` there are 16 bins or 228 partitions, and more once they would exceed a
-    split of 128 MB each.
+    length; ``texts``: url, text, one row per url. A document's url is the first of its
+    candidates under ``root`` with a known length; with no ``lengths``, the listing itself
+    has ``url`` and ``length``. Rows without an ebook_id stand for groups without documents:
+    they count in ``max_groups``.
+
+    Each text is cut to its body and counted where it is read, once, however often it is
+    listed; what moves are the counts. ``mode`` lays those out: as they come ("skew"),
+    packed by group into ``n`` bins of even size ("pack"; a group above a fair share is
+    divided), or dealt out to ``n`` partitions ("partition"). Without ``n`` there are 16 bins
+    or 228 partitions, and more if there are more than ``share_bytes`` of text for each.
     """
+    if mode not in ("skew", "pack", "partition"):
+        raise ValueError(f"mode must be 'skew', 'pack' or 'partition', not {mode!r}")
     if max_groups is not None:
         listing = limit_listed_groups(listing, max_groups, "shelf_pos")
+    listing = listing.where(F.col(DOC).isNotNull())
     if max_per_group is not None:
         listing = limit_listed_docs(listing, max_per_group, ["shelf_pos"], "ebook_pos")
+    located = listing if lengths is None else resolve_urls(listing, lengths, DOC, root, suffixes)
     resolved = last_listed(
-        resolve_urls(listing, lengths, DOC).withColumn("_at", F.struct("shelf_pos", "ebook_pos")),
-        [SHELF, DOC, TITLE], "_at",
-    ).select(SHELF, DOC, TITLE, "url", "length")
-    # Staged, so that its size is known before the texts are joined: a listing that is small
-    # goes to the texts, which then are not shuffled.
+        located.withColumn("_at", F.struct("shelf_pos", "ebook_pos")), [SHELF, DOC, TITLE], "_at"
+    ).select(SHELF, DOC, TITLE, "url", F.col("length").cast("long").alias("length"))
+    # Staged, so that its size is known before the counts are joined.
     resolved = stage(resolved, "listing")
-    if n is None and mode != "skew":
-        total = resolved.agg(F.sum(F.col("length").cast("long"))).first()[0] or 0
-        n = max({"pack": PACK_BINS, "partition": PARTITIONS}.get(mode, 1), -(-total // SPLIT_BYTES))
-    if mode == "pack":
-        # Bins come from the recorded lengths; the texts move once, straight to their bin.
-        placed, count = assign_bins(resolved, [SHELF], "length", n, split_by=[DOC, TITLE])
-        docs = attach_texts(placed, texts).repartitionById(count, F.col("bin")).drop("bin")
+    counts = stage(body_counts(texts, start, end), "bodies")
+    if mode == "skew":
+        docs = resolved.join(counts, "url")
     else:
-        docs = rebalance(attach_texts(resolved, texts), [SHELF], "length", mode, n)
-    bodies = strip_boilerplate(docs, "text", start, end)
-    return tfidf(bodies, [SHELF], [DOC, TITLE], "text", top).select(SHELF, DOC, TITLE, "term", "weight")
+        if n is None:
+            total = resolved.agg(F.sum("length")).first()[0] or 0
+            n = max(PACK_BINS if mode == "pack" else PARTITIONS, -(-total // share_bytes))
+        if mode == "pack":
+            placed, bins = assign_bins(resolved, [SHELF], "length", n, split_by=[DOC, TITLE])
+            docs = placed.join(counts, "url").repartitionById(bins, F.col("bin")).drop("bin")
+        else:
+            docs = resolved.join(counts, "url").repartition(n)
+    return tfidf_of_counts(docs, [SHELF], [DOC, TITLE], top).select(SHELF, DOC, TITLE, "term", "weight")
+
+
+def body_counts(
+    texts: DataFrame, start: tuple[str, ...] = START_MARKERS, end: tuple[str, ...] = END_MARKERS
+) -> DataFrame:
+    """``url``, ``n_terms`` and ``counts`` of the body of each text, without any shuffle."""
+    present = texts.where(F.col("text") != "").select("url", "text")
+    return term_counts(strip_boilerplate(present, "text", start, end), ["url"])
 
 
 def build_index(
     listing: DataFrame,
-    lengths: DataFrame,
+    lengths: DataFrame | None,
     texts: DataFrame,
     directory: str = DEFAULT_DIRECTORY,
     **options,
 ) -> None:
     """Build the index (see ``index_library``) and replace the one in ``directory``."""
-    write_index(index_library(listing, lengths, texts, **options), directory)
+    with temporary_tables(listing.sparkSession):
+        write_index(index_library(listing, lengths, texts, **options), directory)
 
 
 def search_index(

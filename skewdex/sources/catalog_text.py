@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The separators of the format.
@@ -12,9 +12,21 @@ TITLE_SEPARATOR = "!!!"
 
 
 def encode(shelves: DataFrame) -> DataFrame:
-    """``value``: the line of each (url, ebooks). Nothing is escaped."""
-    docs = F.transform("ebooks", lambda e: F.concat(e.id.cast("string"), F.lit(TITLE_SEPARATOR), e.title))
-    return shelves.select(F.concat_ws(URL_SEPARATOR, "url", F.array_join(docs, DOC_SEPARATOR)).alias("value"))
+    """``value``: the line of each (url, ebooks).
+
+    Nothing is escaped. What the format can't hold raises: a null number or title, an empty
+    title, and a separator or line end within a url or title.
+    """
+
+    def held(value: Column, what: str, least: int) -> Column:
+        broken = rf"[\r\n]|{URL_SEPARATOR}|{DOC_SEPARATOR}|{TITLE_SEPARATOR}"
+        fits = value.isNotNull() & ~value.rlike(broken) & (F.length(value) >= least)
+        return F.when(fits, value).otherwise(F.raise_error(F.concat(F.lit(f"the catalog can't hold this {what}: "), F.coalesce(value, F.lit("null")))).cast("string"))
+
+    docs = F.transform(
+        "ebooks", lambda e: F.concat(held(e.id.cast("string"), "number", 1), F.lit(TITLE_SEPARATOR), held(e.title, "title", 1))
+    )
+    return shelves.select(F.concat(held(F.col("url"), "url", 0), F.lit(URL_SEPARATOR), F.array_join(docs, DOC_SEPARATOR)).alias("value"))
 
 
 def decode(lines: DataFrame, id_type: str = "int") -> DataFrame:
@@ -41,6 +53,37 @@ def write_catalog(shelves: DataFrame, path: str) -> None:
     encode(shelves).write.mode("errorifexists").text(path)
 
 
+def write_listing(listing: DataFrame, path: str, per_line: int = 10_000) -> None:
+    """Save a flat listing (as ``catalog.flatten`` gives it), a group in lines of ``per_line`` documents.
+
+    No group is gathered: a line is made from the documents whose place in the group falls
+    into its share. All lines of a group have its url; ``read_listing`` puts them in order.
+    """
+    entry = F.struct("ebook_pos", F.col("ebook_id").alias("id"), F.col("ebook_title").alias("title"))
+    lines = (
+        listing.where(F.col("ebook_id").isNotNull())
+        .groupBy("shelf_pos", "bookshelf_url", F.expr(f"ebook_pos div {per_line}").alias("part"))
+        .agg(F.array_sort(F.collect_list(entry)).alias("all"))
+    )
+    shelves = lines.select(
+        F.concat_ws("|", "shelf_pos", "part", "bookshelf_url").alias("url"),
+        F.transform("all", lambda e: F.struct(e.id.alias("id"), e.title.alias("title"))).alias("ebooks"),
+    )
+    encode(shelves).write.mode("errorifexists").text(path)
+
+
+def read_listing(spark: SparkSession, path: str, id_type: str = "int") -> DataFrame:
+    """The listing ``write_listing`` saved: shelf_pos, bookshelf_url, part, place, ebook_id, ebook_title.
+
+    ``part`` and ``place`` order the documents of a group.
+    """
+    head = F.split("url", r"\|", 3)
+    return decode(spark.read.text(path), id_type).select(
+        F.get(head, 0).cast("long").alias("shelf_pos"), F.get(head, 2).alias("bookshelf_url"),
+        F.get(head, 1).cast("long").alias("part"), F.posexplode("ebooks").alias("place", "e"),
+    ).select("shelf_pos", "bookshelf_url", "part", "place", F.col("e.id").alias("ebook_id"), F.col("e.title").alias("ebook_title"))
+
+
 def read_catalog(spark: SparkSession, path: str, id_type: str = "int") -> DataFrame:
     """Read the saved text."""
     return decode(spark.read.text(path), id_type)

@@ -2,32 +2,48 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from collections.abc import Callable
-from functools import lru_cache
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-@lru_cache(maxsize=None)
-def _local_root(app_id: str) -> str:
-    return tempfile.mkdtemp(prefix=f"skewdex-{app_id}-")
+#: Folders of tables that were staged inside ``temporary_tables``, innermost block last.
+_staged: list[list[str]] = []
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder the session names in ``spark.checkpoint.dir``.
+    """The folder the session names in ``spark.checkpoint.dir``, which all executors must reach.
 
-    Only a local session may go without one: there, driver and executors see the same disk.
+    Only a local session may go without one: there, driver and executors see the same disk,
+    and the session's warehouse is used.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return _local_root(spark.sparkContext.applicationId)
+    if spark.sparkContext.master.startswith("local["):
+        return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
     raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
 
 
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside the block are deleted at its end.
+
+    For jobs that write their result inside the block; a DataFrame that leaves it must not
+    read a table staged in it.
+    """
+    _staged.append([])
+    try:
+        yield
+    finally:
+        jvm = spark.sparkContext._jvm
+        for path in _staged.pop():
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and go on from the written table.
 
@@ -35,6 +51,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     however many branches follow, and Catalyst sees the true size.
     """
     path = f"{shared_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    if _staged:
+        _staged[-1].append(path)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -5,21 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-SPLIT_BYTES = 128 << 20
-
-
-def stored_bytes(spark: SparkSession, path: str) -> int:
-    """Total size of the files at ``path``."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(where).getLength()
-
-
 def read_spread(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet table, dealt out to all cores if it is too small to fill them by itself.
+    """A Parquet table, dealt out to all cores if its scan has fewer partitions than there are cores.
 
     A scan has one task per row group at the most, so a small file of one row group would
-    be cut by one core. A table of a full split per core or more is read as it lies.
+    be cut by one core. A table that fills the cores is read as it lies.
     """
     table = spark.read.parquet(path)
     cores = spark.sparkContext.defaultParallelism
-    return table.repartition(cores) if stored_bytes(spark, path) < cores * SPLIT_BYTES else table
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table

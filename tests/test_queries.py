@@ -45,4 +45,4 @@ def test_query_matches_sql(spark, sql, name):
 
 
 def test_entry(spark):
-    assert entry.entry(spark).columns == ["bookshelf", "title", "similarity_level"]
+    assert entry.entry(spark).columns == ["bookshelf", "title", "similarity_level", "place"]
