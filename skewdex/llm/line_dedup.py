@@ -12,11 +12,12 @@ from __future__ import annotations
 
 import os
 import sys
+from functools import reduce
 
 import numpy as np
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +31,8 @@ ERRORS = 2
 #: Lines of fewer characters are part of the text around them: they are never dropped.
 SHORTEST = 32
 REMEMBERED = 300_000
+#: Letters whose numbers are compared before lines are; any others would be right too.
+LETTERS = "etanoisrhd"
 _NAME = "sid long, check long"
 
 
@@ -63,6 +66,21 @@ def keys(line: str, errors: int) -> list[int]:
     return list(found)
 
 
+def tally(line: str) -> int:
+    """How often each of ``LETTERS`` occurs, modulo 8, in three bits each."""
+    return sum((line.count(letter) & 7) << 3 * at for at, letter in enumerate(LETTERS))
+
+
+def _may_be_near(errors: int, a: str, b: str) -> Column:
+    """An edit changes the length and the numbers of two letters by one at the most."""
+    near = F.abs(F.col(f"{a}.n") - F.col(f"{b}.n")) <= errors
+    gaps = [
+        F.abs(F.shiftright(F.col(f"{a}.pos"), 3 * at).bitwiseAND(7) - F.shiftright(F.col(f"{b}.pos"), 3 * at).bitwiseAND(7))
+        for at in range(len(LETTERS))
+    ]
+    return near & (reduce(Column.__add__, [F.least(gap, 8 - gap) for gap in gaps]) <= 2 * errors)
+
+
 def distance(a: str, b: str, errors: int) -> int:
     """Edit distance of two strings, or ``errors`` + 1 if it is larger.
 
@@ -140,7 +158,7 @@ def line_classes(docs: DataFrame, text_col: str, errors: int, shortest: int, lin
                 found = keys(line, errors)
                 entries = np.empty(len(found), ENTRY)
                 entries["key"] = np.array(found, np.uint64).view(np.int64)
-                entries["sid"], entries["n"], entries["pos"] = sid, len(line), 0
+                entries["sid"], entries["n"], entries["pos"] = sid, len(line), tally(line)
                 packer.add(entries, emit)
 
         step.close = packer.flush
@@ -165,7 +183,7 @@ def line_classes(docs: DataFrame, text_col: str, errors: int, shortest: int, lin
         joined = mine.join(few(pairs), "b").join(other, "a").select("a", "b", "mine", "other")
         return stage(map_rows(joined, "a long, b long, linked boolean, distance double", make).distinct(), "compared")
 
-    return classes(lists, lambda a, b: F.abs(F.col(f"{a}.n") - F.col(f"{b}.n")) <= errors, compare)
+    return classes(lists, lambda a, b: _may_be_near(errors, a, b), compare)
 
 
 def drop_repeated_lines(
