@@ -5,7 +5,7 @@ ones. What must run in sequence is kept small here. Items are sorted across the
 and numbered, and equal sizes are added up into runs, of which a group has fewer than
 sqrt(2 * its total size) however many items it has. Only the runs pass through the fold,
 one group at a time, as a stream, with the bin loads as its whole state; it gives back
-ranges of item numbers, and the items find their bin by a distributed range join.
+ranges of item numbers, and the items find their bin by a distributed join on their number.
 """
 
 from __future__ import annotations
@@ -18,8 +18,6 @@ from ..functions.firstfit import SLOTS, fold_runs
 from ..sources.staging import stage
 from .joins import lookup_join
 
-# Item numbers per join key of the range join between items and the ranges of the fold.
-CHUNK = 1024
 # Bins and partitions of the two re-layout modes where none are asked for.
 PACK_BINS, PARTITIONS = 16, 228
 
@@ -89,13 +87,10 @@ def _pack(
         .sortWithinPartitions("_start")
         .mapInPandas(fold_runs(nbins, capacity), SLOTS)
     )
-    # A range has a row for every chunk it reaches into, so items and ranges meet on equal keys.
-    reach = slots.withColumn("_chunk", F.explode(F.expr(f"sequence(lo div {CHUNK}, hi div {CHUNK})")))
-    met = placed.join(
-        reach, F.expr(f"_pos div {CHUNK} = _chunk") & F.col("_pos").between(F.col("lo"), F.col("hi"))
-    )
     turn = F.get("bins", ((F.col("_pos") - F.col("lo")) % F.size("bins")).cast("int"))
-    return met.select(*group, *item, size, turn.alias("bin"))
+    # Every item number is in one range; items and ranges meet on it.
+    bins = slots.select("lo", "bins", F.explode(F.sequence("lo", "hi")).alias("_pos")).select("_pos", turn.alias("bin"))
+    return placed.join(bins, "_pos").select(*group, *item, size, "bin")
 
 
 def pack_n_bins(
