@@ -54,8 +54,8 @@ def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     rows = rows.withColumn("row", F.monotonically_increasing_id())
     place = F.struct(F.col(doc).isNull().alias("last"), F.col(doc).alias("doc"), "row").alias("place")
     found = jaccard.similarity_classes(rows.select(place, text), "place", text, GRAM, SIMILAR)
-    losers = stage(found.where("place <> component_id").select("place.row"), "similar")
-    return rows.join(few(losers), "row", "left_anti").drop("row").toDF(*docs.columns)
+    losers = few(found.where("place <> component_id").select("place.row"), "similar")
+    return rows.join(losers, "row", "left_anti").drop("row").toDF(*docs.columns)
 
 
 def drop_leaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ round goes on from a written table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from skewdex.sources.staging import stage
@@ -32,10 +32,12 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         # Small star: a node and its smaller neighbours are linked to the smallest of those.
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = stage(small.union(least.select("u", F.col("m").alias("v"))).distinct(), "links")
-        found = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(found) == state:
+        seen = Observation()
+        links = small.union(least.select("u", F.col("m").alias("v"))).distinct()
+        digest = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("print")
+        now = stage(links.observe(seen, F.count(F.lit(1)).alias("n"), digest), "links")
+        if seen.get == state:
             break
-        state = tuple(found)
+        state = seen.get
     roots = now.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)

@@ -28,8 +28,8 @@ from skewdex.sources.staging import stage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Counters of the sketch, whatever the size of the corpus.
-COUNTERS = 1 << 20
+#: Counters of the sketch, whatever the size of the corpus, and the slices they are summed in.
+COUNTERS, SLICES = 1 << 20, 16
 REMEMBERED = 200_000
 #: One n-gram in this many is listed beyond what shows that two sets share anything; what they
 #: share must then be as many more, which leaves out sets that share little.
@@ -80,7 +80,7 @@ def prefix_length(n: int, percent: int) -> int:
 def _profile(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
     """Staged: a row per document (id, text_key, sid, check, n), and rows of the sketch (counts)."""
     schema = T.StructType([
-        T.StructField("id", docs.schema[id_col].dataType), *T.StructType.fromDDL("text_key long, sid long, check long, n int, counts binary").fields
+        T.StructField("id", docs.schema[id_col].dataType), *T.StructType.fromDDL("text_key long, sid long, check long, n int, slice int, counts binary").fields
     ])
 
     def make():
@@ -100,14 +100,15 @@ def _profile(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFram
             n_held += len(found)
             if n_held > COUNTERS:
                 count()
-            emit(doc, key, set_id(found), set_id(found, 1), len(found), None)
+            emit(doc, key, set_id(found), set_id(found, 1), len(found), None, None)
 
         def close(emit):
             count()
-            place = np.flatnonzero(counts)
-            if len(place):
-                packed = np.stack([place.astype(np.uint32), counts[place]]).tobytes()
-                emit(None, None, None, None, None, packed, size=len(packed))
+            for number, part in enumerate(np.split(counts, SLICES)):
+                place = np.flatnonzero(part)
+                if len(place):
+                    packed = np.stack([place.astype(np.uint32), part[place]]).tobytes()
+                    emit(None, None, None, None, None, number, packed, size=len(packed))
 
         step.close = close
         return step
@@ -118,34 +119,32 @@ def _profile(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFram
 
 
 def _sketch(profile: DataFrame) -> np.ndarray:
-    """The counters of the whole corpus: a fixed 8 MB, summed in parts before they meet."""
-    packed = T.StructType.fromDDL("counts binary")
+    """The counters of the whole corpus, up to 2**32 - 1: a fixed 4 MB, summed slice by slice in tasks."""
 
     def make():
-        total = np.zeros(COUNTERS, np.uint64)
+        totals: dict[int, np.ndarray] = {}
 
-        def step(emit, counts):
+        def step(emit, number, counts):
             place, n = np.frombuffer(counts, np.uint32).reshape(2, -1)
-            total[place] += n
+            totals.setdefault(number, np.zeros(COUNTERS // SLICES, np.uint64))[place] += n
 
         def close(emit):
-            place = np.flatnonzero(total)
-            emit(place.astype("<u4").tobytes() + total[place].astype("<u8").tobytes())
+            for number, total in totals.items():
+                emit(number, np.minimum(total, (1 << 32) - 1).astype(np.uint32).tobytes())
 
         step.close = close
         return step
 
-    parts = profile.where("counts is not null").select("counts").repartition(8)
-    total = np.zeros(COUNTERS, np.uint64)
-    for row in map_rows(parts, packed, make).toLocalIterator():
-        n = len(row["counts"]) // 12
-        total[np.frombuffer(row["counts"], "<u4", n)] += np.frombuffer(row["counts"], "<u8", n, 4 * n)
-    return total
+    parts = profile.where("counts is not null").select("slice", "counts").repartitionById(SLICES, F.col("slice"))
+    sketch = np.zeros((SLICES, COUNTERS // SLICES), np.uint32)
+    for row in map_rows(parts, "slice int, counts binary", make).collect():
+        sketch[row["slice"]] = np.frombuffer(row["counts"], np.uint32)
+    return sketch.reshape(-1)
 
 
 def _lists(docs: DataFrame, text_col: str, size: int, percent: int, sketch: np.ndarray, buckets: int) -> DataFrame:
     """Staged (key, sid, n, pos): the prefix entries whose n-gram several sets share."""
-    counts_of = docs.sparkSession.sparkContext.broadcast(np.minimum(sketch, 1 << 31).astype(np.uint32))
+    counts_of = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def make():
         words, counts, seen, packer = _Words(), counts_of.value, set(), Packer(buckets)
@@ -200,7 +199,7 @@ def _sets(docs: DataFrame, text_col: str, size: int, wanted: DataFrame) -> DataF
         return step
 
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.xxhash64(text).alias("text_key"), text.alias("text")).join(few(wanted), "text_key").select(F.col("text").cast("binary"))
+    rows = docs.select(F.xxhash64(text).alias("text_key"), text.alias("text")).join(wanted, "text_key").select(F.col("text").cast("binary"))
     return stage(map_rows(rows, "sid long, grams binary", make), "sets")
 
 
@@ -218,7 +217,7 @@ def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     mine = sets.select(F.col("sid").alias("b"), F.col("grams").alias("mine"))
     other = sets.select(F.col("sid").alias("a"), F.col("grams").alias("other"))
-    joined = mine.join(few(pairs), "b").join(other, "a").select("a", "b", "mine", "other")
+    joined = mine.join(pairs, "b").join(other, "a").select("a", "b", "mine", "other")
     return stage(map_rows(joined, "a long, b long, linked boolean, distance double", make).distinct(), "compared")
 
 
@@ -261,7 +260,7 @@ def _classes(docs, text_col, size, percent, profile, full, buckets) -> DataFrame
     least = f"(n * {percent} + 99) div 100"  # n-grams of the smallest set that one of n can be linked with
     lists = pruned(lists, F.expr(f"least({least}, 1 + {least} div {SPARE})"))
     keys = full.groupBy("sid").agg(F.min("text_key").alias("text_key"))
-    wanted = stage(lists.select("sid").distinct().join(keys, "sid").select("text_key").distinct(), "wanted")
+    wanted = few(lists.select("sid").distinct().join(keys, "sid").select("text_key").distinct(), "wanted")
     sets = _sets(docs, text_col, size, wanted)
     return classes(
         lists, lambda a, b: _may_reach(percent, a, b), lambda pairs: _compared(pairs, sets, percent),

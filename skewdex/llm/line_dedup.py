@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skewdex.llm.arrow import map_rows
-from skewdex.llm.lists import BUCKET, ENTRY, PACKED, Packer, classes, few, shared
+from skewdex.llm.lists import BUCKET, ENTRY, PACKED, Packer, classes, counted, few, shared
 from skewdex.sources.staging import stage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -165,8 +165,8 @@ def line_classes(docs: DataFrame, text_col: str, errors: int, shortest: int, lin
         return step
 
     lists = shared(map_rows(docs.select(F.col(text_col)), PACKED, make), buckets)
-    wanted = stage(lists.select("sid").distinct(), "wanted")
-    texts = stage(_lines(docs, text_col, shortest).join(few(wanted), "sid").dropDuplicates(["sid", "line"]), "line-texts")
+    wanted = few(lists.select("sid").distinct(), "wanted")
+    texts = stage(_lines(docs, text_col, shortest).join(wanted, "sid").dropDuplicates(["sid", "line"]), "line-texts")
     if texts.groupBy("sid").count().where("count > 1").head(1):
         raise ValueError("two different lines have the same 64-bit id")
 
@@ -180,7 +180,7 @@ def line_classes(docs: DataFrame, text_col: str, errors: int, shortest: int, lin
 
         mine = texts.select(F.col("sid").alias("b"), F.col("line").alias("mine"))
         other = texts.select(F.col("sid").alias("a"), F.col("line").alias("other"))
-        joined = mine.join(few(pairs), "b").join(other, "a").select("a", "b", "mine", "other")
+        joined = mine.join(pairs, "b").join(other, "a").select("a", "b", "mine", "other")
         return stage(map_rows(joined, "a long, b long, linked boolean, distance double", make).distinct(), "compared")
 
     return classes(lists, lambda a, b: _may_be_near(errors, a, b), compare)
@@ -213,11 +213,12 @@ def drop_repeated_lines(
 
         return step
 
-    held = stage(map_rows(rows, found, make), "lines")
-    labels = line_classes(docs, text_col, errors, shortest, held.count())
+    held, n_lines = counted(map_rows(rows, found, make), "lines")
+    labels = line_classes(docs, text_col, errors, shortest, n_lines)
     named = held.withColumn("kind", F.concat_ws(":", "sid", "check"))
     if labels is not None:
-        named = named.join(few(labels.withColumnRenamed("node", "sid")), "sid", "left").withColumn(
+        labels = few(labels.withColumnRenamed("node", "sid"), "line-classes")
+        named = named.join(labels, "sid", "left").withColumn(
             "kind", F.coalesce(F.concat(F.lit("c"), F.col("component")), "kind")
         )
     place = F.struct(F.col("id").isNull().alias("last"), "id", "text_key", "no")

@@ -21,7 +21,7 @@ from collections.abc import Callable
 
 import numpy as np
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,7 +37,7 @@ BUCKET, HELD = 1 << 20, 1 << 19
 #: Of a key with more entries than this in one task, all but two go past the buckets.
 LONG = 64
 #: Rounds in which classes are compared by representatives.
-ROUNDS = 3
+ROUNDS = 2
 ENTRY = np.dtype([("key", "<i8"), ("sid", "<i8"), ("n", "<i4"), ("pos", "<i4")])
 PACKED = "bucket int, packed binary"
 
@@ -119,9 +119,16 @@ def pruned(lists: DataFrame, need: Column, times: int = 2) -> DataFrame:
     return lists
 
 
-def few(df: DataFrame) -> DataFrame:
+def counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """A staged table and its number of rows."""
+    seen = Observation()
+    return stage(df.observe(seen, F.count(F.lit(1)).alias("n")), name), seen.get["n"]
+
+
+def few(df: DataFrame, name: str) -> DataFrame:
     """A staged table of narrow rows, broadcast if it has few of them."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    table, n = counted(df, name)
+    return F.broadcast(table) if n <= BROADCAST_ROWS else table
 
 
 def classes(
@@ -142,15 +149,15 @@ def classes(
             ends = entries.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
             entries = entries.join(ends.where("low <> high").select("key"), "key")
         last = turn >= ROUNDS
-        pairs = stage(_rest(entries, may_link, tested, apart) if last else _with_pivots(entries, may_link, tested), "pairs")
-        if pairs.head(1):
-            found = compare(pairs)
+        pairs, n = counted(_rest(entries, may_link, tested, apart) if last else _with_pivots(entries, may_link, tested), "pairs")
+        if n:
+            found = compare(F.broadcast(pairs) if n <= BROADCAST_ROWS else pairs)
             tested = found if tested is None else tested.unionByName(found)
             if found.where("linked").head(1):
                 labels = stage(components(tested.where("linked")), "labels")
         if last:
             return labels
-        turn = turn + 1 if pairs.head(1) else ROUNDS  # further rounds would find nothing either
+        turn = turn + 1 if n else ROUNDS  # further rounds would find nothing either
 
 
 _ENTRY = ("sid", "n", "pos")
