@@ -13,10 +13,36 @@ from skewdex.llm import byte_bpe, decontamination, exact_dedup, files, jaccard,
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_decontamination": rf"""WITH docs AS (SELECT doc_id, list_filter(string_split_regex({_LOWER}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS ws FROM documents),
+        items AS (SELECT item_id, list_filter(string_split_regex({_LOWER}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS ws FROM benchmark),
+        windows AS (SELECT DISTINCT item_id, least(len(ws), 10) AS size, array_to_string(ws[p:p + least(len(ws), 10) - 1], ' ') AS words
+          FROM (SELECT *, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS p FROM items WHERE len(ws) > 0)),
+        sizes AS (SELECT DISTINCT size FROM windows),
+        places AS (SELECT doc_id, size, p, array_to_string(ws[p:p + size - 1], ' ') AS words
+          FROM (SELECT *, unnest(range(1, len(ws) - size + 2)) AS p FROM docs, sizes WHERE len(ws) >= size)),
+        hits AS (SELECT doc_id, size, p, item_id FROM places JOIN windows USING (size, words)),
+        words AS (SELECT doc_id, count(DISTINCT place) AS n_hit
+          FROM (SELECT doc_id, unnest(range(p, p + size)) AS place FROM hits) GROUP BY doc_id),
+        found AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS named
+          FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id)
+        SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+          sha256(coalesce(named, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+        FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)""",
     "op5_exact_dedup": f"""WITH rows AS (SELECT doc_id, {_LOWER} AS t FROM documents)
         SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
             doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
         FROM rows""",
+    "op7_ngram_jaccard": rf"""WITH RECURSIVE docs AS (SELECT doc_id, list_filter(string_split_regex({_LOWER}, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws FROM documents),
+        grams AS (SELECT DISTINCT doc_id, array_to_string(ws[p:p + 3], ' ') AS gram
+          FROM (SELECT *, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) AS p FROM docs WHERE len(ws) > 0)),
+        sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+        shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM grams a JOIN grams b USING (gram)
+          WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+        links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+          WHERE 100 * c >= 85 * (x.n + y.n - c)),
+        reach AS (SELECT doc_id AS a, doc_id AS b FROM docs UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+        least_ AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+        SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id FROM least_ LEFT JOIN sizes USING (doc_id)""",
 }
 
 
