@@ -33,6 +33,8 @@ SHORTEST = 32
 REMEMBERED = 300_000
 #: Letters whose numbers are compared before lines are; any others would be right too.
 LETTERS = "etanoisrhd"
+#: Beside the letters' numbers: the line is listed here to find others, not to be found.
+FINDS = 1 << 3 * len(LETTERS)
 _NAME = "sid long, check long"
 
 
@@ -49,12 +51,12 @@ def segments(length: int, errors: int) -> list[tuple[int, int]]:
     return [(sum(sizes[:i]), sizes[i]) for i in range(errors + 1)]
 
 
-def keys(line: str, errors: int) -> list[int]:
+def keys(line: str, errors: int) -> dict[int, bool]:
     """Where a line is listed: segments of lines up to ``errors`` shorter that it could contain.
 
-    For its own length these include its own segments.
+    True for its own segments, with which it is found; by the others it finds shorter lines.
     """
-    n, found = len(line), set()
+    n, found = len(line), {}
     for length in range(max(n - errors, errors + 1), n + 1):
         gap = n - length
         for i, (start, size) in enumerate(segments(length, errors)):
@@ -62,8 +64,9 @@ def keys(line: str, errors: int) -> list[int]:
             low = max(0, start - i, start + gap - (errors - i))
             high = min(n - size, start + i, start + gap + (errors - i))
             for at in range(low, high + 1):
-                found.add(xxhash.xxh64_intdigest(line[at : at + size], (length << 8) + i))
-    return list(found)
+                key = xxhash.xxh64_intdigest(line[at : at + size], (length << 8) + i)
+                found[key] = found.get(key, False) or length == n and at == start
+    return found
 
 
 def tally(line: str) -> int:
@@ -73,7 +76,9 @@ def tally(line: str) -> int:
 
 def _may_be_near(errors: int, a: str, b: str) -> Column:
     """An edit changes the length and the numbers of two letters by one at the most."""
-    near = F.abs(F.col(f"{a}.n") - F.col(f"{b}.n")) <= errors
+    near = (F.abs(F.col(f"{a}.n") - F.col(f"{b}.n")) <= errors) & (
+        (F.col(f"{a}.pos") < FINDS) | (F.col(f"{b}.pos") < FINDS)
+    )
     gaps = [
         F.abs(F.shiftright(F.col(f"{a}.pos"), 3 * at).bitwiseAND(7) - F.shiftright(F.col(f"{b}.pos"), 3 * at).bitwiseAND(7))
         for at in range(len(LETTERS))
@@ -157,8 +162,9 @@ def line_classes(docs: DataFrame, text_col: str, errors: int, shortest: int, lin
                 seen.add(sid)
                 found = keys(line, errors)
                 entries = np.empty(len(found), ENTRY)
-                entries["key"] = np.array(found, np.uint64).view(np.int64)
-                entries["sid"], entries["n"], entries["pos"] = sid, len(line), tally(line)
+                entries["key"] = np.fromiter(found, np.uint64, len(found)).view(np.int64)
+                entries["sid"], entries["n"] = sid, len(line)
+                entries["pos"] = tally(line) | np.where(np.fromiter(found.values(), bool, len(found)), 0, FINDS)
                 packer.add(entries, emit)
 
         step.close = packer.flush
@@ -183,7 +189,7 @@ def line_classes(docs: DataFrame, text_col: str, errors: int, shortest: int, lin
         joined = mine.join(pairs, "b").join(other, "a").select("a", "b", "mine", "other")
         return stage(map_rows(joined, "a long, b long, linked boolean, distance double", make).distinct(), "compared")
 
-    return classes(lists, lambda a, b: _may_be_near(errors, a, b), compare)
+    return classes(lists, lambda a, b: _may_be_near(errors, a, b), compare, rank=F.when(F.col("pos") < FINDS, 0).otherwise(1))
 
 
 def drop_repeated_lines(

@@ -133,14 +133,16 @@ def few(df: DataFrame, name: str) -> DataFrame:
 
 def classes(
     lists: DataFrame, may_link: Callable[[str, str], Column], compare: Callable[[DataFrame], DataFrame],
-    apart: Callable[[Column, Column], Column] | None = None,
+    apart: Callable[[Column, Column], Column] | None = None, rank: Column | None = None,
 ) -> DataFrame | None:
     """(node, component): the class of each ``sid`` that is linked with another; None if none is.
 
     ``may_link(a, b)`` says whether two entries of a list (structs of sid, n, pos) could be
     similar. ``compare`` takes pairs (a, b) and returns a staged (a, b, linked, distance).
     ``apart(p, q)`` says whether two whose distances from a third are p and q can't be similar.
+    Pivots and representatives are the entries with the least ``rank``, then ``sid``.
     """
+    rank = F.lit(0) if rank is None else rank
     tested, labels, turn = None, None, 0
     while True:
         entries = lists if labels is None else lists.join(labels.withColumnRenamed("node", "sid"), "sid", "left")
@@ -149,7 +151,7 @@ def classes(
             ends = entries.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
             entries = entries.join(ends.where("low <> high").select("key"), "key")
         last = turn >= ROUNDS
-        pairs, n = counted(_rest(entries, may_link, tested, apart) if last else _with_pivots(entries, may_link, tested), "pairs")
+        pairs, n = counted(_rest(entries, may_link, tested, apart) if last else _with_pivots(entries, may_link, tested, rank), "pairs")
         if n:
             found = compare(F.broadcast(pairs) if n <= BROADCAST_ROWS else pairs)
             tested = found if tested is None else tested.unionByName(found)
@@ -163,9 +165,9 @@ def classes(
 _ENTRY = ("sid", "n", "pos")
 
 
-def _with_pivots(entries: DataFrame, may_link, tested: DataFrame | None) -> DataFrame:
+def _with_pivots(entries: DataFrame, may_link, tested: DataFrame | None, rank: Column) -> DataFrame:
     """(a, b): each class's representative in a list with the list's pivot, the best pivot for each b."""
-    named = entries.groupBy("key", "component").agg(F.min(F.struct(*_ENTRY)).alias("b"))
+    named = entries.groupBy("key", "component").agg(F.min(F.struct(rank.alias("rank"), *_ENTRY)).alias("b"))
     pivots = named.groupBy("key").agg(F.min("b").alias("a"), F.min_by("component", "b").alias("pivot"))
     met = named.join(pivots, "key").where((F.col("component") != F.col("pivot")) & may_link("a", "b"))
     met = met.groupBy(F.col("a.sid").alias("a"), F.col("b.sid").alias("b")).agg(F.count(F.lit(1)).alias("n"))
