@@ -7,8 +7,12 @@ unsigned 32-bit integers.
 
 from __future__ import annotations
 
+import json
+import string
 import sys
+import unicodedata
 from collections.abc import Callable
+from struct import pack
 
 import numpy as np
 from pyspark import cloudpickle
@@ -22,30 +26,84 @@ from skewdex.llm.arrow import kept, map_rows
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Pieces a worker remembers before it starts anew, and the longest that it remembers.
-REMEMBERED, REMEMBERED_CHARS = 300_000, 48
+REMEMBERED, REMEMBERED_CHARS = 500_000, 48
+#: Fixed value: the rule by which such a tokenizer cuts normalised text.
+CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Marks that end a word and are cut off by the rule, as one run; the apostrophe has rules of its own.
+MARKS = string.punctuation.replace("'", "")
+
+
+def _cuts_plainly(tokenizer_json: str) -> bool:
+    """Whether the file composes and lower-cases text and cuts it by ``CUT``, all on single characters."""
+    content = json.loads(tokenizer_json)
+    before, cut = content.get("normalizer") or {}, content.get("pre_tokenizer") or {}
+    steps = [step["type"] for step in before.get("normalizers", ())]
+    parts = {part["type"]: part for part in cut.get("pretokenizers", ())}
+    return (
+        content["model"]["type"] == "BPE" and steps == ["NFC", "Replace", "Lowercase"] and list(parts) == ["Split", "ByteLevel"]
+        and parts["Split"]["pattern"] == {"Regex": CUT} and parts["Split"]["invert"]
+        and not parts["ByteLevel"]["add_prefix_space"] and not parts["ByteLevel"]["use_regex"]
+    )
+
+
+def _shown_bytes() -> dict[int, int]:
+    """The character that stands for each byte in a byte-level vocabulary: itself if it can be shown."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: b for b in shown} | {b: 256 + at for at, b in enumerate(hidden)}
 
 
 def piece_encoder(tokenizer_json: str) -> Callable[[str], bytes]:
-    """A function from text to ids; equal to the library's result for the whole text."""
+    """A function from text to ids; equal to the library's result for the whole text.
+
+    Where the file cuts plainly, a word of letters and the marks after it go straight to the
+    library's model, each once; all other pieces are encoded as texts.
+    """
     library = Tokenizer.from_str(tokenizer_json)
     library.encode_special_tokens = True  # their strings in a text are ordinary text
     library.no_truncation()
+    model, plain, shown = library.model, _cuts_plainly(tokenizer_json), _shown_bytes()
     known: dict[str, bytes] = {"": b""}
+    words: dict[str, bytes] = {"": b""}
+
+    def word(text: str) -> bytes:
+        if (ids := words.get(text)) is None:
+            if len(words) > REMEMBERED // 2:
+                words.clear()
+                words[""] = b""
+            found = model.tokenize(text.encode().decode("latin-1").translate(shown))
+            ids = words[text] = pack(f"<{len(found)}I", *[token.id for token in found])
+        return ids
+
+    def quickly(piece: str) -> bytes | None:
+        letters = piece.rstrip(MARKS)
+        if not letters.isalpha() or len(piece) > REMEMBERED_CHARS:
+            return None
+        if letters.isascii():
+            lower = letters.lower()
+        else:
+            lower = "".join(map(str.lower, unicodedata.normalize("NFC", letters)))
+            if not lower.isalpha():
+                return None
+        return word(lower) if letters == piece else word(lower) + word(piece[len(letters) :])
 
     def encode(text: str) -> bytes:
         pieces = text.replace("\n", " ").split(" ")
         if len(known) > REMEMBERED:
             known.clear()
             known[""] = b""
-        new = [p for p in set(pieces) if p not in known]
-        if not new:
-            return b"".join(map(known.__getitem__, pieces))
-        found = {
-            piece: np.array(e.ids, "<u4").tobytes()
-            for piece, e in zip(new, library.encode_batch_fast(new, add_special_tokens=False), strict=True)
-        }
-        known.update((p, ids) for p, ids in found.items() if len(p) <= REMEMBERED_CHARS)
-        return b"".join(found[p] if p in found else known[p] for p in pieces)
+        found, others = {}, []
+        for piece in set(pieces):
+            if piece not in known:
+                ids = quickly(piece) if plain else None
+                if ids is None:
+                    others.append(piece)
+                else:
+                    known[piece] = ids
+        for piece, e in zip(others, library.encode_batch_fast(others, add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, "<u4").tobytes()
+            (known if len(piece) <= REMEMBERED_CHARS else found)[piece] = ids
+        return b"".join([found[p] if p in found else known[p] for p in pieces] if found else map(known.__getitem__, pieces))
 
     return encode
 
