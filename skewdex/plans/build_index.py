@@ -109,7 +109,8 @@ def build_index(
 ) -> None:
     """Build the index (see ``index_library``) and replace the one in ``directory``."""
     with temporary_tables(listing.sparkSession):
-        write_index(index_library(listing, lengths, texts, **options), directory)
+        # Staged, as the layout by ranges reads its input twice, to sample it and to move it.
+        write_index(stage(index_library(listing, lengths, texts, **options), "index"), directory)
 
 
 def search_index(
