@@ -265,4 +265,5 @@ def _classes(docs, text_col, size, percent, profile, full, buckets) -> DataFrame
     return classes(
         lists, lambda a, b: _may_reach(percent, a, b), lambda pairs: _compared(pairs, sets, percent),
         lambda p, q: F.abs(p - q) > 1 - percent / 100 + 1e-9,
+        need=F.expr(f"least((high * {percent} + 99) div 100, 1 + low div {SPARE})"),
     )

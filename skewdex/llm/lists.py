@@ -134,13 +134,15 @@ def few(df: DataFrame, name: str) -> DataFrame:
 def classes(
     lists: DataFrame, may_link: Callable[[str, str], Column], compare: Callable[[DataFrame], DataFrame],
     apart: Callable[[Column, Column], Column] | None = None, rank: Column | None = None,
+    need: Column | None = None,
 ) -> DataFrame | None:
     """(node, component): the class of each ``sid`` that is linked with another; None if none is.
 
     ``may_link(a, b)`` says whether two entries of a list (structs of sid, n, pos) could be
     similar. ``compare`` takes pairs (a, b) and returns a staged (a, b, linked, distance).
     ``apart(p, q)`` says whether two whose distances from a third are p and q can't be similar.
-    Pivots and representatives are the entries with the least ``rank``, then ``sid``.
+    Pivots and representatives are the entries with the least ``rank``, then ``sid``. Two must
+    share at least ``need`` lists to be similar, an expression of their sizes, ``low`` and ``high``.
     """
     rank = F.lit(0) if rank is None else rank
     tested, labels, turn = None, None, 0
@@ -151,7 +153,7 @@ def classes(
             ends = entries.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
             entries = entries.join(ends.where("low <> high").select("key"), "key")
         last = turn >= ROUNDS
-        pairs, n = counted(_rest(entries, may_link, tested, apart) if last else _with_pivots(entries, may_link, tested, rank), "pairs")
+        pairs, n = counted(_rest(entries, may_link, tested, apart, need) if last else _with_pivots(entries, may_link, tested, rank), "pairs")
         if n:
             found = compare(F.broadcast(pairs) if n <= BROADCAST_ROWS else pairs)
             tested = found if tested is None else tested.unionByName(found)
@@ -176,7 +178,7 @@ def _with_pivots(entries: DataFrame, may_link, tested: DataFrame | None, rank: C
     return met.groupBy("b").agg(F.max(F.struct("n", "a"))["a"].alias("a")).select("a", "b")
 
 
-def _rest(entries: DataFrame, may_link, tested: DataFrame | None, apart) -> DataFrame:
+def _rest(entries: DataFrame, may_link, tested: DataFrame | None, apart, need: Column | None) -> DataFrame:
     """Every pair of a list that could still link two classes, and was not compared.
 
     The largest class of a list meets the others only, never itself.
@@ -189,7 +191,13 @@ def _rest(entries: DataFrame, may_link, tested: DataFrame | None, apart) -> Data
     met = others.join(everyone, "key").where(
         (F.col("of_a") != F.col("of_b")) & ((F.col("of_b") == F.col("largest")) | (F.col("x.sid") < F.col("y.sid"))) & may_link("x", "y")
     )
-    pairs = met.select(F.least("x.sid", "y.sid").alias("a"), F.greatest("x.sid", "y.sid").alias("b")).distinct()
+    low, high = F.least("x.n", "y.n").alias("low"), F.greatest("x.n", "y.n").alias("high")
+    pairs = (
+        met.select(F.least("x.sid", "y.sid").alias("a"), F.greatest("x.sid", "y.sid").alias("b"), low, high)
+        .groupBy("a", "b", "low", "high").agg(F.count(F.lit(1)).alias("n_lists"))
+        .where(F.col("n_lists") >= (F.lit(1) if need is None else need))
+        .select("a", "b")
+    )
     if tested is None:
         return pairs
     both = tested.select("a", "b", "distance").union(tested.select(F.col("b").alias("a"), F.col("a").alias("b"), "distance"))
