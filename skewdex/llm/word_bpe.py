@@ -93,13 +93,12 @@ def piece_encoder(tokenizer_json: str) -> Callable[[str], bytes]:
             known.clear()
             known[""] = b""
         found, others = {}, []
-        for piece in set(pieces):
-            if piece not in known:
-                ids = quickly(piece) if plain else None
-                if ids is None:
-                    others.append(piece)
-                else:
-                    known[piece] = ids
+        for piece in set(pieces).difference(known):
+            ids = quickly(piece) if plain else None
+            if ids is None:
+                others.append(piece)
+            else:
+                known[piece] = ids
         for piece, e in zip(others, library.encode_batch_fast(others, add_special_tokens=False), strict=True):
             ids = np.array(e.ids, "<u4").tobytes()
             (known if len(piece) <= REMEMBERED_CHARS else found)[piece] = ids
