@@ -144,3 +144,12 @@ def test_stages_take_empty_tables_and_further_columns(spark, library, tmp_path):
         assert function(spark, docs, folder).count() == 0
         found = function(spark, clash, folder)
         assert found.columns == clash.columns and found.count() == 0
+
+
+def test_short_lines_of_their_own_keep_a_document(spark):
+    footer = "All of this is licensed to be copied, says the footer."
+    docs = [(1, f"Own words.\n{footer}"), (2, f"a b\n\nEngezuver au.\n{footer}"), (3, footer), (4, f" \n{footer}\n\u00a0\t"), (5, None), (6, " ")]
+    table = spark.createDataFrame([(k, t, "en", "s", len(t or "")) for k, t in docs], COLUMNS)
+    got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.drop_lines(spark, table, "").collect()}
+    left = "a b\n\nEngezuver au."
+    assert got == {1: (docs[0][1], len(docs[0][1])), 2: (left, len(left)), 5: (None, 0), 6: (" ", 1)}
