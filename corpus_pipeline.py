@@ -34,9 +34,9 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without lines that are near an earlier line, and without documents of which only white space is left."""
+    """Without lines that repeat an earlier one, and without documents of which only white space is left."""
     rows, doc, text = _plain(docs)
-    kept = line_dedup.drop_repeated_lines(rows, doc, text)
+    kept = line_dedup.drop_repeated_lines(rows, doc, text, equal=True)
     kept = kept.where((F.col("n_dropped") == 0) | F.col(text).rlike(r"(?U)\S"))
     if "n_chars" in docs.columns:
         chars = f"c{docs.columns.index('n_chars')}"

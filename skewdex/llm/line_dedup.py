@@ -28,7 +28,7 @@ from skewdex.sources.staging import stage
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ERRORS = 2
-#: Lines of fewer characters are part of the text around them: they are never dropped.
+#: Lines of fewer characters are not compared by edits: a few edits turn one into quite another.
 SHORTEST = 32
 REMEMBERED = 300_000
 #: Letters whose numbers are compared before lines are; any others would be right too.
@@ -193,16 +193,18 @@ def line_classes(docs: DataFrame, text_col: str, errors: int, shortest: int, lin
 
 
 def drop_repeated_lines(
-    docs: DataFrame, id_col: str, text_col: str, errors: int = ERRORS, shortest: int = SHORTEST,
+    docs: DataFrame, id_col: str, text_col: str, errors: int = ERRORS, shortest: int = SHORTEST, equal: bool = False,
 ) -> DataFrame:
     """``docs`` with repeated lines dropped, and n_lines, n_long, n_dropped.
 
     Lines are what line feeds separate. Lines of ``shortest`` characters or more that chains
-    of edit distances of at most ``errors`` link are one class. The first line of a class
-    stays, in the order of id (null last), text and line; all others go, also within one
-    document. A null text stays null and has no lines. Rows that share id and text are one
-    document given twice and lose the same lines. All columns are kept, but for those named
-    as the new ones, which are replaced; ``n_long`` counts the lines that could go.
+    of edit distances of at most ``errors`` link are one class. With ``equal``, shorter lines
+    that are equal are one class, too; those of white space alone are layout and stay. The
+    first line of a class stays, in the order of id (null last), text and line; all others go,
+    also within one document. A null text stays null and has no lines. Rows that share id and
+    text are one document given twice and lose the same lines. All columns are kept, but for
+    those named as the new ones, which are replaced; ``n_long`` counts the lines of
+    ``shortest`` characters or more.
     """
     if shortest <= errors:
         raise ValueError("a line needs a character for each segment")
@@ -214,8 +216,9 @@ def drop_repeated_lines(
 
     def make():
         def step(emit, doc, text_key, text):
-            for no, line in _split(text, shortest):
-                emit(doc, text_key, no, *name(line))
+            for no, line in _split(text, 1 if equal else shortest):
+                if len(line) >= shortest or not line.isspace():
+                    emit(doc, text_key, no, *name(line))
 
         return step
 

@@ -71,9 +71,9 @@ def op7_ngram_jaccard(spark, sf_dir):
 
 
 def op8_line_dedup(spark, sf_dir):
-    """Documents without the lines that are within two edits of an earlier line."""
+    """Documents without the lines that are within two edits of an earlier line, or short and equal to one."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return line_dedup.drop_repeated_lines(docs, "doc_id", "text").select(
+    return line_dedup.drop_repeated_lines(docs, "doc_id", "text", equal=True).select(
         "doc_id", "n_lines", "n_long", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
     )
 

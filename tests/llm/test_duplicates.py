@@ -173,6 +173,16 @@ def test_op8(spark, tmp_path):
     assert line_dedup.drop_repeated_lines(none, "doc_id", "text").count() == 0
 
 
+def test_op8_drops_short_lines_that_are_equal(spark, tmp_path):
+    line = "a line of forty characters, or a bit more"
+    docs = [(1, "All rights reserved.\n\n \nown"), (2, f"{line}\nAll rights reserved.\n\n \nAll rights reserved"), (3, "own\nown"), (None, "own")]
+    spark.createDataFrame(docs, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    kept = {1: docs[0][1], 2: f"{line}\n\n \nAll rights reserved", 3: "", None: ""}
+    counts = {1: (4, 0, 0), 2: (5, 1, 1), 3: (2, 0, 2), None: (1, 0, 1)}
+    got = {r.doc_id: (r.n_lines, r.n_long, r.n_dropped, r.kept_sha256) for r in queries.op8_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == {k: (*counts[k], hashlib.sha256(t.encode()).hexdigest()) for k, t in kept.items()}
+
+
 def repeating_docs():
     rng = random.Random(3)
     text = lambda n: "".join(rng.choice("abcdefgh é") for _ in range(n))
