@@ -48,14 +48,15 @@ IDENTITY = (
 )
 WORD = re.compile(r"\w+")
 SWAPS = {term: group[(at + 1) % len(group)] for group in IDENTITY for at, term in enumerate(group)}
-REMEMBERED = 300_000
+#: Words whose features are remembered, and the characters of the longest of them.
+REMEMBERED, REMEMBERED_CHARS = 300_000, 64
 
 
 def features(word: str) -> tuple[int, ...]:
     """Hashed features of a word: itself and its five-grams, with the ends marked."""
     marked = f"<{word}>"
-    grams = {marked[at : at + 5] for at in range(len(marked) - 4)} if len(word) <= 64 else set()
-    return tuple({xxhash.xxh32_intdigest(g) % SPACE for g in (*grams, f"={word[:64]}")})
+    grams = {marked[at : at + 5] for at in range(len(marked) - 4)}
+    return tuple({xxhash.xxh32_intdigest(g) % SPACE for g in (*grams, f"={word}")})
 
 
 def words_of(text: str) -> set[str]:
@@ -68,7 +69,9 @@ def _ids(words: set[str], known: dict[str, tuple[int, ...]]) -> bytes:
     found: set[int] = set()
     for word in words:
         if (own := known.get(word)) is None:
-            own = known[word] = features(word)
+            own = features(word)
+            if len(word) <= REMEMBERED_CHARS:
+                known[word] = own
         found.update(own)
     return np.fromiter(found, "<u4", len(found)).tobytes()
 
@@ -188,7 +191,9 @@ def _scorer(model: Model):
         found: set[int] = set()
         for word in words_of(text or ""):
             if (own := known.get(word)) is None:
-                own = known[word] = tuple(x for x in features(word) if x in weight)
+                own = tuple(x for x in features(word) if x in weight)
+                if len(word) <= REMEMBERED_CHARS:
+                    known[word] = own
             found.update(own)
         z = model.bias + sum(weight[x] for x in sorted(found))
         return float(1 / (1 + np.exp(-min(30.0, max(-30.0, z)))))

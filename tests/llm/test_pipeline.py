@@ -70,6 +70,18 @@ def test_swapped_terms_are_scored_alike(spark, labelled):
     assert gap(50.0) < 0.3 * gap(0.0)
 
 
+def test_words_of_any_length_count_whole(spark, labelled):
+    long = "ab" * 40
+    assert len(toxicity.features(long + "scum")) > len(toxicity.features(long)) > 3
+    folder, *_ = labelled
+    docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
+    model = toxicity.fit(docs, labels, "doc_id", "text", "toxic")
+    glued = "_".join(["thoran"] * 12)
+    texts = spark.createDataFrame([(0, glued), (1, f"{glued}_worthless_scum_idiot_moron")], "k int, text string")
+    scores = {r.k: r.score for r in toxicity.score(texts, "k", "text", model).collect()}
+    assert scores[1] > scores[0] + 0.1
+
+
 def test_without_labels_nothing_is_toxic(spark):
     docs = spark.createDataFrame([(1, "scum"), (2, None)], "doc_id long, text string")
     for rows in ([], [(1, 1)]):
