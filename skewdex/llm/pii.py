@@ -2,12 +2,15 @@
 
 Two kinds of generators propose spans. Strict ones (``BASE``) are checked by rule and always
 kept. Loose ones (``LOOSE``) propose whatever looks a little like an address or a number;
-their spans may overlap the strict ones. Loose spans are described by a few discrete
+their spans may overlap the strict ones. A written-out address that is one by the strict
+rule once its words are signs again is added at once, whatever the trees say, if it shows
+that it means an address (``_written``). All other loose spans are described by a few discrete
 features of their form and of the text beside them, the rule's own evidence left out. Trees
 are boosted to tell which of them a strict rule confirms, on the counts of each combination
 of features over all the text: a table whose size is bound by the features' values. Those
 that no rule confirms, but that score above the threshold at which enough of the candidates
-of their kind are confirmed, are added.
+of their kind are confirmed, are added. A kind with fewer than ``SUPPORT`` held-out candidates
+above any cut has no threshold: of it nothing is added by score.
 
 Everything that touches rows is built-in functions; patterns run in time linear in the text.
 """
@@ -42,7 +45,7 @@ LOOSE = {
     "loose_email": (
         rf"(?<!{_AT}){_AT}++(?: ?[\[(]at[\])] ?| at | ?@ ?)[A-Za-z0-9-]++"
         r"(?:(?: ?[\[(]dot[\])] ?| dot |\.)[A-Za-z0-9-]++){1,4}",
-        r"@|[\[(]dot[\])]| dot ",
+        r"@|[\[(]at[\])]| at ",  # each match has one of these
     ),
     "loose_number": (
         r"(?<![0-9])(?<![0-9][ .-])\(?[0-9](?:[\x20().-]{0,2}[0-9]){6,18}(?![ .-]?[0-9])",
@@ -128,6 +131,22 @@ def _candidates(df: DataFrame, id_col: str, text_col: str, generators: dict) ->
 _FOUND = "array<struct<gen:string,ord:int,gap:int,text:string,before:string,after:string>>"
 
 
+#: What stands for '@' and '.' in a loose address.
+_WRITTEN_AT, _WRITTEN_DOT = r" ?[\[(]at[\])] ?| at | ?@ ?", r" ?[\[(]dot[\])] ?| dot "
+
+
+def _written(text: Column, before: Column) -> Column:
+    """Whether a loose address is a strict one once its words are signs again.
+
+    'look at example.org' has the same form, so that ' at ' alone is not enough: a bracket, a
+    written dot or a label before the span (as in 'mail: ') must show that an address is meant.
+    The last part must be letters, as 'open at 10.30' is none.
+    """
+    plain = F.regexp_replace(F.regexp_replace(text, _WRITTEN_AT, "@"), _WRITTEN_DOT, ".")
+    meant = text.rlike(rf"@|[\[(]|{_WRITTEN_DOT}") | before.rlike(r"(?i)(?:mail|contact|kontakt|correo|courriel|address|adresse)\w{0,6}\s?[:=]\s?$")
+    return meant & plain.rlike(rf"^{_AT}+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){{0,3}}\.[A-Za-z]{{2,}}$")
+
+
 def _described(spans: DataFrame) -> DataFrame:
     """Loose spans with their features, and whether a strict rule confirms them (``y``)."""
     text, before, after = F.col("text"), F.col("before"), F.col("after")
@@ -151,7 +170,7 @@ def _described(spans: DataFrame) -> DataFrame:
         }
     )
     strict = {
-        "email": text.rlike(rf"^{_AT}+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){{1,4}}$"),
+        "email": text.rlike(rf"^{_AT}+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){{1,4}}$") | _written(text, before),
         "ip": _holds(F.lit("ip"), text),
         "card": text.rlike(r"^[0-9](?:[ -]?[0-9])+$") & _holds(F.lit("card"), text),
         "phone": before.endswith("+") & _holds(F.lit("phone"), text),
@@ -269,7 +288,8 @@ def find(df: DataFrame, id_col: str, text_col: str, model: Model) -> DataFrame:
     strict = F.coalesce(F.col("gen").isin(*KINDS), F.lit(False))
     described = _described(placed).withColumn("strict", strict)
     kind = F.when(strict, F.col("gen")).otherwise(F.col("kind"))
-    judged = described.withColumn("keep", F.coalesce(F.when(strict, _holds(F.col("gen"), F.col("text"))).otherwise(model.selected()), F.lit(False)))
+    sure = (F.col("gen") == "loose_email") & (F.col("y") == 1)
+    judged = described.withColumn("keep", F.coalesce(F.when(strict, _holds(F.col("gen"), F.col("text"))).otherwise(model.selected() | sure), F.lit(False)))
     rows = judged.select(
         "row", "id", "start", "end", (strict & F.col("keep")).alias("is_base"), "keep",
         reduce(lambda rest, at: F.when(kind == KINDS[at], at).otherwise(rest), range(len(KINDS)), F.lit(None)).alias("kind"),

@@ -72,6 +72,37 @@ def test_trees_add_what_looks_confirmed(spark):
     assert len(found.base) == 1 and {tuple(s) for s in found.base} <= {tuple(s) for s in found.spans}
 
 
+WRITTEN = {
+    "write jane (at) example.org now": "jane (at) example.org", "jane[at]example[dot]org": "jane[at]example[dot]org",
+    "x@y jane at example dot org": "jane at example dot org", "E-Mail: jane at example.org, or so": "jane at example.org",
+    "jane @ example.co.uk": "jane @ example.co.uk", "look at example.org": None, "open at 10.30 (at) 3.14 daily": None,
+    "plain jane@example.org here": "jane@example.org", "nothing at all": None,
+}
+
+
+def test_written_out_addresses_are_found(spark):
+    docs = spark.createDataFrame(list(enumerate(WRITTEN)), "doc_id long, text string")
+    for model in (pii.Model(), pii.fit(docs, "text")):
+        found = {r.doc_id: r.spans for r in pii.find(docs, "doc_id", "text", model).collect()}
+        for k, (text, span) in enumerate(WRITTEN.items()):
+            assert [(pii.KINDS[s.kind], text[s.start : s.end]) for s in found[k]] == ([("email", span)] if span else []), text
+
+
+def test_written_out_addresses_that_are_not_meant_stay_out_among_many(spark):
+    rows = [(f"u{i}@mail.org or jane{i} (at) mail{i}.org",) for i in range(400)] + [(f"look at site{i}.com",) for i in range(40)]
+    docs = spark.createDataFrame(rows, "text string").selectExpr("monotonically_increasing_id() AS doc_id", "text")
+    got = pii.find(docs, "doc_id", "text", pii.fit(docs, "text")).collect()
+    assert sorted(len(r.spans) for r in got) == [0] * 40 + [2] * 400
+
+
+def test_national_numbers_are_found_where_such_numbers_are_confirmed(spark):
+    rows = [(f"call +1 (2{i % 90 + 10}) 555-7{i:03d} now, ref 12-34-56-{i}",) for i in range(400)]
+    model = pii.fit(spark.createDataFrame(rows, "text string").repartition(3), "text")
+    text = "call 1 (212) 555-7001 now, not 12-34-56-7"
+    found = pii.find(spark.createDataFrame([(1, text)], "doc_id long, text string"), "doc_id", "text", model).first()
+    assert [(pii.KINDS[s.kind], text[s.start : s.end]) for s in found.spans] == [("phone", "1 (212) 555-7001")] and not found.base
+
+
 def test_a_model_without_candidates_adds_nothing(spark):
     docs = spark.createDataFrame([(1, "no data"), (2, None)], "doc_id long, text string")
     model = pii.fit(docs, "text")
