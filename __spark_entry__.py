@@ -319,6 +319,15 @@ def build_catalog_stored(spark, sf):
     )
 
 
+def build_catalog_all_stored(spark, sf):
+    """The listing from the stored pages alone, with every index page under an address of its own."""
+    index, shelf_pages = _listed_pages(spark, sf)
+    stored = index.select(F.concat(F.lit("https://example.org/index/"), "page_no").alias("url"), "html", "page_no")
+    return pages.build_catalog(
+        shelf_pages.unionByName(stored.select("url", "html")), stored.select("url", "page_no"), base="https://example.org"
+    )
+
+
 def candidate_urls(spark, sf):
     return pages.candidate_urls(_t(spark, sf, "documents").select("doc_id"), "doc_id", root="http://files")
 
@@ -705,6 +714,10 @@ _SQL = {
         'https://example.org/wiki/S' || shelf || '_(Bookshelf)' AS bookshelf_url,
         CASE WHEN doc_id >= 10 THEN (2 * (doc_id % 10))::INTEGER END AS ebook_pos, CASE WHEN doc_id >= 10 THEN doc_id END AS ebook_id,
         CASE WHEN doc_id >= 10 THEN title END AS ebook_title FROM ({_LISTED}) WHERE (doc_id >= 10 OR doc_id = 0) AND shelf < 50""",
+    "build_catalog_all_stored": f"""SELECT ((shelf // 50) << 32) + 2 * (shelf % 50) AS shelf_pos,
+        'https://example.org/wiki/S' || shelf || '_(Bookshelf)' AS bookshelf_url,
+        CASE WHEN doc_id >= 10 THEN (2 * (doc_id % 10))::INTEGER END AS ebook_pos, CASE WHEN doc_id >= 10 THEN doc_id END AS ebook_id,
+        CASE WHEN doc_id >= 10 THEN title END AS ebook_title FROM ({_LISTED}) WHERE doc_id >= 10 OR doc_id = 0""",
     "candidate_urls": f"SELECT doc_id, priority, url FROM {_CANDIDATES}",
     "first_available": f"""SELECT doc_id, url, n_chars + priority AS length FROM {_CANDIDATES}
         WHERE CASE priority WHEN 0 THEN lang = 'en' WHEN 1 THEN n_chars > 1000 ELSE lang IN ('fr', 'en') END
@@ -749,7 +762,7 @@ _QUERIES = (
     similarity_scores, skew_profile_lang, skew_profile_users, pack_n_bins, pack_n_bins_users,
     pack_n_bins_per_nation, pack_max_capacity, pack_as_listed, bin_lookup, bin_stats,
     bin_count, repartition_packed, repartition_packed_split, repartition_builtin,
-    extract_links, filter_links, typed_anchors, build_catalog, build_catalog_stored, candidate_urls,
+    extract_links, filter_links, typed_anchors, build_catalog, build_catalog_stored, build_catalog_all_stored, candidate_urls,
     first_available, group_text_size, attach_stored_texts, strip_by_markers, strip_wrapped,
     marker_lines, decode_latin1, limit_groups, limit_per_group, catalog_codec_roundtrip,
     materialize_roundtrip, index_roundtrip, index_as_maps, dictionary_lookup,

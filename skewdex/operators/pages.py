@@ -181,10 +181,16 @@ def catalog(
     )
 
 
-def build_catalog(pages: DataFrame, index_urls: tuple[str, ...] = INDEX_URLS, **options) -> DataFrame:
-    """The listing of stored pages (url, html), groups linked from the first index page first."""
-    page_no = F.array_position(F.lit(list(index_urls)), F.col("url"))
-    index_pages = pages.where(F.col("url").isin(*index_urls)).select(page_no.alias("page_no"), "html")
+def build_catalog(pages: DataFrame, index_urls: tuple[str, ...] | DataFrame = INDEX_URLS, **options) -> DataFrame:
+    """The listing of stored pages (url, html), groups linked from the first index page first.
+
+    ``index_urls`` has the addresses of the index pages in order, or is a table of them (url, page_no).
+    """
+    if isinstance(index_urls, DataFrame):
+        index_pages = pages.join(index_urls.select("url", "page_no"), "url").select("page_no", "html")
+    else:
+        page_no = F.array_position(F.lit(list(index_urls)), F.col("url"))
+        index_pages = pages.where(F.col("url").isin(*index_urls)).select(page_no.alias("page_no"), "html")
     return catalog(index_pages, pages.select("url", "html"), **options)
 
 

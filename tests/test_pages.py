@@ -2,6 +2,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from skewdex.operators import catalog, pages
 from skewdex.plans.build_index import build_index, index_library, search_index
 from skewdex.sources import catalog_text, index_store, texts
@@ -179,6 +180,15 @@ def test_build_and_search(spark, tmp_path, mode):
     assert rows(low, "bookshelf", "title") == [("s0", "Ten"), ("s1", "Twelve")]
 
 
+def test_all_stored_index_pages_are_listed(spark, tmp_path):
+    docs = spark.range(1200).selectExpr("id AS doc_id", "concat('text ', id) AS text", "'en' AS lang", "'s' AS source", "6L AS n_chars")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    found = entry.build_catalog_all_stored(spark, str(tmp_path))
+    shelves = [((k // 50 << 32) + 2 * (k % 50), f"https://example.org/wiki/S{k}_(Bookshelf)") for k in range(120)]
+    assert rows(found.select("shelf_pos", "bookshelf_url").distinct(), "shelf_pos", "bookshelf_url") == shelves
+    assert found.count() == 1191  # a shelf without numbers of two digits has one row
+
+
 def test_build_limits(spark):
     index = index_library(*_library(spark), max_groups=1, max_per_group=1)
     assert rows(index.select("bookshelf_url", "ebook_id").distinct(), "bookshelf_url", "ebook_id") == [("s0", 10)]
