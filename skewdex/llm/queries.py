@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skewdex.llm import byte_bpe, decontamination, exact_dedup, files, jaccard, line_dedup, pii, records, separator_scan, suffix_dedup, toxicity, word_bpe
+from skewdex.llm import byte_bpe, decontamination, exact_dedup, files, jaccard, lexical, line_dedup, pii, records, separator_scan, simhash, spelling, suffix_dedup, toxicity, word_bpe
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -43,6 +43,35 @@ ORACLE_SQL: dict[str, str] = {
         reach AS (SELECT doc_id AS a, doc_id AS b FROM docs UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
         least_ AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
         SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id FROM least_ LEFT JOIN sizes USING (doc_id)""",
+    "op11_lexical_search": rf"""WITH docs AS (SELECT doc_id, list_filter(string_split_regex({_LOWER}, '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda w: w <> '') AS ws FROM documents),
+        asked AS (SELECT DISTINCT item_id, unnest(list_filter(string_split_regex({_LOWER}, '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda w: w <> '')) AS term FROM benchmark),
+        corpus AS (SELECT count(*) AS n_docs, sum(len(ws))::BIGINT AS n_terms FROM docs WHERE len(ws) > 0),
+        tfs AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(ws) AS term FROM docs) GROUP BY ALL),
+        weights AS (SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tfs, corpus GROUP BY term, n_docs),
+        norms AS (SELECT doc_id, 100 - 90 + (90 * len(ws) * n_docs) // n_terms AS m FROM docs, corpus),
+        scores AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+          FROM asked JOIN tfs USING (term) JOIN weights USING (term) JOIN norms USING (doc_id) GROUP BY ALL)
+        SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+        FROM scores WHERE score > 0 QUALIFY rank <= 10""",
+    "op12_spelling_variants": rf"""WITH RECURSIVE bits AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8),
+            lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, i)) AS crcs),
+        runs AS (SELECT doc_id, run, count(*) AS n FROM (SELECT doc_id, unnest(list_filter(string_split_regex({_LOWER}, '[^a-z\x{{C0}}-\x{{FF}}]+'), lambda w: w <> '')) AS run FROM documents) GROUP BY ALL),
+        bytes AS (SELECT run, n, flatten(list_transform(string_split(doc_id || ':' || run, ''),
+            lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)] ELSE [192 + (unicode(c) >> 6), 128 + (unicode(c) & 63)] END)) AS bs FROM runs),
+        sums AS (SELECT run, n, xor(list_reduce(bs, lambda c, b: xor(crcs[(xor(c, b) & 255) + 1], c >> 8), 4294967295), 4294967295) AS h FROM bytes, bits),
+        words AS (SELECT word, sum(n)::BIGINT AS n
+          FROM (SELECT n, CASE WHEN h % 31 = 0 THEN run[:(h % length(run))::INT] || run[(h % length(run))::INT + 2:] ELSE run END AS word FROM sums)
+          WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+        cuts AS (SELECT word, place, word[:place - 1] || word[place + 1:] AS cut FROM (SELECT word, unnest(range(1, length(word) + 1)) AS place FROM words)),
+        near AS (SELECT a.word, b.word AS other FROM cuts a JOIN cuts b USING (place, cut) WHERE a.word <> b.word
+          UNION SELECT word, cut FROM cuts WHERE cut IN (SELECT word FROM words) UNION SELECT cut, word FROM cuts WHERE cut IN (SELECT word FROM words)),
+        best AS (SELECT near.word, count(*) AS n_near, max(o.n) AS most, arg_min(other, (-o.n, other)) AS form
+          FROM near JOIN words o ON o.word = other GROUP BY near.word),
+        told AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 10 * n THEN form END AS form, CASE WHEN most >= 10 * n THEN most END AS form_n
+          FROM words LEFT JOIN best USING (word)),
+        follow AS (SELECT word, word AS root FROM words UNION ALL SELECT follow.word, form FROM follow JOIN told ON told.word = root WHERE form IS NOT NULL),
+        ends AS (SELECT follow.word, root FROM follow JOIN told ON told.word = root WHERE form IS NULL)
+        SELECT word, form, root, n, n_near, form_n FROM told JOIN ends USING (word)""",
 }
 
 
@@ -146,6 +175,22 @@ def op10_suffix_dedup(spark, sf_dir):
     )
 
 
+def op11_lexical_search(spark, sf_dir):
+    docs, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return lexical.rank(docs, benchmark, "doc_id", "text", "item_id", "text", k=10)
+
+
+def op12_spelling_variants(spark, sf_dir):
+    """Words of ``documents`` and their variants; some occurrences are misspelt by rule."""
+    return spelling.variants(_table(spark, sf_dir, "documents"), "doc_id", "text", every=spelling.EVERY)
+
+
+def op13_simhash(spark, sf_dir):
+    found = simhash.simhash_classes(_table(spark, sf_dir, "documents"), "doc_id", "text")
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     op1_byte_bpe, op2_toxicity, op3_pii, op4_decontamination, op5_exact_dedup, op6_separator_scan, op7_ngram_jaccard, op8_line_dedup, op9_binary_records, op10_suffix_dedup,
+    op11_lexical_search, op12_spelling_variants, op13_simhash,
 )
