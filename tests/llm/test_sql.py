@@ -26,4 +26,4 @@ def test_query_matches_sql(spark, name):
 
 
 def test_names_and_numbers():
-    assert [q.__name__.split("_")[0] for q in queries.QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [q.__name__.split("_")[0] for q in queries.QUERIES] == [f"op{n}" for n in range(1, 14)]
