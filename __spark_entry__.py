@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import importlib.util
 import uuid
 from collections.abc import Callable
 
@@ -13,7 +12,7 @@ from pyspark.sql import functions as F
 from skewdex.functions.lines import END_MARKERS, START_MARKERS, starts_with_any
 from skewdex.functions.text import STOP_WORDS
 from skewdex.operators import catalog as cat
-from skewdex.operators import packing, pages, search, tfidf
+from skewdex.operators import markers, ordered, packing, pages, search, tfidf
 from skewdex.plans.build_index import build_index, search_index, strip_boilerplate
 from skewdex.sources import catalog_text, index_store
 from skewdex.sources.staging import materialize, shared_root, stage
@@ -137,6 +136,31 @@ def similarity_scores(spark, sf):
     ).withColumn("similarity_level", F.round("similarity_level", 6))
 
 
+def search_whole_groups(spark, sf):
+    """Every matching document with its rank, however many a group has."""
+    return _level(search.search(_saved_index(spark, sf), QUERY, k=None, limit=None, total="all", digits=9))
+
+
+def search_term_table(spark, sf):
+    """A query of very many terms: all that the conversations hold, as a table."""
+    asked = tfidf.tokenize(_t(spark, sf, "conversations"), ["conv_id", "turn"]).select("term")
+    return search.similarity(_saved_index(spark, sf), asked, ["bookshelf_url", "ebook_id"]).withColumn(
+        "similarity_level", F.round("similarity_level", 6)
+    )
+
+
+def rank_whole_groups(spark, sf):
+    """RANK of all lines within three groups; a group has most of its rows in ties."""
+    lines = _t(spark, sf, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", "l_quantity")
+    return ordered.first_rows(lines, ["l_returnflag"], ["-l_quantity"], None, "place", ties=True)
+
+
+def rank_first_5000(spark, sf):
+    lines = _t(spark, sf, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", "l_extendedprice")
+    order = ["-l_extendedprice", "l_orderkey", "l_linenumber"]
+    return ordered.first_rows(lines, ["l_returnflag"], order, 5000, "place")
+
+
 def search_normalized_index(spark, sf):
     """The same search on an index kept as two tables, terms without titles."""
     directory = _run_path(spark, sf, "normalized")
@@ -207,6 +231,32 @@ def pack_as_listed(spark, sf):
     )
 
 
+def _order_sizes(spark, sf) -> DataFrame:
+    return _t(spark, sf, "orders").select("o_orderkey", F.floor("o_totalprice").cast("long").alias("size"))
+
+
+def pack_n_bins_level(spark, sf):
+    """The 100 heaviest orders by first fit, all others levelling the bins."""
+    return packing.pack_n_bins(_order_sizes(spark, sf), ["o_orderkey"], "size", 16, exact=100)
+
+
+def pack_level_balance(spark, sf):
+    """How even the bins are, per nation of the customers."""
+    sizes = _t(spark, sf, "customer").select("c_nationkey", "c_custkey", F.floor(F.abs("c_acctbal")).cast("long").alias("size"))
+    bins = packing.bin_stats(packing.pack_n_bins(sizes, ["c_custkey"], "size", 4, ["c_nationkey"], exact=5), "size", ["c_nationkey"])
+    return bins.groupBy("c_nationkey").agg(
+        F.count(F.lit(1)).alias("n_bins"), F.sum("n_items").alias("n_items"), F.sum("bin_size").alias("total"),
+        F.max("bin_size").alias("largest"), F.round(F.max("bin_size") * 4 / F.sum("bin_size"), 6).alias("max_over_mean"),
+    )
+
+
+def pack_max_capacity_fill(spark, sf):
+    """Orders in bins of 2,000,000, most of them in parallel: every order, and whether its bin is within that."""
+    packed = stage(packing.pack_max_capacity(_order_sizes(spark, sf), ["o_orderkey"], "size", 2_000_000, exact=50), "packed")
+    within = packing.bin_stats(packed, "size").select("bin", (F.col("bin_size") <= 2_000_000).alias("within"))
+    return packed.join(within, "bin").select("o_orderkey", "size", "within")
+
+
 def bin_lookup(spark, sf):
     return packing.bin_lookup(
         _t(spark, sf, "part").select("p_partkey", "p_brand"), stage(_brand_bins(spark, sf), "bins"),
@@ -237,13 +287,8 @@ def repartition_packed_split(spark, sf):
     rows = packing.repartition_packed(
         _t(spark, sf, "documents"), ["lang"], "n_chars", 8, split_by=["doc_id"]
     )
-    sizes = rows.groupBy(F.spark_partition_id().alias("pid")).agg(
-        F.count(F.lit(1)).alias("n_docs"), F.sum("n_chars").alias("sum_chars")
-    )
-    # Every partition stays below one and a half fair shares.
-    return sizes.agg(
-        F.count(F.lit(1)).alias("n_parts"), F.sum("n_docs").alias("n_docs"), F.sum("sum_chars").alias("sum_chars"),
-        (F.max("sum_chars") * F.lit(8) < F.sum("sum_chars") * 1.5).alias("even"),
+    return rows.groupBy(F.spark_partition_id().alias("pid")).agg(
+        F.count(F.lit(1)).alias("n_docs"), F.sum("n_chars").alias("sum_chars"), F.countDistinct("lang").alias("n_langs")
     )
 
 
@@ -311,11 +356,13 @@ def build_catalog(spark, sf):
 
 
 def build_catalog_stored(spark, sf):
-    """The listing from the stored pages alone, the index pages among them."""
+    """The listing from the stored pages alone, with one index page that links all shelves."""
     index, shelf_pages = _listed_pages(spark, sf)
-    first = index.where("page_no = 0").select(F.lit("https://example.org/index").alias("url"), "html")
+    # An address of which there is one page, as long as the library has shelves.
+    whole = index.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_no", "html"))), lambda p: p.html), "").alias("html"))
     return pages.build_catalog(
-        shelf_pages.unionByName(first), ("https://example.org/none", "https://example.org/index"), base="https://example.org"
+        shelf_pages.unionByName(whole.select(F.lit("https://example.org/index").alias("url"), "html")),
+        ("https://example.org/none", "https://example.org/index"), base="https://example.org",
     )
 
 
@@ -390,6 +437,27 @@ def marker_lines(spark, sf):
     return lines.where(starts_with_any("line", SMALL_START + SMALL_END))
 
 
+def _many_markers(spark, sf) -> DataFrame:
+    """A marker for each line of the documents: its first 4 to 16 characters, by its place."""
+    lines = _docs(spark, sf).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    return lines.select("doc_id", "line_no", "line", F.left("line", F.col("doc_id") % 13 + 4).alias("marker"))
+
+
+def marker_lines_many(spark, sf):
+    """Lines with the longest of very many markers that begins them."""
+    marked = _many_markers(spark, sf)
+    lines = marked.select("doc_id", "line_no", F.substr("line", F.lit(1)).alias("line"))
+    return markers.marked_lines(lines, ["doc_id", "line_no"], "line", marked.where(F.length("marker") > 6).select("marker"))
+
+
+def strip_by_many_markers(spark, sf):
+    """Bodies between lines that begin like some line of a benchmark item or of a message."""
+    docs = _docs(spark, sf).select("doc_id", "text")
+    start = _t(spark, sf, "benchmark").select(F.left("text", F.lit(4)).alias("marker"))
+    end = _t(spark, sf, "conversations").select(F.left("text", F.col("turn") % 3 + 5).alias("marker"))
+    return markers.bodies_between(docs, ["doc_id"], "text", start, end, joiner="|")
+
+
 def decode_latin1(spark, sf):
     """Every text as the bytes of its UTF-8, read as Latin-1: any bytes decode, one character each."""
     files = _t(spark, sf, "documents").select("doc_id", F.encode("text", "UTF-8").alias("content"))
@@ -415,11 +483,16 @@ def limit_per_group(spark, sf):
     return cat.limit_listed_docs(_flat_listing(spark, sf), 5, ["shelf_pos"], "ebook_id")
 
 
+def _holdable(title: str) -> F.Column:
+    """All that the catalog text can't hold, replaced; signs of separators at the end stay."""
+    return F.regexp_replace(F.regexp_replace(title, "%%%|!!!", "-"), "##+([^#])", "-$1")
+
+
 def catalog_codec_roundtrip(spark, sf):
     listing = _listed(spark, sf).select(
         F.col("shelf").alias("shelf_pos"), F.concat(F.lit("u"), "shelf").alias("bookshelf_url"),
         F.col("doc_id").alias("ebook_pos"), F.col("doc_id").alias("ebook_id"),
-        F.regexp_replace("title", "%%%|##|!!!", "-").alias("ebook_title"),  # all that the format can't hold
+        _holdable("title").alias("ebook_title"),
     )
     path = _run_path(spark, sf, f"catalog-{uuid.uuid4().hex}")
     catalog_text.write_catalog(cat.nest(listing), path)
@@ -596,6 +669,37 @@ _BRANDS = _sql_pack(
     "SELECT 0 AS grp, p_brand AS item, sum(l_quantity)::BIGINT AS size "
     "FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_brand", None, 4,
 )
+# Documents with the part of their language: as many parts as it has eighths of all characters, by CRC-32.
+_PARTED = """SELECT doc_id, lang, n_chars, CASE WHEN total * 8 > alls THEN crc % ceil(total / share)::BIGINT ELSE 0 END AS part
+    FROM (SELECT *, sum(n_chars) OVER (PARTITION BY lang) AS total, sum(n_chars) OVER () AS alls, ceil(sum(n_chars) OVER () / 8) AS share,
+        xor(list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT), lambda c, b: xor(crcs[(xor(c, b) & 255) + 1], c >> 8), 4294967295), 4294967295) AS crc
+      FROM documents, (SELECT list_transform(range(256), lambda i: list_reduce(range(8),
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, i)) AS crcs))"""
+_LANG_PARTS = f"SELECT 0 AS grp, lang || ':' || part AS item, lang, part, sum(n_chars)::BIGINT AS size FROM ({_PARTED}) GROUP BY lang, part"
+
+
+def _sql_level(items: str, nbins: int, exact: int) -> str:
+    """CTEs that end in ``levelled``: grp, item, size, bin. ``items``: SELECT grp, item, size."""
+    order = "PARTITION BY grp ORDER BY size DESC, item DESC"
+    heavy = f"SELECT * FROM ({items}) QUALIFY row_number() OVER ({order}) <= {exact}"
+    return f"""{_sql_pack(heavy, None, nbins)},
+    tail AS (SELECT grp, item, size, sum(size) OVER ({order}) - size AS st
+      FROM (SELECT *, row_number() OVER ({order}) AS rn FROM ({items})) WHERE rn > {exact}),
+    totals AS (SELECT grp, sum(size) AS alls FROM tail GROUP BY grp),
+    loads AS (SELECT grp, bin::INTEGER AS bin, coalesce(l, 0) AS load FROM totals, range({nbins}) AS b(bin)
+      LEFT JOIN (SELECT grp AS g, bin AS used, sum(size) AS l FROM packed GROUP BY ALL) ON g = grp AND used = bin),
+    ranks AS (SELECT *, row_number() OVER w AS k, sum(load) OVER w AS s FROM loads JOIN totals USING (grp)
+      WINDOW w AS (PARTITION BY grp ORDER BY load, bin)),
+    level AS (SELECT grp, max(k) AS kk, arg_max(s, k) AS filled FROM ranks WHERE load * k < alls + s OR k = 1 GROUP BY grp),
+    rooms AS (SELECT grp, bin, kk, room, sum(room) OVER (PARTITION BY grp ORDER BY k) AS hi
+      FROM (SELECT *, 2 * (alls + filled - kk * load) AS room FROM ranks JOIN level USING (grp) WHERE k <= kk)),
+    levelled AS (SELECT grp, item, size, bin FROM packed UNION ALL
+      SELECT tail.grp, item, size, bin FROM tail JOIN rooms ON rooms.grp = tail.grp
+        AND (2 * st + size) * kk >= hi - room AND (2 * st + size) * kk < hi)"""
+
+
+_ORDERS = "SELECT 0 AS grp, o_orderkey AS item, floor(o_totalprice)::BIGINT AS size FROM orders"
+_CUSTOMERS = "SELECT c_nationkey AS grp, c_custkey AS item, floor(abs(c_acctbal))::BIGINT AS size FROM customer"
 _SUPPLIERS = "SELECT s_nationkey AS grp, s_suppkey AS item, floor(abs(s_acctbal))::BIGINT AS size FROM supplier"
 _NATION_OUT = " SELECT grp AS s_nationkey, item AS s_suppkey, size, bin FROM packed"
 
@@ -677,6 +781,15 @@ _SQL = {
     "search_normalized_index": _sql_search(_SAVED, 2, "topk", "LIMIT 10"),
     "search_bucketed_index": _sql_search(_SAVED, 2, "topk", "LIMIT 10"),
     "search_every_group": _sql_search(_SAVED, 2, "topk", "", 3),
+    "search_whole_groups": _sql_search(_SAVED, 1 << 60, "all", ""),
+    "search_term_table": _SAVED + f""", asked AS (SELECT DISTINCT unnest({_sql_terms('text')}) AS term FROM conversations)
+        SELECT scope AS bookshelf_url, doc AS ebook_id, round({_SUM}, 6) AS similarity_level
+        FROM idx WHERE term IN (SELECT term FROM asked) GROUP BY ALL HAVING {_SUM} > 0.001""",
+    "rank_whole_groups": """SELECT l_returnflag, l_orderkey, l_linenumber, l_quantity,
+        rank() OVER (PARTITION BY l_returnflag ORDER BY l_quantity DESC) AS place FROM lineitem""",
+    "rank_first_5000": """SELECT l_returnflag, l_orderkey, l_linenumber, l_extendedprice,
+        row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) AS place
+        FROM lineitem QUALIFY place <= 5000""",
     "similarity_scores": _SAVED + f""" SELECT scope AS bookshelf_url, doc AS ebook_id, title AS ebook_title,
         round({_SUM}, 6) AS similarity_level FROM idx WHERE term IN ({_quoted(ASKED)})
         GROUP BY ALL HAVING {_SUM} > 0.001""",
@@ -689,6 +802,11 @@ _SQL = {
     "pack_n_bins_per_nation": _sql_pack(_SUPPLIERS, None, 3) + _NATION_OUT,
     "pack_max_capacity": _sql_pack(_SUPPLIERS, "15000", None) + _NATION_OUT,
     "pack_as_listed": _sql_pack(_SUPPLIERS, "15000", None, "item") + _NATION_OUT,
+    "pack_n_bins_level": _sql_level(_ORDERS, 16, 100) + " SELECT item AS o_orderkey, size, bin FROM levelled",
+    "pack_level_balance": _sql_level(_CUSTOMERS, 4, 5) + """ SELECT grp AS c_nationkey, count(*) AS n_bins, sum(n)::BIGINT AS n_items,
+        sum(b)::BIGINT AS total, max(b)::BIGINT AS largest, round(max(b) * 4 / sum(b), 6) AS max_over_mean
+        FROM (SELECT grp, bin, count(*) AS n, sum(size) AS b FROM levelled GROUP BY ALL) GROUP BY grp""",
+    "pack_max_capacity_fill": f"SELECT item AS o_orderkey, size, true AS within FROM ({_ORDERS})",
     "bin_lookup": _BRANDS + " SELECT p_partkey, p_brand, bin FROM part LEFT JOIN packed ON p_brand = item",
     "bin_stats": _BRANDS + """ SELECT bin, count(*) AS n_items, sum(size)::BIGINT AS bin_size, 'Bin#' || bin AS label
         FROM packed GROUP BY bin""",
@@ -697,8 +815,9 @@ _SQL = {
     "repartition_packed": _BRANDS + """ SELECT bin AS pid, count(*) AS n_rows, sum(l_quantity) AS sum_qty,
         count(DISTINCT p_brand) AS n_brands
         FROM lineitem JOIN part ON l_partkey = p_partkey JOIN packed ON item = p_brand GROUP BY bin""",
-    "repartition_packed_split": """SELECT 8::BIGINT AS n_parts, count(*) AS n_docs, sum(n_chars)::BIGINT AS sum_chars,
-        true AS even FROM documents""",
+    "repartition_packed_split": _sql_pack(_LANG_PARTS, None, 8, "size DESC, lang DESC, part DESC") + f""", parted AS ({_PARTED})
+        SELECT bin AS pid, count(*) AS n_docs, sum(n_chars)::BIGINT AS sum_chars, count(DISTINCT lang) AS n_langs
+        FROM parted JOIN packed ON item = lang || ':' || part GROUP BY bin""",
     "repartition_builtin": "SELECT 16::BIGINT AS n_parts, count(*) AS n_rows FROM lineitem",
     "extract_links": _LINKS + " SELECT page_id, pos, href FROM links",
     "filter_links": _LINKS + """ SELECT page_id, pos, href, 'https://example.org' || href AS url FROM links
@@ -713,7 +832,7 @@ _SQL = {
     "build_catalog_stored": f"""SELECT (2::BIGINT << 32) + 2 * shelf AS shelf_pos,
         'https://example.org/wiki/S' || shelf || '_(Bookshelf)' AS bookshelf_url,
         CASE WHEN doc_id >= 10 THEN (2 * (doc_id % 10))::INTEGER END AS ebook_pos, CASE WHEN doc_id >= 10 THEN doc_id END AS ebook_id,
-        CASE WHEN doc_id >= 10 THEN title END AS ebook_title FROM ({_LISTED}) WHERE (doc_id >= 10 OR doc_id = 0) AND shelf < 50""",
+        CASE WHEN doc_id >= 10 THEN title END AS ebook_title FROM ({_LISTED}) WHERE doc_id >= 10 OR doc_id = 0""",
     "build_catalog_all_stored": f"""SELECT ((shelf // 50) << 32) + 2 * (shelf % 50) AS shelf_pos,
         'https://example.org/wiki/S' || shelf || '_(Bookshelf)' AS bookshelf_url,
         CASE WHEN doc_id >= 10 THEN (2 * (doc_id % 10))::INTEGER END AS ebook_pos, CASE WHEN doc_id >= 10 THEN doc_id END AS ebook_id,
@@ -730,13 +849,26 @@ _SQL = {
     "marker_lines": f"""SELECT * FROM (SELECT doc_id, (generate_subscripts(ls, 1) - 1)::INTEGER AS line_no, unnest(ls) AS line
         FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents))
         WHERE {' OR '.join(f"starts_with(line, '{m}')" for m in SMALL_START + SMALL_END)}""",
+    "marker_lines_many": """WITH lines AS (SELECT doc_id, (generate_subscripts(ls, 1) - 1)::INTEGER AS line_no, unnest(ls) AS line
+          FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents)),
+        markers AS (SELECT DISTINCT left(line, doc_id % 13 + 4) AS marker FROM lines WHERE length(left(line, doc_id % 13 + 4)) > 6),
+        probes AS (SELECT doc_id, line_no, line, left(line, n) AS marker FROM lines, range(7, 17) AS r(n) WHERE length(line) >= n)
+        SELECT doc_id, line_no, line, arg_max(marker, length(marker)) AS marker FROM probes JOIN markers USING (marker) GROUP BY ALL""",
+    "strip_by_many_markers": """WITH split AS (SELECT doc_id, string_split(rtrim(text, chr(10)), chr(10)) AS ls FROM documents),
+        lines AS (SELECT doc_id, generate_subscripts(ls, 1) AS no, unnest(ls) AS line FROM split),
+        opened AS (SELECT doc_id, min(no) AS a FROM lines WHERE EXISTS (FROM benchmark b WHERE starts_with(line, left(b.text, 4))) GROUP BY doc_id),
+        ends AS (SELECT DISTINCT left(text, turn % 3 + 5) AS marker FROM conversations),
+        closed AS (SELECT doc_id, min(no) AS z FROM lines JOIN opened USING (doc_id)
+          WHERE no > a AND (left(line, 5) IN (FROM ends) OR left(line, 6) IN (FROM ends) OR left(line, 7) IN (FROM ends)) GROUP BY doc_id)
+        SELECT doc_id, array_to_string(ls[a + 1:coalesce(z - 1, len(ls))], '|') AS text
+        FROM split JOIN opened USING (doc_id) LEFT JOIN closed USING (doc_id) WHERE text <> ''""",
     "decode_latin1": "SELECT doc_id, strlen(text)::INTEGER AS n_chars, md5(text) AS md5 FROM documents",
     "limit_groups": """SELECT source AS bookshelf_url, source[4:]::BIGINT AS shelf_pos, doc_id AS ebook_id FROM documents
         WHERE source IN (SELECT DISTINCT source FROM documents ORDER BY source[4:]::BIGINT LIMIT 3)""",
     "limit_per_group": """SELECT source AS bookshelf_url, source[4:]::BIGINT AS shelf_pos, doc_id AS ebook_id FROM documents
         QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 5""",
     "catalog_codec_roundtrip": f"""SELECT shelf AS shelf_pos, 'u' || shelf AS bookshelf_url, (doc_id % 10)::INTEGER AS ebook_pos,
-        doc_id AS ebook_id, regexp_replace(title, '%%%|##|!!!', '-', 'g') AS ebook_title FROM ({_LISTED})""",
+        doc_id AS ebook_id, regexp_replace(regexp_replace(title, '%%%|!!!', '-', 'g'), '##+([^#])', '-\\1', 'g') AS ebook_title FROM ({_LISTED})""",
     "materialize_roundtrip": "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders",
     "index_roundtrip": _SAVED + _INDEX_OUT,
     "index_as_maps": _SAVED + _INDEX_OUT,
@@ -758,13 +890,15 @@ _QUERIES = (
     tokenize_documents, term_frequency, document_frequency_idf, tfidf_index, tfidf_by_lang,
     tfidf_whole_corpus, tfidf_group_as_document, dedupe_last_wins, signature_words,
     term_weight_lookup, search_top_books, search_total_all, search_every_group,
+    search_whole_groups, search_term_table, rank_whole_groups, rank_first_5000,
     search_normalized_index, search_bucketed_index,
     similarity_scores, skew_profile_lang, skew_profile_users, pack_n_bins, pack_n_bins_users,
-    pack_n_bins_per_nation, pack_max_capacity, pack_as_listed, bin_lookup, bin_stats,
+    pack_n_bins_per_nation, pack_max_capacity, pack_as_listed,
+    pack_n_bins_level, pack_level_balance, pack_max_capacity_fill, bin_lookup, bin_stats,
     bin_count, repartition_packed, repartition_packed_split, repartition_builtin,
     extract_links, filter_links, typed_anchors, build_catalog, build_catalog_stored, build_catalog_all_stored, candidate_urls,
     first_available, group_text_size, attach_stored_texts, strip_by_markers, strip_wrapped,
-    marker_lines, decode_latin1, limit_groups, limit_per_group, catalog_codec_roundtrip,
+    marker_lines, marker_lines_many, strip_by_many_markers, decode_latin1, limit_groups, limit_per_group, catalog_codec_roundtrip,
     materialize_roundtrip, index_roundtrip, index_as_maps, dictionary_lookup,
     build_index_skew, build_index_pack, build_index_partition, build_index_limits, build_and_search,
 )
@@ -777,17 +911,18 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def _pipeline_parts() -> tuple[dict, dict]:
     """Queries and SQL of the training-data operators, if that subpackage is there."""
-    if importlib.util.find_spec("skewdex.llm") is None:
+    try:
+        from skewdex.llm import queries as llm
+    except ImportError:  # the folder, or a library that only it needs, is not there
         return {}, {}
-    from skewdex.llm import queries as llm
-
     found, sql = {query.__name__: query for query in llm.QUERIES}, dict(llm.ORACLE_SQL)
-    if importlib.util.find_spec("corpus_pipeline") is not None:
+    try:
         import corpus_pipeline
-
-        found["pipeline"] = corpus_pipeline.run
-        if corpus_pipeline.ORACLE_SQL:
-            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    except ImportError:
+        return found, sql
+    found["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
     return found, sql
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .joins import BROADCAST_ROWS
-from .ranking import keep_first
+from .ordered import first_rows
 
 SHELF_SCHEMA = "pos long, url string, ebooks array<struct<id: int, title: string>>"
 
@@ -40,7 +40,7 @@ def limit_listed_groups(listing: DataFrame, n: int, position: str) -> DataFrame:
 
 def limit_listed_docs(listing: DataFrame, n: int, group: list[str], position: str) -> DataFrame:
     """The first ``n`` rows by ``position`` of every group of a flat listing."""
-    return keep_first(listing, group, [position], n, "_rn").drop("_rn")
+    return first_rows(listing, group, [position], n, "_rn").drop("_rn")
 
 
 def flatten(shelves: DataFrame) -> DataFrame:

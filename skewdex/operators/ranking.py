@@ -19,8 +19,8 @@ def keep_first(
     """Rows whose ``number`` (row_number or rank) in their group is at most ``k``, as ``place``.
 
     Spark cuts each input partition to its own first ``k`` before the shuffle, as long as
-    ``k`` is below ``spark.sql.optimizer.windowGroupLimitThreshold``; raise that setting for
-    a larger ``k`` over groups of very many rows. Without ``k`` all rows are numbered.
+    ``k`` is below ``spark.sql.optimizer.windowGroupLimitThreshold``. For a larger ``k``, or
+    none, see ``ordered.first_rows``.
     """
     numbered = rows.withColumn(place, number().over(Window.partitionBy(*group).orderBy(*order)))
     return numbered if k is None else numbered.where(F.col(place) <= k)

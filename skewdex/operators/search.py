@@ -6,21 +6,31 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import query_terms
-from .ranking import keep_first
+from .ordered import first_rows
 
 MIN_SCORE = 0.001
 TITLE_WIDTH = 60
 GROUP_WIDTH = 132
 
 
-def match_terms(index: DataFrame, query: str) -> DataFrame:
-    """Index rows whose term is in the query; the list reaches the Parquet scan."""
+def match_terms(index: DataFrame, query: str | DataFrame) -> DataFrame:
+    """Index rows whose term is in the query: a text, or a table with a column ``term``.
+
+    The terms of a text reach the Parquet scan as a list. A table of terms, which may hold any
+    number of them, is a semi-join: sent around if it is small, and otherwise shuffled, with
+    a Bloom filter of its terms on the index scan, so that only rows that may match move
+    (from ``spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold`` on).
+    """
+    if isinstance(query, DataFrame):
+        # A comparison, not a null test, lets Spark take the table for a filter of the scan.
+        terms = query.where(F.col("term") > "").select("term").distinct()
+        return index.join(terms, "term", "left_semi")
     return index.where(F.col("term").isin(query_terms(index.sparkSession, query)))
 
 
 def similarity(
     index: DataFrame,
-    query: str,
+    query: str | DataFrame,
     key: list[str],
     min_score: float = MIN_SCORE,
 ) -> DataFrame:
@@ -43,12 +53,12 @@ def _exact_sum(value: str) -> Column:
 
 def rank_in_group(scores: DataFrame, group: str, k: int | None) -> DataFrame:
     """RANK by score inside the group as ``topN``, kept up to ``k``, ties included."""
-    return keep_first(scores, [group], [F.desc("similarity_level")], k, "topN", F.rank)
+    return first_rows(scores, [group], ["-similarity_level"], k, "topN", ties=True)
 
 
 def search(
     index: DataFrame,
-    query: str,
+    query: str | DataFrame,
     group: str = "bookshelf_url",
     doc: str = "ebook_id",
     title: str = "ebook_title",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.text import run_ends, run_lengths, terms
 from ..sources.staging import stage
 from .joins import BROADCAST_ROWS, lookup_join
-from .ranking import keep_first
+from .ordered import first_rows
 
 TOP_TERMS = 500
 # Terms of a lookup that are pushed to the scan as a list.
@@ -31,7 +31,7 @@ def tokenize(docs: DataFrame, doc: list[str], text: str = "text") -> DataFrame:
 
 def last_listed(listing: DataFrame, key: list[str], position: str) -> DataFrame:
     """Keep the row listed last under each key."""
-    return keep_first(listing, key, [F.desc(position)], 1, "_rn").drop("_rn")
+    return first_rows(listing, key, [f"-{position}"], 1, "_rn").drop("_rn")
 
 
 def term_counts(docs: DataFrame, key: list[str], text: str = "text") -> DataFrame:
@@ -107,7 +107,7 @@ def top_terms(weights: DataFrame, key: list[str], k: int | None) -> DataFrame:
     """The ``k`` heaviest terms per key; equal weights go by term."""
     if k is None:
         return weights
-    return keep_first(weights, key, [F.desc("weight"), "term"], k, "_rn").drop("_rn")
+    return first_rows(weights, key, ["-weight", "term"], k, "_rn").drop("_rn")
 
 
 def tfidf(
@@ -180,7 +180,7 @@ def group_tfidf(docs: DataFrame, group: list[str], text: str = "text", top: int
 
 def signature_words(index: DataFrame, key: list[str], k: int) -> DataFrame:
     """The ``k`` heaviest terms of every document of an index, with their place."""
-    return keep_first(index, key, [F.desc("weight"), "term"], k, "place").select(
+    return first_rows(index, key, ["-weight", "term"], k, "place").select(
         *key, "place", "term", "weight"
     )
 

@@ -11,40 +11,51 @@ DOC_SEPARATOR = "##"
 TITLE_SEPARATOR = "!!!"
 
 
+# A number and what follows it: where a document begins.
+_DOC = rf"(?=-?[0-9]+{TITLE_SEPARATOR})"
+# What a title and a url must not hold. A title may end in signs of the separator that comes next.
+_BROKEN_TITLE = rf"[\r\n]|{URL_SEPARATOR}|{DOC_SEPARATOR}+[^#]|{TITLE_SEPARATOR}"
+_BROKEN_URL = rf"[\r\n]|{URL_SEPARATOR}"
+
+
 def encode(shelves: DataFrame) -> DataFrame:
     """``value``: the line of each (url, ebooks).
 
-    Nothing is escaped. What the format can't hold raises: a null number or title, an empty
-    title, and a separator or line end within a url or title.
+    A group without documents is written as one that has neither number nor title. Nothing is escaped, and what is written is read back as it was. What the format can't
+    hold raises: a null url, number or title, an empty title, a line end, and a separator
+    within a url or title. Signs of a separator at either end of a value are held.
     """
 
-    def held(value: Column, what: str, least: int) -> Column:
-        broken = rf"[\r\n]|{URL_SEPARATOR}|{DOC_SEPARATOR}|{TITLE_SEPARATOR}"
+    def held(value: Column, what: str, least: int, broken: str) -> Column:
         fits = value.isNotNull() & ~value.rlike(broken) & (F.length(value) >= least)
         return F.when(fits, value).otherwise(F.raise_error(F.concat(F.lit(f"the catalog can't hold this {what}: "), F.coalesce(value, F.lit("null")))).cast("string"))
 
     docs = F.transform(
-        "ebooks", lambda e: F.concat(held(e.id.cast("string"), "number", 1), F.lit(TITLE_SEPARATOR), held(e.title, "title", 1))
+        F.coalesce("ebooks", F.array()),
+        lambda e: F.concat(held(e.id.cast("string"), "number", 1, r"[^-0-9]"), F.lit(TITLE_SEPARATOR), held(e.title, "title", 1, _BROKEN_TITLE)),
     )
-    return shelves.select(F.concat(held(F.col("url"), "url", 0), F.lit(URL_SEPARATOR), F.array_join(docs, DOC_SEPARATOR)).alias("value"))
+    listed = F.when(F.size(docs) > 0, F.array_join(docs, DOC_SEPARATOR)).otherwise(TITLE_SEPARATOR)
+    return shelves.select(F.concat(held(F.col("url"), "url", 0, _BROKEN_URL), F.lit(URL_SEPARATOR), listed).alias("value"))
 
 
 def decode(lines: DataFrame, id_type: str = "int") -> DataFrame:
     """``url`` and ``ebooks`` of each line of ``value``; a malformed line is dropped whole.
 
-    Malformed: no part after the url, a number that is none, or an empty title. Parts
-    beyond the second are ignored.
+    Malformed: no part after the url, a document without a number, a number that is none, or
+    an empty title. Parts beyond the second are ignored.
     """
-    parts = F.split("value", URL_SEPARATOR)
+    # The url ends before a document, or the sign that there is none, so a sign of the separator may be its last.
+    head = rf"(?s)\A(.*?){URL_SEPARATOR}({_DOC}.*|{TITLE_SEPARATOR})\z"
+    listed = F.get(F.split(F.regexp_extract("value", head, 2), URL_SEPARATOR), 0)
     docs = F.transform(
-        F.split(F.get(parts, 1), DOC_SEPARATOR),
+        F.when(listed != TITLE_SEPARATOR, F.split(listed, DOC_SEPARATOR + _DOC)).otherwise(F.array().cast("array<string>")),
         lambda e: F.struct(
             F.get(F.split(e, TITLE_SEPARATOR), 0).try_cast(id_type).alias("id"),
             F.get(F.split(e, TITLE_SEPARATOR), 1).alias("title"),
         ),
     )
-    return lines.select(F.get(parts, 0).alias("url"), docs.alias("ebooks")).where(
-        F.forall("ebooks", lambda e: e.id.isNotNull() & F.coalesce(e.title != "", F.lit(False)))
+    return lines.where(F.col("value").rlike(head)).select(F.regexp_extract("value", head, 1).alias("url"), docs.alias("ebooks")).where(
+        F.forall("ebooks", lambda e: e.id.isNotNull() & F.coalesce((e.title != "") & ~e.title.rlike(rf"{DOC_SEPARATOR}+[^#]"), F.lit(False)))
     )
 
 

@@ -6,9 +6,9 @@ import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
-
 #: Folders of tables that were staged inside ``temporary_tables``, innermost block last.
 _staged: list[list[str]] = []
 
@@ -38,10 +38,9 @@ def temporary_tables(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        jvm = spark.sparkContext._jvm
         for path in _staged.pop():
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+            system, folder = _paths(spark, path)
+            system.delete(folder, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -57,18 +56,55 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _paths(spark: SparkSession, *paths: str):
+    """The file system of some paths of one store, and the paths as its own."""
+    jvm = spark.sparkContext._jvm
+    own = [jvm.org.apache.hadoop.fs.Path(path.rstrip("/")) for path in paths]
+    return own[0].getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), *own
+
+
 def is_saved(spark: SparkSession, path: str) -> bool:
     """True if a finished write (with its ``_SUCCESS`` file) lies at ``path``."""
+    system, marker = _paths(spark, f"{path.rstrip('/')}/_SUCCESS")
+    return system.exists(marker)
+
+
+def publish(spark: SparkSession, draft: str, path: str) -> bool:
+    """Give the finished table at ``draft`` the name ``path``; False if a finished one has it.
+
+    The folder is renamed, in one step on HDFS and local disks, and never into or over a
+    finished table: of several that publish, one wins. What a failed write has left at
+    ``path``, a folder without ``_SUCCESS``, gives way.
+    """
     jvm = spark.sparkContext._jvm
-    marker = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
-    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+    system, source, target = _paths(spark, draft, path)
+    if is_saved(spark, path):
+        return False
+    if system.exists(target):
+        system.delete(target, True)
+    renames = jvm.org.apache.hadoop.fs.FileContext.getFileContext(source.makeQualified(system.getUri(), system.getWorkingDirectory()).toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        renames.rename(source, target, spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0))
+    except Py4JJavaError:
+        if is_saved(spark, path):
+            return False
+        raise
+    return True
 
 
 def materialize(spark: SparkSession, path: str, builder: Callable[[], DataFrame]) -> DataFrame:
     """Read the table saved at ``path``; if there is none, build it, save it and read it.
 
-    A saved table is never overwritten, and a failed write raises.
+    A saved table is never overwritten. The table is written to a folder of its own beside
+    ``path`` and then takes its name, so a failed save raises and leaves nothing in the way
+    of the next one. Of concurrent builders one wins, and all read what it has saved.
     """
     if not is_saved(spark, path):
-        builder().write.mode("errorifexists").parquet(path)
+        draft = f"{path.rstrip('/')}.draft-{uuid.uuid4().hex}"
+        try:
+            builder().write.mode("errorifexists").parquet(draft)
+            publish(spark, draft, path)
+        finally:
+            system, folder = _paths(spark, draft)
+            system.delete(folder, True)  # no longer there if it was published
     return spark.read.parquet(path)

@@ -65,13 +65,72 @@ def test_widths_and_limits_can_be_left_out(spark):
     assert [(len(r.bookshelf), len(r.title), r.similarity_level) for r in whole] == [(200, 100, 5.0 - i) for i in range(5)]
 
 
-@pytest.mark.parametrize("title", [None, "", "a##b", "a!!!b", "a%%%b", "a\nb"])
+@pytest.mark.parametrize("title", [None, "", "a##b", "a#####b", "##b", "a!!!b", "!!!", "a%%%b", "a\nb", "a\rb"])
 def test_what_the_catalog_can_not_hold_raises(spark, title):
     shelves = spark.createDataFrame([(1, "u", [(1, "A"), (2, title)])], catalog.SHELF_SCHEMA)
     with pytest.raises(Exception, match="can't hold this title"):
         catalog_text.encode(shelves).collect()
 
 
+@pytest.mark.parametrize("url", [None, "a%%%b", "%%%", "a\nb"])
+def test_urls_the_catalog_can_not_hold_raise(spark, url):
+    with pytest.raises(Exception, match="can't hold this url"):
+        catalog_text.encode(spark.createDataFrame([(1, url, [(1, "A")])], catalog.SHELF_SCHEMA)).collect()
+
+
+EDGES = ["a#", "a##", "a###", "#", "##", "###", "#a", "a%", "a%%", "%a", "%%", "%", "a!", "a!!", "!a", "!!a", "!", "!!", "1", "-1", "7!!", "a#1!!", "# #", " a "]
+
+
+@pytest.mark.parametrize("last", ["z", "z##", "!"])
+def test_the_catalog_reads_back_what_it_holds(spark, tmp_path, last):
+    """Signs of separators at the ends of titles and urls, empty groups, and negative numbers."""
+    groups = [(1, "u", [(at, t) for at, t in enumerate(EDGES)] + [(-5, last)]), (2, "u%", [(1, "a")]), (3, "u%%", [(2, "#")])]
+    groups += [(4, "%", []), (5, "empty", []), (6, "u%1", []), (7, "", [(3, "x")]), (8, "!!!##", [(1, "##")]), (9, "none", None)]
+    groups += [(100 + at, f"{a}{b}", [(at, a), (at + 1, b)]) for at, a in enumerate(EDGES) for b in ("#", "!", "t")]
+    catalog_text.write_catalog(spark.createDataFrame(groups, catalog.SHELF_SCHEMA), str(tmp_path / "c"))
+    back = catalog_text.read_catalog(spark, str(tmp_path / "c")).collect()
+    want = sorted((url, [tuple(d) for d in docs or []]) for _, url, docs in groups)
+    assert sorted((r.url, [tuple(e) for e in r.ebooks]) for r in back) == want
+
+
+def test_a_failed_save_does_not_stand_in_the_way(spark, tmp_path):
+    path = str(tmp_path / "saved")
+    broken = spark.range(5).select(F.when(F.col("id") < 3, F.col("id")).otherwise(F.raise_error(F.lit("broken off")).cast("long")).alias("id"))
+    with pytest.raises(Exception, match="broken off"):
+        staging.materialize(spark, path, lambda: broken)
+    assert not staging.is_saved(spark, path) and os.listdir(tmp_path) == []
+    assert staging.materialize(spark, path, lambda: spark.range(5)).count() == 5
+    assert os.listdir(tmp_path) == ["saved"]
+
+
+def test_remains_of_a_lost_save_give_way(spark, tmp_path):
+    """A folder without _SUCCESS, as a driver that was lost while it wrote leaves it."""
+    os.makedirs(tmp_path / "saved" / "_temporary" / "0")
+    spark.range(9).write.parquet(str(tmp_path / "saved" / "part"))
+    assert staging.materialize(spark, str(tmp_path / "saved"), lambda: spark.range(4)).count() == 4
+
+
+def test_one_of_concurrent_builders_wins(spark, tmp_path):
+    from threading import Barrier, Thread
+
+    path, ready, got = str(tmp_path / "saved"), Barrier(3), []
+
+    def build(n):
+        def builder():
+            ready.wait(60)  # all have found that there is no table
+            return spark.range(n)
+
+        got.append(sorted(r.id for r in staging.materialize(spark, path, builder).collect()))
+
+    threads = [Thread(target=build, args=(n,)) for n in (3, 4, 5)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join(120)
+    assert len(got) == 3 and got[0] == got[1] == got[2] == list(range(len(got[0])))
+    assert os.listdir(tmp_path) == ["saved"]
+
+
 def test_a_long_group_is_written_in_lines(spark, tmp_path):
     rows = [(7, "u|x", at, 100 + at, f"T{at}") for at in range(25)] + [(8, "v", 3, 5, "only"), (9, "w", None, None, None)]
     listing = spark.createDataFrame(rows, "shelf_pos long, bookshelf_url string, ebook_pos int, ebook_id int, ebook_title string")
