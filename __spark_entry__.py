@@ -13,8 +13,9 @@ from skewdex.functions.lines import END_MARKERS, START_MARKERS, starts_with_any
 from skewdex.functions.text import STOP_WORDS
 from skewdex.operators import catalog as cat
 from skewdex.operators import markers, ordered, packing, pages, search, tfidf
-from skewdex.plans.build_index import build_index, search_index, strip_boilerplate
+from skewdex.plans.build_index import build_index, replace_groups, search_index, strip_boilerplate
 from skewdex.sources import catalog_text, index_store
+from skewdex.sources import texts as texts_of
 from skewdex.sources.staging import materialize, shared_root, stage
 from skewdex.sources.tables import read_spread
 from skewdex.sources.texts import attach_texts, decode_text
@@ -500,6 +501,27 @@ def catalog_codec_roundtrip(spark, sf):
     return cat.flatten(read.withColumn("pos", F.substring("url", 2, 12).cast("long")))
 
 
+def catalog_long_group(spark, sf):
+    """All documents as one group, written in lines of a thousand and put in order again."""
+    listing = _listed(spark, sf).select(
+        F.lit(7).alias("shelf_pos"), F.lit("all").alias("bookshelf_url"), F.col("doc_id").alias("ebook_pos"),
+        F.col("doc_id").alias("ebook_id"), _holdable("title").alias("ebook_title"),
+    )
+    path = _run_path(spark, sf, f"listing-{uuid.uuid4().hex}")
+    catalog_text.write_listing(listing, path, per_line=1000)
+    read = catalog_text.read_listing(spark, path, "bigint")
+    return read.select(
+        "shelf_pos", "bookshelf_url", (F.col("part") * 1000 + F.col("place")).alias("ebook_pos"), "ebook_id", "ebook_title"
+    )
+
+
+def rows_in_memory(spark, sf):
+    """The nations, held by the caller, as a table of 34 slices, each with its customers."""
+    held = [(r.n_nationkey, r.n_name) for r in _t(spark, sf, "nation").collect()]  # 25 of them
+    nations = cat.from_rows(spark, held, "c_nationkey int, n_name string")
+    return _t(spark, sf, "customer").join(nations, "c_nationkey").groupBy("n_name").agg(F.count(F.lit(1)).alias("n_customers"))
+
+
 def materialize_roundtrip(spark, sf):
     path = _run_path(spark, sf, "orders")
 
@@ -567,6 +589,31 @@ def build_index_partition(spark, sf):
     return _weight(_built(spark, sf, "partition"))
 
 
+def build_index_files(spark, sf):
+    """The index from stored files: every text a file of its own, whose address and length are the store's."""
+    listing, _, _ = _library(spark, sf)
+    directory = _run_path(spark, sf, f"files-{uuid.uuid4().hex}")
+    texts = _docs(spark, sf).select("doc_id", _wrapped(F.col("text")).alias("value")).where("value <> ''")
+    texts.write.partitionBy("doc_id").text(f"{directory}/texts")
+    files = texts_of.read_files(spark, f"{directory}/texts")
+    number = F.regexp_extract("url", r"doc_id=(\d+)/", 1).cast("long")
+    stored = files.select("url", "length", number.alias("ebook_id"))
+    build_index(listing.join(stored, "ebook_id"), None, texts_of.decode_text(files, charset="UTF-8"), directory=directory)
+    return _weight(index_store.read_index(spark, directory, INDEX_ROWS))
+
+
+def replace_index_group(spark, sf):
+    """An index by group in which the longest group has drafts of titles, and is then built anew."""
+    listing, lengths, texts = _library(spark, sf)
+    directory = _run_path(spark, sf, f"by-group-{uuid.uuid4().hex}")
+    longest = listing.groupBy("bookshelf_url").count().orderBy(F.desc("count"), "bookshelf_url").first()[0]
+    of_longest = F.col("bookshelf_url") == longest
+    drafts = listing.withColumn("ebook_title", F.when(of_longest, F.lit("draft")).otherwise(F.col("ebook_title")))
+    replace_groups(drafts, lengths, texts, directory=directory)
+    replace_groups(listing.where(of_longest), lengths, texts, directory=directory)
+    return _weight(index_store.read_index(spark, directory, INDEX_ROWS))
+
+
 def build_and_search(spark, sf):
     directory = _run_path(spark, sf, "searched")
     build_index(*_library(spark, sf), directory=directory)
@@ -869,6 +916,9 @@ _SQL = {
         QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 5""",
     "catalog_codec_roundtrip": f"""SELECT shelf AS shelf_pos, 'u' || shelf AS bookshelf_url, (doc_id % 10)::INTEGER AS ebook_pos,
         doc_id AS ebook_id, regexp_replace(regexp_replace(title, '%%%|!!!', '-', 'g'), '##+([^#])', '-\\1', 'g') AS ebook_title FROM ({_LISTED})""",
+    "catalog_long_group": f"""SELECT 7::BIGINT AS shelf_pos, 'all' AS bookshelf_url, row_number() OVER (ORDER BY doc_id) - 1 AS ebook_pos,
+        doc_id AS ebook_id, regexp_replace(regexp_replace(title, '%%%|!!!', '-', 'g'), '##+([^#])', '-\\1', 'g') AS ebook_title FROM ({_LISTED})""",
+    "rows_in_memory": "SELECT n_name, count(*) AS n_customers FROM nation JOIN customer ON n_nationkey = c_nationkey GROUP BY n_name",
     "materialize_roundtrip": "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders",
     "index_roundtrip": _SAVED + _INDEX_OUT,
     "index_as_maps": _SAVED + _INDEX_OUT,
@@ -883,6 +933,8 @@ _SQL = {
         "source", "doc_id", "replace(text, chr(10), '')", _TITLE,
         "(SELECT * FROM documents WHERE text <> '' AND doc_id IN (SELECT doc_id FROM first))",
     ) + _INDEX_OUT,
+    "build_index_files": _LIBRARY + _INDEX_OUT,
+    "replace_index_group": _LIBRARY + _INDEX_OUT,
     "build_and_search": _sql_search(_LIBRARY, 2, "topk", "LIMIT 10"),
 }
 
@@ -899,8 +951,9 @@ _QUERIES = (
     extract_links, filter_links, typed_anchors, build_catalog, build_catalog_stored, build_catalog_all_stored, candidate_urls,
     first_available, group_text_size, attach_stored_texts, strip_by_markers, strip_wrapped,
     marker_lines, marker_lines_many, strip_by_many_markers, decode_latin1, limit_groups, limit_per_group, catalog_codec_roundtrip,
-    materialize_roundtrip, index_roundtrip, index_as_maps, dictionary_lookup,
-    build_index_skew, build_index_pack, build_index_partition, build_index_limits, build_and_search,
+    catalog_long_group, rows_in_memory, materialize_roundtrip, index_roundtrip, index_as_maps, dictionary_lookup,
+    build_index_skew, build_index_pack, build_index_partition, build_index_limits,
+    build_index_files, replace_index_group, build_and_search,
 )
 
 

@@ -37,6 +37,7 @@ def lookup_join(
     how: str = "inner",
     rows: int = BROADCAST_ROWS,
     spread_by: list[str] | None = None,
+    spread_n: int | None = None,
 ) -> DataFrame:
     """Join ``left`` to ``right``, which has one row per ``on`` and should be a staged table.
 
@@ -46,7 +47,8 @@ def lookup_join(
     hot keys are never shuffled; the others meet in an ordinary shuffle join, and each of them
     holds less than 2/rows of the total weight. Rows too wide to broadcast are joined with
     those. If ``left`` is already spread by ``spread_by``, the shuffled rows are brought back
-    to that layout, so that an operator that needs it does not move the hot rows.
+    to that layout (of ``spread_n`` partitions), so that an operator that needs it does not
+    move the hot rows.
     """
     narrow = _width(right) <= BROADCAST_ROW_BYTES
     # Keys by the number of binary digits of their weight: at most 64 times two rows.
@@ -75,5 +77,7 @@ def lookup_join(
         )
         rest = left.where(~keyless)
     cold = rest.join(F.broadcast(hot.select(*on)), on, "left_anti").join(right.where(~is_hot), on, how)
-    parts.append(cold.repartition(*[F.col(c) for c in spread_by]) if spread_by else cold)
+    if spread_by:
+        cold = cold.repartition(*([spread_n] if spread_n else []), *[F.col(c) for c in spread_by])
+    parts.append(cold)
     return reduce(DataFrame.unionByName, parts)

@@ -15,7 +15,7 @@ room it meets. No task sees more of a group than its share of the sort.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -368,6 +368,23 @@ def assign_bins(
     return bin_lookup(cut, packed, unit, weight, strict=True).drop(part), (last or 0) + 1
 
 
+def hash_places(spark: SparkSession, n: int) -> DataFrame:
+    """(bin, place): for each of ``n`` bins a number whose hash puts its rows into the bin's own partition of ``n``.
+
+    Rows laid out by ``repartition(n, place)`` are a bin to a partition, in a layout that
+    joins, windows and aggregates by ``place`` (and more columns) know for theirs.
+    """
+    # Some 30 numbers to a bin: that one has none of them is hardly ever so, and then more are tried.
+    tried = 30 * n + 100
+    while True:
+        own = F.pmod(F.hash("place"), F.lit(n)).alias("bin")
+        found = spark.range(tried).select(F.col("id").cast("int").alias("place")).groupBy(own).agg(F.min("place").alias("place"))
+        found = stage(found, "places")
+        if found.count() == n:
+            return found
+        tried *= 4
+
+
 def repartition_packed(
     rows: DataFrame,
     key: list[str],

@@ -129,31 +129,46 @@ def tfidf(
 
 def tfidf_of_counts(
     counts: DataFrame, scope: list[str], doc: list[str], top: int | None = TOP_TERMS,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_rows: int = BROADCAST_ROWS, layout: tuple[str | None, int] | None = None,
 ) -> DataFrame:
-    """``tfidf`` of documents whose terms are counted already (``n_terms``, ``counts``)."""
-    counts = _scoped(counts, scope).select(_SCOPE, *doc, "n_terms", "counts")
-    return _tfidf(counts, scope, doc, top, broadcast_rows)
+    """``tfidf`` of documents whose terms are counted already (``n_terms``, ``counts``).
 
+    ``layout`` names a column and a number of partitions: documents are weighed and ranked in
+    the partition that the column's hash gives, and their rows stay there. With None for the
+    column they are dealt out to that number of partitions.
+    """
+    place = [layout[0]] if layout and layout[0] else []
+    counts = _scoped(counts, scope).select(_SCOPE, *doc, *place, "n_terms", "counts")
+    return _tfidf(counts, scope, doc, top, broadcast_rows, place, layout[1] if layout else None)
 
-def _tfidf(counts: DataFrame, scope: list[str], doc: list[str], top: int | None, broadcast_rows: int) -> DataFrame:
+
+def _tfidf(
+    counts: DataFrame, scope: list[str], doc: list[str], top: int | None, broadcast_rows: int,
+    place: list[str] | None = None, n: int | None = None,
+) -> DataFrame:
     """The counts, an array per document, are staged under a document number.
 
-    They are spread by that number before they are unrolled, so the terms looked up by
-    broadcast stay where their document is and the ranking needs no further shuffle. Only
-    the number travels and is sorted with the terms; the document's own columns come back
-    at the end.
+    They are spread by that number, or by ``place``, before they are unrolled, so the terms
+    looked up by broadcast stay where their document is and the ranking needs no further
+    shuffle. Spread by number, only the number is sorted with the terms, and the document's
+    own columns come back by a join on it. Spread by ``place`` they go along, as a join on
+    more than the place would move all terms once more.
     """
+    place = place or []
+    by = place or [_ROW]
     counts = stage(counts.withColumn(_ROW, F.monotonically_increasing_id()), "counts")
     rates = stage(inverse_document_frequency(counts, [_SCOPE]), "idf")
-    tf = _flat(counts.select(_ROW, _SCOPE, "n_terms", "counts").repartition(_ROW), [_ROW, _SCOPE])
+    row, named = [*place, _ROW], counts.select(_ROW, *_unscoped(scope), *doc)
+    taken = [_SCOPE, *doc] if place else [_SCOPE]
+    spread = counts.select(*row, *taken, "n_terms", "counts").repartition(*([n] if n else []), *by)
     weights = lookup_join(
-        tf, rates.select(_SCOPE, "term", "df", "idf"), [_SCOPE, "term"], "df",
-        rows=broadcast_rows, spread_by=[_ROW],
-    ).select(_ROW, "term", (F.col("n") / F.col("n_terms") * F.col("idf")).alias("weight"))
-    best = top_terms(weights, [_ROW], top)
-    named = counts.select(_ROW, *_unscoped(scope), *doc)
-    return best.join(named, _ROW).select(*scope, *doc, "term", "weight")
+        _flat(spread, [*row, *taken]), rates.select(_SCOPE, "term", "df", "idf"), [_SCOPE, "term"], "df",
+        rows=broadcast_rows, spread_by=by, spread_n=n,
+    ).select(*row, *taken, "term", (F.col("n") / F.col("n_terms") * F.col("idf")).alias("weight"))
+    best = top_terms(weights, row, top)
+    if place:
+        return best.select(*_unscoped(scope), *doc, "term", "weight")
+    return best.join(named.repartition(n, _ROW) if n else named, _ROW).select(*scope, *doc, "term", "weight")
 
 
 def group_tfidf(docs: DataFrame, group: list[str], text: str = "text", top: int | None = TOP_TERMS) -> DataFrame:

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from ..functions.lines import END_MARKERS, START_MARKERS, body
 from ..operators.catalog import limit_listed_docs, limit_listed_groups
-from ..operators.packing import PACK_BINS, PARTITIONS, assign_bins
+from ..operators.packing import PACK_BINS, PARTITIONS, assign_bins, hash_places
 from ..operators.pages import FILE_ROOT, FILE_SUFFIXES, resolve_urls
 from ..operators.search import search
 from ..operators.tfidf import TOP_TERMS, last_listed, term_counts, tfidf_of_counts
-from ..sources.index_store import DEFAULT_DIRECTORY, INDEX_SCHEMA, read_index, write_index
+from ..sources.index_store import DEFAULT_DIRECTORY, INDEX_SCHEMA, read_index, write_groups, write_index
 from ..sources.staging import stage, temporary_tables
 
 # Fixed value: the query that is asked if none is given.
@@ -59,10 +59,11 @@ def index_library(
     they count in ``max_groups``.
 
     Each text is cut to its body and counted where it is read, once, however often it is
-    listed; what moves are the counts. ``mode`` lays those out: as they come ("skew"),
-    packed by group into ``n`` bins of even size ("pack"; a group above a fair share is
-    divided), or dealt out to ``n`` partitions ("partition"). Without ``n`` there are 16 bins
-    or 228 partitions, and more if there are more than ``share_bytes`` of text for each.
+    listed; what moves are the counts, once. ``mode`` says to where they are moved, to be
+    weighed and ranked there: by document ("skew"), packed by group into ``n`` bins of even
+    size ("pack"; a group above a fair share is divided), or dealt out to ``n`` partitions
+    ("partition"). Without ``n`` there are 16 bins or 228 partitions, and more if there are
+    more than ``share_bytes`` of text for each.
     """
     if mode not in ("skew", "pack", "partition"):
         raise ValueError(f"mode must be 'skew', 'pack' or 'partition', not {mode!r}")
@@ -78,18 +79,19 @@ def index_library(
     # Staged, so that its size is known before the counts are joined.
     resolved = stage(resolved, "listing")
     counts = stage(body_counts(texts, start, end), "bodies")
-    if mode == "skew":
-        docs = resolved.join(counts, "url")
-    else:
-        if n is None:
-            total = resolved.agg(F.sum("length")).first()[0] or 0
-            n = max(PACK_BINS if mode == "pack" else PARTITIONS, -(-total // share_bytes))
-        if mode == "pack":
-            placed, bins = assign_bins(resolved, [SHELF], "length", n, split_by=[DOC, TITLE])
-            docs = placed.join(counts, "url").repartitionById(bins, F.col("bin")).drop("bin")
-        else:
-            docs = resolved.join(counts, "url").repartition(n)
-    return tfidf_of_counts(docs, [SHELF], [DOC, TITLE], top).select(SHELF, DOC, TITLE, "term", "weight")
+    docs, layout = resolved.join(counts, "url"), None
+    if mode != "skew" and n is None:
+        total = resolved.agg(F.sum("length")).first()[0] or 0
+        n = max(PACK_BINS if mode == "pack" else PARTITIONS, -(-total // share_bytes))
+    if mode == "pack":
+        # The bins go by the listing, whose rows are narrow; a bin is a partition of the weighing.
+        placed, bins = assign_bins(resolved, [SHELF], "length", n, split_by=[DOC, TITLE])
+        # A row for each bin.
+        placed = placed.join(F.broadcast(hash_places(listing.sparkSession, bins)), "bin")
+        docs, layout = placed.join(counts, "url"), ("place", bins)
+    elif mode == "partition":
+        layout = (None, n)
+    return tfidf_of_counts(docs, [SHELF], [DOC, TITLE], top, layout=layout).select(SHELF, DOC, TITLE, "term", "weight")
 
 
 def body_counts(
@@ -113,12 +115,29 @@ def build_index(
         write_index(stage(index_library(listing, lengths, texts, **options), "index"), directory)
 
 
+def replace_groups(
+    listing: DataFrame,
+    lengths: DataFrame | None,
+    texts: DataFrame,
+    directory: str = DEFAULT_DIRECTORY,
+    **options,
+) -> None:
+    """Build the index of the listed groups and put it in the place of theirs in an index by group.
+
+    A group's weights depend on its own documents only, so nothing else is read or written.
+    """
+    with temporary_tables(listing.sparkSession):
+        write_groups(stage(index_library(listing, lengths, texts, **options), "index"), directory, SHELF)
+
+
 def search_index(
     spark: SparkSession,
-    query: str = DEFAULT_QUERY,
+    query: str | DataFrame = DEFAULT_QUERY,
     directory: str = DEFAULT_DIRECTORY,
     schema: str = INDEX_SCHEMA,
+    groups: list[str] | None = None,
     **options,
 ) -> DataFrame:
-    """Answer a query from the saved index (options as in ``search``)."""
-    return search(read_index(spark, directory, schema), query, **options)
+    """Answer a query from the saved index, of some ``groups`` only if given (options as in ``search``)."""
+    index = read_index(spark, directory, schema)
+    return search(index if groups is None else index.where(F.col(SHELF).isin(groups)), query, **options)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.ordered import rank_all
+
 # The separators of the format.
 URL_SEPARATOR = "%%%"
 DOC_SEPARATOR = "##"
@@ -67,14 +69,15 @@ def write_catalog(shelves: DataFrame, path: str) -> None:
 def write_listing(listing: DataFrame, path: str, per_line: int = 10_000) -> None:
     """Save a flat listing (as ``catalog.flatten`` gives it), a group in lines of ``per_line`` documents.
 
-    No group is gathered: a line is made from the documents whose place in the group falls
-    into its share. All lines of a group have its url; ``read_listing`` puts them in order.
+    No group is gathered, however long: its documents are numbered by a sort of the whole
+    listing, a line holds those of one share of the numbers, and nothing more meets in one
+    task. All lines of a group have its url; ``read_listing`` puts them in order.
     """
-    entry = F.struct("ebook_pos", F.col("ebook_id").alias("id"), F.col("ebook_title").alias("title"))
+    numbered = rank_all(listing.where(F.col("ebook_id").isNotNull()), ["shelf_pos", "bookshelf_url"], ["ebook_pos"], "_place")
+    entry = F.struct("_place", F.col("ebook_id").alias("id"), F.col("ebook_title").alias("title"))
     lines = (
-        listing.where(F.col("ebook_id").isNotNull())
-        .groupBy("shelf_pos", "bookshelf_url", F.expr(f"ebook_pos div {per_line}").alias("part"))
-        .agg(F.array_sort(F.collect_list(entry)).alias("all"))
+        numbered.groupBy("shelf_pos", "bookshelf_url", F.expr(f"(_place - 1) div {per_line}").alias("part"))
+        .agg(F.array_sort(F.collect_list(entry)).alias("all"))  # at most ``per_line`` of them
     )
     shelves = lines.select(
         F.concat_ws("|", "shelf_pos", "part", "bookshelf_url").alias("url"),

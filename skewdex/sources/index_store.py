@@ -31,6 +31,20 @@ def write_index(
     )
 
 
+def write_groups(index: DataFrame, directory: str = DEFAULT_DIRECTORY, group: str = "bookshelf_url", sort_by: tuple[str, ...] = ("term", "ebook_id")) -> None:
+    """Put the groups of ``index`` into an index kept by group: theirs are replaced, all others stay.
+
+    A folder to a group, so a filter by group reads its own files only. Rows are laid out by
+    ranges of group and term: a large group is many tasks' work, and a small one is one file.
+    A folder can't tell an empty name from none: both raise.
+    """
+    name = F.when(F.col(group) != "", F.col(group)).otherwise(F.raise_error(F.lit("a group must have a name")).cast("string"))
+    laid = index.withColumn(group, name).repartitionByRange(group, *sort_by).sortWithinPartitions(group, *sort_by)
+    laid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option(
+        "parquet.bloom.filter.enabled#term", "true"
+    ).partitionBy(group).parquet(index_path(directory))
+
+
 def write_index_table(index: DataFrame, table: str, buckets: int, by: tuple[str, ...] = ("bookshelf_url", "ebook_id")) -> None:
     """Replace a catalog table that holds the index bucketed by document.
 

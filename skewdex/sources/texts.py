@@ -9,7 +9,12 @@ CHARSET = "ISO-8859-1"
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
-    """``url`` (the file's path), ``length`` and ``content`` of the stored files."""
+    """``url`` (the file's path), ``length`` and ``content`` of the stored files.
+
+    Spark deals files to tasks by their lengths (``spark.sql.files.maxPartitionBytes``), and
+    opens none for a plan that needs their lengths only. A file is a row: one above
+    ``spark.sql.sources.binaryFile.maxLength`` raises.
+    """
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(
         F.col("path").alias("url"), "length", "content"
     )

@@ -1,0 +1,144 @@
+"""Where rows lie: bins as partitions of the weighing, the bucketed index, an index by group, stored files."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from skewdex.operators import packing, search, tfidf
+from skewdex.plans.build_index import build_index, index_library, replace_groups, search_index
+from skewdex.sources import catalog_text, index_store, texts
+from skewdex.sources.staging import stage
+
+WORDS = ["king", "queen", "bread", "water", "stone", "river", "house", "light", "sword", "apple"]
+
+
+def library(spark, n=90):
+    """One group with most of the documents, and some small ones."""
+    text = "x\n*** START OF THIS PROJECT GUTENBERG EBOOK\n{}\n*** END OF THIS PROJECT GUTENBERG EBOOK\n"
+    docs = [(i, "big" if i % 3 else f"small{i % 9}", " ".join(WORDS[(i * k) % 10] for k in range(1, 5 + i % 40))) for i in range(n)]
+    listing = spark.createDataFrame(
+        [(0 if s == "big" else 1 + i % 9, s, i, i, f"T{i}", f"u{i}", len(t)) for i, s, t in docs],
+        "shelf_pos long, bookshelf_url string, ebook_pos int, ebook_id int, ebook_title string, url string, length long",
+    )
+    return listing, spark.createDataFrame([(f"u{i}", text.format(t)) for i, _, t in docs], "url string, text string")
+
+
+def index_rows(df):
+    return sorted((r.bookshelf_url, r.ebook_id, r.ebook_title, r.term, round(r.weight, 9)) for r in df.collect())
+
+
+@pytest.mark.parametrize("n", [1, 4, 16, 100])
+def test_every_bin_has_a_partition_of_its_own(spark, n):
+    places = packing.hash_places(spark, n)
+    rows = spark.range(n * 5).select((F.col("id") % n).cast("int").alias("bin"), "id").join(places, "bin").repartition(n, "place")
+    got = rows.groupBy(F.spark_partition_id().alias("p")).agg(F.countDistinct("bin").alias("bins"), F.min("bin").alias("bin")).collect()
+    assert sorted((r.p, r.bin, r.bins) for r in got) == [(b, b, 1) for b in range(n)]
+
+
+def exchanges_above(text, below):
+    """Exchanges in the plan between the top and the first line that holds ``below``."""
+    return [line for line in text.split(below)[0].splitlines() if "Exchange" in line]
+
+
+@pytest.mark.parametrize("rows", [100_000, 3])
+def test_the_bins_outlive_the_weighing(spark, plan, rows):
+    """Documents are moved to their bin once; the rank per document moves no row again."""
+    counts = tfidf.term_counts(
+        spark.createDataFrame([(i, f"g{i % 2}", " ".join(WORDS[: 2 + i % 8]), i % 4) for i in range(40)], "d int, g string, text string, bin int"),
+        ["d", "g", "bin"],
+    )
+    placed = counts.join(F.broadcast(packing.hash_places(spark, 4)), "bin").drop("bin")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        packed = tfidf.tfidf_of_counts(placed, ["g"], ["d"], broadcast_rows=rows, layout=("place", 4))
+        text = plan(packed)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert exchanges_above(text, "WindowGroupLimit") == []
+    by_bin = [line for line in text.splitlines() if "Exchange hashpartitioning(place" in line]
+    moved = [line for line in text.splitlines() if "Exchange hashpartitioning(" in line]
+    if rows == 100_000:  # all terms by broadcast: only the counts are moved, once
+        assert len(by_bin) == len(moved) == 1
+    plain = tfidf.tfidf_of_counts(placed.drop("place"), ["g"], ["d"])
+    assert sorted(map(tuple, packed.collect())) == sorted(map(tuple, plain.collect()))
+
+
+@pytest.mark.parametrize("mode", ["pack", "partition"])
+def test_modes_give_the_same_index(spark, mode):
+    listing, files = library(spark)
+    want = index_rows(index_library(listing, None, files))
+    assert index_rows(index_library(listing, None, files, mode=mode, n=5)) == want and len(want) > 300
+
+
+def test_bucketed_index_moves_nothing_below_the_rank(spark, plan):
+    index = spark.range(3000).select(
+        F.concat(F.lit("s"), F.col("id") % 4).alias("bookshelf_url"), (F.col("id") % 200).cast("int").alias("ebook_id"),
+        F.concat(F.lit("T"), F.col("id") % 200).alias("ebook_title"), F.element_at(F.array(*map(F.lit, WORDS)), (F.col("id") % 10 + 1).cast("int")).alias("term"),
+        (F.col("id") % 7 / 100.0).alias("weight"),
+    )
+    index_store.write_index_table(index, "bucketed_books", 4)
+    table = spark.table("bucketed_books")
+    scores = search.similarity(table, "king queen river", ["bookshelf_url", "ebook_id", "ebook_title"])
+    ranked = search.rank_in_group(scores, "bookshelf_url", 2)
+    text = plan(ranked)
+    # The sums, and each task's share of the first two, come before the only exchange.
+    assert text.count("Exchange") == 1 and "WindowGroupLimit" in text.split("Exchange")[1] and "Bucketed: true" in text
+    plain = search.search(index, "king queen river", limit=None)
+    assert sorted(map(tuple, search.search(table, "king queen river", limit=None).collect())) == sorted(map(tuple, plain.collect()))
+    spark.sql("DROP TABLE bucketed_books")
+
+
+def test_one_group_is_replaced(spark, plan, tmp_path):
+    listing, files = library(spark)
+    whole, by_group = str(tmp_path / "whole"), str(tmp_path / "groups")
+    build_index(listing, None, files, whole)
+    replace_groups(listing.withColumn("ebook_title", F.lit("draft")), None, files, by_group)
+    others = {p.name: sorted(f.name for f in p.iterdir()) for p in (tmp_path / "groups" / "books").glob("bookshelf_url=s*")}
+    replace_groups(listing.where("bookshelf_url = 'big'"), None, files, by_group)
+    got = index_rows(index_store.read_index(spark, by_group))
+    want = index_rows(index_store.read_index(spark, whole))
+    assert [r for r in got if r[0] == "big"] == [r for r in want if r[0] == "big"]
+    assert [(r[0], r[1], "draft", *r[3:]) for r in want if r[0] != "big"] == [r for r in got if r[0] != "big"]
+    # Files of the others are the same ones.
+    assert {p.name: sorted(f.name for f in p.iterdir()) for p in (tmp_path / "groups" / "books").glob("bookshelf_url=s*")} == others and others
+    replace_groups(listing, None, files, by_group)
+    assert index_rows(index_store.read_index(spark, by_group)) == want
+    some = search_index(spark, "king water", by_group, groups=["small3", "big"], limit=None)
+    text = plan(some)
+    assert "PartitionFilters: [bookshelf_url" in text and "bookshelf_url#" in text
+    everything = search_index(spark, "king water", whole, limit=None).collect()
+    assert sorted(map(tuple, some.collect())) == sorted(tuple(r) for r in everything if r.bookshelf in ("small3", "big"))
+
+
+@pytest.mark.parametrize("name", ["", None])
+def test_a_folder_needs_a_name(spark, tmp_path, name):
+    rows = spark.createDataFrame([(name, 1, "t", "king", 0.5)], index_store.INDEX_SCHEMA)
+    with pytest.raises(Exception, match="must have a name"):
+        index_store.write_groups(rows, str(tmp_path / "x"))
+
+
+def test_files_are_listed_without_being_read(spark, plan, tmp_path):
+    for at in range(5):
+        (tmp_path / f"{at}.txt").write_bytes(b"a" * (at + 1))
+    files = texts.read_files(spark, str(tmp_path))
+    assert sorted(r.length for r in files.select("length").collect()) == [1, 2, 3, 4, 5]
+    assert "ReadSchema: struct<path:string,length:bigint>" in plan(files.select("url", "length"))
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "3")
+    try:
+        with pytest.raises(Exception, match="maxLength|exceeds the max length|BINARY_FILE"):
+            files.collect()
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+
+
+def test_a_long_group_is_dealt_to_lines_by_its_sort(spark, tmp_path):
+    """Places may have gaps and clusters: lines are full all the same, and none is longer."""
+    rows = [(1, "u", at * at * 7 % 5003 + (10**9 if at % 2 else 0), at, f"T{at}#") for at in range(500)] + [(2, "v", 4, 9, "x"), (3, None, None, None, None)]
+    listing = spark.createDataFrame(rows, "shelf_pos long, bookshelf_url string, ebook_pos long, ebook_id int, ebook_title string")
+    catalog_text.write_listing(stage(listing, "listing"), str(tmp_path / "l"), per_line=50)
+    lines = catalog_text.read_catalog(spark, str(tmp_path / "l")).collect()
+    assert sorted(len(r.ebooks) for r in lines) == [1] + [50] * 10
+    got = catalog_text.read_listing(spark, str(tmp_path / "l")).where("shelf_pos = 1").orderBy("part", "place").collect()
+    assert [r.ebook_id for r in got] == [at for *_, at in sorted((r[2], r[3]) for r in rows if r[0] == 1)]
+    assert [r.ebook_title for r in got[:3]] == [f"T{r.ebook_id}#" for r in got[:3]]
