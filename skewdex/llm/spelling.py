@@ -10,7 +10,8 @@ Each pair is found once, from the side on which a surplus comes first; words of
 meet by their order. The first levels of the descent are taken by rows: a word goes to every
 node that it may reach, as (node, word, state). Nodes of more than ``NODE`` words of their own
 go on down by rows; in the others a task walks the trie depth-first, with all the words that
-reach a branch at once. A last node that is still too large holds words of equal numbers in
+reach a branch at once. Where very many others reach such a node, they are cut into blocks, and
+its own words go to each. A last node that is still too large holds words of equal numbers in
 all groups; its words are cut into blocks, and each that reaches it meets every block.
 
 Cases: a null or empty text has no words; repeated rows are documents each, and equal ids make
@@ -36,7 +37,8 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from skewdex.llm.arrow import map_rows
-from skewdex.llm.lists import counted, few
+from skewdex.llm.lists import counted
+from skewdex.operators.joins import BROADCAST_ROWS
 from skewdex.sources.staging import stage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -47,8 +49,9 @@ SHORTEST, LEAST, TIMES, EVERY = 7, 2, 10, 31
 #: A letter's group is its code point modulo the number of groups; those of frequent letters come first.
 GROUPS = 16
 ORDER = np.array([5, 4, 14, 1, 9, 8, 15, 2, 3, 12, 13, 7, 0, 6, 11, 10])
-#: Levels taken by rows at first, and words of its own that a node has at most to be walked by a task.
-FIRST, NODE = 3, 4096
+#: Levels taken by rows at first, words of its own that a node has at most to be walked by a task, and
+#: how many times as many may reach it there.
+FIRST, NODE, CROWD = 3, 4096, 2
 #: Words of a branch that are compared at once, and numbers (words by words by groups) held for it.
 BRANCH, HELD = 48, 1 << 22
 #: Distinct words a task holds before it hands their counts out, and letters of words compared in bulk.
@@ -237,12 +240,12 @@ FOUND = "word binary, n_near long, most long, form binary"
 
 
 def _compare(level: int):
-    """From rows (node, block, word, n, state, home) sorted by node and block to FOUND, a row per word and node."""
+    """From rows (node, block, word, n, state, home, asks) sorted by node and block to FOUND, a row per word and block."""
     out = to_arrow_schema(T.StructType.fromDDL(FOUND))
 
-    def compare(names: list[bytes], n: np.ndarray, state: np.ndarray, home: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def compare(names: list[bytes], n: np.ndarray, state: np.ndarray, home: np.ndarray, asks: np.ndarray) -> Iterator[pa.RecordBatch]:
         order = sorted(range(len(names)), key=names.__getitem__)
-        words, n, state, home = Words([names[at] for at in order]), n[order], state[order], home[order]
+        words, n, state, home, asks = Words([names[at] for at in order]), n[order], state[order], home[order], asks[order]
         total = np.zeros(len(order), np.int64)
         best = np.full(len(order), -1)
 
@@ -257,7 +260,7 @@ def _compare(level: int):
             better = (old < 0) | (n[j] > n[old]) | ((n[j] == n[old]) & (j < old))
             best[i[better]] = j[better]
 
-        for i, j in candidates(words.groups, np.flatnonzero(home), np.arange(len(order)), state.astype(np.int64), level):
+        for i, j in candidates(words.groups, np.flatnonzero(home), np.flatnonzero(asks), state[asks].astype(np.int64), level):
             good = verified(words, i, j)
             i, j = i[good], j[good]
             if len(i):
@@ -277,7 +280,7 @@ def _compare(level: int):
             if held:
                 rows = pa.Table.from_batches(held)
                 held.clear()
-                yield from compare(rows.column("word").to_pylist(), *(rows.column(c).to_numpy() for c in ("n", "state", "home")))
+                yield from compare(rows.column("word").to_pylist(), *(rows.column(c).to_numpy() for c in ("n", "state", "home", "asks")))
 
         for batch in batches:
             if not batch.num_rows:
@@ -305,20 +308,27 @@ def near_words(words: DataFrame, node: int = NODE) -> DataFrame:
         to = min(GROUPS, level + (FIRST if level == 0 else 1))
         routed = stage(rows.select("word", "n", "state", "node").mapInArrow(_descend(level, to), ROUTED), "routed")
         level = to
-        own = routed.where(F.col("state") == EQUAL).groupBy("node").agg(F.count(F.lit(1)).alias("words"))
-        nodes, n_nodes = counted(own.where(F.col("words") > node), "nodes")
-        heavy = few(nodes, "nodes") if n_nodes else None
-        light = routed if heavy is None else routed.join(heavy, "node", "left_anti")
-        parts.append((level, light.select("node", F.lit(0).alias("block"), "word", "n", "state", (F.col("state") == EQUAL).alias("home"))))
-        if heavy is None:
+        at_home = F.col("state") == EQUAL
+        sizes = routed.groupBy("node").agg(F.count_if(at_home).alias("words"), F.count(F.lit(1)).alias("all"))
+        nodes, n_nodes = counted(sizes.where((F.col("words") > node) | (F.col("words") > 0) & (F.col("all") > CROWD * node)), "nodes")
+        marked = routed.join(F.broadcast(nodes) if n_nodes <= BROADCAST_ROWS else nodes, "node", "left")
+        light = marked.where(F.coalesce(F.col("words") <= node, F.lit(True)))
+        blocks = F.coalesce(F.ceil(F.col("all") / (CROWD * node)), F.lit(1)).cast("int")
+        own = F.pmod(F.xxhash64("word"), blocks).cast("int")
+        placed = light.select(
+            "node", "word", "n", "state", at_home.alias("home"), own.alias("own"),
+            F.explode(F.when(at_home, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(own))).alias("block"),
+        )
+        parts.append((level, placed.select("node", "block", "word", "n", "state", "home", (F.col("own") == F.col("block")).alias("asks"))))
+        rows = marked.where(F.col("words") > node)
+        if not n_nodes or not nodes.where(F.col("words") > node).head(1):
             break
-        rows = routed.join(heavy, "node")
     else:
         blocks = F.ceil(F.col("words") / node).cast("int")
         own = F.pmod(F.xxhash64("word"), blocks).cast("int")
         spread = rows.select("node", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), own.alias("own"), "word", "n", "state")
         home = (F.col("state") == EQUAL) & (F.col("own") == F.col("block"))
-        parts.append((level, spread.select("node", "block", "word", "n", "state", home.alias("home"))))
+        parts.append((level, spread.select("node", "block", "word", "n", "state", home.alias("home"), F.lit(True).alias("asks"))))
     found = None
     for level, part in parts:
         dealt = part.repartition("node", "block").sortWithinPartitions("node", "block")
