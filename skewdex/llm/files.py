@@ -9,13 +9,14 @@ from pyarrow import fs
 from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
-from skewdex.sources.staging import shared_root
-
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path below the session's shared folder, as a URI."""
+    """A fresh path below the session's shared folder, as a URI; for the driver."""
+    # Named here, as what this module names goes to the executors with it, and they need not have the package.
+    from skewdex.sources.staging import shared_root
+
     root = shared_root(spark)
     return f"{root if '://' in root else 'file://' + root}/{name}-{uuid.uuid4().hex}"
 
