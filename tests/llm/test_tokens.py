@@ -15,7 +15,7 @@ PATTERN = public_tokenizers.PATTERN
 TEXTS = [
     None, "", " ", "\n\n \t", "It's we'll 're' ''ll 12345", "Ünï cödé 😀 日本語  x　y \x1c\x1f z",
     "word " * 400, "x" * 2000, "  " * 900 + "end", "áé " * 200, "tail'", "mixed1a2b3c!!??  \n  ok" * 40,
-    "<|endoftext|> stays text",
+    "<|endoftext|> is one id", "he said <|endoftext|> and", "a<|endoftext|>b <|startoftext|>! <|EndOfText|> <|endoftext|><|endoftext|>", "<|endof text|> word,|> é<|endoftext|>,",
 ]
 
 
@@ -56,7 +56,6 @@ def test_words_are_encoded_as_the_library_does():
     with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
         content = file.read()
     library = Tokenizer.from_str(content)
-    library.encode_special_tokens = True
     encoder = word_bpe.piece_encoder(content)
     for text in TEXTS[1:]:
         assert np.frombuffer(encoder(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
@@ -137,7 +136,6 @@ def test_op6(spark, docs, tables):
 
 def test_op9(spark, docs, tables):
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    library.encode_special_tokens = True
 
     def one(text):
         ids = np.array([*library.encode(text, add_special_tokens=False).ids, 1], "<u4")
