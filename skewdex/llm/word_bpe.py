@@ -27,7 +27,7 @@ from skewdex.llm.arrow import kept, map_rows
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Pieces a worker remembers before it starts anew, and the longest that it remembers.
-REMEMBERED, REMEMBERED_CHARS = 750_000, 48
+REMEMBERED, REMEMBERED_CHARS = 550_000, 48
 #: Fixed value: the rule by which such a tokenizer cuts normalised text.
 CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Marks that end a word and are cut off by the rule, as one run; the apostrophe has rules of its own.
