@@ -4,8 +4,9 @@ Sets are ordered by one global order, rare n-grams first, as a count sketch of t
 corpus estimates them; any order is right, this one keeps lists short. Two sets of the asked
 similarity share an n-gram of their prefixes. Equal sets are one set from the start.
 
-Lists are skipped into by position and size: an entry has its place in its set and the set's
-size, which bound the overlap that two entries can still reach. Answers are derived from
+An entry of a list has its place in its set and the set's size, which bound the overlap that
+two entries can still reach: they filter the pairs of a list once these are made, so a list is
+not skipped into. Answers are derived from
 those of similar sets (see ``lists``); what is known of two sets' similarities to a third
 rules pairs out, as the Jaccard distance obeys the triangle inequality. What is compared is
 exact: whole sets of 64-bit n-gram hashes.
