@@ -4,9 +4,11 @@ Sets are ordered by one global order, rare n-grams first, as a count sketch of t
 corpus estimates them; any order is right, this one keeps lists short. Two sets of the asked
 similarity share an n-gram of their prefixes. Equal sets are one set from the start.
 
-An entry of a list has its place in its set and the set's size, which bound the overlap that
-two entries can still reach: they filter the pairs of a list once these are made, so a list is
-not skipped into. Answers are derived from
+An entry of a list has its place in its set, the set's size, and how many n-grams the set has
+lost before that place, to lists that no similar set shares: two entries can still reach the
+overlap that these leave. Lists are cut into blocks by size; only a block and the next are
+joined, and entries whose place and losses leave no partner in the block are skipped before
+pairs are made. Answers are derived from
 those of similar sets (see ``lists``); what is known of two sets' similarities to a third
 rules pairs out, as the Jaccard distance obeys the triangle inequality. What is compared is
 exact: whole sets of 64-bit n-gram hashes.
@@ -14,6 +16,7 @@ exact: whole sets of 64-bit n-gram hashes.
 
 from __future__ import annotations
 
+import math
 import sys
 
 import numpy as np
@@ -174,14 +177,22 @@ def _lists(docs: DataFrame, text_col: str, size: int, percent: int, sketch: np.n
 
 
 def _may_reach(percent: int, a: str, b: str) -> Column:
-    """Whether sizes and positions of two entries of a list leave the similarity possible."""
-    n_a, n_b, at_a, at_b = (F.col(f"{x}.{y}") for y in ("n", "pos") for x in (a, b))
-    overlap = F.least(n_a - at_a, n_b - at_b) + F.least(at_a, at_b)
+    """Whether sizes, positions and losses of two entries of a list leave the similarity possible.
+
+    What both have before the list's n-gram is in lists, too, unless it is lost.
+    """
+    n_a, n_b, at_a, at_b, lost_a, lost_b = (F.col(f"{x}.{y}") for y in ("n", "pos", "lost") for x in (a, b))
+    overlap = F.least(n_a - at_a, n_b - at_b) + F.least(at_a - lost_a, at_b - lost_b)
     return (F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * percent) & (
         overlap * (100 + percent) >= (n_a + n_b) * percent
     )
 
 
+def _block(percent: int) -> Column:
+    """A number of a set's size: sizes that the similarity allows are in one block or the next, rounding included."""
+    return F.floor(F.ln("n") / math.log(100 / percent + 1e-6)) if percent < 100 else F.col("n")
+
+
 def _sets(docs: DataFrame, text_col: str, size: int, wanted: DataFrame) -> DataFrame:
     """Staged (sid, grams): the sets of the texts whose keys are ``wanted``."""
 
@@ -266,5 +277,8 @@ def _classes(docs, text_col, size, percent, profile, full, buckets) -> DataFrame
     return classes(
         lists, lambda a, b: _may_reach(percent, a, b), lambda pairs: _compared(pairs, sets, percent),
         lambda p, q: F.abs(p - q) > 1 - percent / 100 + 1e-9,
+        rank=F.col("lost") / F.col("n"),
         need=F.expr(f"least((high * {percent} + 99) div 100, 1 + low div {SPARE})"),
+        block=_block(percent),
+        alive=F.expr(f"(n - lost) * {100 + percent} >= (n + greatest(least_n, (n * {percent} + 99) div 100)) * {percent}"),
     )

@@ -2,13 +2,16 @@
 
 An entry is (key, sid, n, pos): a key of the one called ``sid``, whose size is ``n``, with a
 place. Similar ones share a key. Entries are packed into arrays, dealt to buckets by key, and
-those whose key nobody shares go there. Then classes are made, and answers derived from
+those whose key nobody shares go there. Lists are cut into blocks by size, so that similar ones
+are in the same block or in neighbouring ones. Then classes are made, and answers derived from
 those of similar ones:
 
-* within a list all are first compared with one pivot only, and those found similar to it
-  are one class; no pair inside a class is looked at again;
+* within a block all are first compared with one pivot only, the one that has lost the least
+  of what it could share, and those found similar to it are one class; no pair inside a class
+  is looked at again;
 * a few rounds compare classes by their representatives;
-* then every pair of a list that could still link two classes is compared, unless what is
+* entries that no partner of their block could reach are skipped, before any pair is made;
+* then every pair of a block that could still link two classes is compared, unless what is
   known about both rules it out.
 
 A group of near copies so costs a number of comparisons in proportion to its size.
@@ -21,7 +24,7 @@ from collections.abc import Callable
 
 import numpy as np
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,6 +41,8 @@ BUCKET, HELD = 1 << 20, 1 << 19
 LONG = 64
 #: Rounds in which classes are compared by representatives.
 ROUNDS = 2
+#: A block of a list as host, with the block before it as guest.
+CELL = ["key", "cell"]
 ENTRY = np.dtype([("key", "<i8"), ("sid", "<i8"), ("n", "<i4"), ("pos", "<i4")])
 PACKED = "bucket int, packed binary"
 
@@ -110,12 +115,19 @@ def shared(packed: DataFrame, buckets: int) -> DataFrame:
 
 
 def pruned(lists: DataFrame, need: Column, times: int = 2) -> DataFrame:
-    """Without those that stand in fewer lists than ``need``, an expression of ``n``, and what they leave alone."""
-    for _ in range(times):
-        enough = lists.groupBy("sid").agg(F.count(F.lit(1)).alias("n_lists"), F.max("n").alias("n")).where(F.col("n_lists") >= need)
-        left = lists.join(enough.select("sid"), "sid", "left_semi")
+    """(key, sid, n, pos, lost) without those that stand in fewer lists than ``need``, and what they leave alone.
+
+    ``need`` is an expression of ``n``. ``lost`` is how many keys of the same one, at places
+    before ``pos``, are in no list any more: they are shared with none that is similar.
+    """
+    own = Window.partitionBy("sid")
+    for at in range(times):
+        left = lists.withColumn("n_lists", F.count(F.lit(1)).over(own)).where(F.col("n_lists") >= need).drop("n_lists")
         several = left.groupBy("key").agg(F.count(F.lit(1)).alias("n_sids")).where("n_sids > 1")
-        lists = stage(left.join(several.select("key"), "key", "left_semi"), "lists")
+        lists = left.join(several.select("key"), "key", "left_semi")
+        if at == times - 1:
+            lists = lists.withColumn("lost", F.col("pos") - F.row_number().over(own.orderBy("pos")) + 1)
+        lists = stage(lists, "lists")
     return lists
 
 
@@ -134,17 +146,22 @@ def few(df: DataFrame, name: str) -> DataFrame:
 def classes(
     lists: DataFrame, may_link: Callable[[str, str], Column], compare: Callable[[DataFrame], DataFrame],
     apart: Callable[[Column, Column], Column] | None = None, rank: Column | None = None,
-    need: Column | None = None,
+    need: Column | None = None, block: Column | None = None, alive: Column | None = None,
 ) -> DataFrame | None:
     """(node, component): the class of each ``sid`` that is linked with another; None if none is.
 
-    ``may_link(a, b)`` says whether two entries of a list (structs of sid, n, pos) could be
-    similar. ``compare`` takes pairs (a, b) and returns a staged (a, b, linked, distance).
+    ``may_link(a, b)`` says whether two entries of a list (structs of all columns but the key)
+    could be similar. ``compare`` takes pairs (a, b) and returns a staged (a, b, linked, distance).
     ``apart(p, q)`` says whether two whose distances from a third are p and q can't be similar.
     Pivots and representatives are the entries with the least ``rank``, then ``sid``. Two must
     share at least ``need`` lists to be similar, an expression of their sizes, ``low`` and ``high``.
+    ``block`` is a whole number that grows with ``n``: similar ones are in the same block or the
+    next. ``alive`` says of an entry whether a partner in a block whose least size is ``least_n``
+    could reach it.
     """
     rank = F.lit(0) if rank is None else rank
+    fields = [c for c in lists.columns if c != "key"]
+    guest = F.lit(0) if block is None else F.explode(F.array(F.lit(0), F.lit(1)))
     tested, labels, turn = None, None, 0
     while True:
         entries = lists if labels is None else lists.join(labels.withColumnRenamed("node", "sid"), "sid", "left")
@@ -152,8 +169,13 @@ def classes(
         if labels is not None:  # lists of a single class have been answered
             ends = entries.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
             entries = entries.join(ends.where("low <> high").select("key"), "key")
+        entries = entries.withColumn("guest", guest).withColumn("cell", F.lit(0) if block is None else block.cast("int") + F.col("guest"))
         last = turn >= ROUNDS
-        pairs, n = counted(_rest(entries, may_link, tested, apart, need) if last else _with_pivots(entries, may_link, tested, rank), "pairs")
+        if last:
+            found = _rest(entries, fields, may_link, tested, apart, need, alive)
+        else:
+            found = _with_pivots(entries, fields, may_link, tested, rank)
+        pairs, n = counted(found, "pairs")
         if n:
             found = compare(F.broadcast(pairs) if n <= BROADCAST_ROWS else pairs)
             tested = found if tested is None else tested.unionByName(found)
@@ -164,32 +186,37 @@ def classes(
         turn = turn + 1 if n else ROUNDS  # further rounds would find nothing either
 
 
-_ENTRY = ("sid", "n", "pos")
-
-
-def _with_pivots(entries: DataFrame, may_link, tested: DataFrame | None, rank: Column) -> DataFrame:
-    """(a, b): each class's representative in a list with the list's pivot, the best pivot for each b."""
-    named = entries.groupBy("key", "component").agg(F.min(F.struct(rank.alias("rank"), *_ENTRY)).alias("b"))
-    pivots = named.groupBy("key").agg(F.min("b").alias("a"), F.min_by("component", "b").alias("pivot"))
-    met = named.join(pivots, "key").where((F.col("component") != F.col("pivot")) & may_link("a", "b"))
-    met = met.groupBy(F.col("a.sid").alias("a"), F.col("b.sid").alias("b")).agg(F.count(F.lit(1)).alias("n"))
+def _with_pivots(entries: DataFrame, fields: list[str], may_link, tested: DataFrame | None, rank: Column) -> DataFrame:
+    """(a, b): each class's representative in a cell with the cell's pivot, the best pivot for each b."""
+    named = entries.groupBy(*CELL, "component").agg(F.min(F.struct(rank.alias("rank"), *fields)).alias("b"))
+    pivots = named.groupBy(*CELL).agg(F.min("b").alias("a"), F.min_by("component", "b").alias("pivot"))
+    met = named.join(pivots, CELL).where((F.col("component") != F.col("pivot")) & may_link("a", "b"))
+    met = met.groupBy(F.col("a.sid").alias("a"), F.col("b.sid").alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min("a.rank").alias("rank"))
     if tested is not None:
         met = met.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-    return met.groupBy("b").agg(F.max(F.struct("n", "a"))["a"].alias("a")).select("a", "b")
+    return met.groupBy("b").agg(F.max(F.struct("n", -F.col("rank"), "a"))["a"].alias("a")).select("a", "b")
 
 
-def _rest(entries: DataFrame, may_link, tested: DataFrame | None, apart, need: Column | None) -> DataFrame:
-    """Every pair of a list that could still link two classes, and was not compared.
+def _rest(entries: DataFrame, fields: list[str], may_link, tested: DataFrame | None, apart, need: Column | None, alive: Column | None) -> DataFrame:
+    """Every pair of a cell that could still link two classes, and was not compared.
 
-    The largest class of a list meets the others only, never itself.
+    The largest class of a cell meets the others only, never itself, and guests meet hosts only.
     """
-    sizes = entries.groupBy("key", "component").agg(F.count(F.lit(1)).alias("members"))
-    largest = sizes.groupBy("key").agg(F.max(F.struct("members", "component"))["component"].alias("largest"))
-    each = entries.join(largest, "key").select("key", "component", "largest", F.struct(*_ENTRY).alias("e"))
-    others = each.where("component <> largest").select("key", F.col("component").alias("of_a"), F.col("e").alias("x"))
-    everyone = each.select("key", F.col("component").alias("of_b"), "largest", F.col("e").alias("y"))
-    met = others.join(everyone, "key").where(
-        (F.col("of_a") != F.col("of_b")) & ((F.col("of_b") == F.col("largest")) | (F.col("x.sid") < F.col("y.sid"))) & may_link("x", "y")
+    each = entries
+    if alive is not None:  # skipped without a pair
+        least = each.groupBy(*CELL).agg(F.min("n").alias("least_n"))
+        each = each.join(least, CELL).where(alive)
+    sizes = each.groupBy(*CELL, "component").agg(F.count(F.lit(1)).alias("members"), F.min("guest").alias("guest"))
+    largest = sizes.groupBy(*CELL).agg(
+        F.max(F.struct("members", "component"))["component"].alias("largest"), F.count(F.lit(1)).alias("n_classes"), F.min("guest").alias("hosts")
+    )
+    largest = largest.where("n_classes > 1 and hosts = 0").drop("n_classes", "hosts")
+    each = each.join(largest, CELL).select(*CELL, "component", "largest", "guest", F.struct(*fields).alias("e"))
+    others = each.where("component <> largest").select(*CELL, F.col("component").alias("of_a"), F.col("guest").alias("guest_a"), F.col("e").alias("x"))
+    everyone = each.select(*CELL, F.col("component").alias("of_b"), "largest", F.col("guest").alias("guest_b"), F.col("e").alias("y"))
+    met = others.join(everyone, CELL).where(
+        (F.col("of_a") != F.col("of_b")) & ((F.col("of_b") == F.col("largest")) | (F.col("x.sid") < F.col("y.sid")))
+        & (F.col("guest_a") + F.col("guest_b") < 2) & may_link("x", "y")
     )
     low, high = F.least("x.n", "y.n").alias("low"), F.greatest("x.n", "y.n").alias("high")
     pairs = (
