@@ -81,6 +81,28 @@ def test_op7(spark, tmp_path):
     assert sorted(map(tuple, queries.op7_ngram_jaccard(spark, str(tmp_path)).collect()), key=str) == similarity(docs, 4, 85)
 
 
+def test_sets_that_lost_too_much_make_few_pairs(spark, monkeypatch):
+    rng = random.Random(8)
+    base, made = [f"w{i}" for i in range(120)], []
+    for at in range(150):
+        text = list(base[: rng.choice([118, 119, 120])])  # sizes on both sides of a block's edge
+        for spot in rng.sample(range(110), 1 if at % 3 else 4):
+            text[spot] = f"own{at}x{spot}"
+        made.append((at, " ".join(text)))
+    seen, rest = [], lists._rest
+
+    def counting(*args):
+        found = rest(*args)
+        seen.append(found.count())
+        return found
+
+    monkeypatch.setattr(lists, "_rest", counting)
+    docs = spark.createDataFrame(made, "doc_id long, text string")
+    found = jaccard.similarity_classes(docs, "doc_id", "text", 4, 85)
+    assert sorted(map(tuple, found.collect()), key=str) == similarity(made, 4, 85)
+    assert seen and seen[-1] < len(made), seen  # of 11,175 pairs
+
+
 def test_nothing_is_similar_to_nothing(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard.similarity_classes(none, "doc_id", "text").count() == 0
