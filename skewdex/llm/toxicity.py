@@ -13,14 +13,12 @@ from __future__ import annotations
 
 import re
 import sys
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,7 +47,7 @@ IDENTITY = (
 WORD = re.compile(r"\w+")
 SWAPS = {term: group[(at + 1) % len(group)] for group in IDENTITY for at, term in enumerate(group)}
 #: Words whose features are remembered, and the characters of the longest of them.
-REMEMBERED, REMEMBERED_CHARS = 300_000, 64
+REMEMBERED, REMEMBERED_CHARS = 60_000, 64
 
 
 def features(word: str) -> tuple[int, ...]:
@@ -216,13 +214,18 @@ def score(df: DataFrame, id_col: str, text_col: str, model: Model) -> DataFrame:
     return map_rows(df.select(F.col(id_col), F.col(text_col)), schema, make)
 
 
-def score_column(text: Column, model: Model) -> Column:
-    """The score of a text beside all other columns of its row."""
+def with_score(df: DataFrame, text_col: str, model: Model, name: str) -> DataFrame:
+    """``df`` with a column ``name``, the score of its text, as ``score`` gives it; no name may be twice."""
+    schema = T.StructType([*df.schema.fields, T.StructField(name, T.DoubleType())])
+    at = df.columns.index(text_col)
 
-    @F.pandas_udf("double")
-    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def make():
         score_of = _scorer(model)
-        for texts in batches:
-            yield texts.map(score_of, na_action=None).astype(float)
 
-    return scored(text)
+        def step(emit, *values):
+            text = values[at]
+            emit(*values, score_of(text), size=256 + 2 * len(text or ""))
+
+        return step
+
+    return map_rows(df, schema, make)
