@@ -29,7 +29,7 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     rows, doc, text = _plain(docs)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~held_out())
     model = toxicity.fit(rows, labels.withColumnRenamed("doc_id", doc), doc, text, "toxic")
-    kept = rows.withColumn("score", toxicity.score_column(F.col(text), model)).where(F.col("score") < toxicity.REJECT)
+    kept = toxicity.with_score(rows, text, model, "score").where(F.col("score") < toxicity.REJECT)
     return kept.select(*rows.columns).toDF(*docs.columns)
 
 
