@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 import sys
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import xxhash
@@ -23,6 +24,7 @@ from pyspark.sql import types as T
 
 from skewdex.llm.arrow import map_rows
 from skewdex.llm.lists import BUCKET, ENTRY, PACKED, Packer, classes, counted, few, shared
+from skewdex.operators.joins import lookup_join
 from skewdex.sources.staging import stage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -31,6 +33,8 @@ ERRORS = 2
 #: Lines of fewer characters are not compared by edits: a few edits turn one into quite another.
 SHORTEST = 32
 REMEMBERED = 300_000
+#: Longest line whose places are kept for the next one of its length, and lines made into entries at once.
+REMEMBERED_LENGTH, LINES_AT_ONCE = 4_096, 2_048
 #: Letters whose numbers are compared before lines are; any others would be right too.
 LETTERS = "etanoisrhd"
 #: Beside the letters' numbers: the line is listed here to find others, not to be found.
@@ -51,22 +55,36 @@ def segments(length: int, errors: int) -> list[tuple[int, int]]:
     return [(sum(sizes[:i]), sizes[i]) for i in range(errors + 1)]
 
 
-def keys(line: str, errors: int) -> dict[int, bool]:
-    """Where a line is listed: segments of lines up to ``errors`` shorter that it could contain.
+def places(length: int, errors: int) -> list[tuple[int, int, int, bool]]:
+    """(start, end, seed, own) of the substrings under which a line of ``length`` is listed.
 
-    True for its own segments, with which it is found; by the others it finds shorter lines.
+    They are the segments of lines up to ``errors`` shorter that it could contain; its own come last.
     """
-    n, found = len(line), {}
-    for length in range(max(n - errors, errors + 1), n + 1):
-        gap = n - length
-        for i, (start, size) in enumerate(segments(length, errors)):
+    found = []
+    for shorter in range(max(length - errors, errors + 1), length + 1):
+        gap = length - shorter
+        for i, (start, size) in enumerate(segments(shorter, errors)):
             # Fewer than i + 1 errors lie left of the segment, or few enough right of it.
             low = max(0, start - i, start + gap - (errors - i))
-            high = min(n - size, start + i, start + gap + (errors - i))
-            for at in range(low, high + 1):
-                key = xxhash.xxh64_intdigest(line[at : at + size], (length << 8) + i)
-                found[key] = found.get(key, False) or length == n and at == start
-    return found
+            high = min(length - size, start + i, start + gap + (errors - i))
+            found += [(at, at + size, (shorter << 8) + i, shorter == length and at == start) for at in range(low, high + 1)]
+    return sorted(found, key=lambda place: place[3])
+
+
+def keys(line: str, errors: int, known: dict[int, list] | None = None) -> dict[int, bool]:
+    """Where a line is listed: segments of lines up to ``errors`` shorter that it could contain.
+
+    True for its own segments, with which it is found; by the others it finds shorter lines.
+    ``known`` holds the places of lengths seen before.
+    """
+    known = {} if known is None else known
+    at = known.get(len(line))
+    if at is None:
+        at = places(len(line), errors)
+        if len(line) <= REMEMBERED_LENGTH:
+            known[len(line)] = at
+    digest = xxhash.xxh64_intdigest
+    return {digest(line[start:end], seed): own for start, end, seed, own in at}
 
 
 def tally(line: str) -> int:
@@ -150,7 +168,20 @@ def line_classes(docs: DataFrame, text_col: str, errors: int, shortest: int, lin
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-lines * per_line // BUCKET))
 
     def make():
-        seen, packer = set(), Packer(buckets)
+        seen, packer, known, held = set(), Packer(buckets), {}, []
+
+        def pack(emit):
+            if not held:
+                return
+            sids, sizes, tallies, found = zip(*held)
+            each = [len(f) for f in found]
+            entries = np.empty(sum(each), ENTRY)
+            entries["key"] = np.fromiter(chain.from_iterable(found), np.uint64, len(entries)).view(np.int64)
+            entries["sid"], entries["n"] = np.repeat(sids, each), np.repeat(sizes, each)
+            own = np.fromiter(chain.from_iterable(f.values() for f in found), bool, len(entries))
+            entries["pos"] = np.repeat(tallies, each) | np.where(own, 0, FINDS)
+            held.clear()
+            packer.add(entries, emit)
 
         def step(emit, text):
             for _, line in _split(text, shortest):
@@ -160,14 +191,15 @@ def line_classes(docs: DataFrame, text_col: str, errors: int, shortest: int, lin
                 if len(seen) > REMEMBERED:
                     seen.clear()
                 seen.add(sid)
-                found = keys(line, errors)
-                entries = np.empty(len(found), ENTRY)
-                entries["key"] = np.fromiter(found, np.uint64, len(found)).view(np.int64)
-                entries["sid"], entries["n"] = sid, len(line)
-                entries["pos"] = tally(line) | np.where(np.fromiter(found.values(), bool, len(found)), 0, FINDS)
-                packer.add(entries, emit)
-
-        step.close = packer.flush
+                held.append((sid, len(line), tally(line), keys(line, errors, known)))
+                if len(held) >= LINES_AT_ONCE:
+                    pack(emit)
+
+        def close(emit):
+            pack(emit)
+            packer.flush(emit)
+
+        step.close = close
         return step
 
     lists = shared(map_rows(docs.select(F.col(text_col)), PACKED, make), buckets)
@@ -231,8 +263,10 @@ def drop_repeated_lines(
             "kind", F.coalesce(F.concat(F.lit("c"), F.col("component")), "kind")
         )
     place = F.struct(F.col("id").isNull().alias("last"), "id", "text_key", "no")
-    firsts = named.groupBy("kind").agg(F.min(place).alias("first"), F.max(place).alias("other")).where("first <> other")
-    dropped = named.select("kind", place.alias("place")).join(firsts.select("kind", "first"), "kind").where("place <> first")
+    firsts = named.groupBy("kind").agg(F.min(place).alias("first"), F.max(place).alias("other"), F.count(F.lit(1)).alias("n_held"))
+    firsts = stage(firsts.where("first <> other").drop("other"), "first-lines")
+    # A line may stand in a third of all documents: the kinds of most lines are looked up without a shuffle.
+    dropped = lookup_join(named.select("kind", place.alias("place")), firsts, ["kind"], "n_held").where("place <> first")
     per_doc = dropped.groupBy("place.last", "place.id", "place.text_key").agg(F.collect_set("place.no").alias("numbers"))
 
     schema = T.StructType([*docs.schema.fields, *counts.fields])
