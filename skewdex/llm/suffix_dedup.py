@@ -21,6 +21,8 @@ batches; an anchor that very many batches share is dealt anew by whole strings.
 from __future__ import annotations
 
 import sys
+from itertools import chain, groupby
+from operator import itemgetter
 
 import numpy as np
 import xxhash
@@ -250,15 +252,28 @@ def earlier_strings(found: list[tuple[bytes, int]], length: int) -> list[list[tu
         first[text] = min(doc, first.get(text, _LAST))
     if len(first) == 1:
         return [[(0, len(text))] if first[text] < doc else [] for text, doc in found]
-    best: dict[bytes, int] = {}
-    for text, doc in first.items():
-        for at in range(len(text) - length + 1):
-            part = text[at : at + length]
-            best[part] = min(doc, best.get(part, _LAST))
-    out = []
-    for text, doc in found:
-        marks = [best[text[at : at + length]] < doc for at in range(len(text) - length + 1)]
-        out.append([(a, b + length - 1) for a, b in _runs(marks)])
+    # By ascending id, strings are looked up among those of smaller ids, before they join them.
+    earlier: set[bytes] = set()
+    parts: dict[bytes, list[tuple[int, int]]] = {}
+    for _, same in groupby(sorted(first.items(), key=itemgetter(1)), key=itemgetter(1)):
+        strings = {text: [text[at : at + length] for at in range(len(text) - length + 1)] for text, _ in same}
+        for text, each in strings.items():
+            parts[text] = [] if earlier.isdisjoint(each) else _covered(each, earlier, length)
+        earlier.update(chain.from_iterable(strings.values()))
+    return [[(0, len(text))] if first[text] < doc else parts[text] for text, doc in found]
+
+
+def _covered(strings: list[bytes], earlier: set[bytes], length: int) -> list[tuple[int, int]]:
+    """The parts of a text that those of its strings cover that are in ``earlier``, by runs of them."""
+    out, begin = [], None
+    for at, string in enumerate(strings):
+        if string in earlier:
+            begin = at if begin is None else begin
+        elif begin is not None:
+            out.append((begin, at - 1 + length))
+            begin = None
+    if begin is not None:
+        out.append((begin, len(strings) - 1 + length))
     return out
 
 
@@ -378,17 +393,23 @@ def _cut(texts: DataFrame, folder: str) -> DataFrame:
     """(hash, id, kept, spans) of each different text."""
 
     def make():
-        marked = _Shared(folder, _SPAN)
+        marked, now, places = _Shared(folder, _SPAN), None, None
 
         def step(emit, batch, place, doc, key, text):
+            nonlocal now, places
             spans = marked.of(batch)
-            a, b = np.searchsorted(spans["place"], [place, place + 1])
+            if batch != now:
+                now, places = batch, np.ascontiguousarray(spans["place"])
+            a, b = np.searchsorted(places, [place, place + 1])
+            if a == b:
+                emit(key, doc, text, [], size=64 + len(text))
+                return
             edge = np.zeros(len(text) + 1, np.int32)
             np.add.at(edge, spans["start"][a:b], 1)
             np.add.at(edge, spans["end"][a:b], -1)
             gone = np.cumsum(edge[:-1]) > 0
-            kept = text if a == b else np.frombuffer(text, np.uint8)[~gone].tobytes()
-            emit(key, doc, kept, [list(r) for r in _runs(gone)] if a < b else [], size=64 + len(kept))
+            kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
+            emit(key, doc, kept, [list(r) for r in _runs(gone)], size=64 + len(kept))
 
         return step
 
