@@ -145,6 +145,16 @@ def test_distances_and_shared_keys():
                 assert set(line_dedup.keys(a, errors)) & set(line_dedup.keys(b, errors))
 
 
+def test_keys_of_remembered_lengths_tell_own_segments():
+    rng, known = random.Random(4), {}
+    for _ in range(2000):
+        line, errors = "".join(rng.choice("ab") for _ in range(rng.randint(3, 40))), 2
+        found = line_dedup.keys(line, errors, known)
+        assert found == line_dedup.keys(line, errors)
+        own = {line_dedup.xxhash.xxh64_intdigest(line[a : a + n], (len(line) << 8) + i) for i, (a, n) in enumerate(line_dedup.segments(len(line), errors))}
+        assert {key for key, mine in found.items() if mine} == own
+
+
 def lined_docs():
     rng = random.Random(2)
     base = [" ".join(rng.choice(WORDS[:50]) for _ in range(rng.randint(5, 20))) for _ in range(30)]
@@ -257,6 +267,20 @@ def test_other_lengths_and_no_rows(spark):
         suffix_dedup.remove_repeats(docs, "doc_id", "text", 20)
 
 
+def test_strings_of_smaller_ids():
+    rng = random.Random(5)
+    for _ in range(3000):
+        length = rng.randint(2, 4)
+        found = [(bytes(rng.choice(b"ab") for _ in range(rng.randint(length, 10))), rng.randint(0, 4)) for _ in range(rng.randint(1, 6))]
+        strings = [{(text[at : at + length], doc) for at in range(len(text) - length + 1)} for text, doc in found]
+        first = {}
+        for part, doc in set().union(*strings):
+            first[part] = min(doc, first.get(part, doc))
+        for (text, doc), parts in zip(found, suffix_dedup.earlier_strings(found, length), strict=True):
+            hit = [at for at in range(len(text) - length + 1) if first[text[at : at + length]] < doc]
+            assert {at for a, b in parts for at in range(a, b)} == {at + k for at in hit for k in range(length)}
+
+
 def test_levels_keep_what_they_were_given():
     rng, levels, seen = np.random.default_rng(1), suffix_dedup.Levels(), np.empty(0, np.uint64)
     for _ in range(40):
