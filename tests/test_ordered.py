@@ -203,6 +203,25 @@ def test_fifty_thousand_markers(spark, plan):
     assert {r.k: r.marker for r in found.collect()} == want and len(want) > 300
 
 
+def test_too_many_markers_move_no_lines(spark):
+    """Markers that are not sent around meet prefixes; a line is moved by its key only. Keys may repeat or be null."""
+    heads = spark.range(100_001).select(F.concat(F.lit("m"), F.lpad(F.col("id").cast("string"), 6, "0"), F.when(F.col("id") % 2 == 0, "x").otherwise("")).alias("marker"))
+    texts = ["m000003 odd", "m000004x even", "m000004 none", "m000004x even", "other", None, "m100000x", "m100001x"]
+    keys = [(1, 1), (1, None), (1, 3), (1, None), (None, 5), (None, 6), (None, None), (2, 8)]
+    df = spark.createDataFrame([(*k, t) for k, t in zip(keys, texts)], "a int, b int, line string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = markers.marked_lines(df, ["a", "b"], "line", heads)
+        text = spark._jvm.PythonSQLUtils.explainString(found._jdf.queryExecution(), "formatted")
+        got = found.collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moved = [block for block in text.split("\n\n") if "Exchange\n" in block and "hashpartitioning(_head" in block]
+    assert moved and not any("line#" in block for block in moved)
+    want = [(1, 1, "m000003 odd", "m000003"), (1, None, "m000004x even", "m000004x"), (None, None, "m100000x", "m100000x")]
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str) and found.columns == ["a", "b", "line", "marker"]
+
+
 def test_bodies_are_those_of_the_expression(spark):
     start, end = ("** go", "begin", "**"), ("** stop", "end", "**")
     texts = ["a\n** go\nb\nc\nend of it\nd", "begin\nend", "none", None, "", "begin\nx\n\n", "x\n**\n**\ny", "begin", "go\nbegin\n\nb\n** stop", "end\nbegin\nb"]
