@@ -6,18 +6,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHARSET = "ISO-8859-1"
+# Bytes of files that a task reads at least, as long as all cores have two tasks.
+TASK_BYTES = 32 << 20
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
     """``url`` (the file's path), ``length`` and ``content`` of the stored files.
 
     Spark deals files to tasks by their lengths (``spark.sql.files.maxPartitionBytes``), and
-    opens none for a plan that needs their lengths only. A file is a row: one above
+    opens none for a plan that needs their lengths only. It takes each for 4 MB at least, so of
+    small files a task has a few only: such tasks are put together, by what the files hold, as
+    what follows is written in a file per task. A file is a row: one above
     ``spark.sql.sources.binaryFile.maxLength`` raises.
     """
-    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(
         F.col("path").alias("url"), "length", "content"
     )
+    held = int(files._jdf.queryExecution().analyzed().stats().sizeInBytes())
+    wanted = max(2 * spark.sparkContext.defaultParallelism, -(-held // TASK_BYTES))
+    return files.coalesce(wanted) if wanted < files.select("url").rdd.getNumPartitions() else files
 
 
 def decode_text(files: DataFrame, content: str = "content", charset: str = CHARSET) -> DataFrame:
