@@ -11,7 +11,9 @@ from ..operators.packing import PACK_BINS, PARTITIONS, assign_bins, hash_places
 from ..operators.pages import FILE_ROOT, FILE_SUFFIXES, resolve_urls
 from ..operators.search import search
 from ..operators.tfidf import TOP_TERMS, last_listed, term_counts, tfidf_of_counts
-from ..sources.index_store import DEFAULT_DIRECTORY, INDEX_SCHEMA, read_index, write_groups, write_index
+from ..sources.index_store import (
+    DEFAULT_DIRECTORY, INDEX_SCHEMA, KEY, attach_titles, no_clash, read_index, titles_of, with_key, write_groups, write_index,
+)
 from ..sources.staging import stage, temporary_tables
 
 # Fixed value: the query that is asked if none is given.
@@ -50,7 +52,30 @@ def index_library(
     suffixes: tuple[str, ...] = FILE_SUFFIXES,
     share_bytes: int = SHARE_BYTES,
 ) -> DataFrame:
-    """The index rows of a listed library.
+    """The index rows of a listed library, as ``index_tables`` makes them, with their titles."""
+    return attach_titles(*index_tables(
+        listing, lengths, texts, mode, n, max_groups, max_per_group, start, end, top, root, suffixes, share_bytes
+    ))
+
+
+def index_tables(
+    listing: DataFrame,
+    lengths: DataFrame | None,
+    texts: DataFrame,
+    mode: str = "skew",
+    n: int | None = None,
+    max_groups: int | None = None,
+    max_per_group: int | None = None,
+    start: tuple[str, ...] = START_MARKERS,
+    end: tuple[str, ...] = END_MARKERS,
+    top: int | None = TOP_TERMS,
+    root: str = FILE_ROOT,
+    suffixes: tuple[str, ...] = FILE_SUFFIXES,
+    share_bytes: int = SHARE_BYTES,
+) -> tuple[DataFrame, DataFrame]:
+    """The index of a listed library as terms by document, and documents with their titles.
+
+    A title may be as long as a text: it goes along with no term, only its key does.
 
     ``listing``: shelf_pos, bookshelf_url, ebook_pos, ebook_id, ebook_title; ``lengths``: url,
     length; ``texts``: url, text, one row per url. A document's url is the first of its
@@ -77,21 +102,24 @@ def index_library(
         located.withColumn("_at", F.struct("shelf_pos", "ebook_pos")), [SHELF, DOC, TITLE], "_at"
     ).select(SHELF, DOC, TITLE, "url", F.col("length").cast("long").alias("length"))
     # Staged, so that its size is known before the counts are joined.
-    resolved = stage(resolved, "listing")
-    counts = stage(body_counts(texts, start, end), "bodies")
+    resolved = stage(with_key(resolved), "listing")
+    titles = titles_of(resolved)
+    no_clash(resolved)  # a listed document comes once, under its last place
+    resolved = resolved.drop(TITLE)
+    counts = body_counts(texts, start, end)  # used once: staged with the listing's columns, to be weighed
     docs, layout = resolved.join(counts, "url"), None
     if mode != "skew" and n is None:
         total = resolved.agg(F.sum("length")).first()[0] or 0
         n = max(PACK_BINS if mode == "pack" else PARTITIONS, -(-total // share_bytes))
     if mode == "pack":
         # The bins go by the listing, whose rows are narrow; a bin is a partition of the weighing.
-        placed, bins = assign_bins(resolved, [SHELF], "length", n, split_by=[DOC, TITLE])
+        placed, bins = assign_bins(resolved, [SHELF], "length", n, split_by=[DOC, KEY])
         # A row for each bin.
         placed = placed.join(F.broadcast(hash_places(listing.sparkSession, bins)), "bin")
         docs, layout = placed.join(counts, "url"), ("place", bins)
     elif mode == "partition":
         layout = (None, n)
-    return tfidf_of_counts(docs, [SHELF], [DOC, TITLE], top, layout=layout).select(SHELF, DOC, TITLE, "term", "weight")
+    return tfidf_of_counts(docs, [SHELF], [DOC, KEY], top, layout=layout).select(SHELF, DOC, KEY, "term", "weight"), titles
 
 
 def body_counts(
@@ -112,7 +140,8 @@ def build_index(
     """Build the index (see ``index_library``) and replace the one in ``directory``."""
     with temporary_tables(listing.sparkSession):
         # Staged, as the layout by ranges reads its input twice, to sample it and to move it.
-        write_index(stage(index_library(listing, lengths, texts, **options), "index"), directory)
+        index, titles = index_tables(listing, lengths, texts, **options)
+        write_index(stage(index, "index"), directory, titles=titles)
 
 
 def replace_groups(
@@ -127,7 +156,8 @@ def replace_groups(
     A group's weights depend on its own documents only, so nothing else is read or written.
     """
     with temporary_tables(listing.sparkSession):
-        write_groups(stage(index_library(listing, lengths, texts, **options), "index"), directory, SHELF)
+        index, titles = index_tables(listing, lengths, texts, **options)
+        write_groups(stage(index, "index"), directory, SHELF, titles=titles)
 
 
 def search_index(

@@ -9,6 +9,8 @@ from contextlib import contextmanager
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
+#: Codec of what is staged or saved: terms and counts take less of the disk than with Spark's default.
+PACKED = "zstd"
 #: Folders of tables that were staged inside ``temporary_tables``, innermost block last.
 _staged: list[list[str]] = []
 
@@ -52,7 +54,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     if _staged:
         _staged[-1].append(path)
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").option("compression", PACKED).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -102,7 +104,7 @@ def materialize(spark: SparkSession, path: str, builder: Callable[[], DataFrame]
     if not is_saved(spark, path):
         draft = f"{path.rstrip('/')}.draft-{uuid.uuid4().hex}"
         try:
-            builder().write.mode("errorifexists").parquet(draft)
+            builder().write.mode("errorifexists").option("compression", PACKED).parquet(draft)
             publish(spark, draft, path)
         finally:
             system, folder = _paths(spark, draft)

@@ -111,6 +111,43 @@ def test_one_group_is_replaced(spark, plan, tmp_path):
     assert sorted(map(tuple, some.collect())) == sorted(tuple(r) for r in everything if r.bookshelf in ("small3", "big"))
 
 
+def stored(path):
+    return sum(p.stat().st_size for p in path.rglob("*.parquet"))
+
+
+def test_a_title_is_stored_once(spark, tmp_path):
+    """Titles may be as long as texts: the index has them once, not once for each term in another place."""
+    title = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(100)), lambda i: F.sha2(F.concat_ws("-", "ebook_id", i), 256)), "")
+    index = spark.range(60 * 50).select(
+        F.lit("s").alias("bookshelf_url"), (F.col("id") % 60).cast("int").alias("ebook_id"),
+        F.concat(F.lit("w"), F.expr("id div 60")).alias("term"), (F.col("id") % 7 / 100.0).alias("weight"),
+    ).withColumn("ebook_title", title).select("bookshelf_url", "ebook_id", "ebook_title", "term", "weight")
+    index_store.write_index(index, str(tmp_path))
+    assert stored(tmp_path) < 3 * 60 * 6400
+    assert index_rows(index_store.read_index(spark, str(tmp_path))) == index_rows(index)
+
+
+def test_documents_of_one_number_keep_their_titles(spark, tmp_path):
+    docs = [("s", 1, "a"), ("s", 1, "b"), ("s", 1, None), ("s", 1, ""), (None, 1, "a"), (None, None, None), ("s", None, "a"), ("s", None, "a")]
+    rows = [(*d, term, 0.25 * at) for at, d in enumerate(docs) for term in ("king", "queen")]
+    index = spark.createDataFrame(rows, index_store.INDEX_SCHEMA)
+    index_store.write_index(index, str(tmp_path))
+    assert sorted(map(tuple, index_store.read_index(spark, str(tmp_path)).collect()), key=str) == sorted(rows, key=str)
+
+
+@pytest.mark.parametrize("mode", ["skew", "pack", "partition"])
+def test_titles_go_along_with_no_term(spark, tmp_path, mode):
+    """What the job stages and stores grows by a title once for each table of documents."""
+    listing, files = library(spark)
+    sizes = []
+    for long in (False, True):
+        title = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(200)), lambda i: F.sha2(F.concat_ws("-", "ebook_id", i), 256)), "")
+        titled = listing.withColumn("ebook_title", title) if long else listing
+        build_index(titled, None, files, str(tmp_path / str(long)), mode=mode, n=3)
+        sizes.append(stored(tmp_path / str(long)))
+    assert sizes[1] - sizes[0] < 2 * 90 * 12_800
+
+
 @pytest.mark.parametrize("name", ["", None])
 def test_a_folder_needs_a_name(spark, tmp_path, name):
     rows = spark.createDataFrame([(name, 1, "t", "king", 0.5)], index_store.INDEX_SCHEMA)
