@@ -135,8 +135,9 @@ def read_index(spark: SparkSession, directory: str = DEFAULT_DIRECTORY, schema:
 def write_normalized(index: DataFrame, directory: str, key: tuple[str, ...] = ("bookshelf_url", "ebook_id"), title: str = "ebook_title") -> None:
     """The index as two tables: documents with their titles, and terms by document number."""
     root = directory.rstrip("/")
-    # Each title once before one is taken: Spark sorts what an aggregate takes strings of.
-    titles = index.select(*key, title).distinct()
+    # Each title once before one is taken: Spark sorts what an aggregate takes strings of. Staged,
+    # as it would else make one aggregate of both.
+    titles = stage(index.select(*key, title).distinct(), "titles")
     titles.groupBy(*key).agg(F.any_value(title).alias(title)).write.mode("overwrite").option("compression", PACKED).parquet(f"{root}/ebooks")
     index.drop(title).sortWithinPartitions("term").write.mode("overwrite").option("compression", PACKED).parquet(f"{root}/terms")
 
