@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import query_terms
+from ..sources.staging import stage
+from .joins import BROADCAST_ROW_BYTES, BROADCAST_ROWS, lookup_join
 from .ordered import first_rows
 
 MIN_SCORE = 0.001
@@ -28,6 +30,23 @@ def match_terms(index: DataFrame, query: str | DataFrame) -> DataFrame:
     return index.where(F.col("term").isin(query_terms(index.sparkSession, query)))
 
 
+def match_many_terms(index: DataFrame, asked: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``match_terms`` for a table, without a shuffle of all the index.
+
+    Up to ``rows`` terms are sent around. More of them meet the terms of the index, each once
+    with its number of rows: what is sent around then are the commonest of these, asked or not,
+    so that only rows of rare terms are shuffled.
+    """
+    terms = stage(asked.where(F.col("term") > "").select("term").distinct(), "asked")
+    told = terms.agg(F.count(F.lit(1)).alias("n"), F.max(F.octet_length("term")).alias("longest")).first()
+    if told.n <= rows and (told.longest or 0) <= BROADCAST_ROW_BYTES:
+        return index.join(F.broadcast(terms), "term", "left_semi")
+    present = index.where(F.col("term").isNotNull())
+    known = present.groupBy("term").agg(F.count(F.lit(1)).alias("_n")).join(terms.withColumn("_asked", F.lit(True)), "term", "left")
+    met = lookup_join(present, stage(known, "known"), ["term"], "_n", rows=rows)
+    return met.where("_asked").select(*index.columns)
+
+
 def similarity(
     index: DataFrame,
     query: str | DataFrame,
@@ -39,8 +58,9 @@ def similarity(
     Weights are added up as decimals of 18 places, so the order of addition cannot split a
     tie or move a sum over the threshold.
     """
+    matched = match_many_terms(index, query) if isinstance(query, DataFrame) else match_terms(index, query)
     return (
-        match_terms(index, query)
+        matched
         .groupBy(*key)
         .agg(_exact_sum("weight").alias("similarity_level"))
         .where(F.col("similarity_level") > min_score)

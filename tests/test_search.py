@@ -74,3 +74,18 @@ def test_first_rows_in_parts(spark, number):
     got = keep_first(df, ["g"], order, 1200, "place", number)  # above Spark's own limit
     whole = df.withColumn("place", number().over(Window.partitionBy("g").orderBy(*order))).where("place <= 1200")
     assert rows(got, "g", "id", "place") == rows(whole, "g", "id", "place")
+
+
+@pytest.mark.parametrize("sent", [100_000, 20, 2])
+def test_many_terms_shuffle_rare_ones_only(spark, plan, sent):
+    """Terms of half the index are asked, with one in 100 of them common; those are not shuffled."""
+    index = spark.range(4000).select(
+        (F.col("id") % 50).cast("int").alias("ebook_id"), F.concat(F.lit("t"), F.when(F.col("id") % 4 > 0, F.col("id") % 6).otherwise(F.col("id"))).alias("term"),
+        F.when(F.col("id") % 7 > 0, 0.01).alias("weight"),
+    ).unionByName(spark.createDataFrame([(1, None, 0.5), (1, "", 0.5)], "ebook_id int, term string, weight double"))
+    asked = spark.createDataFrame([(t,) for t in [None, "", "t1", "t1", *[f"t{i}" for i in range(0, 5000, 2)]]], "term string")
+    want = search.match_terms(index, asked)
+    got = search.match_many_terms(index, asked, sent)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.select(*got.columns).collect())) and got.count() > 1500
+    if sent > 2500:
+        assert "Exchange hashpartitioning(term" not in plan(got).split("BroadcastExchange")[0]
