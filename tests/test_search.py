@@ -78,7 +78,7 @@ def test_first_rows_in_parts(spark, number):
 
 @pytest.mark.parametrize("sent", [100_000, 20, 2])
 def test_many_terms_shuffle_rare_ones_only(spark, plan, sent):
-    """Terms of half the index are asked, with one in 100 of them common; those are not shuffled."""
+    """However many terms are sent around, the rows are those of the semi-join; if all are, none is shuffled."""
     index = spark.range(4000).select(
         (F.col("id") % 50).cast("int").alias("ebook_id"), F.concat(F.lit("t"), F.when(F.col("id") % 4 > 0, F.col("id") % 6).otherwise(F.col("id"))).alias("term"),
         F.when(F.col("id") % 7 > 0, 0.01).alias("weight"),
