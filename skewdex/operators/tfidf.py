@@ -156,8 +156,8 @@ def _tfidf(
     """
     place = place or []
     by = place or [_ROW]
-    counts = stage(counts.withColumn(_ROW, F.monotonically_increasing_id()), "counts")
-    rates = stage(inverse_document_frequency(counts, [_SCOPE]), "idf")
+    counts = stage(counts.withColumn(_ROW, F.monotonically_increasing_id()), "counts", packed=True)
+    rates = stage(inverse_document_frequency(counts, [_SCOPE]), "idf", packed=True)
     row, named = [*place, _ROW], counts.select(_ROW, *_unscoped(scope), *doc)
     taken = [_SCOPE, *doc] if place else [_SCOPE]
     spread = counts.select(*row, *taken, "n_terms", "counts").repartition(*([n] if n else []), *by)

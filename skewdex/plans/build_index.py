@@ -102,7 +102,7 @@ def index_tables(
         located.withColumn("_at", F.struct("shelf_pos", "ebook_pos")), [SHELF, DOC, TITLE], "_at"
     ).select(SHELF, DOC, TITLE, "url", F.col("length").cast("long").alias("length"))
     # Staged, so that its size is known before the counts are joined.
-    resolved = stage(with_key(resolved), "listing")
+    resolved = stage(with_key(resolved), "listing", packed=True)
     titles = titles_of(resolved)
     no_clash(resolved)  # a listed document comes once, under its last place
     resolved = resolved.drop(TITLE)
@@ -141,7 +141,7 @@ def build_index(
     with temporary_tables(listing.sparkSession):
         # Staged, as the layout by ranges reads its input twice, to sample it and to move it.
         index, titles = index_tables(listing, lengths, texts, **options)
-        write_index(stage(index, "index"), directory, titles=titles)
+        write_index(stage(index, "index", packed=True), directory, titles=titles)
 
 
 def replace_groups(
@@ -157,7 +157,7 @@ def replace_groups(
     """
     with temporary_tables(listing.sparkSession):
         index, titles = index_tables(listing, lengths, texts, **options)
-        write_groups(stage(index, "index"), directory, SHELF, titles=titles)
+        write_groups(stage(index, "index", packed=True), directory, SHELF, titles=titles)
 
 
 def search_index(

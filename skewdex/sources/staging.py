@@ -9,7 +9,7 @@ from contextlib import contextmanager
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
-#: Codec of what is staged or saved: terms and counts take less of the disk than with Spark's default.
+#: Codec of what is saved, or staged ``packed``: terms and counts take less of the disk than with Spark's default.
 PACKED = "zstd"
 #: Folders of tables that were staged inside ``temporary_tables``, innermost block last.
 _staged: list[list[str]] = []
@@ -45,7 +45,7 @@ def temporary_tables(spark: SparkSession) -> Iterator[None]:
             system.delete(folder, True)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, packed: bool = False) -> DataFrame:
     """Write ``df`` once and go on from the written table.
 
     Lost executors then cost a re-read, not a re-computation, the work above is done once
@@ -54,7 +54,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     if _staged:
         _staged[-1].append(path)
-    df.write.mode("errorifexists").option("compression", PACKED).parquet(path)
+    writer = df.write.mode("errorifexists")
+    (writer.option("compression", PACKED) if packed else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
