@@ -13,7 +13,7 @@ import string
 import sys
 import unicodedata
 from collections.abc import Callable
-from struct import pack
+from struct import Struct
 
 import numpy as np
 from pyspark import cloudpickle
@@ -26,10 +26,12 @@ from skewdex.llm.arrow import kept, map_rows
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Pieces a worker remembers before it starts anew, and the longest that it remembers.
+#: Pieces a worker remembers, half of them from before it started anew, and the longest that it remembers.
 REMEMBERED, REMEMBERED_CHARS = 550_000, 48
 #: Fixed value: the rule by which such a tokenizer cuts normalised text.
 CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: The one letter whose lower case depends on its neighbours in Python, but not in the library.
+SIGMA = "\u03a3"
 #: Marks that end a word and are cut off by the rule, as one run; the apostrophe has rules of its own.
 MARKS = string.punctuation.replace("'", "")
 #: A comma or full stop before a space that may belong to a run of marks, as no letter or digit is before it.
@@ -65,12 +67,15 @@ def piece_encoder(tokenizer_json: str) -> Callable[[str], bytes]:
     library = Tokenizer.from_str(tokenizer_json)
     library.no_truncation()
     model, plain, shown = library.model, _cuts_plainly(tokenizer_json), _shown_bytes()
-    known: dict[str, bytes] = {"": b""}
+    others: dict[str, None] = {}
+    tokenize, several = model.tokenize, [Struct(f"<{n}I").pack for n in range(REMEMBERED_CHARS + 1)]
 
     def word(text: str) -> bytes:
-        if (ids := known.get(text)) is None:
-            found = model.tokenize(text.encode().decode("latin-1").translate(shown))
-            ids = known[text] = pack(f"<{len(found)}I", *[token.id for token in found])
+        if (ids := known.get(text) or before.get(text)) is None:
+            # Letters and marks in ASCII stand for themselves.
+            found = tokenize(text if text.isascii() else text.encode().decode("latin-1").translate(shown))
+            numbers = [token.id for token in found]
+            ids = known[text] = several[len(numbers)](*numbers) if len(numbers) < len(several) else np.array(numbers, "<u4").tobytes()
         return ids
 
     def quickly(piece: str) -> bytes | None:
@@ -80,40 +85,42 @@ def piece_encoder(tokenizer_json: str) -> Callable[[str], bytes]:
         if letters.isascii():
             lower = letters.lower()
         else:
-            lower = "".join(map(str.lower, unicodedata.normalize("NFC", letters)))
+            lower = unicodedata.normalize("NFC", letters)
+            lower = "".join(map(str.lower, lower)) if SIGMA in lower else lower.lower()
             if not lower.isalpha():
                 return None
         return word(lower) if letters == piece else word(lower) + word(piece[len(letters) :])
 
+    class Known(dict):
+        """Ids of pieces; a new one that has to be encoded as a text is put aside."""
+
+        def __missing__(self, piece: str) -> bytes | None:
+            ids = before.get(piece)
+            if ids is None and plain:
+                ids = quickly(piece)
+            if ids is None:
+                others[piece] = None
+            else:
+                self[piece] = ids
+            return ids
+
+    known, before = Known({"": b""}), {}
+
     def encode(text: str) -> bytes:
-        if len(known) > REMEMBERED:
-            known.clear()
-            known[""] = b""
+        nonlocal known, before
+        if len(known) > REMEMBERED // 2:  # what comes up again is taken over
+            known, before = Known({"": b""}), known
         text = text.replace("\n", " ")
         if plain and not RUNS.search(text):
             text = text.replace(", ", " , ").replace(". ", " . ")  # fewer different pieces
         pieces = text.split(" ")
-        found = list(map(known.get, pieces))
-        others: dict[str, list[int]] = {}
-        for at in [at for at, ids in enumerate(found) if ids is None]:
-            piece = pieces[at]
-            ids = known.get(piece)  # it may have come up before in this text
-            if ids is None and plain:
-                ids = quickly(piece)
-                if ids is not None:
-                    known[piece] = ids
-            if ids is None:
-                others.setdefault(piece, []).append(at)
-            else:
-                found[at] = ids
+        found = list(map(known.__getitem__, pieces))
         if others:
             encoded = library.encode_batch_fast(list(others), add_special_tokens=False)
-            for (piece, places), e in zip(others.items(), encoded, strict=True):
-                ids = np.array(e.ids, "<u4").tobytes()
-                if len(piece) <= REMEMBERED_CHARS:
-                    known[piece] = ids
-                for at in places:
-                    found[at] = ids
+            ids_of = {piece: np.array(e.ids, "<u4").tobytes() for piece, e in zip(others, encoded, strict=True)}
+            others.clear()
+            known.update((piece, ids) for piece, ids in ids_of.items() if len(piece) <= REMEMBERED_CHARS)
+            found = [ids_of[piece] if ids is None else ids for piece, ids in zip(pieces, found)]
         return b"".join(found)
 
     return encode
