@@ -73,6 +73,7 @@ def map_rows(df: DataFrame, schema: T.StructType | str, make: Callable[[], Calla
             yield from batches_of(close(emit))
         if rows.size:
             yield rows.take()
+        pa.default_memory_pool().release_unused()  # the worker waits for its next task without it
 
     return df.mapInArrow(run, schema)
 

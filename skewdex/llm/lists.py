@@ -20,15 +20,16 @@ A group of near copies so costs a number of comparisons in proportion to its siz
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from skewdex.llm.arrow import map_rows
 from skewdex.llm.components import components
 from skewdex.operators.joins import BROADCAST_ROWS
 from skewdex.sources.staging import stage
@@ -45,6 +46,9 @@ ROUNDS = 2
 CELL = ["key", "cell"]
 ENTRY = np.dtype([("key", "<i8"), ("sid", "<i8"), ("n", "<i4"), ("pos", "<i4")])
 PACKED = "bucket int, packed binary"
+LISTED = "key long, sid long, n int, pos int"
+#: Entries that a task hands out at once.
+EMITTED = 1 << 16
 
 
 def _ordered(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -88,30 +92,33 @@ class Packer:
 def shared(packed: DataFrame, buckets: int) -> DataFrame:
     """Staged (key, sid, n, pos): the packed entries whose key more than one ``sid`` has."""
 
-    def gather():
+    out = to_arrow_schema(T.StructType.fromDDL(LISTED))
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, parts = None, []
 
-        def flush(emit):
+        def flush():
             if parts:
-                entries, _, length = _ordered([np.frombuffer(p, ENTRY) for p in parts])
+                entries, _, length = _ordered(parts)
                 parts.clear()
-                for entry in (entries[np.repeat(length > 1, length)] if now >= 0 else entries).tolist():
-                    yield emit(*entry, size=24)
-
-        def step(emit, bucket, packed):
-            nonlocal now
-            if bucket != now or now < 0:
-                yield from flush(emit)
-                now = bucket
-            parts.append(packed)
-
-        step.close = flush
-        return step
+                if now >= 0:
+                    entries = entries[np.repeat(length > 1, length)]
+                for at in range(0, len(entries), EMITTED):  # columns of a slice at a time, never a bucket as Python numbers
+                    some = entries[at : at + EMITTED]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(some[c])) for c in ENTRY.names], schema=out)
+
+        for batch in batches:
+            for bucket, packed in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if bucket != now or now < 0:
+                    yield from flush()
+                    now = bucket
+                parts.append(np.frombuffer(packed.as_py(), ENTRY))
+        yield from flush()
 
     anywhere = F.pmod(F.xxhash64("packed"), F.lit(buckets)).cast("int")
     place = F.when(F.col("bucket") < 0, anywhere).otherwise(F.col("bucket"))
     dealt = packed.repartitionById(buckets, place).sortWithinPartitions("bucket")
-    return stage(map_rows(dealt, "key long, sid long, n int, pos int", gather).distinct(), "lists")
+    return stage(dealt.mapInArrow(gather, LISTED).distinct(), "lists")
 
 
 def pruned(lists: DataFrame, need: Column, times: int = 2) -> DataFrame:

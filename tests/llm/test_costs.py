@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
 import public_tokenizers
-from skewdex.llm import word_bpe
+import pyarrow as pa
+from skewdex.llm import lists, word_bpe
 from tokenizers import Tokenizer
 
 
@@ -37,3 +40,35 @@ def test_common_pieces_are_encoded_once_however_many_rare_ones_there_are(monkeyp
     for text in texts + texts:
         assert np.frombuffer(encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
     assert asked.count("common") == 1
+
+
+class _Dealt:
+    """Takes the place of a DataFrame and keeps the function that tasks would run."""
+
+    def __getattr__(self, name):
+        return lambda *args, **kwargs: self
+
+    def mapInArrow(self, run, schema):
+        self.run = run
+        return self
+
+
+def test_a_bucket_is_handed_out_in_slices_and_never_as_python_numbers(spark, monkeypatch):
+    n = 300_000
+    entries = np.zeros(2 * n, lists.ENTRY)
+    entries["key"], entries["sid"] = np.tile(np.arange(n) << 33, 2), np.repeat([1 << 40, 2 << 40], n)
+    entries["pos"] = np.arange(2 * n)
+    batch = pa.RecordBatch.from_arrays([pa.array([5, 6], pa.int32()), pa.array([entries.tobytes(), entries[:1].tobytes()], pa.binary())], names=["bucket", "packed"])
+    dealt = _Dealt()
+    monkeypatch.setattr(lists, "stage", lambda df, name: df)
+    lists.shared(dealt, 8)
+    rows, sids = 0, set()
+    tracemalloc.start()
+    for found in dealt.run(iter([batch])):
+        rows += found.num_rows
+        sids |= set(found.column("sid").unique().to_pylist())
+        del found
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (rows, sids) == (2 * n, {1 << 40, 2 << 40})  # nobody shares the key of the second bucket
+    assert peak < 6 * entries.nbytes
