@@ -44,7 +44,7 @@ from skewdex.sources.staging import stage
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: In Latin-1, where a letter is a byte; what is not in Latin-1 separates words.
-RUN = re.compile(rb"[A-Za-z\xC0-\xFF]+")
+LETTER = rb"[A-Za-z\xC0-\xFF]"
 SHORTEST, LEAST, TIMES, EVERY = 7, 2, 10, 31
 #: A letter's group is its code point modulo the number of groups; those of frequent letters come first.
 GROUPS = 16
@@ -67,6 +67,9 @@ def word_counts(docs: DataFrame, id_col: str, text_col: str, shortest: int = SHO
     letter that the checksum points at, so that misspelt words are there to be found.
     """
 
+    # A shorter run is no word, whether it loses a letter or not: it is not even cut out.
+    runs = re.compile(LETTER + b"{%d,}" % max(1, shortest))
+
     def make():
         counts: Counter[bytes] = Counter()
 
@@ -79,7 +82,7 @@ def word_counts(docs: DataFrame, id_col: str, text_col: str, shortest: int = SHO
             if not text:
                 return
             start = zlib.crc32(f"{doc}:".encode())
-            for word, n in Counter(RUN.findall(text.encode("latin-1", "replace").lower())).items():
+            for word, n in Counter(runs.findall(text.encode("latin-1", "replace").lower())).items():
                 if every:
                     h = zlib.crc32(word if word.isascii() else word.decode("latin-1").encode(), start)
                     if h % every == 0:

@@ -7,7 +7,8 @@ import tracemalloc
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-from skewdex.llm import lists, word_bpe
+import pytest
+from skewdex.llm import lists, spelling, word_bpe
 from tokenizers import Tokenizer
 
 
@@ -72,3 +73,32 @@ def test_a_bucket_is_handed_out_in_slices_and_never_as_python_numbers(spark, mon
     tracemalloc.stop()
     assert (rows, sids) == (2 * n, {1 << 40, 2 << 40})  # nobody shares the key of the second bucket
     assert peak < 6 * entries.nbytes
+
+
+def test_runs_too_short_to_be_words_are_not_looked_at(monkeypatch):
+    class Stop(Exception):
+        pass
+
+    def caught(df, schema, make):
+        raise Stop(make)
+
+    class Checksums:
+        def __init__(self):
+            self.seen = []
+
+        def crc32(self, data, start=0):
+            self.seen.append(data)
+            return 1  # not divisible by 31
+
+    monkeypatch.setattr(spelling, "map_rows", caught)
+    monkeypatch.setattr(spelling, "zlib", checksums := Checksums())
+    monkeypatch.setattr(spelling.F, "coalesce", lambda *args: None)
+    monkeypatch.setattr(spelling.F, "col", lambda *args: _Dealt())
+    monkeypatch.setattr(spelling.F, "lit", lambda *args: None)
+    with pytest.raises(Stop) as stopped:
+        spelling.word_counts(_Dealt(), "doc_id", "text")
+    step, counts = stopped.value.args[0](), {}
+    list(step(None, "1", "the Seventh of aaaaaaa, sixsix seventh éééééééé 1a2b") or ())
+    list(step.close(lambda word, n, size: counts.update({word: n})))
+    assert counts == {b"seventh": 2, b"aaaaaaa": 1, "éééééééé".encode("latin-1"): 1}
+    assert sorted(checksums.seen[1:]) == sorted([b"seventh", b"aaaaaaa", "éééééééé".encode()])
