@@ -2,8 +2,11 @@
 
 import hashlib
 import random
+import tracemalloc
 import zlib
+from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 
@@ -70,6 +73,35 @@ def test_swapped_terms_are_scored_alike(spark, labelled):
     assert gap(50.0) < 0.3 * gap(0.0)
 
 
+def test_driver_holds_no_table_of_all_features(spark, labelled):
+    folder, *_ = labelled
+    docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
+    tracemalloc.start()
+    try:
+        model = toxicity.fit(docs, labels, "doc_id", "text", "toxic")
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(model.used) and most < 4 * toxicity.SPACE, most  # a single column of them is as much
+
+
+def test_features_in_use_are_those_that_tell_most(spark, monkeypatch):
+    rng = random.Random(4)
+    monkeypatch.setattr(toxicity, "USED", 40)
+    ids = [rng.sample(range(3_000), 12) + [7_000] * (at % 2) + [4_194_303] * (at % 3 == 0) for at in range(400)]
+    ids = [sorted({i if i > 5_000 or at % 2 or i % 3 else i * 1_000 for i in found}) for at, found in enumerate(ids)]
+    rows = [(at, at % 2, bytearray(np.array(found, "<u4").tobytes()), None) for at, found in enumerate(ids)]
+    table = spark.createDataFrame(rows, "row long, y int, own binary, other binary").repartition(3)
+    used = toxicity._telling(table, 200, 200)
+    seen, pos = Counter(i for found in ids for i in found), Counter(i for found in ids[1::2] for i in found)
+    often = np.array(sorted(i for i, n in seen.items() if n > 1))
+    told = toxicity._told(np.array([seen[i] for i in often.tolist()], float), np.array([pos[i] for i in often.tolist()], float), 200, 200)
+    best = often[np.argsort(-told, kind="stable")[:40]]
+    assert used.tolist() == sorted(i for i in best.tolist() if told[often.tolist().index(i)] >= toxicity.TELLING) and 7_000 in used.tolist()
+    placed = {r.row: np.frombuffer(r.own, "<u2").tolist() for r in toxicity._placed(table, used).collect()}
+    assert placed == {at: [used.tolist().index(i) for i in found if i in used.tolist()] for at, found in enumerate(ids)}
+
+
 def test_words_of_any_length_count_whole(spark, labelled):
     long = "ab" * 40
     assert len(toxicity.features(long + "scum")) > len(toxicity.features(long)) > 3
