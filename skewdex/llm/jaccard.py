@@ -10,7 +10,9 @@ overlap that these leave. Lists are cut into blocks by size; only a block and th
 joined, and entries whose place and losses leave no partner in the block are skipped before
 pairs are made. Answers are derived from
 those of similar sets (see ``lists``); what is known of two sets' similarities to a third
-rules pairs out, as the Jaccard distance obeys the triangle inequality. What is compared is
+rules pairs out, as the Jaccard distance obeys the triangle inequality. Entries also carry
+256 bits of their sets, the parity of the n-grams in each of as many classes: where more of
+these differ than the similarity allows n-grams to, no pair is made. What is compared is
 exact: whole sets of 64-bit n-gram hashes.
 """
 
@@ -18,6 +20,7 @@ from __future__ import annotations
 
 import math
 import sys
+from functools import reduce
 
 import numpy as np
 import xxhash
@@ -38,6 +41,8 @@ REMEMBERED = 200_000
 #: One n-gram in this many is listed beyond what shows that two sets share anything; what they
 #: share must then be as many more, which leaves out sets that share little.
 SPARE = 20
+#: Columns that hold, for each of 256 classes of n-grams, whether a set has an odd number of them.
+MARKS = ("mark_0", "mark_1", "mark_2", "mark_3")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -76,6 +81,12 @@ def set_id(found: np.ndarray, seed: int = 0) -> int:
     return np.int64(np.uint64(xxhash.xxh3_64_intdigest(found.tobytes(), seed))).item()
 
 
+def marks(found: np.ndarray) -> list[int]:
+    """``MARKS`` of a set: two sets differ by at least as many n-grams as bits."""
+    odd = np.bincount(found & (64 * len(MARKS) - 1), minlength=64 * len(MARKS)) & 1
+    return np.packbits(odd.astype(np.uint8)).view("<i8").tolist()
+
+
 def prefix_length(n: int, percent: int) -> int:
     """How many first n-grams of a set are listed.
 
@@ -192,13 +203,20 @@ def _may_reach(percent: int, a: str, b: str) -> Column:
     )
 
 
+def _differ(percent: int, a: str, b: str) -> Column:
+    """Whether the marks of two sets show more n-grams that only one has than the similarity allows."""
+    bits = reduce(Column.__add__, [F.bit_count(F.col(f"{a}.{m}").bitwiseXOR(F.col(f"{b}.{m}"))) for m in MARKS])
+    both = F.col(f"{a}.n").cast("long") + F.col(f"{b}.n")
+    return (both - bits) * (100 + percent) < both * (2 * percent)
+
+
 def _block(percent: int) -> Column:
     """A number of a set's size: sizes that the similarity allows are in one block or the next, rounding included."""
     return F.floor(F.ln("n") / math.log(100 / percent + 1e-6)) if percent < 100 else F.col("n")
 
 
 def _sets(docs: DataFrame, text_col: str, size: int, wanted: DataFrame) -> DataFrame:
-    """Staged (sid, grams): the sets of the texts whose keys are ``wanted``."""
+    """Staged (sid, grams) and ``MARKS``: the sets of the texts whose keys are ``wanted``."""
 
     def make():
         words, seen = _Words(), set()
@@ -207,7 +225,7 @@ def _sets(docs: DataFrame, text_col: str, size: int, wanted: DataFrame) -> DataF
             found = grams(text, size, words)
             sid = set_id(found)
             if sid not in seen:
-                emit(sid, found.tobytes(), size=8 * len(found))
+                emit(sid, found.tobytes(), *marks(found), size=8 * len(found))
             seen.add(sid)
             if len(seen) > REMEMBERED:
                 seen.clear()
@@ -216,7 +234,7 @@ def _sets(docs: DataFrame, text_col: str, size: int, wanted: DataFrame) -> DataF
 
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.xxhash64(text).alias("text_key"), text.alias("text")).join(wanted, "text_key").select(F.col("text").cast("binary"))
-    return stage(map_rows(rows, "sid long, grams binary", make), "sets")
+    return stage(map_rows(rows, ", ".join(["sid long, grams binary", *(f"{m} long" for m in MARKS)]), make), "sets")
 
 
 def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -285,4 +303,6 @@ def _classes(docs, text_col, size, percent, profile, full, buckets) -> DataFrame
         need=F.expr(f"least((high * {percent} + 99) div 100, 1 + low div {SPARE})"),
         block=_block(percent),
         alive=F.expr(f"(n - lost) * {100 + percent} >= (n + greatest(least_n, (n * {percent} + 99) div 100)) * {percent}"),
+        marks=few(sets.select("sid", *MARKS).distinct(), "marks"),
+        differ=lambda a, b: _differ(percent, a, b),
     )

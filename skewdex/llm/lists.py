@@ -12,7 +12,7 @@ those of similar ones:
 * a few rounds compare classes by their representatives;
 * entries that no partner of their block could reach are skipped, before any pair is made;
 * then every pair of a block that could still link two classes is compared, unless what is
-  known about both rules it out.
+  known about both, or a few bits that each has in its entries, rule it out.
 
 A group of near copies so costs a number of comparisons in proportion to its size.
 """
@@ -52,15 +52,29 @@ EMITTED = 1 << 16
 
 
 def _ordered(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The different entries by key and sid, where each key begins, and its number of entries."""
+    """The different entries by key and sid, where each key begins, and its number of entries.
+
+    Of equal ones the first stays. Empties ``parts``, so that not all copies are held at once.
+    """
     entries = np.concatenate(parts)
-    entries = entries[np.lexsort((entries["sid"], entries["key"]))]
-    key, sid = np.ascontiguousarray(entries["key"]), np.ascontiguousarray(entries["sid"])
-    other = np.concatenate(([True], key[1:] != key[:-1]))
-    once = other.copy()
-    once[1:] |= sid[1:] != sid[:-1]
-    new = np.flatnonzero(other[once])
-    entries = entries[once]
+    parts.clear()
+    key = np.ascontiguousarray(entries["key"])
+    order = np.argsort(key)
+    key = key[order]
+    again = np.flatnonzero(key[1:] == key[:-1])
+    if len(again):  # only keys of several entries are sorted further
+        several = np.zeros(len(key), bool)
+        several[again] = several[again + 1] = True
+        at = order[several]
+        order[several] = at[np.lexsort((at, entries["sid"][at], key[several]))]
+    entries = entries[order]
+    other, once = np.ones(len(entries), bool), np.ones(len(entries), bool)
+    np.not_equal(entries["key"][1:], entries["key"][:-1], out=other[1:])
+    np.not_equal(entries["sid"][1:], entries["sid"][:-1], out=once[1:])
+    once |= other
+    if not once.all():
+        entries, other = entries[once], other[once]
+    new = np.flatnonzero(other)
     return entries, new, np.diff(np.append(new, len(entries)))
 
 
@@ -80,11 +94,11 @@ class Packer:
         if not self.held:
             return
         entries, new, length = _ordered(self.held)
-        self.held, self.n = [], 0
+        self.n = 0
         rank = np.arange(len(entries)) - np.repeat(new, length)
         past = (np.repeat(length, length) > LONG) & (rank >= 2)  # the two that stay show the key is shared
         place = np.where(past, -1, (entries["key"] >> 20) % self.buckets)
-        order = np.argsort(place, kind="stable")
+        order = np.argsort(place.astype(np.int16) if self.buckets < 1 << 15 else place, kind="stable")
         for run in np.split(order, np.flatnonzero(np.diff(place[order])) + 1):
             emit(int(place[run[0]]), entries[run].tobytes(), size=len(run) * ENTRY.itemsize)
 
@@ -100,7 +114,6 @@ def shared(packed: DataFrame, buckets: int) -> DataFrame:
         def flush():
             if parts:
                 entries, _, length = _ordered(parts)
-                parts.clear()
                 if now >= 0:
                     entries = entries[np.repeat(length > 1, length)]
                 for at in range(0, len(entries), EMITTED):  # columns of a slice at a time, never a bucket as Python numbers
@@ -154,6 +167,7 @@ def classes(
     lists: DataFrame, may_link: Callable[[str, str], Column], compare: Callable[[DataFrame], DataFrame],
     apart: Callable[[Column, Column], Column] | None = None, rank: Column | None = None,
     need: Column | None = None, block: Column | None = None, alive: Column | None = None,
+    marks: DataFrame | None = None, differ: Callable[[str, str], Column] | None = None,
 ) -> DataFrame | None:
     """(node, component): the class of each ``sid`` that is linked with another; None if none is.
 
@@ -164,7 +178,8 @@ def classes(
     share at least ``need`` lists to be similar, an expression of their sizes, ``low`` and ``high``.
     ``block`` is a whole number that grows with ``n``: similar ones are in the same block or the
     next. ``alive`` says of an entry whether a partner in a block whose least size is ``least_n``
-    could reach it.
+    could reach it. ``marks`` has a row for each ``sid``, with columns by which ``differ(a, b)`` tells
+    that two entries can't be similar: no pair is made of those.
     """
     rank = F.lit(0) if rank is None else rank
     fields = [c for c in lists.columns if c != "key"]
@@ -179,7 +194,7 @@ def classes(
         entries = entries.withColumn("guest", guest).withColumn("cell", F.lit(0) if block is None else block.cast("int") + F.col("guest"))
         last = turn >= ROUNDS
         if last:
-            found = _rest(entries, fields, may_link, tested, apart, need, alive)
+            found = _rest(entries, fields, may_link, tested, apart, need, alive, marks, differ)
         else:
             found = _with_pivots(entries, fields, may_link, tested, rank)
         pairs, n = counted(found, "pairs")
@@ -204,7 +219,10 @@ def _with_pivots(entries: DataFrame, fields: list[str], may_link, tested: DataFr
     return met.groupBy("b").agg(F.max(F.struct("n", -F.col("rank"), "a"))["a"].alias("a")).select("a", "b")
 
 
-def _rest(entries: DataFrame, fields: list[str], may_link, tested: DataFrame | None, apart, need: Column | None, alive: Column | None) -> DataFrame:
+def _rest(
+    entries: DataFrame, fields: list[str], may_link, tested: DataFrame | None, apart, need: Column | None, alive: Column | None,
+    marks: DataFrame | None, differ,
+) -> DataFrame:
     """Every pair of a cell that could still link two classes, and was not compared.
 
     The largest class of a cell meets the others only, never itself, and guests meet hosts only.
@@ -218,12 +236,16 @@ def _rest(entries: DataFrame, fields: list[str], may_link, tested: DataFrame | N
         F.max(F.struct("members", "component"))["component"].alias("largest"), F.count(F.lit(1)).alias("n_classes"), F.min("guest").alias("hosts")
     )
     largest = largest.where("n_classes > 1 and hosts = 0").drop("n_classes", "hosts")
-    each = each.join(largest, CELL).select(*CELL, "component", "largest", "guest", F.struct(*fields).alias("e"))
+    each, link = each.join(largest, CELL), may_link("x", "y")
+    if marks is not None:
+        each, fields = each.join(marks, "sid"), [*fields, *(c for c in marks.columns if c != "sid")]
+        link = link & ~differ("x", "y")
+    each = each.select(*CELL, "component", "largest", "guest", F.struct(*fields).alias("e"))
     others = each.where("component <> largest").select(*CELL, F.col("component").alias("of_a"), F.col("guest").alias("guest_a"), F.col("e").alias("x"))
     everyone = each.select(*CELL, F.col("component").alias("of_b"), "largest", F.col("guest").alias("guest_b"), F.col("e").alias("y"))
     met = others.join(everyone, CELL).where(
         (F.col("of_a") != F.col("of_b")) & ((F.col("of_b") == F.col("largest")) | (F.col("x.sid") < F.col("y.sid")))
-        & (F.col("guest_a") + F.col("guest_b") < 2) & may_link("x", "y")
+        & (F.col("guest_a") + F.col("guest_b") < 2) & link
     )
     low, high = F.least("x.n", "y.n").alias("low"), F.greatest("x.n", "y.n").alias("high")
     pairs = (

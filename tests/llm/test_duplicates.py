@@ -103,6 +103,38 @@ def test_sets_that_lost_too_much_make_few_pairs(spark, monkeypatch):
     assert seen and seen[-1] < len(made), seen  # of 11,175 pairs
 
 
+def test_sets_just_below_the_similarity_make_few_pairs(spark, monkeypatch):
+    rng = random.Random(9)
+    base, made = [f"w{i}" for i in range(120)], []
+    for at in range(150):
+        text = list(base)
+        for spot in rng.sample(range(120), 6 if at % 3 == 0 else 2):
+            text[spot] = f"own{at}x{spot}"
+        made.append((at, " ".join(text)))
+    seen, rest = [], lists._rest
+
+    def counting(*args):
+        found = rest(*args)
+        seen.append(found.count())
+        return found
+
+    monkeypatch.setattr(lists, "_rest", counting)
+    docs = spark.createDataFrame(made, "doc_id long, text string")
+    found = jaccard.similarity_classes(docs, "doc_id", "text", 4, 85)
+    assert sorted(map(tuple, found.collect()), key=str) == similarity(made, 4, 85)
+    assert seen and seen[-1] < 500, seen  # 3,183 of 11,175 pairs without the marks
+
+
+def test_marks_never_differ_more_than_sets():
+    rng = np.random.default_rng(1)
+    for n in (1, 3, 40, 400, 3000):
+        pool = rng.integers(-(1 << 63), 1 << 63, 2 * n)
+        a, b = (np.unique(rng.choice(pool, n)) for _ in range(2))
+        bits = sum(((x ^ y) & (1 << 64) - 1).bit_count() for x, y in zip(jaccard.marks(a), jaccard.marks(b), strict=True))
+        assert bits <= len(np.setxor1d(a, b))
+        assert jaccard.marks(a) == jaccard.marks(a[::-1])
+
+
 def test_nothing_is_similar_to_nothing(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard.similarity_classes(none, "doc_id", "text").count() == 0
