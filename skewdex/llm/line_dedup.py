@@ -11,9 +11,9 @@ bit-parallel edit distance within a band of 2 * ``errors`` + 1 diagonals.
 from __future__ import annotations
 
 import os
+import struct
 import sys
 from functools import reduce
-from itertools import chain
 
 import numpy as np
 import xxhash
@@ -33,19 +33,22 @@ ERRORS = 2
 #: Lines of fewer characters are not compared by edits: a few edits turn one into quite another.
 SHORTEST = 32
 REMEMBERED = 300_000
-#: Longest line whose places are kept for the next one of its length, and lines made into entries at once.
-REMEMBERED_LENGTH, LINES_AT_ONCE = 4_096, 2_048
+#: Longest line whose places are kept for the next one of its length; lines, and their characters, made into entries at once.
+REMEMBERED_LENGTH, LINES_AT_ONCE, CHARS_AT_ONCE = 4_096, 2_048, 1 << 18
 #: Letters whose numbers are compared before lines are; any others would be right too.
 LETTERS = "etanoisrhd"
 #: Beside the letters' numbers: the line is listed here to find others, not to be found.
 FINDS = 1 << 3 * len(LETTERS)
 _NAME = "sid long, check long"
+#: Of the hashes of many substrings at once: an odd base, its inverse and the factors that mix the bits.
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_MIX = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
 def name(line: str) -> tuple[int, int]:
     """128 bits that stand for a line, as two numbers."""
-    digest = xxhash.xxh3_128_digest(line)
-    return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
+    return struct.unpack("<qq", xxhash.xxh3_128_digest(line))
 
 
 def segments(length: int, errors: int) -> list[tuple[int, int]]:
@@ -92,6 +95,72 @@ def tally(line: str) -> int:
     return sum((line.count(letter) & 7) << 3 * at for at, letter in enumerate(LETTERS))
 
 
+def tallies(lines: list[str], chars: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """``tally`` of each of the lines, whose code points are ``chars``, from ``start`` on."""
+    known, found = np.minimum(chars, 127), np.zeros(len(lines), np.int64)
+    for first in range(0, len(LETTERS), 5):  # five letters at once, in 12 bits each
+        weight = np.zeros(128, np.uint64)
+        for at, letter in enumerate(LETTERS[first : first + 5]):
+            weight[ord(letter)] = 1 << 12 * at
+        sums = np.add.reduceat(weight[known], start)
+        for at in range(len(LETTERS[first : first + 5])):
+            found |= (sums >> np.uint64(12 * at) & np.uint64(7)).astype(np.int64) << 3 * (first + at)
+    for at, line in enumerate(lines):
+        if len(line) >= 1 << 12:
+            found[at] = tally(line)
+    return found
+
+
+class Lister:
+    """Where many lines at once are listed: under hashes of the substrings that ``keys`` names."""
+
+    def __init__(self, errors: int):
+        self.errors, self.known, self.powers = errors, {}, np.ones((2, 1), np.uint64)
+
+    def _places(self, length: int) -> tuple[np.ndarray, ...]:
+        found = self.known.get(length)
+        if found is None:
+            start, end, seed, own = map(np.array, zip(*places(length, self.errors)[::-1]))  # own ones first: they stay of equal entries
+            found = start, end, seed.astype(np.uint64), own
+            if length <= REMEMBERED_LENGTH:
+                self.known[length] = found
+        return found
+
+    def _up_to(self, n: int) -> np.ndarray:
+        """The powers of the base and of its inverse, up to the ``n``-th at least."""
+        while self.powers.shape[1] <= n:
+            have = self.powers.shape[1]
+            step = np.array([[pow(_BASE, have, 1 << 64)], [pow(_INVERSE, have, 1 << 64)]], np.uint64)
+            self.powers = np.concatenate([self.powers, self.powers * step], axis=1)
+        return self.powers
+
+    def entries(self, sids: list[int], lines: list[str]) -> np.ndarray:
+        """The entries of the lines, none of which is empty.
+
+        A substring's hash is a sum of its code points times powers of the base, the difference
+        of two running sums. Equal hashes of different substrings only make more pairs to compare.
+        """
+        length = np.fromiter(map(len, lines), np.int64, len(lines))
+        begin = np.cumsum(length) - length
+        chars = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4")
+        powers, inverses = self._up_to(len(chars))
+        sums = np.zeros(len(chars) + 1, np.uint64)
+        np.cumsum((chars + np.uint64(1)) * powers[: len(chars)], out=sums[1:])
+        found = [self._places(len(line)) for line in lines]
+        each = np.fromiter((len(f[0]) for f in found), np.int64, len(found))
+        start, end, seed, own = map(np.concatenate, zip(*found))
+        offset = np.repeat(begin, each)
+        start, end = start + offset, end + offset
+        h = (sums[end] - sums[start]) * inverses[start] ^ seed * _MIX[0]
+        for factor in _MIX:
+            h = (h ^ h >> np.uint64(29)) * factor
+        h ^= h >> np.uint64(32)
+        entries = np.empty(len(h), ENTRY)
+        entries["key"], entries["sid"], entries["n"] = h.view(np.int64), np.repeat(sids, each), np.repeat(length, each)
+        entries["pos"] = np.repeat(tallies(lines, chars, begin), each) | np.where(own, 0, FINDS)
+        return entries
+
+
 def _may_be_near(errors: int, a: str, b: str) -> Column:
     """An edit changes the length and the numbers of two letters by one at the most."""
     near = (F.abs(F.col(f"{a}.n") - F.col(f"{b}.n")) <= errors) & (
@@ -168,22 +237,18 @@ def line_classes(docs: DataFrame, text_col: str, errors: int, shortest: int, lin
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-lines * per_line // BUCKET))
 
     def make():
-        seen, packer, known, held = set(), Packer(buckets), {}, []
+        seen, packer, lister, sids, held, n_chars = set(), Packer(buckets), Lister(errors), [], [], 0
 
         def pack(emit):
-            if not held:
-                return
-            sids, sizes, tallies, found = zip(*held)
-            each = [len(f) for f in found]
-            entries = np.empty(sum(each), ENTRY)
-            entries["key"] = np.fromiter(chain.from_iterable(found), np.uint64, len(entries)).view(np.int64)
-            entries["sid"], entries["n"] = np.repeat(sids, each), np.repeat(sizes, each)
-            own = np.fromiter(chain.from_iterable(f.values() for f in found), bool, len(entries))
-            entries["pos"] = np.repeat(tallies, each) | np.where(own, 0, FINDS)
+            nonlocal n_chars
+            if held:
+                packer.add(lister.entries(sids, held), emit)
+            sids.clear()
             held.clear()
-            packer.add(entries, emit)
+            n_chars = 0
 
         def step(emit, text):
+            nonlocal n_chars
             for _, line in _split(text, shortest):
                 sid = name(line)[0]
                 if sid in seen:
@@ -191,8 +256,10 @@ def line_classes(docs: DataFrame, text_col: str, errors: int, shortest: int, lin
                 if len(seen) > REMEMBERED:
                     seen.clear()
                 seen.add(sid)
-                held.append((sid, len(line), tally(line), keys(line, errors, known)))
-                if len(held) >= LINES_AT_ONCE:
+                sids.append(sid)
+                held.append(line)
+                n_chars += len(line)
+                if len(held) >= LINES_AT_ONCE or n_chars >= CHARS_AT_ONCE:
                     pack(emit)
 
         def close(emit):

@@ -125,6 +125,29 @@ def test_sets_just_below_the_similarity_make_few_pairs(spark, monkeypatch):
     assert seen and seen[-1] < 500, seen  # 3,183 of 11,175 pairs without the marks
 
 
+def test_many_lines_are_listed_as_each_alone():
+    rng = random.Random(12)
+    lines = ["".join(rng.choice("abcdet\u00e9\U0001f600 ") for _ in range(rng.choice([3, 7, 40, 41, 90]))) for _ in range(60)]
+    lines += ["e" * 5000, "ab" * 20, "t" * 9]
+    lister, sids = line_dedup.Lister(2), list(range(len(lines)))
+    for some in (lines, lines[::-1]):  # the second time with remembered places
+        entries = lister.entries(sids, some)
+        named = {}
+        for at, line in enumerate(some):
+            mine = entries[entries["sid"] == at]
+            first = dict(zip(mine["key"][::-1].tolist(), mine["pos"][::-1].tolist()))  # of equal ones the first
+            wanted = line_dedup.keys(line, 2)
+            assert set(mine["n"].tolist()) == {len(line)} and {pos % line_dedup.FINDS for pos in first.values()} == {line_dedup.tally(line)}
+            assert len(first) == len(wanted) and sum(pos < line_dedup.FINDS for pos in first.values()) == sum(wanted.values())
+            for key in first:
+                named.setdefault(key, set()).add(at)
+        plain = {}
+        for at, line in enumerate(some):
+            for key in line_dedup.keys(line, 2):
+                plain.setdefault(key, set()).add(at)
+        assert sorted(map(sorted, named.values())) == sorted(map(sorted, plain.values()))
+
+
 def test_marks_never_differ_more_than_sets():
     rng = np.random.default_rng(1)
     for n in (1, 3, 40, 400, 3000):
