@@ -28,7 +28,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         # Large star: every larger neighbour of a node is linked to the smallest of them all.
         both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        # Written, as it is read three times: a plan that has it so often weighs on the driver.
+        large = stage(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
         # Small star: a node and its smaller neighbours are linked to the smallest of those.
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))

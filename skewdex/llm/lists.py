@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from skewdex.llm.arrow import released
 from skewdex.llm.components import components
 from skewdex.operators.joins import BROADCAST_ROWS
 from skewdex.sources.staging import stage
@@ -131,7 +132,7 @@ def shared(packed: DataFrame, buckets: int) -> DataFrame:
     anywhere = F.pmod(F.xxhash64("packed"), F.lit(buckets)).cast("int")
     place = F.when(F.col("bucket") < 0, anywhere).otherwise(F.col("bucket"))
     dealt = packed.repartitionById(buckets, place).sortWithinPartitions("bucket")
-    return stage(dealt.mapInArrow(gather, LISTED).distinct(), "lists")
+    return stage(dealt.mapInArrow(released(gather), LISTED).distinct(), "lists")
 
 
 def pruned(lists: DataFrame, need: Column, times: int = 2) -> DataFrame:
@@ -190,7 +191,8 @@ def classes(
         entries = entries.withColumn("component", F.col("sid") if labels is None else F.coalesce("component", "sid"))
         if labels is not None:  # lists of a single class have been answered
             ends = entries.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-            entries = entries.join(ends.where("low <> high").select("key"), "key")
+            entries = stage(entries.join(ends.where("low <> high").select("key"), "key"), "entries")
+            lists = entries.drop("component")  # classes only grow: what is answered stays so
         entries = entries.withColumn("guest", guest).withColumn("cell", F.lit(0) if block is None else block.cast("int") + F.col("guest"))
         last = turn >= ROUNDS
         if last:
@@ -230,7 +232,7 @@ def _rest(
     each = entries
     if alive is not None:  # skipped without a pair
         least = each.groupBy(*CELL).agg(F.min("n").alias("least_n"))
-        each = each.join(least, CELL).where(alive)
+        each = stage(each.join(least, CELL).where(alive).drop("least_n"), "alive")
     sizes = each.groupBy(*CELL, "component").agg(F.count(F.lit(1)).alias("members"), F.min("guest").alias("guest"))
     largest = sizes.groupBy(*CELL).agg(
         F.max(F.struct("members", "component"))["component"].alias("largest"), F.count(F.lit(1)).alias("n_classes"), F.min("guest").alias("hosts")
@@ -240,7 +242,8 @@ def _rest(
     if marks is not None:
         each, fields = each.join(marks, "sid"), [*fields, *(c for c in marks.columns if c != "sid")]
         link = link & ~differ("x", "y")
-    each = each.select(*CELL, "component", "largest", "guest", F.struct(*fields).alias("e"))
+    # Written first, as all below: a plan that has its inputs several times over weighs on the driver.
+    each = stage(each.select(*CELL, "component", "largest", "guest", F.struct(*fields).alias("e")), "met")
     others = each.where("component <> largest").select(*CELL, F.col("component").alias("of_a"), F.col("guest").alias("guest_a"), F.col("e").alias("x"))
     everyone = each.select(*CELL, F.col("component").alias("of_b"), "largest", F.col("guest").alias("guest_b"), F.col("e").alias("y"))
     met = others.join(everyone, CELL).where(
@@ -256,6 +259,7 @@ def _rest(
     )
     if tested is None:
         return pairs
+    pairs = stage(pairs, "possible")
     both = tested.select("a", "b", "distance").union(tested.select(F.col("b").alias("a"), F.col("a").alias("b"), "distance"))
     pairs = pairs.join(both.select("a", "b"), ["a", "b"], "left_anti")
     if apart is None:

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import random
 import tracemalloc
+import weakref
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
-from skewdex.llm import lists, spelling, word_bpe
+from skewdex.llm import arrow, components, jaccard, lists, spelling, word_bpe
+from skewdex.sources import staging
 from tokenizers import Tokenizer
 
 
@@ -102,3 +105,47 @@ def test_runs_too_short_to_be_words_are_not_looked_at(monkeypatch):
     list(step.close(lambda word, n, size: counts.update({word: n})))
     assert counts == {b"seventh": 2, b"aaaaaaa": 1, "éééééééé".encode("latin-1"): 1}
     assert sorted(checksums.seen[1:]) == sorted([b"seventh", b"aaaaaaa", "éééééééé".encode()])
+
+
+def test_a_task_holds_nothing_when_it_gives_its_memory_back(spark, monkeypatch):
+    class State:
+        pass
+
+    states, free = [], []
+
+    def make():
+        state = State()
+        states.append(weakref.ref(state))
+
+        def step(emit, number):
+            emit(number if state else None)
+
+        step.close = lambda emit: emit(-1 if state else None)
+        return step
+
+    monkeypatch.setattr(arrow, "release", lambda: free.append(states[0]() is None))
+    arrow.map_rows(dealt := _Dealt(), "number long", make)
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2], pa.int64())], names=["number"])
+    assert [x for found in dealt.run(iter([batch])) for x in found.column(0).to_pylist()] == [1, 2, -1]
+    assert free == [True]
+    arrow.released(iter)([])
+
+
+def test_plans_of_classes_read_few_tables(spark, monkeypatch):
+    rng = random.Random(9)
+    base, made, scans = [f"w{i}" for i in range(120)], [], []
+    for at in range(60):
+        text = list(base)
+        for spot in rng.sample(range(120), 6 if at % 3 == 0 else 2):
+            text[spot] = f"own{at}x{spot}"
+        made.append((at, " ".join(text)))
+
+    def counting(df, name, *args):
+        scans.append((df._jdf.queryExecution().sparkPlan().toString().count("FileScan"), name))
+        return staging.stage(df, name, *args)
+
+    for module in (lists, components):
+        monkeypatch.setattr(module, "stage", counting)
+    jaccard.similarity_classes(spark.createDataFrame(made, "doc_id long, text string"), "doc_id", "text", 4, 85).collect()
+    assert {"pairs", "links", "labels"} <= {name for _, name in scans}
+    assert max(scans)[0] <= 24, sorted(scans)[-5:]
