@@ -197,3 +197,9 @@ def test_short_lines_of_their_own_keep_a_document(spark):
     got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.drop_lines(spark, table, "").collect()}
     left = "a b\n\nEngezuver au."
     assert got == {1: (docs[0][1], len(docs[0][1])), 2: (left, len(left)), 5: (None, 0), 6: (" ", 1)}
+
+
+def test_encoding_and_decoding_do_not_share_a_stage(spark, library):
+    folder, *_ = library
+    found = corpus_pipeline.tokenize(spark, spark.read.parquet(f"{folder}/documents.parquet"), folder)
+    assert found._jdf.queryExecution().sparkPlan().toString().count("MapInArrow") == 1
