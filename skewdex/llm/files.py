@@ -26,6 +26,12 @@ def at(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
+def remove(uri: str) -> None:
+    """Delete a folder with what it holds."""
+    system, path = at(uri)
+    system.delete_dir(path)
+
+
 class Output:
     """A file that appears under its name when it is complete.
 

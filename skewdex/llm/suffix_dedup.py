@@ -15,17 +15,20 @@ piece of text.
    are compared byte by byte, and what an earlier document has is marked.
 
 A batch sends one piece for all its copies of it, so what meets is bound by the number of
-batches; an anchor that very many batches share is dealt anew by whole strings.
+batches; around an anchor that very many batches share, strings are dealt anew, by a longer
+anchor in each. Where pieces would take far more room than the texts, they are sent in rounds,
+each of a share of the anchors.
 """
 
 from __future__ import annotations
 
 import sys
+import zlib
 from itertools import chain, groupby
 from operator import itemgetter
 
 import numpy as np
-import xxhash
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,13 +43,15 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 LENGTH, GRAM = 50, 16
 #: Bytes of text in a batch, anchors in a bucket, and pieces that a task holds.
 BATCH, BUCKET, HELD = 32 << 20, 1 << 21, 150_000
-#: An anchor in more batches than this is dealt by whole strings.
-HOT = 256
+#: An anchor in more batches than this is dealt by anchors of so many bytes.
+HOT, FINE = 256, 32
+#: Bytes that a piece takes as it is sent, and how often the size of the texts a round of them may have.
+PIECE, ROUND = 80, 2
 #: Strings whose places are found at once.
 SEGMENT = 1 << 19
 _PLACE = np.uint64((1 << 20) - 1)
 _BYTES = np.random.default_rng(20).integers(1, 1 << 63, 256, np.uint64)
-_ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
+_ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0x27D4EB2F165667C5)]
 _SPAN = np.dtype([("place", "<i4"), ("start", "<i4"), ("end", "<i4")])
 
 
@@ -58,23 +63,23 @@ def _windows(x: np.ndarray, width: int, join) -> np.ndarray:
     return join(x[: len(x) - (width - reach)], x[width - reach :]) if reach < width else x
 
 
-def pieces(data: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def pieces(data: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of each piece, and the hash of its anchor.
 
     Every string of ``length`` bytes lies in exactly one piece that is its anchor's, and
-    which anchor that is depends on the string alone.
+    which anchor that is depends on the string alone. ``gram`` is 16 or 32.
     """
     found = []
     raw = np.frombuffer(data, np.uint8)
     for at in range(0, len(raw) - length + 1, SEGMENT):
         h = _BYTES[raw[at : at + SEGMENT + length - 1]]
         reach = 1
-        for odd in _ODD:  # of 16 bytes, by doubling
+        for odd in _ODD[: gram.bit_length() - 1]:  # of 16 or 32 bytes, by doubling
             h, reach = h[:-reach] * odd + h[reach:], reach * 2
         h ^= h >> np.uint64(32)
         h *= _ODD[0]
         h ^= h >> np.uint64(29)
-        least = _windows((h & ~_PLACE) | np.arange(len(h), dtype=np.uint64), length - GRAM + 1, np.minimum)
+        least = _windows((h & ~_PLACE) | np.arange(len(h), dtype=np.uint64), length - gram + 1, np.minimum)
         start = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
         end = np.append(start[1:], len(least)) + length - 1
         found.append((start + at, end + at, h[(least[start] & _PLACE).astype(np.int64)] & ~np.uint64(1)))
@@ -117,7 +122,7 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
         return step
 
-    return stage(map_rows(once, "batch long, place int, id long, hash binary, text binary", make), "texts")
+    return stage(map_rows(once, "batch long, place int, id long, hash binary, text binary", make), "texts", packed=True)
 
 
 #: Stands for a null id, which comes after all others.
@@ -127,8 +132,8 @@ _LAST = (1 << 63) - 1
 class _Shared:
     """What was written for a batch, read when the batch comes."""
 
-    def __init__(self, folder: str, dtype):
-        self.folder, self.dtype, self.batch, self.value = folder, dtype, None, None
+    def __init__(self, folder: str, dtype, of=lambda found: found):
+        self.folder, self.dtype, self.part, self.batch, self.value = folder, dtype, of, None, None
         self.system, self.path = files.at(folder)
 
     def of(self, batch: int) -> np.ndarray:
@@ -137,15 +142,15 @@ class _Shared:
             found = self.system.get_file_info(name).is_file
             if found:
                 with self.system.open_input_file(name) as file:
-                    self.value = np.frombuffer(file.read(), self.dtype)
+                    self.value = self.part(np.frombuffer(file.read(), self.dtype))
             else:
                 self.value = np.empty(0, self.dtype)
             self.batch = batch
         return self.value
 
 
-def _write_by_batch(rows: DataFrame, folder: str, dtype, key: str) -> None:
-    """Write the arrays (batch, packed) of each batch to one file, ordered by ``key``."""
+def _write_by_batch(rows: DataFrame, folder: str, dtype, key: str) -> int:
+    """Write the arrays (batch, packed) of each batch to one file, ordered by ``key``; returns their length."""
     files.at(folder)[0].create_dir(files.at(folder)[1], recursive=True)
 
     def make():
@@ -171,11 +176,11 @@ def _write_by_batch(rows: DataFrame, folder: str, dtype, key: str) -> None:
         return step
 
     dealt = rows.repartition("batch").sortWithinPartitions("batch")
-    stage(map_rows(dealt, "batch long, n long", make), "written")
+    return stage(map_rows(dealt, "batch long, n long", make), "written").agg(F.sum("n")).first()[0] or 0
 
 
-def _shared_anchors(texts: DataFrame, folder: str, length: int, buckets: int) -> None:
-    """Write for each batch which of its anchors another document has too."""
+def _shared_anchors(texts: DataFrame, folder: str, length: int, buckets: int) -> int:
+    """Write for each batch which of its anchors another document has too; returns how many these are."""
 
     def arrays():
         now, held = None, []
@@ -237,7 +242,7 @@ def _shared_anchors(texts: DataFrame, folder: str, length: int, buckets: int) ->
 
     found = map_rows(texts.select("batch", "text"), "bucket int, batch long, packed binary", arrays)
     dealt = found.repartition(buckets, "bucket").sortWithinPartitions("bucket", "batch")
-    _write_by_batch(map_rows(dealt, "batch long, packed binary", merge), folder, np.uint64, None)
+    return _write_by_batch(map_rows(dealt, "batch long, packed binary", merge), folder, np.uint64, None)
 
 
 def _runs(marks: list[bool]) -> list[tuple[int, int]]:
@@ -277,12 +282,15 @@ def _covered(strings: list[bytes], earlier: set[bytes], length: int) -> list[tup
     return out
 
 
-def _mark(texts: DataFrame, shared: str, folder: str, length: int, buckets: int) -> None:
-    """Write for each batch the spans of its texts that an earlier document has."""
-    row = T.StructType.fromDDL("deal long, batch long, packed binary, ids binary, sizes binary, owned binary, owners binary")
+def _mark(texts: DataFrame, shared: str, folder: str, length: int, buckets: int, share: tuple[int, int] = (0, 1)) -> None:
+    """Write for each batch the spans of its texts that an earlier document has.
+
+    ``share`` is the round and the number of rounds; spans are those around the round's anchors.
+    """
+    row = "deal long, batch long, n int, size int, packed binary"
 
     def spread():
-        anchors = _Shared(shared, np.uint64)
+        anchors = _Shared(shared, np.uint64, lambda known: known[(known >> np.uint64(40)) % np.uint64(share[1]) == share[0]])
         now, held, spans = None, {}, []
 
         def keep(deal, data, doc, place, start):
@@ -301,21 +309,22 @@ def _mark(texts: DataFrame, shared: str, folder: str, length: int, buckets: int)
             nonlocal spans
             if spans:
                 packed = np.array(spans, _SPAN).tobytes()
-                emit(xxhash.xxh32_intdigest(packed), now, packed, None, None, None, None, size=len(packed))
+                emit(zlib.crc32(packed), now, 0, len(packed), packed, size=len(packed))
             spans = []
             by_bucket: dict[int, list] = {}
             for data, (deal, doc, owners) in held.items():
                 by_bucket.setdefault(deal % buckets, []).append((deal, data, doc, owners))
             held.clear()
             for bucket, entries in by_bucket.items():
-                body = b"".join(e[1] for e in entries)
-                head = np.array([e[0] for e in entries], np.uint64).tobytes()
-                emit(
-                    bucket, now, head + body, np.array([e[2] for e in entries], np.int64).tobytes(),
-                    np.array([len(e[1]) for e in entries], np.int32).tobytes(),
-                    np.array([len(e[3]) for e in entries], np.int32).tobytes(),
-                    np.array([o for e in entries for o in e[3]], np.int32).tobytes(), size=len(body) + 40 * len(entries),
-                )
+                parts = [
+                    np.array([e[0] for e in entries], np.uint64).tobytes(), np.array([e[2] for e in entries], np.int64).tobytes(),
+                    np.array([len(e[1]) for e in entries], np.int32).tobytes(), np.array([len(e[3]) for e in entries], np.int32).tobytes(),
+                    np.array([o for e in entries for o in e[3]], np.int32).tobytes(), *[e[1] for e in entries],
+                ]
+                whole = b"".join(parts)
+                # In the shuffle's own codec, which is a fast one, texts take almost as much room as they are long.
+                packed = pa.compress(whole, codec="zstd", asbytes=True)
+                emit(bucket, now, len(entries), len(whole), packed, size=len(packed))
 
         def step(emit, batch, place, doc, text):
             nonlocal now
@@ -327,14 +336,17 @@ def _mark(texts: DataFrame, shared: str, folder: str, length: int, buckets: int)
             if not len(known) or not len(start):
                 return
             at = np.minimum(np.searchsorted(known, anchor), len(known) - 1)
-            hit = np.flatnonzero(known[at] & ~np.uint64(1) == anchor)
-            for a, b, deal, hot in zip(start[hit].tolist(), end[hit].tolist(), anchor[hit].tolist(), (known[at[hit]] & np.uint64(1)).tolist(), strict=True):
-                if not hot:
-                    keep(deal >> 1, text[a:b], doc, place, a)
-                    continue
-                for s in range(a, b - length + 1):
-                    part = text[s : s + length]
-                    keep(xxhash.xxh3_64_intdigest(part) >> 1, part, doc, place, s)
+            hit = known[at] & ~np.uint64(1) == anchor
+            hot = hit & (known[at] & np.uint64(1) > 0)
+            for a, b, deal in zip(*(x[hit & ~hot].tolist() for x in (start, end, anchor)), strict=True):
+                keep(deal >> 1, text[a:b], doc, place, a)
+            if not hot.any():
+                return
+            finer = pieces(text, length, FINE)
+            first, last = np.searchsorted(finer[0], start[hot], "right") - 1, np.searchsorted(finer[0], end[hot] - length, "right")
+            for a, b, i, j in zip(*(x.tolist() for x in (start[hot], end[hot], first, last)), strict=True):
+                for x, y, deal in zip(*(part[i:j].tolist() for part in finer), strict=True):
+                    keep(deal >> 1, text[max(a, x) : min(b, y)], doc, place, max(a, x))
 
         step.close = flush
         return step
@@ -362,20 +374,22 @@ def _mark(texts: DataFrame, shared: str, folder: str, length: int, buckets: int)
                     give(emit)
             held.clear()
 
-        def step(emit, deal, batch, packed, ids, sizes, owned, owners):
+        def step(emit, deal, batch, n, size, packed):
             nonlocal now
-            if ids is None:
+            if not n:
                 emit(batch, packed, size=len(packed))
                 return
             if deal != now:
                 flush(emit)
                 now = deal
-            ids, sizes, owned = np.frombuffer(ids, np.int64), np.frombuffer(sizes, np.int32), np.frombuffer(owned, np.int32)
-            keys, pairs = np.frombuffer(packed, np.uint64, len(ids)), np.frombuffer(owners, np.int32).reshape(-1, 2)
-            at, of = 8 * len(ids), 0
-            for key, doc, size, n in zip(keys.tolist(), ids.tolist(), sizes.tolist(), owned.tolist(), strict=True):
-                held.setdefault(key, []).append((packed[at : at + size], doc, batch, pairs[of : of + n].tolist()))
-                at, of = at + size, of + n
+            packed = pa.decompress(packed, size, "zstd", asbytes=True)
+            keys, ids = np.frombuffer(packed, np.uint64, n), np.frombuffer(packed, np.int64, n, 8 * n)
+            sizes, owned = np.frombuffer(packed, np.int32, 2 * n, 16 * n).reshape(2, n)
+            pairs = np.frombuffer(packed, np.int32, 2 * int(owned.sum()), 24 * n).reshape(-1, 2)
+            at, of = 24 * n + pairs.nbytes, 0
+            for key, doc, size, owners in zip(keys.tolist(), ids.tolist(), sizes.tolist(), owned.tolist(), strict=True):
+                held.setdefault(key, []).append((packed[at : at + size], doc, batch, pairs[of : of + owners].tolist()))
+                at, of = at + size, of + owners
 
         def close(emit):
             flush(emit)
@@ -385,20 +399,21 @@ def _mark(texts: DataFrame, shared: str, folder: str, length: int, buckets: int)
         return step
 
     sent = map_rows(texts.select("batch", "place", "id", "text"), row, spread)
-    dealt = sent.repartition(buckets, "deal").sortWithinPartitions(F.col("ids").isNotNull(), "deal")
+    dealt = sent.repartition(buckets, "deal").sortWithinPartitions(F.col("n") > 0, "deal")
     _write_by_batch(map_rows(dealt, "batch long, packed binary", meet), folder, _SPAN, "place")
 
 
-def _cut(texts: DataFrame, folder: str) -> DataFrame:
-    """(hash, id, kept, spans) of each different text."""
+def _cut(texts: DataFrame, folders: list[str]) -> DataFrame:
+    """(hash, id, kept, spans) of each different text, by what was marked in each round."""
 
     def make():
-        marked, now, places = _Shared(folder, _SPAN), None, None
+        marked, now, spans, places = [_Shared(folder, _SPAN) for folder in folders], None, None, None
 
         def step(emit, batch, place, doc, key, text):
-            nonlocal now, places
-            spans = marked.of(batch)
+            nonlocal now, spans, places
             if batch != now:
+                spans = np.concatenate([each.of(batch) for each in marked])
+                spans = spans[np.argsort(spans["place"], kind="stable")] if len(marked) > 1 else spans
                 now, places = batch, np.ascontiguousarray(spans["place"])
             a, b = np.searchsorted(places, [place, place + 1])
             if a == b:
@@ -432,9 +447,12 @@ def remove_repeats(docs: DataFrame, id_col: str, text_col: str, length: int = LE
     texts = _texts(docs, id_col, text_col)
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (16 * BUCKET)))
-    shared, marked = files.new_folder(spark, "anchors"), files.new_folder(spark, "marked")
-    _shared_anchors(texts, shared, length, buckets)
-    _mark(texts, shared, marked, length, buckets)
+    shared = files.new_folder(spark, "anchors")
+    rounds = max(1, -(-_shared_anchors(texts, shared, length, buckets) * PIECE // max(1, ROUND * total)))
+    marked = [files.new_folder(spark, "marked") for _ in range(rounds)]
+    for at, folder in enumerate(marked):
+        _mark(texts, shared, folder, length, buckets, (at, rounds))
+    files.remove(shared)
     rows = docs.select(
         F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("order"),
         F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")))).alias("hash"),

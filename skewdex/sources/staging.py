@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Codec of what is saved, or staged ``packed``: terms and counts take less of the disk than with Spark's default.
 PACKED = "zstd"
+#: With it, Spark deletes what a write has shuffled once the write has ended, and not when the driver frees its plan.
+_TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Folders of tables that were staged inside ``temporary_tables``, innermost block last.
 _staged: list[list[str]] = []
 
@@ -45,8 +47,22 @@ def temporary_tables(spark: SparkSession) -> Iterator[None]:
             system.delete(folder, True)
 
 
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """What writes inside the block have shuffled is deleted as each of them ends.
+
+    A driver with a large heap may not free a plan for hours, and as long the disks hold what it shuffled.
+    """
+    before = spark.conf.get(_TIDY, None)
+    spark.conf.set(_TIDY, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_TIDY) if before is None else spark.conf.set(_TIDY, before)
+
+
 def stage(df: DataFrame, name: str, packed: bool = False) -> DataFrame:
-    """Write ``df`` once and go on from the written table.
+    """Write ``df`` once and go on from the written table; what it took to shuffle is deleted.
 
     Lost executors then cost a re-read, not a re-computation, the work above is done once
     however many branches follow, and Catalyst sees the true size.
@@ -55,7 +71,8 @@ def stage(df: DataFrame, name: str, packed: bool = False) -> DataFrame:
     if _staged:
         _staged[-1].append(path)
     writer = df.write.mode("errorifexists")
-    (writer.option("compression", PACKED) if packed else writer).parquet(path)
+    with tidy(df.sparkSession):
+        (writer.option("compression", PACKED) if packed else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -312,6 +312,53 @@ def test_op10(spark, monkeypatch, tmp_path, hot, batch, held, segment):
     assert sorted(map(tuple, queries.op10_suffix_dedup(spark, str(tmp_path)).collect()), key=str) == without_repeats(docs)
 
 
+def shared_passages(rng, n=40):
+    """Texts that all have the same twenty passages, each between words of its own."""
+    passages = ["".join(rng.choice("abcdefgh ") for _ in range(150)) for _ in range(20)]
+    return [(i, "".join(p + "".join(rng.choice("xyz") for _ in range(30)) for p in passages)) for i in range(n)]
+
+
+def test_common_anchors_cost_no_multiple_of_the_texts(spark, monkeypatch):
+    """Of passages in every batch, more than HOT, what is sent is about as long as the texts: not every string of them."""
+    docs, sent, mapped = shared_passages(random.Random(3)), [], suffix_dedup.map_rows
+
+    def spy(df, schema, make, **options):
+        out = mapped(df, schema, make, **options)
+        if "deal" in out.columns:
+            sent.append(sum(len(v) for r in out.collect() for v in r if isinstance(v, bytes | bytearray)))
+        return out
+
+    for name, value in (("HOT", 3), ("BATCH", 5000), ("map_rows", spy)):
+        monkeypatch.setattr(suffix_dedup, name, value)
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string").repartition(8), "doc_id", "text").collect()
+    want = {r[0]: r[1:4] for r in without_repeats(docs)}
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans) for r in got} == want
+    assert sum(sent) < 8 * sum(len(text) for _, text in docs)
+
+
+@pytest.mark.parametrize("hot", [256, 2])
+def test_rounds_mark_what_one_round_marks(spark, monkeypatch, hot):
+    docs, rounds, mark = shared_passages(random.Random(4)) + repeating_docs(), [], suffix_dedup._mark
+    monkeypatch.setattr(suffix_dedup, "_mark", lambda *args: (rounds.append(args[-1]), mark(*args)))
+    for name, value in (("HOT", hot), ("BATCH", 5000), ("PIECE", 1000)):
+        monkeypatch.setattr(suffix_dedup, name, value)
+    docs = [(i, text) for i, (_, text) in enumerate(docs)]
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string").repartition(5), "doc_id", "text").collect()
+    kept = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in got]
+    assert sorted(kept, key=str) == without_repeats(docs)
+    assert len(rounds) > 1 and rounds == [(at, len(rounds)) for at in range(len(rounds))]
+
+
+def test_anchors_of_either_length_cover_every_string_once():
+    data = random.Random(6).randbytes(700) + b"a" * 100 + random.Random(6).randbytes(300)
+    for gram in (16, 32):
+        start, end, anchor = suffix_dedup.pieces(data, 50, gram)
+        covered = [at for a, b in zip(start.tolist(), end.tolist(), strict=True) for at in range(a, b - 49)]
+        assert covered == list(range(len(data) - 49))
+        of = {data[at : at + 50]: h for a, b, h in zip(start.tolist(), end.tolist(), anchor.tolist(), strict=True) for at in range(a, b - 49)}
+        assert all(of[data[at : at + 50]] == h for a, b, h in zip(start.tolist(), end.tolist(), anchor.tolist(), strict=True) for at in range(a, b - 49))
+
+
 def test_other_lengths_and_no_rows(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert suffix_dedup.remove_repeats(none, "doc_id", "text").count() == 0

@@ -1,6 +1,9 @@
 """Stored files of which each is small."""
 
-from skewdex.sources import texts
+import time
+
+from pyspark.sql import functions as F
+from skewdex.sources import staging, texts
 
 
 def test_small_files_share_a_task(spark, tmp_path):
@@ -13,3 +16,21 @@ def test_small_files_share_a_task(spark, tmp_path):
         assert sorted(r.n for r in files.selectExpr("length(content) AS n").collect()) == list(range(1, 401))
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def shuffled(spark):
+    """Files of shuffles that lie on the local disks."""
+    found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ")
+    return {name for name in found.split() if "shuffle_" in name}
+
+
+def test_what_a_staged_table_took_to_shuffle_is_deleted(spark):
+    key, before = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", shuffled(spark)
+    was = spark.conf.get(key, None)
+    rows = spark.range(10_000).groupBy((F.col("id") % 1000).alias("k")).count()
+    assert len(staging.stage(rows, "counted").collect()) == 1000
+    for _ in range(30):
+        if not (left := shuffled(spark) - before):
+            break
+        time.sleep(0.1)
+    assert not [name for name in left if name in shuffled(spark)] and spark.conf.get(key, None) == was
