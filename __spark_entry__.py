@@ -594,9 +594,10 @@ def build_index_files(spark, sf):
     listing, _, _ = _library(spark, sf)
     directory = _run_path(spark, sf, f"files-{uuid.uuid4().hex}")
     texts = _docs(spark, sf).select("doc_id", _wrapped(F.col("text")).alias("value")).where("value <> ''")
-    texts.write.partitionBy("doc_id").text(f"{directory}/texts")
-    files = texts_of.read_files(spark, f"{directory}/texts")
-    number = F.regexp_extract("url", r"doc_id=(\d+)/", 1).cast("long")
+    name = F.concat(F.lit("doc_id="), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(".txt"))
+    stored = texts.select(name.alias("name"), F.concat("value", F.lit("\n")).alias("content"))
+    files = texts_of.read_files(spark, *texts_of.write_files(stored, f"{directory}/texts"))
+    number = F.regexp_extract("url", r"doc_id=(-?\d*)\.txt$", 1).try_cast("long")
     stored = files.select("url", "length", number.alias("ebook_id"))
     build_index(listing.join(stored, "ebook_id"), None, texts_of.decode_text(files, charset="UTF-8"), directory=directory)
     return _weight(index_store.read_index(spark, directory, INDEX_ROWS))

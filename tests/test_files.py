@@ -1,7 +1,10 @@
 """Stored files of which each is small."""
 
+import glob
+import os
 import time
 
+import __spark_entry__
 from pyspark.sql import functions as F
 from skewdex.sources import staging, texts
 
@@ -18,6 +21,32 @@ def test_small_files_share_a_task(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_files_are_written_by_tasks_and_not_in_a_folder_each(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(texts, "FOLDER_FILES", 50)
+    rows = [(f"doc_id={at % 300}.txt", b"\xff" * at) for at in range(1, 401)]
+    folders = texts.write_files(spark.createDataFrame(rows, "name string, content binary").repartition(3), str(tmp_path / "x"))
+    assert len(folders) == 9 and sorted(folders) == sorted(str(f) for f in (tmp_path / "x").iterdir())
+    (tmp_path / "x" / "of-a-failed-run").mkdir()
+    (tmp_path / "x" / "of-a-failed-run" / "0.doc_id=7.txt").write_bytes(b"no")
+    got = texts.read_files(spark, *folders).selectExpr("regexp_extract(url, '[0-9]+[.](.*)$', 1) AS name", "content", "length").collect()
+    assert sorted((r.name, bytes(r.content), r.length) for r in got) == sorted((name, data, len(data)) for name, data in rows)
+
+
+def test_no_files(spark, tmp_path):
+    none = texts.write_files(spark.createDataFrame([], "name string, content binary"), str(tmp_path / "x"))
+    assert texts.read_files(spark, *none).collect() == []
+
+
+def test_the_query_makes_no_folder_for_each_file(spark, tmp_path):
+    rows = [(i, f"Title {i}\nking queen cook {'dinner ' * i}", "src1", 100) for i in range(300)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    was, root = set(glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/files-*")), spark.conf.get("spark.checkpoint.dir")
+    got = __spark_entry__.build_index_files(spark, str(tmp_path)).collect()
+    assert {r.ebook_id for r in got} == set(range(300))
+    (new,) = set(glob.glob(f"{root}/files-*")) - was
+    assert sum(1 for _ in os.walk(f"{new}/texts")) < 30 and sum(len(files) for *_, files in os.walk(f"{new}/texts")) == 300
+
+
 def shuffled(spark):
     """Files of shuffles that lie on the local disks."""
     found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ")
