@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .staging import PACKED, stage
+from .staging import PACKED, stage, tidy
 
 INDEX_SCHEMA = "bookshelf_url string, ebook_id int, ebook_title string, term string, weight double"
 DEFAULT_DIRECTORY = "tfidfIndex"
@@ -72,13 +72,15 @@ def write_index(
     statistics. With no ``sort_by`` rows stay where they are.
     """
     index, titles = _parted(index, titles)
-    titles.write.mode("overwrite").option("compression", PACKED).parquet(titles_path(directory))
+    with tidy(index.sparkSession):
+        titles.write.mode("overwrite").option("compression", PACKED).parquet(titles_path(directory))
     no_clash(index.sparkSession.read.schema(titles.schema).parquet(titles_path(directory)))
     if sort_by:
         index = index.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
-    index.write.mode("overwrite").option("compression", PACKED).option("parquet.bloom.filter.enabled#term", "true").parquet(
-        index_path(directory)
-    )
+    with tidy(index.sparkSession):
+        index.write.mode("overwrite").option("compression", PACKED).option("parquet.bloom.filter.enabled#term", "true").parquet(
+            index_path(directory)
+        )
 
 
 def _parted(index: DataFrame, titles: DataFrame | None) -> tuple[DataFrame, DataFrame]:
@@ -110,9 +112,10 @@ def write_groups(
 
 
 def _by_group(laid: DataFrame, group: str, path: str) -> None:
-    laid.write.mode("overwrite").option("compression", PACKED).option("partitionOverwriteMode", "dynamic").option(
-        "parquet.bloom.filter.enabled#term", "true"
-    ).partitionBy(group).parquet(path)
+    with tidy(laid.sparkSession):
+        laid.write.mode("overwrite").option("compression", PACKED).option("partitionOverwriteMode", "dynamic").option(
+            "parquet.bloom.filter.enabled#term", "true"
+        ).partitionBy(group).parquet(path)
 
 
 def write_index_table(index: DataFrame, table: str, buckets: int, by: tuple[str, ...] = ("bookshelf_url", "ebook_id")) -> None:

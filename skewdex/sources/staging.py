@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -13,8 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 PACKED = "zstd"
 #: With it, Spark deletes what a write has shuffled once the write has ended, and not when the driver frees its plan.
 _TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-#: Folders of tables that were staged inside ``temporary_tables``, innermost block last.
-_staged: list[list[str]] = []
+
+
+class _Staged(threading.local):
+    """Folders of tables that a thread has staged inside ``temporary_tables``, innermost block last."""
+
+    def __init__(self):
+        self.blocks: list[list[str]] = []
+
+
+_staged = _Staged()
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -38,11 +47,11 @@ def temporary_tables(spark: SparkSession) -> Iterator[None]:
     For jobs that write their result inside the block; a DataFrame that leaves it must not
     read a table staged in it.
     """
-    _staged.append([])
+    _staged.blocks.append([])
     try:
         yield
     finally:
-        for path in _staged.pop():
+        for path in _staged.blocks.pop():
             system, folder = _paths(spark, path)
             system.delete(folder, True)
 
@@ -68,8 +77,8 @@ def stage(df: DataFrame, name: str, packed: bool = False) -> DataFrame:
     however many branches follow, and Catalyst sees the true size.
     """
     path = f"{shared_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    if _staged:
-        _staged[-1].append(path)
+    if _staged.blocks:
+        _staged.blocks[-1].append(path)
     writer = df.write.mode("errorifexists")
     with tidy(df.sparkSession):
         (writer.option("compression", PACKED) if packed else writer).parquet(path)
@@ -117,12 +126,14 @@ def materialize(spark: SparkSession, path: str, builder: Callable[[], DataFrame]
 
     A saved table is never overwritten. The table is written to a folder of its own beside
     ``path`` and then takes its name, so a failed save raises and leaves nothing in the way
-    of the next one. Of concurrent builders one wins, and all read what it has saved.
+    of the next one. Of concurrent builders one wins, and all read what it has saved. What
+    ``builder`` stages and shuffles is deleted when the table is saved.
     """
     if not is_saved(spark, path):
         draft = f"{path.rstrip('/')}.draft-{uuid.uuid4().hex}"
         try:
-            builder().write.mode("errorifexists").option("compression", PACKED).parquet(draft)
+            with temporary_tables(spark), tidy(spark):
+                builder().write.mode("errorifexists").option("compression", PACKED).parquet(draft)
             publish(spark, draft, path)
         finally:
             system, folder = _paths(spark, draft)

@@ -3,10 +3,12 @@
 import glob
 import os
 import time
+from threading import Event, Thread
 
 import __spark_entry__
 from pyspark.sql import functions as F
-from skewdex.sources import staging, texts
+from skewdex.operators import tfidf
+from skewdex.sources import index_store, staging, texts
 
 
 def test_small_files_share_a_task(spark, tmp_path):
@@ -47,6 +49,45 @@ def test_the_query_makes_no_folder_for_each_file(spark, tmp_path):
     assert sum(1 for _ in os.walk(f"{new}/texts")) < 30 and sum(len(files) for *_, files in os.walk(f"{new}/texts")) == 300
 
 
+def left_of(spark, before):
+    """What of the shuffles that came after ``before`` is still there a little later."""
+    for _ in range(30):
+        if not shuffled(spark) - before:
+            break
+        time.sleep(0.1)
+    return shuffled(spark) - before
+
+
+def test_a_saved_table_leaves_nothing_else(spark, tmp_path):
+    """Neither what its builder staged nor what it shuffled."""
+    docs = spark.createDataFrame([(i % 3, i, f"king {'queen ' * (i % 5)} word{i}") for i in range(200)], "g int, d int, text string")
+    root = spark.conf.get("spark.checkpoint.dir")
+    before, tables = shuffled(spark), set(os.listdir(root))
+    saved = staging.materialize(spark, str(tmp_path / "saved"), lambda: tfidf.tfidf(docs, ["g"], ["d"], broadcast_rows=10))
+    assert not left_of(spark, before) and set(os.listdir(root)) == tables
+    index = saved.selectExpr("string(g) AS bookshelf_url", "d AS ebook_id", "concat('t', d) AS ebook_title", "term", "weight")
+    index_store.write_index(index, str(tmp_path / "index"))
+    assert index_store.read_index(spark, str(tmp_path / "index")).count() == index.count()
+
+
+def test_threads_delete_only_what_they_staged(spark, tmp_path):
+    first, second, kept = Event(), Event(), []
+
+    def waits():
+        kept.append(staging.stage(spark.range(3), "three"))
+        first.set()
+        second.wait(60)
+        return kept[0]
+
+    slow = Thread(target=lambda: kept.append(staging.materialize(spark, str(tmp_path / "a"), waits).count()))
+    slow.start()
+    first.wait(60)
+    staging.materialize(spark, str(tmp_path / "b"), lambda: staging.stage(spark.range(2), "two"))
+    second.set()
+    slow.join(60)
+    assert kept[1] == 3 and not os.path.exists(kept[0].inputFiles()[0].removeprefix("file:").removeprefix("//"))
+
+
 def shuffled(spark):
     """Files of shuffles that lie on the local disks."""
     found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ")
@@ -58,8 +99,4 @@ def test_what_a_staged_table_took_to_shuffle_is_deleted(spark):
     was = spark.conf.get(key, None)
     rows = spark.range(10_000).groupBy((F.col("id") % 1000).alias("k")).count()
     assert len(staging.stage(rows, "counted").collect()) == 1000
-    for _ in range(30):
-        if not (left := shuffled(spark) - before):
-            break
-        time.sleep(0.1)
-    assert not [name for name in left if name in shuffled(spark)] and spark.conf.get(key, None) == was
+    assert not left_of(spark, before) and spark.conf.get(key, None) == was
